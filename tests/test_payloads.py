@@ -1,0 +1,141 @@
+from __future__ import annotations
+
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from samples import FLAT, NESTED, rows
+
+from tillmart.operators.documents import document_json, sale_documents
+from tillmart.sources import payloads
+
+
+def normalize(spark, *texts):
+    raw = spark.createDataFrame([(text,) for text in texts], "value string")
+    return payloads.normalize_payloads(payloads.parse_payloads(raw))
+
+
+def one(spark, text):
+    return normalize(spark, text).first()
+
+
+def test_nested_channel(spark):
+    sale = one(spark, NESTED)
+    assert (sale.transaction_id, sale.source, sale.customer_name) == ("N-1", "Orange App", "Ann Lee")
+    assert (sale.delivery_address, sale.customer_contact) == ("1 Low St, Town", "+6312345")
+    assert (sale.customer_age, sale.customer_gender) == (29, "F")
+    assert sale.total_amount == Decimal("999.50") and sale.payment_type == "Card"
+    assert sale.transaction_date == datetime(2025, 9, 29, 10, 15)
+    assert [tuple(item) for item in sale["items"]] == [
+        (" N-1-1", 'A "fine" book, vol. 2', Decimal("499.00"), 2),
+        ("N-1-2", "Map", Decimal("1.50"), 1),
+    ]
+    assert sale.reject_reason is None
+
+
+def test_flat_channel_without_age_and_gender(spark):
+    sale = one(spark, FLAT)
+    assert (sale.transaction_id, sale.source, sale.customer_name) == ("F-1", "Blue App", "Bo Ray")
+    assert (sale.customer_age, sale.customer_gender) == (None, None)
+    assert sale.transaction_date == datetime(2025, 9, 20, 10, 20, 5)
+    assert [tuple(item) for item in sale["items"]] == [("F-1-1", "Map", Decimal("1.50"), 3)]
+
+
+@pytest.mark.parametrize(
+    "age, wanted", [('"31"', 31), ("31", 31), ('"old"', None), ("null", None), ('""', None)]
+)
+def test_age_is_coerced(spark, age, wanted):
+    text = FLAT.replace('"contact"', f'"age":{age},"contact"')
+    assert one(spark, text).customer_age == wanted
+
+
+def test_field_precedence_does_not_depend_on_channel(spark):
+    text = FLAT.replace('"amountDue"', '"total":7.25,"mop":"Card","timestamp":"2025-01-02T03:04:05Z","amountDue"')
+    sale = one(spark, text)
+    assert sale.source == "Blue App"
+    assert (sale.total_amount, sale.payment_type) == (Decimal("7.25"), "Card")
+    assert sale.transaction_date == datetime(2025, 1, 2, 3, 4, 5)
+
+
+def test_wall_clock_ignores_offset_and_session_zone(spark, settings):
+    settings(spark__sql__session__timeZone="America/Sao_Paulo")
+    # Midnight of this day does not exist in that zone.
+    text = NESTED.replace("2025-09-29T10:15:00+08:00", "2018-11-04T00:00:00+08:00")
+    assert one(spark, text).transaction_date == datetime(2018, 11, 4)
+
+
+@pytest.mark.parametrize(
+    "text, reason",
+    [
+        (NESTED[:-1], "malformed document"),
+        ("", "malformed document"),
+        ("[1]", "malformed document"),
+        (NESTED.replace("499.00", '"cheap"'), "malformed document"),
+        (FLAT.replace("salesId", "other"), "no sale id"),
+        (FLAT.replace("2025-09-20T10:20:05.750Z", "yesterday"), "no valid date"),
+        (FLAT.replace("creationDate", "other"), "no valid date"),
+    ],
+)
+def test_rejects(spark, text, reason):
+    normalized = normalize(spark, text, NESTED)
+    rejected = payloads.rejected(normalized).collect()
+    assert [(row.reject_reason, row.raw) for row in rejected] == [(reason, text)]
+    assert payloads.accepted(normalized).count() == 1
+
+
+def test_items_of_empty_null_and_missing_arrays(spark):
+    empty = '{"transactionId":"E","line_items":[],"timestamp":"2025-01-01T00:00:00Z"}'
+    null = '{"transactionId":"U","line_items":null,"timestamp":"2025-01-01T00:00:00Z"}'
+    missing = '{"salesId":"M","creationDate":"2025-01-01T00:00:00Z"}'
+    sales = payloads.accepted(normalize(spark, empty, null, missing))
+    assert payloads.sale_headers(sales).count() == 3
+    assert payloads.sale_items(sales).count() == 0
+
+
+def test_nested_sale_without_customer(spark):
+    sale = one(spark, '{"transactionId":"E","fullName":"x","timestamp":"2025-01-01T00:00:00Z"}')
+    assert (sale.source, sale.customer_name) == ("Orange App", None)
+
+
+def test_repeated_payload_is_reduced_to_one(spark):
+    other = NESTED.replace("Ann Lee", "Zed Lee")
+    for texts in ([NESTED, other, NESTED, FLAT], [other, FLAT, NESTED]):
+        sales = payloads.one_per_sale(payloads.accepted(normalize(spark, *texts)))
+        assert sorted((r.transaction_id, r.customer_name, len(r["items"])) for r in sales.collect()) == [
+            ("F-1", "Bo Ray", 1),
+            ("N-1", "Ann Lee", 2),
+        ]
+
+
+def test_acknowledgment(spark):
+    acks = payloads.acknowledgments(payloads.accepted(normalize(spark, NESTED)))
+    assert acks.columns == ["status", "message", "transactionId", "timestamp"]
+    assert tuple(acks.drop("timestamp").first()) == (
+        "Success",
+        "Record created successfully.",
+        "N-1",
+    )
+
+
+def test_payload_to_document(spark):
+    sales = payloads.accepted(normalize(spark, NESTED, FLAT))
+    documents = sale_documents(payloads.sale_headers(sales), payloads.sale_items(sales))
+    texts = {r[0]: r[1] for r in documents.select("transactionId", document_json(documents)).collect()}
+    assert texts["F-1"] == (
+        '{"transactionId":"F-1","source":"Blue App","customerName":"Bo Ray",'
+        '"deliveryAddress":"2 High St","customerAge":null,"customerGender":null,'
+        '"customerContact":"0917","items":[{"itemId":"F-1-1","name":"Map","price":1.50,"quantity":3}],'
+        '"totalAmount":4.50,"paymentType":"Cash","transactionDate":"2025-09-20T10:20:05"}'
+    )
+    # The items come back as they were sent.
+    sent = sales.select("transaction_id", F.explode("items").alias("i")).select("transaction_id", "i.*")
+    back = documents.select("transactionId", F.explode("items").alias("i")).select("transactionId", "i.*")
+    assert rows(sent) == rows(back)
+
+
+def test_document_is_parsed_once(spark):
+    raw = spark.createDataFrame([(NESTED,)], "value string").repartition(2)
+    sales = payloads.accepted(payloads.normalize_payloads(payloads.parse_payloads(raw)))
+    plan = sales._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1

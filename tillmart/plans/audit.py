@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple, dataclass, field
 from datetime import datetime, timezone
 
@@ -49,7 +50,7 @@ class Run:
         rows_in: int | None = None,
         rows_out: int | None = None,
         message: str | None = None,
-    ) -> AuditRow:
+    ) -> None:
         row = AuditRow(
             self.run_id,
             self.job,
@@ -62,7 +63,6 @@ class Run:
             message,
         )
         self.rows.append(row)
-        return row
 
     def frame(self) -> DataFrame:
         return self.spark.createDataFrame([astuple(row) for row in self.rows], AUDIT)
@@ -72,6 +72,18 @@ class Run:
         store.write(self.frame(), table, "append")
 
 
+    def each(self, work: Callable[[str], None], tables: Sequence[str], at_once: int) -> None:
+        """Work on independent tables, some at a time, and keep the rows in list order.
+
+        Spark shares the cluster among jobs submitted from several threads, so a
+        small table does not wait for a large one.
+        """
+        with ThreadPoolExecutor(max_workers=at_once) as pool:
+            list(pool.map(work, tables))
+        place = {table: position for position, table in enumerate(tables)}
+        self.rows.sort(key=lambda row: place[row.table_name])
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc)
 

@@ -72,10 +72,15 @@ def run_export(
     tables: Iterable[str],
     output_dir: str,
     audit: tuple[Store, str] | None = None,
+    at_once: int = 8,
 ) -> DataFrame:
-    """Export the listed tables; one that fails is recorded and the next follows."""
+    """Export the listed tables, `at_once` of them at a time.
+
+    A table that fails is recorded, and the others go on.
+    """
     run = Run(spark, "export")
-    for table in tables:
+
+    def export(table: str) -> None:
         started = now()
         path = f"{output_dir.rstrip('/')}/{folder_name(table, datetime.now())}"
         try:
@@ -83,6 +88,8 @@ def run_export(
             run.record(table, DONE, started, rows_in=written, rows_out=written, message=path)
         except Exception as error:
             run.record(table, FAILED, started, message=str(error))
+
+    run.each(export, list(dict.fromkeys(tables)), at_once)
     if audit and run.rows:
         run.save(*audit)
     return run.frame()

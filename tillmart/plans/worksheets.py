@@ -85,9 +85,12 @@ def sales_over_time(sales_full: DataFrame) -> DataFrame:
 
 
 def sales_by_source(sales_full: DataFrame) -> DataFrame:
-    """Sales and units per source, with the source's share of all sales."""
+    """Sales and units per source, with the source's share of all sales.
+
+    The whole is summed over the slices, one row per source, not over the table.
+    """
     slices = sales_full.groupBy("source").agg(TOTAL_SALES.build(), QUANTITY.build())
-    whole = slices.agg(F.sum(TOTAL_SALES.name)).scalar()
+    whole = F.sum(TOTAL_SALES.name).over(W.partitionBy())
     share = F.col(TOTAL_SALES.name).cast("double") / whole.cast("double")
     return slices.withColumn("share", share)
 
