@@ -1,0 +1,64 @@
+from __future__ import annotations
+
+from datetime import datetime
+
+from samples import rows
+
+from tillmart.plans.log_report import log_report, parse_log
+
+LINES = """INFO: Starting ingest: shop.t -> stage.t | Load: full | Batch: 10000
+INFO: Source count for shop.t: 7
+INFO: Target count for stage.t: 9
+INFO: Rows ingested: 9
+INFO: Finished ingesting stage.t
+ERROR: No config found for table nowhere
+2025-01-01 23:59:58 INFO: Creating/Overwriting datamart table: dm.a
+2025-01-02 00:00:03 INFO: Finished writing dm.a | Rows: 5
+2025-01-02 00:00:03 INFO: Creating/Overwriting datamart table: dm.b
+2025-01-02 00:00:03 INFO: Finished writing dm.b | Rows: 0
+2025-01-02 00:00:04 INFO: Creating/Overwriting datamart table: dm.a
+2025-01-02 00:00:05 ERROR: Error processing dm.a: no such column
+2025-01-02 00:00:09 INFO: Creating/Overwriting datamart table: dm.a
+2025-01-02 00:00:10 INFO: Finished writing dm.a | Rows: 6
+2025-01-04 08:00:00 INFO: Finished writing dm.a | Rows: 7
+2025-01-02 00:00:11 INFO: Exporting table dm.a to /out/dm_a_20250102_000011
+2025-01-02 00:00:12 INFO: Finished exporting dm.a | Rows: 6
+2025-01-02 00:00:12 INFO: Finished writing dm.never_started | Rows: 1
+2025-01-02 00:00:13 INFO: Datamart export completed.
+not a log line"""
+
+
+def parsed(spark):
+    return parse_log(spark.createDataFrame([(line,) for line in LINES.split("\n")], "value string"))
+
+
+def at(day, hour, minute, second):
+    return datetime(2025, 1, day, hour, minute, second)
+
+
+def test_report(spark):
+    assert rows(log_report(parsed(spark))) == sorted(
+        [
+            ("ingest", "stage.t", None, None, None, 9),
+            ("datamart", "dm.a", at(1, 23, 59, 58), at(2, 0, 0, 3), 5, 5),
+            ("datamart", "dm.b", at(2, 0, 0, 3), at(2, 0, 0, 3), 0, 0),
+            ("datamart", "dm.a", at(2, 0, 0, 9), at(2, 0, 0, 10), 1, 6),
+            ("datamart", "dm.a", at(2, 0, 0, 9), at(4, 8, 0, 0), 201591, 7),
+            ("export", "dm.a", at(2, 0, 0, 11), at(2, 0, 0, 12), 1, 6),
+            ("datamart", "dm.never_started", None, at(2, 0, 0, 12), None, 1),
+        ],
+        key=str,
+    )
+
+
+def test_lines(spark):
+    lines = parsed(spark)
+    assert lines.count() == 19
+    errors = lines.filter("level = 'ERROR'")
+    assert rows(errors.select("logged_at", "message")) == sorted(
+        [
+            (None, "No config found for table nowhere"),
+            (at(2, 0, 0, 5), "Error processing dm.a: no such column"),
+        ],
+        key=str,
+    )

@@ -1,0 +1,248 @@
+from __future__ import annotations
+
+import csv
+import glob
+import hashlib
+from datetime import datetime
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+from samples import FLAT, NESTED, line, rows, sale, tables
+
+from tillmart.functions.calendar import age_band, day_start, month_start
+from tillmart.operators.lines import sold_by_product
+from tillmart.plans import marts
+from tillmart.plans.export import run_export
+from tillmart.streaming.intake import SalesIntake
+
+
+def built(mart, sales, items):
+    return marts.mart_rows(mart, sales, items)
+
+
+def test_age_bands(spark):
+    ages = spark.createDataFrame([(a,) for a in (29, 9, 0, -5, -15, 30, None)], "a int")
+    assert [r[0] for r in ages.select(age_band(F.col("a"))).collect()] == [
+        20.0, 0.0, 0.0, 0.0, -10.0, 30.0, None,
+    ]
+
+
+def test_truncation_keeps_the_wall_clock_in_any_zone(spark, settings):
+    settings(spark__sql__session__timeZone="America/Sao_Paulo")
+    at = spark.createDataFrame([(datetime(2018, 11, 4, 0, 30),)], "t timestamp_ntz")
+    found = at.select(day_start(F.col("t")), month_start(F.col("t"))).first()
+    assert tuple(found) == (datetime(2018, 11, 4), datetime(2018, 11, 1))
+
+
+def test_top_selling_products(spark):
+    sales, items = tables(
+        spark,
+        [sale("1"), sale("2"), sale(None)],
+        [
+            line("a", "1", "Map", "1.50", 3),
+            line("b", "2", "Map", "2.00", 1),
+            line("c", "2", "Pen", "0.50", 4),
+            line("d", "9", "Orphan", "1.00", 9),
+            line("e", None, "Orphan", "1.00", 9),
+            line("f", "1", "Odd", None, None),
+            line("g", "1", None, "1.00", 1),
+        ],
+    )
+    top = built(marts.TOP_SELLING_PRODUCTS, sales, items)
+    assert [tuple(r) for r in top.collect()] == [
+        ("Odd", None, None),
+        ("Map", 4, Decimal("6.50")),
+        ("Pen", 4, Decimal("2.00")),
+        (None, 1, Decimal("1.00")),
+    ]
+    assert rows(sold_by_product(sales, items, unique_headers=True)) == rows(top)
+
+
+def test_repeated_headers_multiply_lines(spark):
+    sales, items = tables(
+        spark,
+        [sale("1"), sale("1"), sale("1"), sale("2")],
+        [line("a", "1", "Map", "1.50", 3), line("a", "1", "Map", "1.50", 3), line("b", "2", "Map", "1.00", 1)],
+    )
+    joined = items.join(sales, "transaction_id").groupBy("product_name").agg(
+        F.sum("quantity"), F.sum(F.col("price") * F.col("quantity")).cast("decimal(38,2)")
+    )
+    assert rows(sold_by_product(sales, items)) == rows(joined) == [("Map", 19, Decimal("28.00"))]
+
+
+def test_sales_by_source_counts_ids(spark):
+    sales, items = tables(
+        spark, [sale("1", "A"), sale(None, "A", total=None), sale("2", None, total=None)], []
+    )
+    assert rows(built(marts.SALES_BY_SOURCE, sales, items)) == [
+        ("A", Decimal("10.00"), 1),
+        (None, None, 1),
+    ]
+
+
+def test_demographics_are_grouped_before_masking(spark):
+    sales, items = tables(
+        spark,
+        [
+            sale("1", name="Ann", contact="+1", age=21),
+            sale("2", name="Ann", contact="+1", age=29),
+            sale("3", name="Ann", contact="+2", age=25),
+            sale("4", name="Ann", contact="+2", age=None, gender=None),
+        ],
+        [],
+    )
+    ann = hashlib.sha256(b"Ann").hexdigest()
+    assert rows(built(marts.CUSTOMER_DEMOGRAPHICS, sales, items)) == sorted(
+        [
+            ("F", 20.0, 2, Decimal("20.00"), ann, "XXX", "+*****"),
+            ("F", 20.0, 1, Decimal("10.00"), ann, "XXX", "+*****"),
+            (None, None, 1, Decimal("10.00"), ann, "XXX", "+*****"),
+        ],
+        key=str,
+    )
+
+
+def test_trend_puts_missing_dates_last(spark):
+    sales, items = tables(
+        spark,
+        [sale("1", at=datetime(2025, 10, 1)), sale("2", at=None), sale("3", at=datetime(2025, 9, 30, 23, 59))],
+        [],
+    )
+    trend = built(marts.SALES_TREND, sales, items).collect()
+    assert [r.month for r in trend] == [datetime(2025, 9, 1), datetime(2025, 10, 1), None]
+
+
+def test_sales_full_never_shows_clear_values(spark):
+    sales, items = tables(
+        spark,
+        [sale("1", name="Secret Name", address="Secret Road", contact="0917"), sale("2")],
+        [line("a", "1"), line("b", "1"), line("c", "9")],
+    )
+    full = built(marts.SALES_FULL, sales, items)
+    assert full.columns == [
+        "transaction_id", "source", "customer_name", "delivery_address", "customer_contact",
+        "customer_age", "customer_gender", "total_amount", "payment_type", "transaction_date",
+        "item_id", "product_name", "price", "quantity",
+    ]
+    assert full.count() == 2
+    assert "Secret" not in str(full.collect()) and "0917" not in str(full.collect())
+    assert full.agg(F.sum("total_amount")).first()[0] == Decimal("20.00")
+
+
+def test_run_from_payloads_to_exported_files(spark, store, tmp_path):
+    raw = spark.createDataFrame([(NESTED,), (FLAT,)], "value string")
+    SalesIntake(store).take(raw)
+    audit = marts.run_datamarts(spark, store, store, audit=(store, "audit.runs"))
+    assert [(r.table_name, r.status, r.rows_out) for r in audit.collect()] == [
+        ("dm_sales.top_selling_products", "DONE", 2),
+        ("dm_sales.sales_by_source", "DONE", 2),
+        ("dm_sales.customer_demographics", "DONE", 2),
+        ("dm_sales.sales_trend", "DONE", 1),
+        ("dm_sales.sales_full", "DONE", 3),
+    ]
+    assert store.read("audit.runs").count() == 5
+    stamps = store.read("dm_sales.sales_full").select("load_timestamp").distinct()
+    assert stamps.count() == 1
+
+    names = [mart.target_table for mart in marts.MARTS]
+    exported = run_export(spark, store, names, str(tmp_path / "out"))
+    found = {}
+    for row in exported.collect():
+        assert row.status == "DONE"
+        folder = row.message.rsplit("/", 1)[1]
+        assert folder.startswith(row.table_name.replace(".", "_") + "_2")
+        lines = []
+        for part in glob.glob(row.message + "/part-*.csv"):
+            with open(part, newline="") as file:
+                header, *body = list(csv.reader(file, escapechar="\\"))
+                lines += [line[:-1] for line in body]
+        found[row.table_name.split(".")[1]] = (header, sorted(lines))
+    ann, bo = (hashlib.sha256(name).hexdigest() for name in (b"Ann Lee", b"Bo Ray"))
+    assert found["top_selling_products"] == (
+        ["product_name", "total_sold", "total_revenue", "load_timestamp"],
+        [['A "fine" book, vol. 2', "2", "998.000000000000000000"], ["Map", "4", "6.000000000000000000"]],
+    )
+    assert found["sales_by_source"][1] == [
+        ["Blue App", "4.500000000000000000", "1"],
+        ["Orange App", "999.500000000000000000", "1"],
+    ]
+    assert found["customer_demographics"][1] == [
+        ["", "", "1", "4.500000000000000000", bo, "XXX", "0*****"],
+        ["F", "20.0", "1", "999.500000000000000000", ann, "XXX", "+*****"],
+    ]
+    assert found["sales_trend"][1] == [["2025-09-01T00:00:00.000Z", "1004.000000000000000000"]]
+    assert found["sales_full"][1] == [
+        ["F-1", "Blue App", bo, "XXX", "0*****", "", "", "4.50", "Cash", "2025-09-20T10:20:05.000Z",
+         "F-1-1", "Map", "1.50", "3"],
+        ["N-1", "Orange App", ann, "XXX", "+*****", "29", "F", "999.50", "Card",
+         "2025-09-29T10:15:00.000Z", "N-1-1", 'A "fine" book, vol. 2', "499.00", "2"],
+        ["N-1", "Orange App", ann, "XXX", "+*****", "29", "F", "999.50", "Card",
+         "2025-09-29T10:15:00.000Z", "N-1-2", "Map", "1.50", "1"],
+    ]
+
+
+def test_marts_from_sql_text(spark, store):
+    """Configured SQL names staged tables by schema; a mart that fails stops no other."""
+    sales, items = tables(spark, [sale("1", name="Ann"), sale("2", name="Bo")], [line("a", "1")])
+    store.write(sales, "shop_stage.sales", "overwrite")
+    store.write(items, "shop_stage.sales_items", "overwrite")
+    store.register("shop_stage.sales", "shop_stage.sales_items")
+    config = [
+        {
+            "target_table": "dm.names",
+            "sql": "SELECT s.customer_name, COUNT(*) AS n FROM shop_stage.sales s "
+            "JOIN shop_stage.sales_items i ON s.transaction_id = i.transaction_id "
+            "GROUP BY s.customer_name ORDER BY n DESC",
+            "mask_columns": {"customer_name": "Hash", "absent": "fixed"},
+        },
+        {
+            "target_table": "dm.leaky",
+            "sql": "SELECT customer_name FROM shop_stage.sales",
+            "mask_columns": {"customer_name": "scramble"},
+        },
+        {"target_table": "dm.wrong", "sql": "SELECT nothing FROM shop_stage.sales"},
+        {
+            "target_table": "dm.bands",
+            "sql": "SELECT FLOOR(customer_age/10)*10 AS age_group, COUNT(*) AS n "
+            "FROM shop_stage.sales GROUP BY age_group",
+        },
+    ]
+    audit = marts.run_datamarts(spark, store, store, [marts.Mart.from_dict(c) for c in config])
+    status = {r.table_name: (r.status, r.rows_out) for r in audit.collect()}
+    assert status == {
+        "dm.names": ("DONE", 1),
+        "dm.leaky": ("FAILED", None),
+        "dm.wrong": ("FAILED", None),
+        "dm.bands": ("DONE", 1),
+    }
+    assert store.find("dm.leaky") is None
+    ann = hashlib.sha256(b"Ann").hexdigest()
+    assert tuple(store.read("dm.names").drop("load_timestamp").first()) == (ann, 1)
+    assert store.read("dm.bands").first()[0] == 20
+
+
+def test_empty_tables_give_empty_marts(spark, store):
+    sales, items = tables(spark, [], [])
+    store.write(sales, "sales_transactions.sales", "overwrite")
+    store.write(items, "sales_transactions.sales_items", "overwrite")
+    audit = marts.run_datamarts(spark, store, store)
+    assert {(r.status, r.rows_out) for r in audit.collect()} == {("DONE", 0)}
+
+
+def test_mart_stored_by_month(spark, store):
+    from dataclasses import replace
+
+    sales, items = tables(
+        spark,
+        [sale("1", at=datetime(2025, 9, 1)), sale("2", at=datetime(2025, 10, 5))],
+        [line("a", "1"), line("b", "2")],
+    )
+    store.write(sales, "sales_transactions.sales", "overwrite")
+    store.write(items, "sales_transactions.sales_items", "overwrite")
+    mart = replace(marts.SALES_FULL, by_month=True)
+    audit = marts.run_datamarts(spark, store, store, [mart])
+    assert audit.first().rows_out == 2
+    assert sorted(str(r[0]) for r in store.read(mart.target_table).select("sale_month").collect()) == [
+        "2025-09-01",
+        "2025-10-01",
+    ]

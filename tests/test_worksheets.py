@@ -1,0 +1,149 @@
+from __future__ import annotations
+
+from datetime import date, datetime, timedelta
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from samples import line, rows, sale, tables
+
+from tillmart.functions.measures import CUSTOMERS, TOTAL_SALES
+from tillmart.operators.days import on_days, with_month
+from tillmart.operators.lines import sale_lines
+from tillmart.plans import worksheets
+
+
+@pytest.fixture(scope="module")
+def full(spark):
+    day1, day2 = datetime(2025, 9, 1, 23, 59), datetime(2025, 9, 2)
+    sales, items = tables(
+        spark,
+        [
+            sale("1", "A", "Ann", total="10.00", at=day1),
+            sale("2", "B", "Ann", total="20.00", at=day2),
+            sale("3", "B", None, total="5.00", at=None),
+        ],
+        [
+            line("a", "1", "Map", "1.50", 2),
+            line("b", "1", "Pen", "0.50", 1),
+            line("c", "2", "Pen", "0.50", 4),
+            line(None, "3", "Ink", "9.00", None),
+        ],
+    )
+    return sale_lines(sales, items)
+
+
+def test_kpis(full):
+    assert tuple(worksheets.kpis(full).first()) == (7, Decimal("45.00"), 1, 3)
+
+
+def test_kpis_long(full):
+    assert [tuple(r) for r in worksheets.kpis_long(full).collect()] == [
+        (1, "# of Items", Decimal("7.00")),
+        (2, "Total Sales", Decimal("45.00")),
+        (3, "# of Customers", Decimal("1.00")),
+        (4, "# of Transactions", Decimal("3.00")),
+    ]
+    chosen = worksheets.kpis_long(full, (CUSTOMERS, TOTAL_SALES)).collect()
+    assert [r.measure for r in chosen] == ["# of Customers", "Total Sales"]
+
+
+def test_product_performance_orders_by_the_product(full):
+    found = [tuple(r) for r in worksheets.product_performance(full).collect()]
+    assert found == [
+        ("Pen", "A", Decimal("10.00"), 1, 1, 1),
+        ("Pen", "B", Decimal("20.00"), 4, 1, 1),
+        ("Map", "A", Decimal("10.00"), 2, 1, 1),
+        ("Ink", "B", Decimal("5.00"), None, 0, 1),
+    ]
+
+
+def test_quantity_per_product(spark, full):
+    assert [r.product_name for r in worksheets.quantity_per_product(full).collect()] == ["Ink", "Map", "Pen"]
+    names = spark.createDataFrame([("b", 1), ("a", 1), ("C", 1), ("Á", 1)], "product_name string, quantity int")
+    assert [r[0] for r in worksheets.quantity_per_product(names).collect()] == ["C", "a", "b", "Á"]
+    located = worksheets.quantity_per_product(names, "UNICODE")
+    assert [r[0] for r in located.collect()] == ["a", "Á", "b", "C"]
+
+
+def test_sales_over_time_adds_unit_prices(full):
+    assert [tuple(r) for r in worksheets.sales_over_time(full).collect()] == [
+        (None, Decimal("9.00")),
+        (datetime(2025, 9, 1), Decimal("2.00")),
+        (datetime(2025, 9, 2), Decimal("0.50")),
+    ]
+
+
+def test_sales_by_source(full):
+    assert rows(worksheets.sales_by_source(full)) == [
+        ("A", Decimal("20.00"), 3, 20 / 45),
+        ("B", Decimal("25.00"), 4, 25 / 45),
+    ]
+
+
+def test_grain(full):
+    assert worksheets.count_products(full).first()[0] == 3
+    headers = full.select("transaction_id", "total_amount").distinct()
+    assert worksheets.total_sales_header_grain(headers).first()[0] == Decimal("35.00")
+
+
+def test_default_measures(full):
+    found = {r.year_transaction_date: r for r in worksheets.default_measures(full).collect()}
+    assert sorted(found, key=str) == [2025, None]
+    assert (found[2025].count_item_id, found[2025].sum_quantity, found[2025].sum_total_amount) == (
+        3, 7, Decimal("40.00"),
+    )
+    assert (found[None].count_customer_name, found[None].sum_quantity) == (0, None)
+
+
+def test_day_filter(spark, full):
+    assert on_days(full, None).count() == 4
+    assert on_days(full, []).count() == 0
+    assert on_days(full, [date(2025, 9, 1)]).count() == 2
+    assert on_days(full, [datetime(2025, 9, 2, 13), date(2025, 9, 1)]).count() == 3
+    chosen = spark.createDataFrame([(date(2025, 9, 2),), (date(2025, 9, 2),)], "day date")
+    assert on_days(full, chosen).count() == 1
+    assert on_days(full, chosen).columns == full.columns
+
+
+def test_many_separate_days(full):
+    days = [date(2025, 9, 2) + timedelta(days=2 * n) for n in range(-400, 400)]
+    assert on_days(full, days).count() == 1
+
+
+def test_days_reach_the_scan_and_prune_months(spark, store, full, settings):
+    settings(spark__sql__maxMetadataStringLength="2000")
+    store.write(with_month(full), "f", "overwrite", ["sale_month"])
+    read = store.read("f")
+    assert read.schema["sale_month"].dataType.simpleString() == "date"
+    chosen = on_days(read, [date(2025, 9, 1), date(2025, 9, 2)])
+    assert chosen.count() == 3
+    plan = chosen._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(sale_month" in plan
+    assert "GreaterThanOrEqual(transaction_date,2025-09-01T00:00)" in plan
+    assert "LessThan(transaction_date,2025-09-03T00:00)" in plan
+
+
+def test_dashboard_filters_all_sheets_but_the_trend(full):
+    sheets = worksheets.dashboard(full, [date(2025, 9, 2)])
+    assert list(sheets) == [
+        "KPIs", "Product Performance", "Quantity Sold per Product", "Sales Trend", "Sales by Source",
+    ]
+    assert tuple(sheets["KPIs"].first()) == (4, Decimal("20.00"), 1, 1)
+    assert sheets["Product Performance"].count() == 1
+    assert sheets["Quantity Sold per Product"].count() == 1
+    assert sheets["Sales by Source"].count() == 1
+    assert sheets["Sales Trend"].count() == 3
+    assert worksheets.dashboard(full)["KPIs"].first().quantity == 7
+
+
+def test_header_total_equals_distinct_headers_of_lines(spark):
+    from conftest import DATA
+
+    from tillmart.sources import driver_tables as source
+
+    sales, items = source.sales(spark, DATA), source.sales_items(spark, DATA)
+    lines = sale_lines(sales, items)
+    with_lines = sales.join(items, "transaction_id", "left_semi")
+    once = lines.select("transaction_id", "total_amount").distinct().agg(F.sum("total_amount")).first()[0]
+    assert worksheets.total_sales_header_grain(with_lines).first()[0] == once

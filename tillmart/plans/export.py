@@ -36,8 +36,8 @@ def as_exported(df: DataFrame) -> DataFrame:
 def write_csv(df: DataFrame, path: str, lossless: bool = False) -> int:
     """Write a CSV folder with a header line per file, and return the rows written.
 
-    Blanks around values are trimmed unless `lossless`, which also keeps null and
-    empty text apart and doubles quotes inside quotes.
+    Blanks around values are trimmed unless `lossless`, which also doubles quotes
+    inside quotes, so that `read_csv` gets back every value as it was.
     """
     options = {"header": "true"}
     if lossless:
@@ -62,6 +62,8 @@ def read_csv(
         spark.read.schema(schema)
         .options(header="true", escape='"', multiLine=line_breaks, mode="FAILFAST")
         .options(ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false")
+        # What stands for null must differ from quoted empty text.
+        .option("nullValue", "\u0000")
         .csv(path)
     )
 
