@@ -14,7 +14,7 @@ from tillmart.operators.documents import document_json, requested_documents, sal
 from tillmart.operators.lookup import header_lookup, items_lookup
 from tillmart.plans import export, marts, worksheets
 from tillmart.plans.ingest import TableConfig, run_ingest
-from tillmart.plans.log_report import log_report, read_log
+from tillmart.plans.log_report import load_log, log_report
 from tillmart.schemas import HEADER_COLUMNS, WIDE_MONEY
 from tillmart.sources import driver_tables as source
 from tillmart.sources import payloads
@@ -274,9 +274,9 @@ def run_audit(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def log_report_steps(spark: SparkSession, folder: str) -> DataFrame:
-    path = f"{scratch_dir(spark, 'log')}/lines"
-    source.event_log(spark, folder).write.text(path)
-    return log_report(read_log(spark, path))
+    store = _scratch(spark, "log")
+    source.event_log(spark, folder).write.text(f"{store.root}/lines")
+    return log_report(load_log(spark, f"{store.root}/lines", store, "steps"))
 
 
 # --- masks and datamarts -----------------------------------------------------------

@@ -20,12 +20,14 @@ def spark(tmp_path_factory):
         builder("tests", shuffle_partitions=4)
         .master("local[4]")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setCheckpointDir(session.conf.get("spark.checkpoint.dir"))
     yield session
     session.stop()
 

@@ -1,0 +1,84 @@
+"""One key holding a third of all rows or more."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+import __spark_entry__ as driver
+import pytest
+from conftest import DATA
+from pyspark.sql import functions as F
+
+from tillmart.operators.lines import sale_lines, sold_by_product
+from tillmart.schemas import ITEMS, SALES
+
+LINES = 60_000
+
+
+@pytest.fixture(scope="module")
+def hot(spark, tmp_path_factory):
+    """Half of the lines and a third of the headers belong to the sale `hot`."""
+    folder = str(tmp_path_factory.mktemp("hot"))
+    n = F.col("id")
+    key = F.when(n % 2 == 0, "hot").otherwise(n.cast("string"))
+    spark.range(0, LINES, 1, 8).select(
+        F.concat(F.lit("i"), n.cast("string")).alias("item_id"),
+        key.alias("transaction_id"),
+        F.concat(F.lit("p"), (n % 10).cast("string")).alias("product_name"),
+        F.lit(Decimal("2.00")).cast("decimal(10,2)").alias("price"),
+        F.lit(1).alias("quantity"),
+    ).write.parquet(folder + "/items")
+    header = F.when(n % 3 == 0, "hot").otherwise(n.cast("string"))
+    fields = [
+        header.alias("transaction_id") if field.name == "transaction_id"
+        else F.lit("1").cast(field.dataType).alias(field.name)
+        if field.dataType.simpleString() != "timestamp_ntz"
+        else F.lit("2025-01-01").cast("timestamp_ntz").alias(field.name)
+        for field in SALES
+    ]
+    spark.range(0, LINES, 1, 8).select(*fields).write.parquet(folder + "/sales")
+    return spark.read.parquet(folder + "/sales"), spark.read.parquet(folder + "/items")
+
+
+def test_hot_sale_on_both_sides_is_never_paired(hot):
+    """20,000 headers and 30,000 lines of one sale would make 600 million pairs."""
+    sales, items = hot
+    assert items.schema.names == ITEMS.names
+    found = {r.product_name: (r.total_sold, r.total_revenue) for r in sold_by_product(sales, items).collect()}
+    for digit in range(10):
+        mine = [n for n in range(LINES) if n % 10 == digit]
+        units = sum(20_000 if n % 2 == 0 else n % 3 != 0 for n in mine)
+        assert found[f"p{digit}"] == (units, Decimal(2 * units))
+
+
+def test_join_splits_a_hot_sale(hot, settings):
+    settings(
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="10k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="20k",
+        spark__sql__shuffle__partitions="16",
+    )
+    sales, items = hot
+    joined = sale_lines(sales.dropDuplicates(["transaction_id"]).checkpoint(), items)
+    rows = joined.groupBy("product_name").agg(F.sum("quantity").alias("n")).collect()
+    joined.count()
+    total = 30_000 + sum(1 for n in range(LINES) if n % 2 == 1 and n % 3 != 0)
+    assert sum(r.n for r in rows) == total
+    lines = joined.select("item_id")
+    lines.collect()
+    assert "skew=true" in lines._jdf.queryExecution().executedPlan().toString()
+
+
+PLANNED = [
+    name
+    for name in driver.queries()
+    if name.startswith(("bi_", "dm_", "mask_", "payload_", "sale_", "scan_"))
+]
+
+
+@pytest.mark.parametrize("name", PLANNED)
+def test_plans_hold_no_cross_join_and_no_python(spark, name):
+    plan = driver.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    for unwanted in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+        assert unwanted not in plan

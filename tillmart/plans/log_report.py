@@ -6,54 +6,68 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# The shapes of the log lines.
-LINE = r"^(?:(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}) )?([A-Z]+): (.*)$"
-STARTS = {
-    "datamart": r"^Creating/Overwriting datamart table: (.+)$",
-    "export": r"^Exporting table (\S+) to .+$",
-    "ingest": r"^Starting ingest: \S+ -> (\S+) \|.*$",
-}
-FINISHES = {
-    "datamart": r"^Finished writing (\S+) \| Rows: \d+$",
-    "export": r"^Finished exporting (\S+) \| Rows: \d+$",
-    "ingest": r"^Target count for (\S+): \d+$",
-}
-ROWS = r": (\d+)$"
+from tillmart.sources.stores import Store
 
 START, FINISH, OTHER = "start", "finish", "other"
 
+START, FINISH, OTHER = "start", "finish", "other"
+
+# Levels, and how the messages of a step begin, up to the table.
+LEVELS = ["INFO", "ERROR"]
+STEPS = [
+    ("Creating/Overwriting datamart table: ", "datamart", START),
+    ("Finished writing ", "datamart", FINISH),
+    ("Exporting table ", "export", START),
+    ("Finished exporting ", "export", FINISH),
+    ("Starting ingest: ", "ingest", START),
+    ("Target count for ", "ingest", FINISH),
+]
+TIME_LENGTH = 19
+
 
 def parse_log(lines: DataFrame, text: str = "value") -> DataFrame:
-    """Log lines to `logged_at, level, message, job, step, table_name, rows`."""
-    parts = lines.select(
-        F.regexp_extract(text, LINE, 1).try_cast("timestamp_ntz").alias("logged_at"),
-        F.regexp_extract(text, LINE, 2).alias("level"),
-        F.regexp_extract(text, LINE, 3).alias("message"),
-    ).filter(F.col("level") != "")
-    message = F.col("message")
-
-    def matching(patterns: dict[str, str], value) -> list[Column]:
-        return [
-            F.when(message.rlike(pattern), value(job, pattern)) for job, pattern in patterns.items()
-        ]
-
-    def table(job: str, pattern: str) -> Column:
-        return F.regexp_extract(message, pattern, 1)
-
-    job = F.coalesce(*matching(STARTS, lambda job, _: F.lit(job)), *matching(FINISHES, lambda job, _: F.lit(job)))
-    step = F.coalesce(
-        *matching(STARTS, lambda *_: F.lit(START)),
-        *matching(FINISHES, lambda *_: F.lit(FINISH)),
-        F.lit(OTHER),
+    """Log lines to `logged_at, level, message, job, step, table_name, rows`.
+
+    A line is `[time ]LEVEL: message`; other lines are left out. The parsed line
+    comes out of a one-element explode, so that later filters do not repeat the
+    parsing.
+    """
+    line = F.col(text)
+    at = F.left(line, F.lit(TIME_LENGTH)).try_cast("timestamp_ntz")
+    rest = F.when(at.isNull(), line).otherwise(F.substr(line, F.lit(TIME_LENGTH + 2)))
+    level = F.substring_index(rest, ": ", 1)
+    message = F.substr(rest, F.length(level) + 3)
+    split = lines.select(at.alias("at"), level.alias("level"), message.alias("message"))
+
+    said = F.col("message")
+
+    def step_of(prefix: str, job: str, step: str) -> Column:
+        after = F.substring_index(F.substr(said, F.lit(len(prefix) + 1)), " | ", 1)
+        # An ingest starts from a source table and names the target behind an arrow.
+        name = F.substring_index(F.substring_index(after, " -> ", -1), " ", 1)
+        found = F.struct(
+            F.lit(job).alias("job"),
+            F.lit(step).alias("step"),
+            F.rtrim(name, F.lit(":")).alias("table_name"),
+        )
+        return F.when(said.startswith(prefix), found)
+
+    nothing = F.struct(
+        F.lit(None).cast("string").alias("job"),
+        F.lit(OTHER).alias("step"),
+        F.lit(None).cast("string").alias("table_name"),
     )
-    return parts.select(
-        "logged_at",
+    parsed = F.struct(
+        F.col("at").alias("logged_at"),
         "level",
         "message",
-        job.alias("job"),
-        step.alias("step"),
-        F.coalesce(*matching(STARTS, table), *matching(FINISHES, table)).alias("table_name"),
-        F.regexp_extract("message", ROWS, 1).try_cast("long").alias("rows"),
+        F.coalesce(*[step_of(*known) for known in STEPS], nothing).alias("what"),
+        F.substring_index(said, ": ", -1).try_cast("long").alias("rows"),
+    )
+    return (
+        split.select(F.explode(F.array(parsed)).alias("line"))
+        .filter(F.col("line.level").isin(LEVELS))
+        .select("line.logged_at", "line.level", "line.message", "line.what.*", "line.rows")
     )
 
 
@@ -66,7 +80,7 @@ def log_report(parsed: DataFrame) -> DataFrame:
     the last start before the day comes from one row per table and day.
     """
     key = ["job", "table_name"]
-    steps = parsed.filter(F.col("step").isin(START, FINISH))
+    steps = parsed.filter(F.col("step") != OTHER).dropna(subset=[*key, "logged_at"])
     start_time = F.when(F.col("step") == START, F.col("logged_at"))
     seconds = steps.groupBy(*key, "logged_at").agg(F.max(start_time).alias("start"))
     seconds = seconds.withColumn("day", F.col("logged_at").cast("date"))
@@ -92,5 +106,7 @@ def log_report(parsed: DataFrame) -> DataFrame:
     )
 
 
-def read_log(spark: SparkSession, path: str) -> DataFrame:
-    return parse_log(spark.read.text(path))
+def load_log(spark: SparkSession, path: str, store: Store, table: str) -> DataFrame:
+    """Parse text logs once, into a table that the report reads several times."""
+    store.write(parse_log(spark.read.text(path)), table, "overwrite")
+    return store.read(table)

@@ -47,21 +47,23 @@ class SalesIntake:
     def take(self, raw: DataFrame) -> None:
         """Take in a batch of payload texts.
 
+        What is written is kept for the comparison with each table; the batch itself
+        is not, it is read once for the sales and once for the rejects.
         The tables are written one after the other. Each is compared with its own
         content, so a batch that broke off between two tables is completed when it
         is taken again.
         """
-        normalized = normalize_payloads(parse_payloads(raw)).persist()
+        normalized = normalize_payloads(parse_payloads(raw))
         sales = one_per_sale(accepted(normalized)).persist()
+        rejects = rejected(normalized).dropDuplicates(["payload_digest"]).persist()
         try:
             append_unseen(self.store, self.sales_table, sale_headers(sales), "transaction_id")
             append_unseen(self.store, self.items_table, sale_items(sales), "transaction_id")
             append_unseen(self.store, self.acks_table, acknowledgments(sales), "transactionId")
-            rejects = rejected(normalized).dropDuplicates(["payload_digest"])
             append_unseen(self.store, self.rejects_table, rejects, "payload_digest")
         finally:
             sales.unpersist()
-            normalized.unpersist()
+            rejects.unpersist()
 
     def start(
         self,
