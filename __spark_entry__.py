@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 from tillmart.functions.masking import mask_columns
 from tillmart.operators.days import on_days
 from tillmart.operators.documents import document_json, requested_documents, sale_documents
+from tillmart.operators.lines import sold_by_product
 from tillmart.operators.lookup import header_lookup, items_lookup
 from tillmart.plans import export, marts, worksheets
 from tillmart.plans.ingest import TableConfig, run_ingest
 from tillmart.plans.log_report import load_log, log_report
-from tillmart.schemas import HEADER_COLUMNS, WIDE_MONEY
+from tillmart.schemas import HEADER_COLUMNS, SALES_FULL_COLUMNS, WIDE_MONEY
 from tillmart.sources import driver_tables as source
 from tillmart.sources import payloads
 from tillmart.sources.scratch import scratch_dir
@@ -264,12 +266,20 @@ def ingest_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return audit.select("job", "table_name", "status", "rows_in", "rows_out", "message")
 
 
-def run_audit(spark: SparkSession, folder: str) -> DataFrame:
-    """Stage both tables, write the five datamarts, and return the audit table."""
-    staging, target = _scratch(spark, "staging"), _scratch(spark, "marts")
+def _staged(spark: SparkSession, folder: str) -> FolderStore:
+    staging = _scratch(spark, "staging")
     staging.write(source.sales(spark, folder), "sales_transactions.sales", "overwrite")
     staging.write(source.sales_items(spark, folder), "sales_transactions.sales_items", "overwrite")
-    marts.run_datamarts(spark, staging, target, audit=(target, "audit.runs"))
+    return staging
+
+
+def run_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Write the five datamarts from staged tables, export them, return the audit table."""
+    target = _scratch(spark, "marts")
+    audit = (target, "audit.runs")
+    marts.run_datamarts(spark, _staged(spark, folder), target, audit=audit)
+    names = [mart.target_table for mart in marts.MARTS]
+    export.run_export(spark, target, names, f"{target.root}/exported", audit=audit)
     return target.read("audit.runs").select("job", "table_name", "status", "rows_out")
 
 
@@ -310,6 +320,13 @@ def mask_dispatch(spark: SparkSession, folder: str) -> DataFrame:
     return mask_columns(sales, masks | {"no_such_column": "hash"})
 
 
+def dm_top_selling_products_semi(spark: SparkSession, folder: str) -> DataFrame:
+    """The same mart where headers are known to be unique: an existence check."""
+    return sold_by_product(
+        source.sales(spark, folder), source.sales_items(spark, folder), unique_headers=True
+    )
+
+
 def _mart(mart: marts.Mart) -> Callable[[SparkSession, str], DataFrame]:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         sales, items = source.sales(spark, folder), source.sales_items(spark, folder)
@@ -373,6 +390,19 @@ def bi_day_filter_all(spark: SparkSession, folder: str) -> DataFrame:
     return on_days(_sales_full(spark, folder), None)
 
 
+def bi_day_filter_stored(spark: SparkSession, folder: str) -> DataFrame:
+    """The day filter on the stored mart, of which only the chosen months are read."""
+    target = _scratch(spark, "by-month")
+    by_month = replace(marts.SALES_FULL, by_month=True)
+    marts.run_datamarts(spark, _staged(spark, folder), target, [by_month])
+    stored = on_days(target.read(by_month.target_table), SELECTED_DAYS)
+    return stored.select(*SALES_FULL_COLUMNS)
+
+
+def bi_captions(spark: SparkSession, folder: str) -> DataFrame:
+    return worksheets.captioned(bi_product_performance(spark, folder))
+
+
 def bi_dashboard_filtered(spark: SparkSession, folder: str) -> DataFrame:
     """All sheets of the dashboard under a selection, as sheet, labels, measure, value."""
     sheets = worksheets.dashboard(_sales_full(spark, folder), SELECTED_DAYS)
@@ -429,6 +459,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "mask_partial": mask_partial,
         "mask_dispatch": mask_dispatch,
         "dm_top_selling_products": _mart(marts.TOP_SELLING_PRODUCTS),
+        "dm_top_selling_products_semi": dm_top_selling_products_semi,
         "dm_sales_by_source": _mart(marts.SALES_BY_SOURCE),
         "dm_customer_demographics": _mart(marts.CUSTOMER_DEMOGRAPHICS),
         "dm_sales_trend": _mart(marts.SALES_TREND),
@@ -445,6 +476,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_total_sales_header_grain": bi_total_sales_header_grain,
         "bi_day_filter": bi_day_filter,
         "bi_day_filter_all": bi_day_filter_all,
+        "bi_day_filter_stored": bi_day_filter_stored,
+        "bi_captions": bi_captions,
         "bi_dashboard_filtered": bi_dashboard_filtered,
     }
 
@@ -529,6 +562,15 @@ _DOCUMENT = (
 )
 
 _DAYS = ", ".join(f"DATE '{day}'" for day in SELECTED_DAYS)
+_TOP = f"""
+            WITH {_SALES},{_ITEMS}
+            SELECT product_name, cast(sum(quantity) AS bigint) AS total_sold,
+                   cast(sum(price * quantity) AS decimal(38,2)) AS total_revenue
+            FROM items JOIN sales USING (transaction_id)
+            GROUP BY product_name ORDER BY total_sold DESC NULLS FIRST, product_name"""
+_CHOSEN = f"""
+            WITH {_FULL}
+            SELECT * FROM sales_full WHERE cast(transaction_date AS date) IN ({_DAYS})"""
 _KPIS = """cast(sum(quantity) AS bigint) AS quantity, cast(sum(total_amount) AS decimal(38,2)) AS total_sales,
          count(DISTINCT customer_name) AS customers, count(DISTINCT transaction_id) AS transactions"""
 
@@ -604,7 +646,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'ingest', 'nowhere', 'SKIPPED', NULL, NULL, 'no configuration'""",
         "run_audit": f"""
             WITH {_FULL}
-            SELECT 'datamart' AS job, table_name, 'DONE' AS status, rows_out FROM (
+            SELECT job, table_name, 'DONE' AS status, rows_out
+            FROM (VALUES ('datamart'), ('export')) AS jobs(job), (
               SELECT 'dm_sales.top_selling_products' AS table_name,
                      count(DISTINCT product_name) AS rows_out FROM sales_full
               UNION ALL SELECT 'dm_sales.sales_by_source', count(DISTINCT source) FROM sales
@@ -647,12 +690,8 @@ def oracle_sql() -> dict[str, str]:
             SELECT transaction_id, source, sha256(customer_name) AS customer_name,
                    'XXX' AS delivery_address, substr(customer_contact, 1, 1) || '*****' AS customer_contact,
                    customer_age, customer_gender, total_amount, payment_type FROM sales""",
-        "dm_top_selling_products": f"""
-            WITH {_SALES},{_ITEMS}
-            SELECT product_name, cast(sum(quantity) AS bigint) AS total_sold,
-                   cast(sum(price * quantity) AS decimal(38,2)) AS total_revenue
-            FROM items JOIN sales USING (transaction_id)
-            GROUP BY product_name ORDER BY total_sold DESC NULLS FIRST, product_name""",
+        "dm_top_selling_products": _TOP,
+        "dm_top_selling_products_semi": _TOP,
         "dm_sales_by_source": f"""
             WITH {_SALES}
             SELECT source, cast(sum(total_amount) AS decimal(38,2)) AS total_sales,
@@ -717,9 +756,14 @@ def oracle_sql() -> dict[str, str]:
         "bi_total_sales_header_grain": f"""
             WITH {_SALES}
             SELECT cast(sum(total_amount) AS decimal(38,2)) AS total_sales FROM sales""",
-        "bi_day_filter": f"""
-            WITH {_FULL}
-            SELECT * FROM sales_full WHERE cast(transaction_date AS date) IN ({_DAYS})""",
+        "bi_day_filter": _CHOSEN,
+        "bi_day_filter_stored": _CHOSEN,
+        "bi_captions": f"""
+            WITH {_FULL}, cells AS (
+              SELECT product_name, source, {_KPIS} FROM sales_full GROUP BY product_name, source)
+            SELECT product_name AS "Product Name", source AS "Source", total_sales AS "Total Sales",
+                   quantity AS "# of Items", customers AS "# of Customers",
+                   transactions AS "# of Transactions" FROM cells""",
         "bi_day_filter_all": f"WITH {_FULL} SELECT * FROM sales_full",
         "bi_dashboard_filtered": f"""
             WITH {_FULL},

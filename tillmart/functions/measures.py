@@ -39,6 +39,17 @@ PRODUCT_COUNT = Measure("count_products", "Count of Products", "count", "item_id
 UNIT_PRICES = Measure("total_price", "Total Amount", "money", "price")
 
 
+CAPTIONS = {
+    measure.name: measure.caption
+    for measure in (TOTAL_SALES, CUSTOMERS, TRANSACTIONS, PRODUCT_COUNT, UNIT_PRICES)
+}
+
+
+def caption(name: str) -> str:
+    """How the dashboard writes a measure or a field: fields in capitalized words."""
+    return CAPTIONS.get(name) or name.replace("_", " ").title()
+
+
 def default_measure(field: T.StructField) -> Column:
     """Aggregate a field gets when nobody chose one: text counts, numbers add up.
 

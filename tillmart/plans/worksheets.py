@@ -20,6 +20,7 @@ from tillmart.functions.measures import (
     TRANSACTIONS,
     UNIT_PRICES,
     Measure,
+    caption,
     default_measure,
 )
 from tillmart.operators.days import Days, on_days
@@ -115,6 +116,17 @@ def default_measures(sales_full: DataFrame, date_column: str = "transaction_date
     return sales_full.groupBy(year).agg(*others)
 
 
+def captioned(sheet: DataFrame) -> DataFrame:
+    """A sheet, or the flat table itself, under the names a viewer sees.
+
+    Units are a plain field of the flat table but a named measure of a sheet.
+    """
+    names = {name: caption(name) for name in sheet.columns}
+    if QUANTITY.name in names and "item_id" not in names:
+        names[QUANTITY.name] = QUANTITY.caption
+    return sheet.withColumnsRenamed(names)
+
+
 def dashboard(sales_full: DataFrame, days: Days = None) -> dict[str, DataFrame]:
     """All sheets. Days selected on the trend filter the other four, not the trend."""
     chosen = on_days(sales_full, days)

@@ -12,9 +12,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Give each core some rows of a scan that has fewer partitions than cores.
+
+    For costly work per row on a small file; a scan of many files stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Sale headers: one per order."""
-    orders = table(spark, folder, "orders")
+    return _headers(spark, folder, table(spark, folder, "orders"))
+
+
+def _headers(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
     customer = table(spark, folder, "customer")
     nation = table(spark, folder, "nation")
     return (
@@ -52,7 +64,7 @@ def sales_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def payload_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Sales as they are sent in, with zero to three items each in an array."""
-    header = sales(spark, folder)
+    header = _headers(spark, folder, spread(table(spark, folder, "orders"), "o_orderkey"))
     key = F.col("transaction_id").cast("long")
 
     def item(place: Column) -> Column:
