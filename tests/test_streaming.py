@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 from samples import FLAT, NESTED, rows
 
@@ -40,31 +41,35 @@ def test_a_batch_that_broke_off_is_completed(spark, store, tmp_path):
     intake = SalesIntake(store)
     put(spark, str(tmp_path / "in"), NESTED, FLAT)
 
-    class Broken(SalesIntake):
-        pass
-
-    broken = Broken(store)
     real_write, written = store.write, []
 
     def failing(df, table, mode, partition_by=()):
-        if table == broken.items_table:
+        if table == intake.sales_table:
             raise IOError("lost")
         written.append(table)
         real_write(df, table, mode, partition_by)
 
     store.write = failing
-    try:
-        run(broken, spark, tmp_path, "one")
-    except Exception:
-        pass
-    finally:
-        store.write = real_write
-    assert written == [intake.sales_table]
-    assert store.find(intake.items_table) is None
+    with pytest.raises(Exception):
+        run(intake, spark, tmp_path, "one")
+    store.write = real_write
+    assert written == [intake.items_table]
+    assert store.find(intake.sales_table) is None
     run(intake, spark, tmp_path, "one")
     assert counts(store, intake) == (2, 3, 2, 0)
 
 
+def test_a_later_payload_of_a_known_sale_adds_nothing(spark, store, tmp_path):
+    intake = SalesIntake(store)
+    bare = '{"salesId":"F-1","products":[],"creationDate":"2025-01-01T00:00:00Z"}'
+    put(spark, str(tmp_path / "in"), bare)
+    run(intake, spark, tmp_path, "one")
+    assert store.find(intake.items_table).count() == 0
+    put(spark, str(tmp_path / "in"), FLAT)
+    run(intake, spark, tmp_path, "one")
+    assert counts(store, intake) == (1, 0, 1, 0)
+
+
 def test_batch_and_stream_agree(spark, store, tmp_path):
     from tillmart.sources.stores import FolderStore
 

@@ -20,18 +20,22 @@ from tillmart.sources.payloads import (
 from tillmart.sources.stores import Store
 
 
-def append_unseen(store: Store, table: str, rows: DataFrame, key: str) -> None:
-    """Append the rows whose key the table does not hold yet.
+def unseen(store: Store, table: str, rows: DataFrame, key: str) -> DataFrame:
+    """The rows whose key the table does not hold yet.
 
     The table is first reduced to the keys of this batch, so that a large table is
     scanned for one column and not shuffled: the batch is cached, its size known,
-    and a small one is broadcast. Replaying a batch therefore adds nothing.
+    and a small one is broadcast.
     """
     known = store.find(table)
-    if known is not None:
-        seen = known.select(key).join(rows.select(key).distinct(), key, "left_semi").distinct()
-        rows = rows.join(seen, key, "left_anti")
-    store.write(rows, table, "append")
+    if known is None:
+        return rows
+    seen = known.select(key).join(rows.select(key).distinct(), key, "left_semi").distinct()
+    return rows.join(seen, key, "left_anti")
+
+
+def append_unseen(store: Store, table: str, rows: DataFrame, key: str) -> None:
+    store.write(unseen(store, table, rows, key), table, "append")
 
 
 @dataclass
@@ -47,23 +51,24 @@ class SalesIntake:
     def take(self, raw: DataFrame) -> None:
         """Take in a batch of payload texts.
 
-        What is written is kept for the comparison with each table; the batch itself
-        is not, it is read once for the sales and once for the rejects.
-        The tables are written one after the other. Each is compared with its own
-        content, so a batch that broke off between two tables is completed when it
-        is taken again.
+        The header is what makes a sale known, so it is written after the lines: a
+        batch that breaks off is completed when it is taken again, a reader who
+        joins the two tables never sees half a sale, and a repeated payload of a
+        known sale adds nothing. What is written is kept for the comparison with
+        each table; the batch itself is read once for sales and once for rejects.
         """
         normalized = normalize_payloads(parse_payloads(raw))
         sales = one_per_sale(accepted(normalized)).persist()
+        new = unseen(self.store, self.sales_table, sales, "transaction_id").persist()
         rejects = rejected(normalized).dropDuplicates(["payload_digest"]).persist()
         try:
-            append_unseen(self.store, self.sales_table, sale_headers(sales), "transaction_id")
-            append_unseen(self.store, self.items_table, sale_items(sales), "transaction_id")
+            append_unseen(self.store, self.items_table, sale_items(new), "transaction_id")
+            self.store.write(sale_headers(new), self.sales_table, "append")
             append_unseen(self.store, self.acks_table, acknowledgments(sales), "transactionId")
             append_unseen(self.store, self.rejects_table, rejects, "payload_digest")
         finally:
-            sales.unpersist()
-            rejects.unpersist()
+            for kept in (rejects, new, sales):
+                kept.unpersist()
 
     def start(
         self,
