@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.functions.masking import mask_columns
@@ -28,7 +28,7 @@ SMOKE_DIR = "/root/testdata/sf0.001"
 
 # The days a viewer has selected on the trend, and the time of an earlier load.
 SELECTED_DAYS = [date(1996, 1, 2), date(1996, 1, 3), date(1997, 6, 30), date(2000, 2, 29)]
-EARLIER = datetime(2024, 1, 20)
+EARLIER = "2024-01-20"
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -188,6 +188,10 @@ def _ingest(spark: SparkSession, given, target, table: str, times: int = 1, **co
     return target.read(f"staging.{table}").drop("ingest_timestamp")
 
 
+def _at(text: str) -> Column:
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def ingest_full(spark: SparkSession, folder: str) -> DataFrame:
     return _ingest(
         spark, _given(spark, folder), _scratch(spark, "full"), "orders",
@@ -212,7 +216,7 @@ def ingest_projection(spark: SparkSession, folder: str) -> DataFrame:
 def ingest_delta(spark: SparkSession, folder: str) -> DataFrame:
     target = _scratch(spark, "delta")
     events = source.table(spark, folder, "events")
-    target.write(events.filter(F.col("ts") < EARLIER), "staging.events", "overwrite")
+    target.write(events.filter(F.col("ts") < _at(EARLIER)), "staging.events", "overwrite")
     return _ingest(
         spark, _given(spark, folder), target, "events",
         times=2, fields="*", load_type="delta", delta_column="ts",
@@ -234,7 +238,7 @@ def ingest_delta_null_key(spark: SparkSession, folder: str) -> DataFrame:
     events = source.table(spark, folder, "events")
     undated = events.withColumn("ts", F.when(F.col("event_type") != "error", F.col("ts")))
     given.write(undated, "events", "overwrite")
-    target.write(undated.filter(F.col("ts") < EARLIER), "staging.events", "overwrite")
+    target.write(undated.filter(F.col("ts") < _at(EARLIER)), "staging.events", "overwrite")
     return _ingest(
         spark, given, target, "events",
         fields="*", load_type="delta", delta_column="ts",
@@ -246,8 +250,7 @@ def ingest_delta_ties(spark: SparkSession, folder: str) -> DataFrame:
     given, target = _scratch(spark, "ties-source"), _scratch(spark, "ties-target")
     events = source.table(spark, folder, "events").withColumn("day", F.to_date("ts"))
     given.write(events, "events", "overwrite")
-    noon = EARLIER.replace(hour=12)
-    target.write(events.filter(F.col("ts") < noon), "staging.events", "overwrite")
+    target.write(events.filter(F.col("ts") < _at(f"{EARLIER} 12:00:00")), "staging.events", "overwrite")
     return _ingest(
         spark, given, target, "events",
         times=2, fields="*", load_type="delta", delta_column="day", tie_key="event_id",

@@ -120,7 +120,8 @@ def test_mark_reaches_the_scan(spark, stores):
     from tillmart.operators.delta import newer_than
 
     put(stores[0], [(1, "a", T0)])
-    plan = newer_than(stores[0].read("shop.t"), "changed", T1)._jdf.queryExecution().toString()
+    mark = F.lit("2025-01-02").cast("timestamp_ntz")
+    plan = newer_than(stores[0].read("shop.t"), "changed", mark)._jdf.queryExecution().toString()
     assert "GreaterThan(changed,2025-01-02T00:00)" in plan
 
 
@@ -170,3 +171,31 @@ def test_loaded_values_are_unchanged(spark, stores):
     load(spark, stores)
     assert rows(stores[1].read("stage.t").drop("ingest_timestamp")) == rows(stores[0].read("shop.t"))
     assert stores[1].read("stage.t").filter(F.col("ingest_timestamp").isNull()).count() == 0
+
+
+@pytest.mark.parametrize(
+    "type_, low, high",
+    [
+        ("timestamp_ntz", "2018-11-03 23:59:59.999999", "2018-11-04 00:00:00"),
+        ("timestamp", "2018-02-17T22:30:00.000001-03:00", "2018-02-18T00:30:00-02:00"),
+        ("date", "2025-01-01", "2025-01-02"),
+        ("int", "9", "10"),
+        ("bigint", "9007199254740993", "9007199254740994"),
+        ("double", "0.1", "0.10000000000000002"),
+        ("decimal(38,18)", "0.000000000000000001", "0.000000000000000002"),
+        ("string", "a'b", "b"),
+    ],
+)
+@pytest.mark.parametrize("zone", ["America/Sao_Paulo", "Asia/Manila"])
+def test_marks_of_every_type_are_exact(spark, stores, settings, type_, low, high, zone):
+    """Run in a zone that is not the Python process's, around its clock changes."""
+    settings(spark__sql__session__timeZone=zone)
+    values = spark.createDataFrame([(1, low), (2, high)], "id int, c string").select(
+        "id", F.col("c").cast(type_).alias("changed")
+    )
+    stores[0].write(values.filter("id = 1"), "shop.t", "overwrite")
+    load(spark, stores, times=2, **DELTA)
+    assert ids(stores) == [1]
+    stores[0].write(values, "shop.t", "overwrite")
+    load(spark, stores, times=2, **DELTA)
+    assert ids(stores) == [1, 2]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from samples import rows
 
 from tillmart.plans.log_report import log_report, parse_log
@@ -36,7 +37,9 @@ def at(day, hour, minute, second):
     return datetime(2025, 1, day, hour, minute, second)
 
 
-def test_report(spark):
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo"])
+def test_report(spark, settings, zone):
+    settings(spark__sql__session__timeZone=zone)
     assert rows(log_report(parsed(spark))) == sorted(
         [
             ("ingest", "stage.t", None, None, None, 9),

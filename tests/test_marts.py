@@ -203,8 +203,8 @@ def test_marts_from_sql_text(spark, store):
         {"target_table": "dm.wrong", "sql": "SELECT nothing FROM shop_stage.sales"},
         {
             "target_table": "dm.bands",
-            "sql": "SELECT FLOOR(customer_age/10)*10 AS age_group, COUNT(*) AS n "
-            "FROM shop_stage.sales GROUP BY age_group",
+            "sql": "SELECT FLOOR(customer_age / 10) * 10 AS band, COUNT(*) AS n "
+            "FROM shop_stage.sales GROUP BY band",
         },
     ]
     audit = marts.run_datamarts(spark, store, store, [marts.Mart.from_dict(c) for c in config])

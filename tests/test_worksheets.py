@@ -147,3 +147,20 @@ def test_header_total_equals_distinct_headers_of_lines(spark):
     with_lines = sales.join(items, "transaction_id", "left_semi")
     once = lines.select("transaction_id", "total_amount").distinct().agg(F.sum("total_amount")).first()[0]
     assert worksheets.total_sales_header_grain(with_lines).first()[0] == once
+
+
+@pytest.mark.parametrize("zone", ["America/Sao_Paulo", "Asia/Manila"])
+def test_days_are_wall_clock_days_in_any_zone(spark, settings, zone):
+    settings(spark__sql__session__timeZone=zone)
+    sales, items = tables(
+        spark,
+        [sale("1", at=datetime(2018, 11, 4)), sale("2", at=datetime(2018, 11, 3, 23, 59, 59))],
+        [line("a", "1"), line("b", "2")],
+    )
+    full = sale_lines(sales, items)
+    assert [r.item_id for r in on_days(full, [date(2018, 11, 4)]).collect()] == ["a"]
+    chosen = spark.createDataFrame([(date(2018, 11, 4),)], "day date")
+    assert [r.item_id for r in on_days(full, chosen).collect()] == ["a"]
+    assert [r.day for r in worksheets.sales_over_time(full).collect()] == [
+        datetime(2018, 11, 3), datetime(2018, 11, 4),
+    ]

@@ -28,6 +28,16 @@ def wall_clock(text: Column) -> Column:
     return parsed - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), fraction)
 
 
+def iso_text(column: Column) -> Column:
+    """Wall-clock time as `yyyy-MM-ddTHH:mm:ss`."""
+    return F.translate(F.left(column.cast("string"), F.lit(19)), " ", "T")
+
+
+def seconds_between(start: Column, end: Column) -> Column:
+    """Whole seconds from one wall-clock time to another."""
+    return (end - start).cast("interval second").cast("long")
+
+
 def age_band(age: Column) -> Column:
     """Lower edge of the ten-year band of an integer age, truncating toward zero."""
     return (age - age % 10).cast("double")

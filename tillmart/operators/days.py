@@ -34,7 +34,7 @@ def _ranges(days: list[date]) -> list[tuple[date, date]]:
 
 
 def _midnight(day: date) -> Column:
-    return F.lit(datetime(day.year, day.month, day.day)).cast("timestamp_ntz")
+    return F.lit(day).cast("timestamp_ntz")
 
 
 def _within(when: Column, ranges: list[tuple[date, date]]) -> Column:

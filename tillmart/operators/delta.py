@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
-from typing import Any
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def high_water_mark(target: DataFrame, column: str) -> Any:
+def high_water_mark(target: DataFrame, column: str) -> Column | None:
     """Largest loaded value of the delta column, None for an empty target.
 
-    One row comes back to the driver, so that the bound is a literal which reaches
-    the source's scan.
+    One value comes back to the driver, so that the bound is a literal which reaches
+    the source's scan. It travels as text, or as microseconds if it is an instant:
+    a Python date-time would be read in the zone of the Python process.
     """
-    return target.agg(F.max(column)).first()[0]
+    data_type = target.schema[column].dataType
+    instant = isinstance(data_type, T.TimestampType)
+    largest = F.max(column)
+    sent = F.unix_micros(largest) if instant else largest.cast("string")
+    value = target.agg(sent).first()[0]
+    if value is None:
+        return None
+    return F.timestamp_micros(F.lit(value)) if instant else F.lit(value).cast(data_type)
 
 
-def newer_than(source: DataFrame, column: str, mark: Any) -> DataFrame:
+def newer_than(source: DataFrame, column: str, mark: Column | None) -> DataFrame:
     """Rows strictly above the mark; without a mark, every row.
 
     Rows equal to the mark stay out, and so do rows without a value.
     """
-    if mark is None:
-        return source
-    return source.filter(F.col(column) > _literal(mark, source.schema[column].dataType))
+    return source if mark is None else source.filter(F.col(column) > mark)
 
 
 def not_older_than(
-    source: DataFrame, target: DataFrame, column: str, mark: Any, key: str
+    source: DataFrame, target: DataFrame, column: str, mark: Column | None, key: str
 ) -> DataFrame:
     """Rows at or above the mark that the target does not hold yet.
 
@@ -38,10 +42,5 @@ def not_older_than(
     """
     if mark is None:
         return source
-    bound = _literal(mark, source.schema[column].dataType)
-    loaded = target.filter(F.col(column) == bound).select(key)
-    return source.filter(F.col(column) >= bound).join(loaded, key, "left_anti")
-
-
-def _literal(mark: Any, data_type: T.DataType) -> Column:
-    return F.lit(mark).cast(data_type)
+    loaded = target.filter(F.col(column) == mark).select(key)
+    return source.filter(F.col(column) >= mark).join(loaded, key, "left_anti")

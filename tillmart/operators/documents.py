@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillmart.functions.calendar import iso_text
 from tillmart.operators.lookup import Requests, only_requested
 from tillmart.schemas import HEADER_COLUMNS, LINE_COLUMNS
 
@@ -24,7 +25,6 @@ API_NAMES = {
     "payment_type": "paymentType",
     "transaction_date": "transactionDate",
 }
-DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 
 
 def _item() -> Column:
@@ -141,7 +141,7 @@ def _document_columns(joined: DataFrame, *leading: str) -> DataFrame:
 def document_json(documents: DataFrame) -> Column:
     """The document as JSON text: fields in order, nulls printed."""
     fields = [
-        F.date_format(F.col(name), DATE_FORMAT).alias(name) if name == "transactionDate" else F.col(name)
+        iso_text(F.col(name)).alias(name) if name == "transactionDate" else F.col(name)
         for name in API_NAMES.values()
     ]
     return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})

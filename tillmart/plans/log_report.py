@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tillmart.functions.calendar import seconds_between
 from tillmart.sources.stores import Store
 
 START, FINISH, OTHER = "start", "finish", "other"
@@ -101,7 +102,7 @@ def log_report(parsed: DataFrame) -> DataFrame:
         *key,
         "started_at",
         F.col("logged_at").alias("ended_at"),
-        F.timestamp_diff("SECOND", F.col("started_at"), F.col("logged_at")).alias("seconds"),
+        seconds_between(F.col("started_at"), F.col("logged_at")).alias("seconds"),
         "rows",
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.functions.calendar import iso_text
 from tillmart.schemas import MONEY
 
 
@@ -85,7 +86,7 @@ def raw_payloads(spark: SparkSession, folder: str) -> DataFrame:
     """One JSON document per sale: odd sale numbers come nested, even ones flat."""
     sent = payload_sales(spark, folder)
     odd = F.col("transaction_id").cast("long") % 2 == 1
-    local_time = F.date_format("transaction_date", "yyyy-MM-dd'T'HH:mm:ss")
+    local_time = iso_text(F.col("transaction_date"))
     nested = F.struct(
         F.col("transaction_id").alias("transactionId"),
         F.struct(
@@ -143,7 +144,7 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
     ended = started + F.make_dt_interval(secs=F.col("event_id") % 7)
 
     def line(at: Column, message: Column) -> Column:
-        return F.concat(F.date_format(at, "yyyy-MM-dd HH:mm:ss"), F.lit(" INFO: "), message)
+        return F.concat(F.translate(iso_text(at), "T", " "), F.lit(" INFO: "), message)
 
     first = line(started, F.concat(F.lit("Creating/Overwriting datamart table: "), name))
     last = line(
