@@ -43,13 +43,20 @@ def test_flat_channel_without_age_and_gender(spark):
 
 
 @pytest.mark.parametrize(
-    "age, wanted", [('"31"', 31), ("31", 31), ('"old"', None), ("null", None), ('""', None)]
+    "age, wanted",
+    [('"31"', 31), ("31", 31), ("31.0", 31), ('"30.5"', 31), ('"old"', None), ("null", None), ('""', None)],
 )
 def test_age_is_coerced(spark, age, wanted):
     text = FLAT.replace('"contact"', f'"age":{age},"contact"')
     assert one(spark, text).customer_age == wanted
 
 
+def test_quantities_may_be_written_as_decimals(spark):
+    assert one(spark, FLAT.replace('"qty":3', '"qty":3.0'))["items"][0].quantity == 3
+    assert one(spark, NESTED.replace('"quantity":2', '"quantity":2.00'))["items"][0].quantity == 2
+    assert one(spark, FLAT.replace('"qty":3', '"qty":null'))["items"][0].quantity is None
+
+
 def test_field_precedence_does_not_depend_on_channel(spark):
     text = FLAT.replace('"amountDue"', '"total":7.25,"mop":"Card","timestamp":"2025-01-02T03:04:05Z","amountDue"')
     sale = one(spark, text)

@@ -36,6 +36,9 @@ HEADER_COLUMNS = SALES.names
 LINE_COLUMNS = ["item_id", "product_name", "price", "quantity"]
 SALES_FULL_COLUMNS = HEADER_COLUMNS + LINE_COLUMNS
 
+# Numbers as senders write them, `2` or `2.0`, before they become whole numbers.
+COUNT = T.DecimalType(12, 2)
+
 # One schema covers both channels: nested customer and line_items on one side,
 # flat customer fields and products on the other. `age` stays text until it is
 # coerced, so that a non-numeric age does not spoil the record.
@@ -63,7 +66,7 @@ PAYLOAD = T.StructType(
                         T.StructField("lineId", T.StringType()),
                         T.StructField("product", T.StringType()),
                         T.StructField("unitPrice", MONEY),
-                        T.StructField("quantity", T.IntegerType()),
+                        T.StructField("quantity", COUNT),
                     ]
                 )
             ),
@@ -85,7 +88,7 @@ PAYLOAD = T.StructType(
                         T.StructField("id", T.StringType()),
                         T.StructField("name", T.StringType()),
                         T.StructField("price", MONEY),
-                        T.StructField("qty", T.IntegerType()),
+                        T.StructField("qty", COUNT),
                     ]
                 )
             ),

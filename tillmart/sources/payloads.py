@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.functions.calendar import wall_clock
-from tillmart.schemas import CORRUPT, HEADER_COLUMNS, PAYLOAD
+from tillmart.schemas import CORRUPT, COUNT, HEADER_COLUMNS, PAYLOAD
 
 # Channel names and the texts of an acknowledgment.
 NESTED_CHANNEL = "Orange App"
@@ -27,6 +27,11 @@ def parse_payloads(raw: DataFrame, text: str = "value") -> DataFrame:
     return raw.select(F.col(text).alias("raw"), F.explode(F.array(parsed)).alias("payload"))
 
 
+def _whole(number: Column) -> Column:
+    """A number as the integer column of the table takes it; null if it does not fit."""
+    return F.round(number).try_cast("int")
+
+
 def normalize_payloads(parsed: DataFrame) -> DataFrame:
     """Header fields, `items` array and `reject_reason` (null when acceptable).
 
@@ -47,7 +52,7 @@ def normalize_payloads(parsed: DataFrame) -> DataFrame:
             line["lineId"].alias("item_id"),
             line["product"].alias("product_name"),
             line["unitPrice"].alias("price"),
-            line["quantity"].alias("quantity"),
+            _whole(line["quantity"]).alias("quantity"),
         ),
     )
     flat_items = F.transform(
@@ -56,7 +61,7 @@ def normalize_payloads(parsed: DataFrame) -> DataFrame:
             line["id"].alias("item_id"),
             line["name"].alias("product_name"),
             line["price"].alias("price"),
-            line["qty"].alias("quantity"),
+            _whole(line["qty"]).alias("quantity"),
         ),
     )
     sale_id = F.coalesce(p["transactionId"], p["salesId"])
@@ -72,7 +77,7 @@ def normalize_payloads(parsed: DataFrame) -> DataFrame:
         pick("name", "fullName").alias("customer_name"),
         pick("address", "deliveryLoc").alias("delivery_address"),
         pick("phone", "contact").alias("customer_contact"),
-        pick("age", "age").try_cast("int").alias("customer_age"),
+        _whole(pick("age", "age").try_cast(COUNT)).alias("customer_age"),
         pick("gender", "gender").alias("customer_gender"),
         F.coalesce(p["total"], p["amountDue"]).alias("total_amount"),
         F.coalesce(p["mop"], p["paymentType"]).alias("payment_type"),
