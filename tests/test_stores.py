@@ -1,13 +1,14 @@
 from __future__ import annotations
 
 import glob
+import re
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from tillmart.operators.lines import sale_lines
+from tillmart.operators.lines import sale_lines, sold_by_product
 from tillmart.plans import config as job_config
 from tillmart.plans.export import folder_name, read_csv, write_csv
 from tillmart.sources.scratch import scratch_dir
@@ -70,6 +71,10 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, settings):
     assert joined.count() == 1
     assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
     assert store.query("SELECT count(*) FROM bucketed.sales").first()[0] == 2
+    sold = sold_by_product(store.read("bucketed.sales"), store.read("bucketed.items"))
+    assert sold.count() == 1
+    plan = sold._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert re.findall(r"Exchange (\w+)\((\w+)", plan) == [("hashpartitioning", "product_name")]
 
 
 def jdbc(spark):

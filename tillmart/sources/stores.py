@@ -60,13 +60,15 @@ class Store:
             return None
 
 
-def _clustered(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Gather rows by partition value so that a task writes few files.
+def _gathered(df: DataFrame, columns: Sequence[str], number: int | None = None) -> DataFrame:
+    """Gather rows by the columns a table is stored by, so that a task writes few files.
 
-    The rebalance hint lets adaptive execution cut a partition value that holds
-    much of the data into several tasks, and merge small ones.
+    The rebalance hint lets adaptive execution cut a value that holds much of the
+    data into several tasks, and merge small ones.
     """
-    return df.hint("rebalance", *partition_by) if partition_by else df
+    if not columns:
+        return df
+    return df.hint("rebalance", *([number] if number else []), *columns)
 
 
 @dataclass
@@ -95,7 +97,7 @@ class FolderStore(Store):
     def write(
         self, df: DataFrame, table: str, mode: str, partition_by: Sequence[str] = ()
     ) -> None:
-        writer = _clustered(df, partition_by).write.format(self.format).mode(mode)
+        writer = _gathered(df, partition_by).write.format(self.format).mode(mode)
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path(table))
@@ -118,7 +120,8 @@ class CatalogStore(Store):
     """Tables of the session catalog.
 
     `buckets` maps a table to (column, number): the table is then written
-    bucketed, and joins of two tables bucketed alike read them without a shuffle.
+    bucketed, and joins of two tables bucketed alike read them without a shuffle. A
+    bucket is read by one task, so bucket only by keys that hold few rows each.
     """
 
     spark: SparkSession
@@ -142,10 +145,9 @@ class CatalogStore(Store):
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
         bucket = self.buckets.get(table)
         if bucket and not partition_by:
-            # One task per bucket, so that each bucket becomes one sorted file.
-            df = df.repartition(bucket[1], bucket[0])
+            df = _gathered(df, [bucket[0]], bucket[1])
         else:
-            df = _clustered(df, partition_by)
+            df = _gathered(df, partition_by)
         writer = df.write.mode(mode).format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
