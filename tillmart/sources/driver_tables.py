@@ -13,13 +13,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Give each core some rows of a scan that has fewer partitions than cores.
+def spread(df: DataFrame, *columns: str) -> DataFrame:
+    """Spread the rows of a small scan, if it leaves most cores idle.
 
-    For costly work per row on a small file; a scan of many files stays as it is.
+    A file of one row group is one task, however many cores there are. A scan with a
+    partition for every second core or more stays as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() * 2 <= cores else df
 
 
 def sales(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,7 +53,7 @@ def _headers(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
 
 def sales_items(spark: SparkSession, folder: str) -> DataFrame:
     """Sale lines: one per line item."""
-    lineitem = table(spark, folder, "lineitem")
+    lineitem = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
     part = table(spark, folder, "part")
     return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"),
@@ -65,7 +66,8 @@ def sales_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def payload_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Sales as they are sent in, with zero to three items each in an array."""
-    header = _headers(spark, folder, spread(table(spark, folder, "orders"), "o_orderkey"))
+    orders = spread(table(spark, folder, "orders"), "o_orderkey")
+    header = _headers(spark, folder, orders)
     key = F.col("transaction_id").cast("long")
 
     def item(place: Column) -> Column:
