@@ -434,7 +434,28 @@ def bi_dashboard_filtered(spark: SparkSession, folder: str) -> DataFrame:
     return combined
 
 
+def llm_registered() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the training-data operators; none where they are not installed."""
+    try:
+        import corpus_pipeline
+        from tillmart.llm import queries as llm
+    except ModuleNotFoundError as missing:
+        if missing.name in ("corpus_pipeline", "tillmart.llm"):
+            return {}, {}
+        raise
+    pipeline_sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return llm.QUERIES | {"pipeline": corpus_pipeline.run}, llm.SQL | pipeline_sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return sales_queries() | llm_registered()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return sales_sql() | llm_registered()[1]
+
+
+def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_table": scan_table,
         "scan_query": scan_query,
@@ -580,7 +601,7 @@ _KPIS = """cast(sum(quantity) AS bigint) AS quantity, cast(sum(total_amount) AS
          count(DISTINCT customer_name) AS customers, count(DISTINCT transaction_id) AS transactions"""
 
 
-def oracle_sql() -> dict[str, str]:
+def sales_sql() -> dict[str, str]:
     return {
         "scan_table": "SELECT * FROM lineitem",
         "scan_query": """

@@ -14,10 +14,10 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(driver.sales_queries()) == set(driver.sales_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(driver.sales_queries()))
 def test_query_equals_sql(spark, connection, name):
     columns, found = oracle.spark_bag(driver.queries()[name](spark, DATA))
     wanted_columns, wanted = oracle.duck_bag(connection, driver.oracle_sql()[name])
