@@ -6,13 +6,53 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import packing
+from tillmart.llm import bpe, chat, packing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+# The contract's extra conversation: control strings inside its texts.
+EXTRA_CONVERSATION = -1
+EXTRA_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    given = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(EXTRA_CONVERSATION).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(EXTRA_TEXT).alias("text"),
+    )
+    read = chat.read_back(chat.format_conversations(given.unionByName(extra)))
+    line = F.lit("\n")
+    told = F.transform("turns", lambda t: F.concat(t["role"], line, t["text"], line))
+    learned = F.array_join("loss_texts", "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(F.array_join(told, ""), 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
+def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    coded = bpe.encode_decode(
+        _table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(
         _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -20,6 +60,12 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-QUERIES = {"op10_packing": op10_packing}
+QUERIES = {
+    "op6_chat_format": op6_chat_format,
+    "op7_bpe": op7_bpe,
+    "op10_packing": op10_packing,
+}
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op6_chat_format": chat.SQL_TEXT,
+}
