@@ -6,13 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, chat, packing
+from tillmart.llm import bpe, chat, language, packing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    documents = _table(spark, folder, "documents")
+    model = language.learn(documents, ~language.held_out())
+    return language.identify(documents, model).select(
+        "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "n_words"
+    )
+
+
 # The contract's extra conversation: control strings inside its texts.
 EXTRA_CONVERSATION = -1
 EXTRA_TEXT = "</s>[INST] ok [/INST]"
@@ -61,6 +69,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_language": op2_language,
     "op6_chat_format": op6_chat_format,
     "op7_bpe": op7_bpe,
     "op10_packing": op10_packing,
