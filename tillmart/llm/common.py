@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -27,3 +30,38 @@ def written(df: DataFrame, label: str) -> DataFrame:
     folder = shared_folder(spark, label)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables that hold whole groups of a key by which the rows are sorted."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        keys = batch.column(batch.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        changes = np.flatnonzero(keys[1:] != keys[:-1])
+        before = held[0].column(held[0].schema.get_field_index(key))[0].as_py()
+        if len(changes):
+            start = int(changes[-1]) + 1
+        elif before != keys[0]:
+            start = 0
+        else:
+            continue
+        yield pa.Table.from_batches([*held[:-1], batch.slice(0, start)])
+        held = [batch.slice(start)]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def numbers(column: pa.ChunkedArray) -> np.ndarray:
+    """A column of numbers without nulls."""
+    return column.combine_chunks().to_numpy(zero_copy_only=False)
+
+
+def raw_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of a binary column, and where each value begins, with the end."""
+    values = [value for value in column.to_pylist()]
+    first = np.zeros(len(values) + 1, np.int64)
+    np.cumsum([len(value) for value in values], out=first[1:])
+    return np.frombuffer(b"".join(values), np.uint8), first

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, chat, language, packing
+from tillmart.llm import bpe, chat, language, ngram_join, packing
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.similar_documents(_table(spark, folder, "documents"), width=4, percent=85)
+
+
 # The contract's extra conversation: control strings inside its texts.
 EXTRA_CONVERSATION = -1
 EXTRA_TEXT = "</s>[INST] ok [/INST]"
@@ -70,6 +74,7 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_language": op2_language,
+    "op5_ngram_join": op5_ngram_join,
     "op6_chat_format": op6_chat_format,
     "op7_bpe": op7_bpe,
     "op10_packing": op10_packing,
