@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, chat, language, ngram_join, packing
+from tillmart.llm import bpe, chat, embedding_links, language, ngram_join, packing, vector_search
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_links.near_vectors(_table(spark, folder, "embeddings"))
+
+
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     model = language.learn(documents, ~language.held_out())
@@ -65,6 +69,10 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_vector_search(spark: SparkSession, folder: str) -> DataFrame:
+    return vector_search.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(
         _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -73,13 +81,17 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_embedding_links": op1_embedding_links,
     "op2_language": op2_language,
     "op5_ngram_join": op5_ngram_join,
     "op6_chat_format": op6_chat_format,
     "op7_bpe": op7_bpe,
+    "op9_vector_search": op9_vector_search,
     "op10_packing": op10_packing,
 }
 
 SQL: dict[str, str] = {
+    "op1_embedding_links": embedding_links.SQL_TEXT,
     "op6_chat_format": chat.SQL_TEXT,
+    "op9_vector_search": vector_search.SQL_TEXT,
 }
