@@ -6,7 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import bpe, chat, embedding_links, language, ngram_join, packing, vector_search
+from tillmart.llm import (
+    bpe,
+    chat,
+    embedding_links,
+    language,
+    line_dedup,
+    ngram_join,
+    packing,
+    token_rollup,
+    vector_search,
+)
+from tillmart.llm.common import shared_folder, written
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -29,6 +40,11 @@ def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, folder, "documents"), width=4, percent=85)
 
 
+def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = line_dedup.dedup_lines(_table(spark, folder, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
+
+
 # The contract's extra conversation: control strings inside its texts.
 EXTRA_CONVERSATION = -1
 EXTRA_TEXT = "</s>[INST] ok [/INST]"
@@ -69,6 +85,27 @@ def op7_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Load all documents, withdraw the toxic ones, recount those of low quality, replay."""
+    version, with_end = "word-bpe-49k", "word-bpe-49k-end"
+    counts = token_rollup.token_counts(
+        _table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), version
+    )
+    counts = written(counts, "token-counts")
+    labels = _table(spark, folder, "labels").select("doc_id", "quality", "toxic")
+    judged = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
+    known = written(counts.join(judged, "doc_id"), "judged-counts")
+    toxic = known.filter("toxic = 1")
+    low = known.filter("quality = 0 AND coalesce(toxic, 0) <> 1")
+    ended = low.withColumns({"tokenizer": F.lit(with_end), "tokens": F.col("tokens") + 1})
+    rollup = token_rollup.TokenRollup(spark, shared_folder(spark, "token-rollup"))
+    for _ in range(2):  # the second time every batch is known already
+        rollup.commit("1-load", token_rollup.inserted(counts))
+        rollup.commit("2-withdraw", token_rollup.deleted(toxic))
+        rollup.commit("3-recount", token_rollup.revised(low, ended))
+    return rollup.totals()
+
+
 def op9_vector_search(spark: SparkSession, folder: str) -> DataFrame:
     return vector_search.top_k(_table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -83,9 +120,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_embedding_links": op1_embedding_links,
     "op2_language": op2_language,
+    "op3_line_dedup": op3_line_dedup,
     "op5_ngram_join": op5_ngram_join,
     "op6_chat_format": op6_chat_format,
     "op7_bpe": op7_bpe,
+    "op8_token_rollup": op8_token_rollup,
     "op9_vector_search": op9_vector_search,
     "op10_packing": op10_packing,
 }
