@@ -1,4 +1,7 @@
-"""The corpus pipeline: four filtering and shaping stages over `documents`."""
+"""The corpus pipeline: filtering and shaping stages over `documents`.
+
+Each stage takes what its predecessor kept; all but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +9,49 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillmart.llm import packing
+from tillmart.llm import language, line_dedup, ngram_join, packing
 from tillmart.llm.common import written
 
+# A text whose language gets less than this of the evidence is rejected.
+LEAST_SCORE = 0.3
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language of the labelled ones; a missing label is filled in.
+
+    Rejected are texts without a letter, null ones included, and those no language claims with
+    LEAST_SCORE. Without any labelled document nothing can be identified, and all go.
+    """
+    found = language.identify(docs, language.learn(docs))
+    accepted = found.filter(
+        (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+    )
+    filled = accepted.withColumn("lang", F.coalesce("lang", "lang_pred"))
+    return filled.select(docs.columns)
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without lines that an earlier document or line has; n_chars follows.
+
+    A document of which no text is left goes; one that lost no line stays whatever it holds.
+    """
+    cleaned = line_dedup.dedup_lines(docs)
+    left = cleaned.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+
+
+def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word n-grams, 0.8 and more alike, the one of smallest id.
+
+    Rows of the same id and text are one document. Other rows of the same id all stay or all
+    go; so do rows with a null id, which go if each of them is linked to an id.
+    """
+    kept = ngram_join.similar_documents(docs, width=5, percent=80).filter("is_kept")
+    kept = written(kept.select(F.col("doc_id").alias("_kept_id")).distinct(), "kept-documents")
+    staying = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    marked = staying.withColumn("_text", F.xxhash64("text"))
+    return marked.dropDuplicates(["doc_id", "_text"]).select(docs.columns)
+
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of token ids."""
@@ -16,9 +59,15 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
-STAGES = [("packing", pack_documents)]
+STAGES = [
+    ("language", identify_language),
+    ("lines", drop_repeated_lines),
+    ("similar", keep_one_of_similar),
+    ("packing", pack_documents),
+]
 
-# Tokenizers and least squares have no SQL; the stages are tested against brute force.
+# Language models, tokenizers and least squares have no SQL; tests hold the stages against
+# brute force.
 ORACLE_SQL = None
 
 

@@ -13,9 +13,10 @@ from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillmart.llm import words as W
 from tillmart.llm.common import written
@@ -35,8 +36,6 @@ EDGE = "\x02"
 # texts don't all become one.
 EVIDENCE_WORDS = 40
 
-SCHEMA = "doc_id long, lang_pred string, score double, n_words long"
-
 
 @dataclass
 class Model:
@@ -195,31 +194,40 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
     return names, np.where(has_letter, chances.max(axis=1), 0.0), n_words
 
 
-def _task(batches: Iterable[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
+def _task(batches: Iterable[pa.RecordBatch], shared, text_at: int) -> Iterator[pa.RecordBatch]:
+    """The rows as they are, with the prediction for the text at the end."""
     model = shared.value
     for batch in batches:
-        texts = [None if pd.isna(t) else t for t in batch["text"]]
-        names, scores, n_words = predict(model, texts)
-        yield pd.DataFrame(
-            {"doc_id": batch["doc_id"], "lang_pred": names, "score": scores, "n_words": n_words}
-        )
+        names, scores, n_words = predict(model, batch.column(text_at).to_pylist())
+        added = [pa.array(names, pa.string()), pa.array(scores), pa.array(n_words)]
+        columns = [*batch.columns, *added]
+        yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *ADDED])
+
+
+ADDED = ["lang_pred", "score", "n_words"]
 
 
-def identify(
-    documents: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, lang_pred, score (0 to 1) and n_words of every whole text.
+def identify(documents: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """All rows and columns, with lang_pred, score (0 to 1) and n_words of the whole text.
 
     Rows are scored one by one: repeated rows, null ids and ties come out as they came in, a
     tie going to the language more frequent in the training rows, then to the first by name. A
     text that is null or has no letter is `und` with score 0; so is every text if the model has
-    no language. Other columns are not read; an empty table gives no rows.
+    no language. Columns with the names of the three added are replaced; an empty table gives
+    no rows. Texts must be strings.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
-    chosen = documents.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+    given = documents.drop(*ADDED)
+    schema = T.StructType(
+        [
+            *given.schema.fields,
+            T.StructField("lang_pred", T.StringType()),
+            T.StructField("score", T.DoubleType()),
+            T.StructField("n_words", T.LongType()),
+        ]
     )
-    return chosen.mapInPandas(functools.partial(_task, shared=shared), SCHEMA)
+    task = functools.partial(_task, shared=shared, text_at=given.columns.index(text_col))
+    return given.mapInArrow(task, schema)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -14,6 +14,7 @@ from tillmart.llm import (
     line_dedup,
     ngram_join,
     packing,
+    pseudo_likelihood,
     token_rollup,
     vector_search,
 )
@@ -31,11 +32,15 @@ def op1_embedding_links(spark: SparkSession, folder: str) -> DataFrame:
 def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     documents = _table(spark, folder, "documents")
     model = language.learn(documents, ~language.held_out())
-    return language.identify(documents, model).select(
+    return language.identify(documents.select("doc_id", "text"), model).select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score", "n_words"
     )
 
 
+def op4_pseudo_likelihood(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudo_likelihood.score_documents(_table(spark, folder, "documents"))
+
+
 def op5_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.similar_documents(_table(spark, folder, "documents"), width=4, percent=85)
 
@@ -121,6 +126,7 @@ QUERIES = {
     "op1_embedding_links": op1_embedding_links,
     "op2_language": op2_language,
     "op3_line_dedup": op3_line_dedup,
+    "op4_pseudo_likelihood": op4_pseudo_likelihood,
     "op5_ngram_join": op5_ngram_join,
     "op6_chat_format": op6_chat_format,
     "op7_bpe": op7_bpe,
