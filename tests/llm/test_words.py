@@ -1,0 +1,93 @@
+"""Word boundaries and hashes."""
+
+from __future__ import annotations
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from tokenizers import Tokenizer, pre_tokenizers
+
+from tillmart.llm import words as W
+
+SIGNS = ["a", "s", "t", "ll", "ve", "é", "中", "ß", "1", "²", "'", "!", " ", "\n", " ", "\x1c", "🙂"]
+TEXTS = st.lists(st.lists(st.sampled_from(SIGNS), max_size=25).map("".join), max_size=6)
+
+
+def spans(find, texts):
+    joined = W.Texts(texts)
+    found = [[] for _ in texts]
+    starts, ends = find(joined)
+    for text, a, b in zip(joined.text_of(starts), starts, ends):
+        found[text].append(joined.span(a, b))
+    return found
+
+
+def wanted(splitter, texts):
+    return [[t[a:b] for _, (a, b) in splitter.pre_tokenize_str(t)] for t in texts]
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_spaced_words_are_the_library_s(texts):
+    splitter = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+    assert spans(W.spaced_words, texts) == wanted(splitter, texts)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_words_are_the_library_s(texts):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    assert spans(W.words, texts) == wanted(Tokenizer.from_file(path).pre_tokenizer, texts)
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.text(max_size=40))
+def test_any_text_splits_as_in_the_library(text):
+    splitter = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
+    assert spans(W.spaced_words, [text]) == wanted(splitter, [text])
+
+
+def test_equal_spans_have_equal_hashes_anywhere():
+    joined = W.Texts(["the cat the dog", "xx the"])
+    starts, ends = W.letter_words(joined)
+    hashes = joined.hashes(starts, ends)
+    names = [joined.span(a, b) for a, b in zip(starts, ends)]
+    by_name = {}
+    for name, value in zip(names, hashes.tolist()):
+        assert by_name.setdefault(name, value) == value
+    assert len(set(by_name.values())) == 4
+
+
+def test_long_texts_come_in_parts_that_give_the_whole():
+    texts = ["ab cd  ef " * 50, "", "x" * 300, "one two"]
+    parts = [""] * len(texts)
+    for numbers, held in W.pieces(texts, limit=64):
+        for number, part in zip(numbers, held):
+            parts[number] += part
+    assert parts == texts
+
+
+def test_cuts_fall_between_words():
+    text = "ab cd  ef\n gh ij " * 40
+    whole = spans(W.spaced_words, [text])[0]
+    parted = [w for _, held in W.pieces([text], limit=16) for w in spans(W.spaced_words, held)[0]]
+    assert parted == whole
+
+
+def test_memo_starts_anew_when_full():
+    memo = W.Memo(lambda word: [len(word)], limit=3)
+    for text in ("a bb ccc", "dddd a", "bb eeeee"):
+        joined = W.Texts([text])
+        starts, ends = W.letter_words(joined)
+        rows = memo.rows_of(joined, starts, ends)
+        assert memo.values(rows).tolist() == [len(w) for w in text.split()]
+
+
+@pytest.mark.parametrize("counts", [[0, 2, 1], [3], []])
+def test_gathered(counts):
+    flat = np.arange(10)
+    first = np.arange(len(counts), dtype=np.int64)
+    expected = [i + k for i, n in enumerate(counts) for k in range(n)]
+    assert W.gathered(flat, first, np.array(counts, np.int64)).tolist() == expected

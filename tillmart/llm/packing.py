@@ -17,7 +17,7 @@ from collections import deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -31,10 +31,8 @@ MOST_PARTS = 4
 BLOCK_DOCUMENTS = 4096
 BLOCK_IDS = 4_000_000
 
-SCHEMA = (
-    "doc_id long, start long, length long, ids binary, doc_tokens long, "
-    "sequence_id long, offset long"
-)
+COLUMNS = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
+SCHEMA = ", ".join(f"{name} {'binary' if name == 'ids' else 'long'}" for name in COLUMNS)
 
 
 # --- token ids -------------------------------------------------------------------
@@ -146,30 +144,32 @@ def nonnegative_least_squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """x >= 0 with the smallest |a x - b|, by the active-set method of Lawson and Hanson."""
     x = np.zeros(a.shape[1])
     active = np.zeros(a.shape[1], bool)
+    useless = np.zeros(a.shape[1], bool)
     limit = 1e-9 * max(1.0, float(np.abs(a.T @ b).max(initial=0)))
-    for _ in range(3 * a.shape[1]):
+    for _ in range(10 * a.shape[1]):
         gradient = a.T @ (b - a @ x)
-        gradient[active] = -np.inf
+        gradient[active | useless] = -np.inf
         best = int(np.argmax(gradient))
         if gradient[best] <= limit:
             break
+        before = x.copy()
         active[best] = True
         while True:
             trial = np.zeros_like(x)
-            trial[active] = np.linalg.lstsq(a[:, active], b, rcond=None)[0]
+            if active.any():
+                trial[active] = np.linalg.lstsq(a[:, active], b, rcond=None)[0]
             low = active & (trial <= 1e-12)
             if not low.any():
                 break
             steps = x[low] / np.maximum(x[low] - trial[low], 1e-300)
-            x += steps.min(initial=1.0) * (trial - x)
+            x = x + steps.min() * (trial - x)
             active &= x > 1e-12
             x[~active] = 0
-            if not active.any():
-                trial = np.zeros_like(x)
-                break
-        if np.allclose(trial, x, rtol=0, atol=1e-12):
-            break
         x = trial
+        if np.allclose(x, before, rtol=0, atol=1e-12):
+            useless[best] = True
+        else:
+            useless[:] = False
     return x
 
 
@@ -181,7 +181,7 @@ class Piece:
 
     __slots__ = ("doc", "ids", "start", "stop")
 
-    def __init__(self, doc, ids: np.ndarray, start: int, stop: int):
+    def __init__(self, doc: int | None, ids: np.ndarray, start: int, stop: int):
         self.doc, self.ids, self.start, self.stop = doc, ids, start, stop
 
     def __len__(self) -> int:
@@ -250,15 +250,15 @@ def powers_of_two(rests: list[Piece]) -> list[list[Piece]]:
 
 
 def _blocks(
-    batches: Iterable[pd.DataFrame], path: str
-) -> Iterator[list[tuple[object, np.ndarray]]]:
-    block: list[tuple[object, np.ndarray]] = []
+    batches: Iterable[pa.RecordBatch], path: str
+) -> Iterator[list[tuple[int | None, np.ndarray]]]:
+    block: list[tuple[int | None, np.ndarray]] = []
     size = 0
     for batch in batches:
-        texts = batch["text"].fillna("").tolist()
+        names = batch.column(0).to_pylist()
+        texts = [text or "" for text in batch.column(1).to_pylist()]
         for low in range(0, len(texts), 256):
-            names = batch["doc_id"].tolist()[low : low + 256]
-            for doc, ids in zip(names, word_ids(path).ids(texts[low : low + 256])):
+            for doc, ids in zip(names[low : low + 256], word_ids(path).ids(texts[low : low + 256])):
                 block.append((doc, np.concatenate([ids, [END_ID]]).astype("<u4")))
                 size += len(ids) + 1
                 if len(block) >= BLOCK_DOCUMENTS or size >= BLOCK_IDS:
@@ -267,7 +267,7 @@ def _blocks(
     yield block
 
 
-def _rows(windows: list[list[Piece]], first: int) -> pd.DataFrame:
+def _rows(windows: list[list[Piece]], first: int) -> pa.RecordBatch:
     rows = []
     for number, window in enumerate(windows):
         offset = 0
@@ -275,19 +275,18 @@ def _rows(windows: list[list[Piece]], first: int) -> pd.DataFrame:
             ids = p.ids[p.start : p.stop].tobytes()
             rows.append((p.doc, p.start, len(p), ids, len(p.ids), first + number, offset))
             offset += len(p)
-    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-    frame = pd.DataFrame(rows, columns=names)
-    frame["doc_id"] = pd.array([row[0] for row in rows], dtype="Int64")
-    return frame
+    columns = list(zip(*rows)) or [()] * len(COLUMNS)
+    kinds = [pa.binary() if name == "ids" else pa.int64() for name in COLUMNS]
+    arrays = [pa.array(values, kind) for values, kind in zip(columns, kinds)]
+    return pa.RecordBatch.from_arrays(arrays, COLUMNS)
 
 
-def _pack_task(batches: Iterable[pd.DataFrame], path: str) -> Iterator[pd.DataFrame]:
+def _pack_task(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     sequence = TaskContext.get().partitionId() << 33
     rests: list[Piece] = []
     for block in _blocks(batches, path):
         windows = []
         for doc, ids in block:
-            doc = None if pd.isna(doc) else int(doc)
             whole = len(ids) // WINDOW * WINDOW
             windows += [[Piece(doc, ids, s, s + WINDOW)] for s in range(0, whole, WINDOW)]
             if whole < len(ids):
@@ -314,4 +313,4 @@ def pack(
     chosen = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    return chosen.mapInPandas(functools.partial(_pack_task, path=tokenizer_path), SCHEMA)
+    return chosen.mapInArrow(functools.partial(_pack_task, path=tokenizer_path), SCHEMA)

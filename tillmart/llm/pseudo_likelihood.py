@@ -19,6 +19,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ RATE = 0.05
 EXAMPLES = 512
 SEED = 7
 
+COLUMNS = ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"]
 SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double"
 
 
@@ -317,15 +319,13 @@ def score(words: Vocabulary, network: Network, texts: list[str | None]):
     return n_words, total
 
 
-def _score_task(batches: Iterable[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
+def _score_task(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     words, network = shared.value
     for batch in batches:
-        texts = [None if pd.isna(t) else t for t in batch["text"]]
-        n_words, total = score(words, network, texts)
-        mean = np.divide(total, n_words, out=np.full(len(total), np.nan), where=n_words > 0)
-        yield pd.DataFrame(
-            {"doc_id": batch["doc_id"], "n_words": n_words, "log_likelihood": total}
-        ).assign(mean_log_likelihood=pd.array(mean, dtype="Float64"))
+        n_words, total = score(words, network, batch.column(1).to_pylist())
+        mean = pa.array(total / np.maximum(n_words, 1), mask=n_words == 0)
+        columns = [batch.column(0), pa.array(n_words), pa.array(total), mean]
+        yield pa.RecordBatch.from_arrays(columns, COLUMNS)
 
 
 def score_documents(
@@ -346,4 +346,4 @@ def score_documents(
     words = vocabulary(texts)
     network = train(texts, words)
     shared = documents.sparkSession.sparkContext.broadcast((words, network))
-    return chosen.mapInPandas(functools.partial(_score_task, shared=shared), SCHEMA)
+    return chosen.mapInArrow(functools.partial(_score_task, shared=shared), SCHEMA)

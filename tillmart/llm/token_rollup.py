@@ -16,7 +16,7 @@ import functools
 import re
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,17 +31,17 @@ DELTAS = "source string, lang string, tokenizer string, docs long, tokens long,
 
 
 def _count_task(
-    batches: Iterable[pd.DataFrame], path: str, version: str
-) -> Iterator[pd.DataFrame]:
+    batches: Iterable[pa.RecordBatch], path: str, version: str
+) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch["text"].fillna("").tolist()
-        tokens = []
+        texts = [text or "" for text in batch.column(3).to_pylist()]
+        tokens: list[int] = []
         for low in range(0, len(texts), 256):
             tokens += [len(ids) for ids in word_ids(path).ids(texts[low : low + 256])]
-        counted = batch[["doc_id", "source", "lang"]].assign(
-            tokenizer=version, tokens=tokens, chars=[len(text) for text in texts]
-        )
-        yield counted
+        chars = [len(text) for text in texts]
+        added = [pa.array([version] * len(texts)), pa.array(tokens), pa.array(chars)]
+        names = [*batch.schema.names[:3], "tokenizer", "tokens", "chars"]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], *added], names)
 
 
 def token_counts(
@@ -58,9 +58,7 @@ def token_counts(
         F.col("lang").cast("string").alias("lang"),
         F.col(text_col).cast("string").alias("text"),
     )
-    return chosen.mapInPandas(
-        functools.partial(_count_task, path=path, version=version), COUNTS
-    )
+    return chosen.mapInArrow(functools.partial(_count_task, path=path, version=version), COUNTS)
 
 
 # --- signed changes ----------------------------------------------------------------
