@@ -47,6 +47,8 @@ def probes_needed(similarity: float, miss: float = MISS) -> int:
     falls by the larger root of x^2 = (1 - s) x + s (1 - s) with every further one.
     """
     rest = 1 - similarity
+    if rest <= 0:
+        return 2
     root = (rest + math.sqrt(rest * rest + 4 * similarity * rest)) / 2
     return max(2, math.ceil(math.log(miss) / math.log(root)) + 1)
 
