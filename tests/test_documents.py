@@ -50,26 +50,36 @@ def test_requested_documents(spark, both):
     assert found["9"]["source"] is None and found["9"]["totalAmount"] is None
 
 
-def test_oversized_sales_come_in_bounded_parts(spark):
+def test_lines_are_dealt_to_parts(spark):
     items = (
         [line(f"i{n}", "big") for n in range(300)]
         + [line("same", "big")] * 250
         + [line("s", "small")] * 3
     )
     sales, lines = tables(spark, [sale("big"), sale("small"), sale("none")], items)
-    documents = sale_documents(sales, lines, lines_per_part=50)
-    parts = documents.select("transactionId", "part", "items").collect()
-    assert sum(1 for p in parts if p.transactionId == "big") > 5
+    lines = lines.union(spark.createDataFrame([line("lost", None)], lines.schema))
+    parts = sale_documents(sales, lines, parts=8).select("transactionId", "part", "items").collect()
+    assert sorted(p.part for p in parts if p.transactionId == "big") == list(range(8))
     assert [len(p["items"]) for p in parts if p.transactionId == "small"] == [3]
-    assert [len(p["items"]) for p in parts if p.transactionId == "none"] == [0]
-    assert max(len(p["items"]) for p in parts) <= 100
+    assert [(p.part, len(p["items"])) for p in parts if p.transactionId == "none"] == [(0, 0)]
     found = Counter(i.itemId for p in parts if p.transactionId == "big" for i in p["items"])
     assert found == Counter([f"i{n}" for n in range(300)] + ["same"] * 250)
+    whole = sale_documents(sales, lines).select("transactionId", "part", F.size("items")).collect()
+    assert sorted(map(tuple, whole)) == [("big", 0, 550), ("none", 0, 0), ("small", 0, 3)]
     # The same parts again when computed again.
-    again = item_arrays(lines, 50).select(F.xxhash64("transaction_id", "part", "items")).collect()
+    again = item_arrays(lines, 8).select(F.xxhash64("transaction_id", "part", "items")).collect()
     assert sorted(again) == sorted(
-        item_arrays(lines.repartition(3), 50).select(F.xxhash64("transaction_id", "part", "items")).collect()
+        item_arrays(lines.repartition(3), 8).select(F.xxhash64("transaction_id", "part", "items")).collect()
     )
+    assert item_arrays(lines).filter("transaction_id IS NULL").count() == 0
+
+
+def test_building_documents_starts_no_job(spark, both):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("documents", "building")
+    sale_documents(*both, parts=3)
+    assert len(tracker.getJobIdsForGroup("documents")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_lookups(spark, both):

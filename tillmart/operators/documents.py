@@ -9,8 +9,6 @@ from tillmart.functions.calendar import iso_text
 from tillmart.operators.lookup import Requests, only_requested
 from tillmart.schemas import HEADER_COLUMNS, LINE_COLUMNS
 
-LINES_PER_PART = 20_000
-
 # The names and the order of the document's fields.
 API_NAMES = {
     "transaction_id": "transactionId",
@@ -36,50 +34,28 @@ def _item() -> Column:
     )
 
 
-def _whole_arrays(items: DataFrame) -> DataFrame:
-    grouped = items.groupBy("transaction_id").agg(F.sort_array(F.collect_list(_item())).alias("items"))
-    return grouped.select("transaction_id", F.lit(0).alias("part"), "items")
-
-
-def _part_arrays(items: DataFrame, sizes: DataFrame, lines_per_part: int) -> DataFrame:
-    """Arrays of the sales in `sizes`, cut into parts by the content of the line.
-
-    Equal lines are first counted, so that copies cost one row per task, and a
-    count is cut into runs that fit a part; the runs are spread over the parts.
-    """
-    run = max(lines_per_part // 8, 1)
-    counted = items.groupBy("transaction_id", *LINE_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
-    runs = counted.withColumn(
-        "first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(run).cast("long")))
-    )
-    spread = runs.join(sizes, "transaction_id").withColumn(
-        "part", F.pmod(F.xxhash64(*LINE_COLUMNS, "first"), F.col("parts")).cast("int")
-    )
-    length = F.least(F.col("copies") - F.col("first"), F.lit(run)).cast("int")
-    return spread.groupBy("transaction_id", "part").agg(
-        F.sort_array(F.flatten(F.collect_list(F.array_repeat(_item(), length)))).alias("items")
+def line_part(parts: int) -> Column:
+    """The part of its sale that a line belongs to, by the line's content alone."""
+    text = F.concat_ws(
+        "|", *[F.coalesce(F.col(name).cast("string"), F.lit("")) for name in LINE_COLUMNS]
     )
+    digits = F.conv(F.substring(F.sha2(text, 256), 1, 8), 16, 10).cast("long")
+    return F.pmod(digits, F.lit(parts)).cast("int")
 
 
-def item_arrays(items: DataFrame, lines_per_part: int = LINES_PER_PART) -> DataFrame:
-    """`transaction_id, part, items`: the lines of each sale, in one ordered array.
+def item_arrays(items: DataFrame, parts: int = 1) -> DataFrame:
+    """`transaction_id, part, items`: the lines of each sale in ordered arrays.
 
-    A sale with more than `lines_per_part` lines is given as several parts, which
-    together hold all its lines, so no task or row ever holds an unbounded sale.
+    Every sale's lines are dealt to the same number of parts, so that sales with very many
+    lines stay small rows; one part gives each sale one array. Lines without a sale are left
+    out, and so are parts without lines.
     """
-    sizes = (
-        items.groupBy("transaction_id")
-        .agg(F.count(F.lit(1)).alias("lines"))
-        .filter(F.col("lines") > lines_per_part)
-        .select("transaction_id", F.ceil(F.col("lines") / lines_per_part).alias("parts"))
-        .persist()
+    named = items.filter(F.col("transaction_id").isNotNull())
+    return (
+        named.withColumn("part", line_part(parts))
+        .groupBy("transaction_id", "part")
+        .agg(F.sort_array(F.collect_list(_item())).alias("items"))
     )
-    if sizes.isEmpty():
-        sizes.unpersist()
-        return _whole_arrays(items)
-    ordinary = items.join(sizes, "transaction_id", "left_anti")
-    oversized = items.join(sizes, "transaction_id", "left_semi")
-    return _whole_arrays(ordinary).unionByName(_part_arrays(oversized, sizes, lines_per_part))
 
 
 def _first_header(sales: DataFrame) -> DataFrame:
@@ -89,11 +65,13 @@ def _first_header(sales: DataFrame) -> DataFrame:
     return kept.select("transaction_id", *[F.col(f"header.{name}") for name in rest])
 
 
-def sale_documents(
-    sales: DataFrame, items: DataFrame, lines_per_part: int = LINES_PER_PART
-) -> DataFrame:
-    """Every sale as a nested document; a sale without lines has an empty array."""
-    arrays = item_arrays(items, lines_per_part)
+def sale_documents(sales: DataFrame, items: DataFrame, parts: int = 1) -> DataFrame:
+    """Every sale as a nested document; a sale without lines has an empty array.
+
+    With several `parts` a sale has a document for each part that holds lines of it, and each
+    repeats the header.
+    """
+    arrays = item_arrays(items, parts)
     joined = _first_header(sales).join(arrays, "transaction_id", "left")
     return _document_columns(joined)
 
@@ -102,7 +80,7 @@ def requested_documents(
     sales: DataFrame,
     items: DataFrame,
     requests: DataFrame,
-    lines_per_part: int = LINES_PER_PART,
+    parts: int = 1,
 ) -> DataFrame:
     """One document per requested id, led by that id.
 
@@ -110,7 +88,7 @@ def requested_documents(
     """
     wanted = requests.select("transaction_id").distinct()
     headers = _first_header(only_requested(sales, wanted)).withColumnRenamed("transaction_id", "found")
-    arrays = item_arrays(only_requested(items, wanted), lines_per_part)
+    arrays = item_arrays(only_requested(items, wanted), parts)
     joined = (
         wanted.withColumnRenamed("transaction_id", "requested_id")
         .join(headers, F.col("requested_id") == F.col("found"), "left")
