@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from datetime import datetime
 from decimal import Decimal
+from hashlib import sha256
 
 import pytest
 from pyspark.sql import functions as F
@@ -105,14 +106,13 @@ def test_nested_sale_without_customer(spark):
     assert (sale.source, sale.customer_name) == ("Orange App", None)
 
 
-def test_repeated_payload_is_reduced_to_one(spark):
-    other = NESTED.replace("Ann Lee", "Zed Lee")
-    for texts in ([NESTED, other, NESTED, FLAT], [other, FLAT, NESTED]):
-        sales = payloads.one_per_sale(payloads.accepted(normalize(spark, *texts)))
-        assert sorted((r.transaction_id, r.customer_name, len(r["items"])) for r in sales.collect()) == [
-            ("F-1", "Bo Ray", 1),
-            ("N-1", "Ann Lee", 2),
-        ]
+def test_one_payload_is_chosen_for_a_sale(spark):
+    later = NESTED.replace("2025-09-29T10:15", "2025-09-29T10:16")
+    digests = {text: sha256(text.encode()).hexdigest() for text in (NESTED, FLAT)}
+    for texts in ([NESTED, later, NESTED, FLAT], [later, FLAT, NESTED]):
+        sent = normalize(spark, *texts).withColumn("payload_digest", payloads.payload_digest())
+        found = {tuple(row) for row in payloads.chosen_payloads(sent).collect()}
+        assert found == {("N-1", digests[NESTED]), ("F-1", digests[FLAT])}
 
 
 def test_acknowledgment(spark):

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from samples import FLAT, NESTED, rows
 
-from tillmart.streaming.intake import SalesIntake, append_unseen
+from tillmart.streaming.intake import SalesIntake
 
 
 def put(spark, path, *texts):
@@ -19,7 +19,8 @@ def run(intake, spark, tmp_path, checkpoint, **options):
 
 def counts(store, intake):
     tables = (intake.sales_table, intake.items_table, intake.acks_table, intake.rejects_table)
-    return tuple(store.read(table).count() for table in tables)
+    found = [store.find(table) for table in tables]
+    return tuple(0 if table is None else table.count() for table in found)
 
 
 def test_intake_and_replays(spark, store, tmp_path):
@@ -43,7 +44,7 @@ def test_a_batch_that_broke_off_is_completed(spark, store, tmp_path):
 
     real_write, written = store.write, []
 
-    def failing(df, table, mode, partition_by=()):
+    def failing(df, table, mode, partition_by=(), rows=None):
         if table == intake.sales_table:
             raise IOError("lost")
         written.append(table)
@@ -53,21 +54,73 @@ def test_a_batch_that_broke_off_is_completed(spark, store, tmp_path):
     with pytest.raises(Exception):
         run(intake, spark, tmp_path, "one")
     store.write = real_write
-    assert written == [intake.items_table]
+    assert written == [intake.choices_table, intake.items_table]
     assert store.find(intake.sales_table) is None
     run(intake, spark, tmp_path, "one")
     assert counts(store, intake) == (2, 3, 2, 0)
 
 
-def test_a_later_payload_of_a_known_sale_adds_nothing(spark, store, tmp_path):
+BARE = '{"salesId":"F-1","products":[],"amountDue":9.00,"creationDate":"2025-01-01T00:00:00Z"}'
+
+
+def rejects(store, intake):
+    return sorted((r.reject_reason, r.raw) for r in store.read(intake.rejects_table).collect())
+
+
+def test_a_later_payload_of_a_known_sale_is_kept_as_superseded(spark, store, tmp_path):
     intake = SalesIntake(store)
-    bare = '{"salesId":"F-1","products":[],"creationDate":"2025-01-01T00:00:00Z"}'
-    put(spark, str(tmp_path / "in"), bare)
+    put(spark, str(tmp_path / "in"), BARE)
     run(intake, spark, tmp_path, "one")
-    assert store.find(intake.items_table).count() == 0
+    assert counts(store, intake) == (1, 0, 1, 0)
     put(spark, str(tmp_path / "in"), FLAT)
     run(intake, spark, tmp_path, "one")
-    assert counts(store, intake) == (1, 0, 1, 0)
+    assert counts(store, intake) == (1, 0, 1, 1)
+    assert rejects(store, intake) == [("superseded", FLAT)]
+
+
+def test_differing_payloads_of_one_sale_are_not_mixed(spark, store, tmp_path):
+    intake = SalesIntake(store)
+    put(spark, str(tmp_path / "in"), FLAT, BARE, FLAT, BARE)
+    run(intake, spark, tmp_path, "one")
+    assert counts(store, intake) == (1, 0, 1, 1)
+    assert str(store.read(intake.sales_table).first().total_amount) == "9.00"
+    assert rejects(store, intake) == [("superseded", FLAT)]
+
+
+def test_header_and_lines_follow_the_recorded_choice(spark, store, tmp_path):
+    """A batch breaks off between lines and header and comes back with one more payload."""
+    intake = SalesIntake(store)
+    real_write = store.write
+
+    def failing(df, table, mode, partition_by=(), rows=None):
+        if table == intake.sales_table:
+            raise IOError("lost")
+        real_write(df, table, mode, partition_by, rows)
+
+    store.write = failing
+    with pytest.raises(Exception):
+        intake.take(spark.createDataFrame([(FLAT,)], "value string"))
+    store.write = real_write
+    intake.take(spark.createDataFrame([(FLAT,), (BARE,)], "value string"))
+    assert counts(store, intake) == (1, 1, 1, 1)
+    assert str(store.read(intake.sales_table).first().total_amount) == "4.50"
+    assert store.read(intake.items_table).first().item_id == "F-1-1"
+    assert rejects(store, intake) == [("superseded", BARE)]
+
+
+def test_a_batch_reads_the_files_of_its_buckets(spark, store):
+    intake = SalesIntake(store)
+    history = [(FLAT.replace("F-1", f"H-{n}"),) for n in range(300)]
+    intake.take(spark.createDataFrame(history, "value string"))
+    one = spark.createDataFrame([("H-7",)], "transaction_id string")
+    bucket = one.select(intake.bucket("transaction_id")).first()[0]
+    held = intake.held(intake.sales_table, one, "transaction_id", [bucket])
+    assert held.count() == 1
+    files = store.read(intake.sales_table).inputFiles()
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(intake_bucket" in plan or "(intake_bucket" in plan
+    read = [f for f in files if f"intake_bucket={bucket}/" in f]
+    assert 0 < len(read) < len(files) / 10
 
 
 def test_batch_and_stream_agree(spark, store, tmp_path):
@@ -82,11 +135,10 @@ def test_batch_and_stream_agree(spark, store, tmp_path):
         assert rows(store.read(table)) == rows(other.read(table))
 
 
-def test_append_unseen_does_not_shuffle_the_table(spark, store, settings):
-    store.write(spark.range(1000).select(F.col("id").cast("string").alias("k")), "t", "append")
-    rows_in = spark.range(995, 1005).select(F.col("id").cast("string").alias("k")).persist()
-    append_unseen(store, "t", rows_in, "k")
-    append_unseen(store, "t", rows_in, "k")
-    assert store.read("t").count() == 1005
-    assert store.read("t").distinct().count() == 1005
-    rows_in.unpersist()
+def test_rows_known_to_a_table_are_not_appended(spark, store):
+    intake = SalesIntake(store, buckets=4)
+    first = spark.range(1000).select(F.col("id").cast("string").alias("k"))
+    later = spark.range(995, 1005).select(F.col("id").cast("string").alias("k"))
+    for rows_in in (first, later, later):
+        intake.append_unseen("t", rows_in, "k", range(4))
+    assert store.read("t").count() == store.read("t").distinct().count() == 1005

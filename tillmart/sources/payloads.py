@@ -95,20 +95,25 @@ def accepted(normalized: DataFrame) -> DataFrame:
 def rejected(normalized: DataFrame) -> DataFrame:
     """Payloads that cannot become a sale, kept whole with the reason."""
     return normalized.filter(F.col("reject_reason").isNotNull()).select(
-        F.sha2("raw", 256).alias("payload_digest"), "reject_reason", "raw"
+        payload_digest().alias("payload_digest"), "reject_reason", "raw"
     )
 
 
-def one_per_sale(sales: DataFrame) -> DataFrame:
-    """Reduce repeated payloads of a sale to one, always the same one.
+def payload_digest() -> Column:
+    """What identifies a payload: its text as it was sent."""
+    return F.sha2("raw", 256)
 
-    The smallest record wins, so a recomputed task picks the same copy. `min` is
-    combined before the shuffle: a sale sent very often costs one row per task.
+
+def chosen_payloads(payloads: DataFrame) -> DataFrame:
+    """`transaction_id, payload_digest`: of the payloads of a sale, the one it is made of.
+
+    The earliest date wins, then the smallest digest, so a recomputed task picks the same
+    one. `min` is combined before the shuffle: a sale sent very often costs one row per task.
     """
-    rest = [name for name in sales.columns if name != "transaction_id"]
-    ordered = ["transaction_date"] + [name for name in rest if name != "transaction_date"]
-    kept = sales.groupBy("transaction_id").agg(F.min(F.struct(*ordered)).alias("sale"))
-    return kept.select("transaction_id", *[F.col(f"sale.{name}") for name in rest])
+    kept = payloads.groupBy("transaction_id").agg(
+        F.min(F.struct("transaction_date", "payload_digest")).alias("first")
+    )
+    return kept.select("transaction_id", F.col("first.payload_digest").alias("payload_digest"))
 
 
 def sale_headers(sales: DataFrame) -> DataFrame:

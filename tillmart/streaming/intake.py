@@ -2,73 +2,112 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tillmart.sources.payloads import (
-    accepted,
     acknowledgments,
+    chosen_payloads,
     normalize_payloads,
-    one_per_sale,
     parse_payloads,
-    rejected,
+    payload_digest,
     sale_headers,
     sale_items,
 )
 from tillmart.sources.stores import Store
 
-
-def unseen(store: Store, table: str, rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key the table does not hold yet.
-
-    The table is first reduced to the keys of this batch, so that a large table is
-    scanned for one column and not shuffled: the batch is cached, its size known,
-    and a small one is broadcast.
-    """
-    known = store.find(table)
-    if known is None:
-        return rows
-    seen = known.select(key).join(rows.select(key).distinct(), key, "left_semi").distinct()
-    return rows.join(seen, key, "left_anti")
-
-
-def append_unseen(store: Store, table: str, rows: DataFrame, key: str) -> None:
-    store.write(unseen(store, table, rows, key), table, "append")
+BUCKET = "intake_bucket"
+SUPERSEDED = "superseded"
 
 
 @dataclass
 class SalesIntake:
-    """Where accepted sales, their lines, acknowledgments and rejects go."""
+    """Where accepted sales, their lines, acknowledgments and rejects go.
+
+    The tables are stored by a hash bucket of their key; a batch is compared with the files
+    of its own buckets only.
+    """
 
     store: Store
     sales_table: str = "sales_transactions.sales"
     items_table: str = "sales_transactions.sales_items"
     acks_table: str = "sales_transactions.acknowledgments"
     rejects_table: str = "sales_transactions.rejected_payloads"
+    choices_table: str = "sales_transactions.chosen_payloads"
+    buckets: int = 64
+
+    def bucket(self, key: str) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+
+    def held(self, table: str, rows: DataFrame, key: str, buckets: Sequence[int]) -> DataFrame | None:
+        """The stored rows with a key of `rows`, which lie in the given buckets."""
+        known = self.store.find(table)
+        if known is None:
+            return None
+        near = known.filter(F.col(BUCKET).isin(list(buckets)))
+        return near.join(rows.select(key).distinct(), key, "left_semi")
+
+    def append_unseen(self, table: str, rows: DataFrame, key: str, buckets: Sequence[int]) -> None:
+        """Append the rows whose key the table does not hold yet."""
+        held = self.held(table, rows, key, buckets)
+        if held is not None:
+            rows = rows.join(held.select(key).distinct(), key, "left_anti")
+        self.store.write(rows.withColumn(BUCKET, self.bucket(key)), table, "append", [BUCKET])
+
+    def _buckets_of(self, rows: DataFrame, key: str) -> list[int]:
+        return [row[0] for row in rows.select(self.bucket(key)).distinct().collect()]
 
     def take(self, raw: DataFrame) -> None:
         """Take in a batch of payload texts.
 
-        The header is what makes a sale known, so it is written after the lines: a
-        batch that breaks off is completed when it is taken again, a reader who
-        joins the two tables never sees half a sale, and a repeated payload of a
-        known sale adds nothing. What is written is kept for the comparison with
-        each table; the batch itself is read once for sales and once for rejects.
+        A payload is identified by its digest: exact copies are replays and add nothing. One
+        payload is chosen for each sale, and the choice is recorded before anything else is
+        written; lines, header and acknowledgment follow the recorded choice whenever the
+        batch is taken again. Payloads that cannot be read, and those not chosen, now or
+        later, go to the rejects with the reason. So every payload is a sale, a copy, or a
+        reject. The batch is parsed once.
         """
         normalized = normalize_payloads(parse_payloads(raw))
-        sales = one_per_sale(accepted(normalized)).persist()
-        new = unseen(self.store, self.sales_table, sales, "transaction_id").persist()
-        rejects = rejected(normalized).dropDuplicates(["payload_digest"]).persist()
+        batch = normalized.withColumn("payload_digest", payload_digest())
+        batch = batch.dropDuplicates(["payload_digest"]).persist()
+        good = batch.filter(F.col("reject_reason").isNull())
+        buckets: list[int] = []
+        columns = ["payload_digest", "reject_reason", "raw"]
+        rejects = batch.filter(F.col("reject_reason").isNotNull()).select(columns)
         try:
-            append_unseen(self.store, self.items_table, sale_items(new), "transaction_id")
-            self.store.write(sale_headers(new), self.sales_table, "append")
-            append_unseen(self.store, self.acks_table, acknowledgments(sales), "transactionId")
-            append_unseen(self.store, self.rejects_table, rejects, "payload_digest")
+            buckets = self._buckets_of(good, "transaction_id")
+            if buckets:
+                decided = self._decided(good, buckets).persist()
+                self._store_sales(decided.filter("is_chosen"), buckets)
+                late = decided.filter("NOT is_chosen")
+                late = late.withColumn("reject_reason", F.lit(SUPERSEDED)).select(columns)
+                rejects = rejects.unionByName(late)
+            digests = self._buckets_of(rejects, "payload_digest")
+            if digests:
+                self.append_unseen(self.rejects_table, rejects, "payload_digest", digests)
         finally:
-            for kept in (rejects, new, sales):
-                kept.unpersist()
+            if buckets:
+                decided.unpersist()
+            batch.unpersist()
+
+    def _decided(self, good: DataFrame, buckets: Sequence[int]) -> DataFrame:
+        """The payloads, `is_chosen` telling those that the recorded choices name."""
+        key = "transaction_id"
+        self.append_unseen(self.choices_table, chosen_payloads(good), key, buckets)
+        recorded = self.held(self.choices_table, good, key, buckets)
+        choices = recorded.select(key, F.col("payload_digest").alias("chosen_digest"))
+        is_chosen = F.col("payload_digest") == F.col("chosen_digest")
+        return good.join(choices, key).withColumn("is_chosen", is_chosen)
+
+    def _store_sales(self, sales: DataFrame, buckets: Sequence[int]) -> None:
+        self.append_unseen(self.items_table, sale_items(sales), "transaction_id", buckets)
+        self.append_unseen(self.sales_table, sale_headers(sales), "transaction_id", buckets)
+        acks = acknowledgments(sales)
+        self.append_unseen(self.acks_table, acks, "transactionId", buckets)
 
     def start(
         self,
