@@ -164,3 +164,22 @@ def test_days_are_wall_clock_days_in_any_zone(spark, settings, zone):
     assert [r.day for r in worksheets.sales_over_time(full).collect()] == [
         datetime(2018, 11, 3), datetime(2018, 11, 4),
     ]
+
+
+def test_days_as_a_table_prune_the_months_of_a_stored_mart(spark, store):
+    days = [date(2025, 1, 5), date(2025, 3, 5), date(2025, 6, 5)]
+    df = spark.createDataFrame([(n, datetime(d.year, d.month, d.day)) for n, d in enumerate(days)], "n int, transaction_date timestamp_ntz")
+    store.write(with_month(df), "full", "overwrite", ["sale_month"])
+    chosen = spark.createDataFrame([(days[1],), (days[1],)], "day date")
+    found = on_days(store.read("full"), chosen)
+    assert [r.n for r in found.collect()] == [1]
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_many_days_take_the_same_form(spark):
+    rows_in = [(n, datetime(2020, 1, 1) + timedelta(days=n)) for n in range(1000)]
+    df = spark.createDataFrame(rows_in, "n int, transaction_date timestamp_ntz")
+    odd = [at.date() for n, at in rows_in if n % 2]
+    assert on_days(df, odd).count() == 500
+    plan = on_days(df, odd)._jdf.queryExecution().optimizedPlan().toString()
+    assert "2020-01-02" in plan and "2022-09-26" in plan

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import date, datetime, timedelta
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +11,6 @@ from pyspark.sql import functions as F
 from tillmart.functions.calendar import day_start, month_start
 
 MONTH_COLUMN = "sale_month"
-MAX_RANGES = 100
 
 Days = Iterable[date] | DataFrame | None
 
@@ -21,51 +19,40 @@ def _as_date(day: date) -> date:
     return day.date() if isinstance(day, datetime) else day
 
 
-def _ranges(days: list[date]) -> list[tuple[date, date]]:
-    """Sorted days as half-open ranges; neighbouring days form one range."""
-    ranges: list[tuple[date, date]] = []
-    for day in days:
-        following = day + timedelta(days=1)
-        if ranges and ranges[-1][1] == day:
-            ranges[-1] = (ranges[-1][0], following)
-        else:
-            ranges.append((day, following))
-    return ranges
-
-
 def _midnight(day: date) -> Column:
     return F.lit(day).cast("timestamp_ntz")
 
 
-def _within(when: Column, ranges: list[tuple[date, date]]) -> Column:
-    inside = [(when >= _midnight(first)) & (when < _midnight(end)) for first, end in ranges]
-    return reduce(lambda left, right: left | right, inside)
-
-
 def on_days(df: DataFrame, days: Days, column: str = "transaction_date") -> DataFrame:
     """Rows whose day is selected; None means no selection and keeps every row.
 
-    A list becomes range predicates on the raw column, which reach the scan, and,
-    on a table stored by month, a month list that prunes its partitions. A DataFrame
-    of days (first column) becomes a semi-join.
+    A list becomes the span of its days on the raw column, which reaches the scan, and the
+    list of days itself; on a table stored by month, a list of months prunes its partitions.
+    A DataFrame of days (first column) becomes a semi-join, on such a table also on the
+    month, so that partitions are pruned when it runs.
     """
     if days is None:
         return df
+    by_month = MONTH_COLUMN in df.columns
     if isinstance(days, DataFrame):
-        chosen = days.select(day_start(F.col(days.columns[0])).alias("_day"))
+        day = day_start(F.col(days.columns[0]))
+        # Both bounds hold for any day; a filter on the days is what lets Spark prune by them.
+        first, last = (F.lit(text).cast("timestamp_ntz") for text in ("0001-01-01", "9999-12-31"))
+        chosen = days.select(day.alias("_day")).filter(F.col("_day").between(first, last))
         keyed = df.withColumn("_day", day_start(F.col(column)))
-        return keyed.join(chosen, "_day", "left_semi").drop("_day")
+        keys = ["_day"]
+        if by_month:
+            chosen = with_month(chosen, "_day")
+            keys.append(MONTH_COLUMN)
+        return keyed.join(chosen.distinct(), keys, "left_semi").select(df.columns)
     chosen = sorted({_as_date(day) for day in days})
     if not chosen:
         return df.filter(F.lit(False))
     when = F.col(column)
-    ranges = _ranges(chosen)
-    if len(ranges) > MAX_RANGES:
-        span = [(chosen[0], chosen[-1] + timedelta(days=1))]
-        kept = df.filter(_within(when, span)).filter(when.cast("date").isin(chosen))
-    else:
-        kept = df.filter(_within(when, ranges))
-    if MONTH_COLUMN in df.columns:
+    following = chosen[-1] + timedelta(days=1)
+    kept = df.filter((when >= _midnight(chosen[0])) & (when < _midnight(following)))
+    kept = kept.filter(when.cast("date").isin(chosen))
+    if by_month:
         months = sorted({date(day.year, day.month, 1) for day in chosen})
         kept = kept.filter(F.col(MONTH_COLUMN).isin(months))
     return kept

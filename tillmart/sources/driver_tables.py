@@ -13,16 +13,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread the rows of a small scan, if it leaves most cores idle.
-
-    A file of one row group is one task, however many cores there are. A scan with a
-    partition for every second core or more stays as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *columns) if df.rdd.getNumPartitions() * 2 <= cores else df
-
-
 def sales(spark: SparkSession, folder: str) -> DataFrame:
     """Sale headers: one per order."""
     return _headers(spark, folder, table(spark, folder, "orders"))
@@ -53,7 +43,7 @@ def _headers(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
 
 def sales_items(spark: SparkSession, folder: str) -> DataFrame:
     """Sale lines: one per line item."""
-    lineitem = spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey")
+    lineitem = table(spark, folder, "lineitem")
     part = table(spark, folder, "part")
     return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"),
@@ -65,28 +55,34 @@ def sales_items(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payload_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales as they are sent in, with zero to three items each in an array."""
-    orders = spread(table(spark, folder, "orders"), "o_orderkey")
-    header = _headers(spark, folder, orders)
-    key = F.col("transaction_id").cast("long")
-
-    def item(place: Column) -> Column:
-        return F.struct(
-            F.concat_ws("-", "transaction_id", place.cast("string")).alias("item_id"),
-            F.concat(F.lit('Title "'), ((key + place) % 500).cast("string"), F.lit('", vol. 1')).alias(
-                "product_name"
-            ),
-            ((key + place * 7) % 90000 / 100).cast(MONEY).alias("price"),
-            ((key + place) % 5 + 1).cast("int").alias("quantity"),
-        )
-
-    places = F.filter(F.array(*[F.lit(n) for n in (1, 2, 3)]), lambda n: n <= key % 4)
-    return header.withColumn("items", F.transform(places, item))
+    """Sales as they are sent in, each with all its lines in an array."""
+    line = F.struct("item_id", "product_name", "price", "quantity")
+    arrays = (
+        sales_items(spark, folder)
+        .groupBy("transaction_id")
+        .agg(F.sort_array(F.collect_list(line)).alias("items"))
+    )
+    joined = sales(spark, folder).join(arrays, "transaction_id", "left")
+    none = F.array().cast(arrays.schema["items"].dataType)
+    return joined.withColumn("items", F.coalesce("items", none))
+
+
+def amended(sent: DataFrame) -> DataFrame:
+    """The same sales, sent once more a day later with another amount."""
+    return sent.withColumns(
+        {
+            "transaction_date": F.col("transaction_date") + F.expr("INTERVAL 1 DAY"),
+            "total_amount": (F.col("total_amount") + 1).cast(MONEY),
+        }
+    )
 
 
 def raw_payloads(spark: SparkSession, folder: str) -> DataFrame:
+    return as_payloads(payload_sales(spark, folder))
+
+
+def as_payloads(sent: DataFrame) -> DataFrame:
     """One JSON document per sale: odd sale numbers come nested, even ones flat."""
-    sent = payload_sales(spark, folder)
     odd = F.col("transaction_id").cast("long") % 2 == 1
     local_time = iso_text(F.col("transaction_date"))
     nested = F.struct(
