@@ -109,6 +109,19 @@ def test_delta_with_tie_key_takes_late_ties(spark, stores):
     assert ids(stores) == [1, 2, 3, 4]
 
 
+def test_a_null_tie_key_is_loaded_once(spark, stores):
+    put(stores[0], [(None, "a", T1), (2, "b", T1)])
+    load(spark, stores, times=3, tie_key="id", **DELTA)
+    assert stores[1].read("stage.t").count() == 2
+
+
+def test_tie_key_must_be_loaded(spark, stores):
+    put(stores[0], [(1, "a", T0)])
+    load(spark, stores, **DELTA)
+    with pytest.raises(ValueError, match="tie key"):
+        load(spark, stores, fields="name,changed", tie_key="id", **DELTA)
+
+
 def test_delta_column_must_be_loaded(spark, stores):
     put(stores[0], [(1, "a", T0)])
     with pytest.raises(ValueError, match="delta column"):

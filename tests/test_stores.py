@@ -2,10 +2,13 @@ from __future__ import annotations
 
 import glob
 import re
+from datetime import date, datetime
+from decimal import Decimal
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from tillmart.operators.lines import sale_lines, sold_by_product
@@ -21,6 +24,7 @@ from tillmart.sources.stores import (
     _sql_state,
     zone_timestamps,
 )
+from tillmart.plans.ingest import TableConfig, run_ingest
 from samples import line, rows, sale, tables
 
 
@@ -42,11 +46,59 @@ def test_a_broken_table_is_not_a_missing_one(spark, tmp_path):
 
 @pytest.mark.parametrize("format", ["parquet", "orc", "json", "csv"])
 def test_folder_formats(spark, tmp_path, format):
-    store = FolderStore(spark, str(tmp_path), format)
-    df = spark.range(3).select(F.col("id").cast("string").alias("k"))
+    schema = (
+        "k string, n int, price decimal(10,2), at timestamp_ntz, day date, big bigint, none string, "
+        "stamp timestamp"
+    )
+    day = date(2025, 1, 2)
+    stamp = datetime(2025, 1, 2, 3, 4, 5, 678000)
+    given = [
+        ("1", 1, Decimal("1.50"), datetime(2025, 1, 2, 3, 4, 5, 600000), day, 1 << 60, None, stamp),
+        ('a "b", c', None, None, None, None, None, None, None),
+        (" lead\\", 0, Decimal("-0.01"), datetime(1999, 12, 31), day, -1, None, stamp),
+        ("", 7, Decimal("0.00"), datetime(2000, 2, 29), day, 0, None, stamp),
+    ]
+    df = spark.createDataFrame(given, schema)
+    schemas = {"a.b": df.schema} if format in ("json", "csv") else {}
+    store = FolderStore(spark, str(tmp_path), format, schemas=schemas)
+    assert store.find("a.b") is None
     store.write(df, "a.b", "overwrite")
+    assert rows(store.read("a.b")) == rows(df)
+    assert [f.dataType for f in store.read("a.b").schema] == [f.dataType for f in df.schema]
     store.write(df, "a.b", "append")
-    assert store.read("a.b").count() == 6
+    assert store.read("a.b").count() == store.count("a.b") == 8
+
+
+@pytest.mark.parametrize("format", ["json", "csv"])
+def test_text_tables_need_their_schema(spark, tmp_path, format):
+    df = spark.range(3)
+    bare = FolderStore(spark, str(tmp_path), format)
+    for call in (lambda: bare.write(df, "t", "append"), lambda: bare.read("t")):
+        with pytest.raises(ValueError, match="needs a schema"):
+            call()
+    typed = FolderStore(spark, str(tmp_path), format, schemas={"s.t": df.schema})
+    with pytest.raises(ValueError, match="do not have the schema"):
+        typed.write(df.withColumn("more", F.lit(1)), "s.t", "append")
+    with pytest.raises(ValueError, match="would not know its types"):
+        typed.register("s.t")
+
+
+def test_a_delta_load_into_a_text_table(spark, tmp_path, store):
+    source_rows = spark.createDataFrame([(n, datetime(2025, 1, n)) for n in range(1, 6)], "n int, at timestamp_ntz")
+    stamped = source_rows.withColumn("ingest_timestamp", F.current_timestamp()).schema
+    target = FolderStore(spark, str(tmp_path / "csv"), "csv", schemas={"t": stamped})
+    entry = {"source_table": "t", "target_table": "t", "fields": "*", "load_type": "delta", "delta_column": "at"}
+    for upto in (3, 5, 5):
+        store.write(source_rows.filter(F.col("n") <= upto), "t", "overwrite")
+        run_ingest(spark, store, target, [TableConfig.from_dict(entry)], ["t"])
+    assert sorted(r.n for r in target.read("t").collect()) == [1, 2, 3, 4, 5]
+
+
+def test_rows_are_counted_once_they_are_gathered(spark, store):
+    seen = Observation()
+    df = spark.range(100).withColumn("p", F.col("id") % 3)
+    store.write(df, "t", "overwrite", ["p"], seen)
+    assert seen.get == {"rows": 100}
 
 
 def test_partitioned_write_keeps_a_hot_value_whole(spark, store):
@@ -92,6 +144,11 @@ def test_jdbc_options(spark):
         "id", "0", "900", "9",
     )
     assert store.write_options("s.t")["batchsize"] == "10000"
+    assert store.write_options("s.t")["numPartitions"] == "16"
+    with pytest.raises(ValueError, match="needs a split"):
+        store.read("s.t")
+    with pytest.raises(ValueError, match="not stored by"):
+        store.write(spark.range(1), "s.t", "append", ["id"])
     assert "secret" not in repr(store)
 
 
@@ -136,9 +193,16 @@ def test_scratch_lies_in_the_shared_folder(spark):
     assert first.startswith(spark.conf.get("spark.checkpoint.dir") + "/x-")
 
 
-def test_export_names():
-    from datetime import datetime
+def test_scratch_without_a_shared_folder_lies_beside_the_warehouse(spark, monkeypatch):
+    monkeypatch.setattr("tillmart.sources.scratch.SHARED_DIR_SETTING", "spark.not.set")
+    assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch/x-")
+
 
+def test_scratch_lies_where_the_caller_says(spark, tmp_path):
+    assert scratch_dir(spark, "x", str(tmp_path)).startswith(f"{tmp_path}/x-")
+
+
+def test_export_names():
     assert folder_name("a.b_c", datetime(2025, 1, 2, 3, 4, 5)) == "a_b_c_20250102_030405"
 
 

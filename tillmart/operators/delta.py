@@ -38,9 +38,11 @@ def not_older_than(
     """Rows at or above the mark that the target does not hold yet.
 
     For sources where rows may arrive late with the value of the mark itself. Only
-    the part of the target that carries the mark is compared.
+    the part of the target that carries the mark is compared; a null key is a key as
+    any other.
     """
     if mark is None:
         return source
-    loaded = target.filter(F.col(column) == mark).select(key)
-    return source.filter(F.col(column) >= mark).join(loaded, key, "left_anti")
+    loaded = target.filter(F.col(column) == mark).select(F.col(key).alias("_loaded")).distinct()
+    late = source.filter(F.col(column) >= mark)
+    return late.join(loaded, late[key].eqNullSafe(loaded["_loaded"]), "left_anti")

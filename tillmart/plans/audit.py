@@ -71,7 +71,6 @@ class Run:
         """Append this run's rows to an audit table."""
         store.write(self.frame(), table, "append")
 
-
     def each(self, work: Callable[[str], None], tables: Sequence[str], at_once: int) -> None:
         """Work on independent tables, some at a time, and keep the rows in list order.
 
@@ -84,6 +83,11 @@ class Run:
         self.rows.sort(key=lambda row: place[row.table_name])
 
 
+def summary(error: Exception) -> str:
+    """Kind and first line of an error; the rest may name addresses and logins."""
+    return f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"
+
+
 def now() -> datetime:
     return datetime.now(timezone.utc)
 
@@ -93,8 +97,8 @@ def stamped(df: DataFrame, column: str, at: datetime) -> DataFrame:
     return df.withColumn(column, F.lit(at).cast("timestamp"))
 
 
-def counted_write(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
-    """Write and return the number of rows written, counted by the write itself."""
+def counted_write(write: Callable[[Observation], None]) -> int:
+    """Write and return the number of rows written, which the write itself observes."""
     written = Observation()
-    write(df.observe(written, F.count(F.lit(1)).alias("rows")))
+    write(written)
     return written.get["rows"]

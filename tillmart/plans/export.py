@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillmart.plans.audit import DONE, FAILED, Run, counted_write, now
+from tillmart.plans.audit import DONE, FAILED, Run, counted_write, now, summary
 from tillmart.schemas import WIDE_MONEY
 from tillmart.sources.stores import Store, zone_timestamps
 
@@ -46,9 +46,12 @@ def write_csv(df: DataFrame, path: str, lossless: bool = False) -> int:
             "ignoreTrailingWhiteSpace": "false",
             "escape": '"',
         }
-    return counted_write(
-        df, lambda rows: rows.write.mode("overwrite").options(**options).csv(path)
-    )
+
+    def write(seen: Observation) -> None:
+        counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+        counted.write.mode("overwrite").options(**options).csv(path)
+
+    return counted_write(write)
 
 
 def read_csv(
@@ -89,7 +92,7 @@ def run_export(
             written = write_csv(as_exported(store.read(table)), path)
             run.record(table, DONE, started, rows_in=written, rows_out=written, message=path)
         except Exception as error:
-            run.record(table, FAILED, started, message=str(error))
+            run.record(table, FAILED, started, message=summary(error))
 
     run.each(export, list(dict.fromkeys(tables)), at_once)
     if audit and run.rows:

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.operators.delta import high_water_mark, newer_than, not_older_than
-from tillmart.plans.audit import DONE, FAILED, SKIPPED, Run, counted_write, now, stamped
+from tillmart.plans.audit import DONE, FAILED, SKIPPED, Run, counted_write, now, stamped, summary
 from tillmart.sources.stores import DEFAULT_FETCH_SIZE, ReadSplit, Store
 
 STAMP_COLUMN = "ingest_timestamp"
@@ -78,11 +78,16 @@ def rows_to_load(source: Store, target: Store, config: TableConfig) -> DataFrame
         raise ValueError(
             f"{config.source}: delta column {config.delta_column!r} is not among the loaded fields"
         )
-    loaded = target.find(config.target)
-    if loaded is None:
+    marks = target.marks(config.target, config.delta_column)
+    if marks is None:
         return rows
-    mark = high_water_mark(loaded, config.delta_column)
+    mark = high_water_mark(marks, config.delta_column)
     if config.tie_key:
+        if config.tie_key not in rows.columns:
+            raise ValueError(
+                f"{config.source}: tie key {config.tie_key!r} is not among the loaded fields"
+            )
+        loaded = target.read(config.target, config.batch_size)
         return not_older_than(rows, loaded, config.delta_column, mark, config.tie_key)
     return newer_than(rows, config.delta_column, mark)
 
@@ -101,13 +106,13 @@ def ingest_table(
     rows = rows_to_load(source, target, config)
     stamped_rows = stamped(rows, STAMP_COLUMN, run.stamp)
     written = counted_write(
-        stamped_rows, lambda df: target.write(df, config.target, config.mode)
+        lambda rows: target.write(stamped_rows, config.target, config.mode, rows=rows)
     )
     rows_in: int | None = None if config.is_delta else written
     message = f"{config.load_type} load, {config.mode}"
     if reconcile:
         rows_in = source.read(config.source, config.batch_size, config.split).count()
-        total = target.read(config.target, config.batch_size).count()
+        total = target.count(config.target)
         message = f"{message}, source {rows_in}, target {total}"
     run.record(config.target, DONE, started, rows_in, written, message)
 
@@ -162,13 +167,10 @@ def run_ingest(
             try:
                 ingest_table(source, target, config, run, reconcile)
             except Exception as error:
-                run.record(config.target, FAILED, started, message=_summary(error))
+                run.record(config.target, FAILED, started, message=summary(error))
                 raise
     finally:
         if audit and run.rows:
             run.save(*audit)
     return run.frame()
 
-
-def _summary(error: Exception) -> str:
-    return f"{type(error).__name__}: {str(error).splitlines()[0] if str(error) else ''}"

@@ -11,8 +11,6 @@ from tillmart.sources.stores import Store
 
 START, FINISH, OTHER = "start", "finish", "other"
 
-START, FINISH, OTHER = "start", "finish", "other"
-
 # Levels, and how the messages of a step begin, up to the table.
 LEVELS = ["INFO", "ERROR"]
 STEPS = [

@@ -13,7 +13,7 @@ from tillmart.functions.calendar import age_band, month_start
 from tillmart.functions.masking import mask_columns
 from tillmart.operators.days import MONTH_COLUMN, with_month
 from tillmart.operators.lines import sale_lines, sold_by_product
-from tillmart.plans.audit import DONE, FAILED, Run, counted_write, now, stamped
+from tillmart.plans.audit import DONE, FAILED, Run, counted_write, now, stamped, summary
 from tillmart.schemas import WIDE_MONEY
 from tillmart.sources.stores import Store
 
@@ -134,7 +134,7 @@ def write_mart(
     if mart.by_month:
         rows, partition_by = with_month(rows), (MONTH_COLUMN,)
     return counted_write(
-        rows, lambda df: target.write(df, mart.target_table, "overwrite", partition_by)
+        lambda seen: target.write(rows, mart.target_table, "overwrite", partition_by, seen)
     )
 
 
@@ -161,7 +161,7 @@ def run_datamarts(
             written = write_mart(staging, target, by_table[table], run, sales_table, items_table)
             run.record(table, DONE, started, rows_out=written)
         except Exception as error:
-            run.record(table, FAILED, started, message=str(error))
+            run.record(table, FAILED, started, message=summary(error))
 
     run.each(build, list(by_table), at_once)
     if audit and run.rows:

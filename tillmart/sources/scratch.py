@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -10,16 +9,18 @@ from pyspark.sql import SparkSession
 SHARED_DIR_SETTING = "spark.checkpoint.dir"
 
 
-def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A new folder name under the cluster's shared folder.
+def scratch_dir(spark: SparkSession, label: str, base: str | None = None) -> str:
+    """A new folder name under `base`, which goes when the session's driver ends.
 
-    The shared folder is the one the session names. Only a local session, whose
-    tasks all run on this machine, may fall back to a temporary folder.
+    Without `base` it is the shared folder the session names, else a folder beside the
+    tables of its warehouse.
     """
-    base = spark.conf.get(SHARED_DIR_SETTING, None)
+    base = base or spark.conf.get(SHARED_DIR_SETTING, None)
     if not base:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
-            raise RuntimeError(f"set {SHARED_DIR_SETTING} to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tillmart-")
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return folder

@@ -6,18 +6,31 @@ does not exist yet), `query` and `write`.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 DEFAULT_FETCH_SIZE = 10_000
 
+# Formats that keep no types, and the options that make them give back what was written.
+TEXT_FORMATS = {
+    "csv": {
+        "header": "true",
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": "false",
+        "ignoreTrailingWhiteSpace": "false",
+    },
+    "json": {"ignoreNullFields": "false"},
+}
+# What stands for null in CSV must differ from quoted empty text.
+TEXT_READ = {"csv": {"nullValue": "\u0000", "mode": "FAILFAST"}, "json": {"mode": "FAILFAST"}}
+
 # Error conditions and SQL states that mean "no such table".
 MISSING_CONDITIONS = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}
 MISSING_SQL_STATES = {"42P01", "42S02", "42X05"}
@@ -46,13 +59,26 @@ class Store:
         raise NotImplementedError
 
     def write(
-        self, df: DataFrame, table: str, mode: str, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        table: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        rows: Observation | None = None,
     ) -> None:
+        """Write a table; `rows` is told how many rows the writing tasks wrote."""
         raise NotImplementedError
 
-    def query(self, sql: str) -> DataFrame:
+    def query(self, sql: str, split: ReadSplit | None = None) -> DataFrame:
         return self.spark.sql(sql)
 
+    def marks(self, table: str, column: str) -> DataFrame | None:
+        """Values of a column whose largest is the largest of the table."""
+        return self.find(table)
+
+    def count(self, table: str) -> int:
+        return self.read(table).count()
+
     def find(self, table: str) -> DataFrame | None:
         try:
             return self.read(table)
@@ -71,15 +97,25 @@ def _gathered(df: DataFrame, columns: Sequence[str], number: int | None = None)
     return df.hint("rebalance", *([number] if number else []), *columns)
 
 
+def _observed(df: DataFrame, rows: Observation | None) -> DataFrame:
+    """Count the rows as they are written, after any gathering: a map stage that runs again
+    for a lost executor would count again."""
+    return df.observe(rows, F.count(F.lit(1)).alias("rows")) if rows else df
+
+
 @dataclass
 class FolderStore(Store):
     """One folder or file per table: `schema.table` is stored as `root/schema/table`,
-    followed by `suffix` if the files carry one."""
+    followed by `suffix` if the files carry one.
+
+    CSV and JSON keep no types, so tables in these formats need an entry in `schemas`.
+    """
 
     spark: SparkSession
     root: str
     format: str = "parquet"
     suffix: str = ""
+    schemas: Mapping[str, T.StructType] = field(default_factory=dict)
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}{self.suffix}"
@@ -87,17 +123,37 @@ class FolderStore(Store):
     def read(
         self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: ReadSplit | None = None
     ) -> DataFrame:
+        reader = self.spark.read.format(self.format)
+        if self.format in TEXT_FORMATS:
+            options = TEXT_FORMATS[self.format] | TEXT_READ[self.format]
+            reader = reader.schema(self._schema(table)).options(**options)
         try:
-            return self.spark.read.format(self.format).load(self.path(table))
+            return reader.load(self.path(table))
         except AnalysisException as error:
             if error.getCondition() in MISSING_CONDITIONS:
                 raise MissingTable(table) from error
             raise
 
+    def _schema(self, table: str) -> T.StructType:
+        if table not in self.schemas:
+            raise ValueError(f"{table}: a table stored as {self.format} needs a schema")
+        return self.schemas[table]
+
     def write(
-        self, df: DataFrame, table: str, mode: str, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        table: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        rows: Observation | None = None,
     ) -> None:
-        writer = _gathered(df, partition_by).write.format(self.format).mode(mode)
+        gathered = _observed(_gathered(df, partition_by), rows)
+        writer = gathered.write.format(self.format).mode(mode)
+        if self.format in TEXT_FORMATS:
+            wanted = [(f.name, f.dataType) for f in self._schema(table)]
+            if [(f.name, f.dataType) for f in df.schema] != wanted:
+                raise ValueError(f"{table}: the rows do not have the schema of the table")
+            writer = writer.options(**TEXT_FORMATS[self.format])
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path(table))
@@ -108,6 +164,8 @@ class FolderStore(Store):
             if "." not in table:
                 self.read(table).createOrReplaceTempView(table)
                 continue
+            if self.format in TEXT_FORMATS:
+                raise ValueError(f"{table}: SQL text would not know its types as {self.format}")
             schema = table.rsplit(".", 1)[0]
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
             self.spark.sql(
@@ -139,7 +197,12 @@ class CatalogStore(Store):
             raise
 
     def write(
-        self, df: DataFrame, table: str, mode: str, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        table: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        rows: Observation | None = None,
     ) -> None:
         if "." in table:
             self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {table.rsplit('.', 1)[0]}")
@@ -148,7 +211,7 @@ class CatalogStore(Store):
             df = _gathered(df, [bucket[0]], bucket[1])
         else:
             df = _gathered(df, partition_by)
-        writer = df.write.mode(mode).format("parquet")
+        writer = _observed(df, rows).write.mode(mode).format("parquet")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         if bucket:
@@ -162,7 +225,11 @@ class CatalogStore(Store):
 @dataclass
 class JdbcStore(Store):
     """Tables of a relational database. Credentials come from the caller and are
-    kept out of `repr`, so that they do not end up in logs."""
+    kept out of `repr`, so that they do not end up in logs.
+
+    A table is scanned by several connections: reading it needs a split, given with the call
+    or in `splits`. A query without one is a single connection, for small results.
+    """
 
     spark: SparkSession
     url: str = field(repr=False)
@@ -170,6 +237,8 @@ class JdbcStore(Store):
     password: str = field(repr=False)
     driver: str
     batch_size: int = DEFAULT_FETCH_SIZE
+    splits: Mapping[str, ReadSplit] = field(default_factory=dict)
+    write_connections: int = 16
 
     def _login(self) -> dict[str, str]:
         return {
@@ -195,7 +264,12 @@ class JdbcStore(Store):
     def read(
         self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: ReadSplit | None = None
     ) -> DataFrame:
-        options = self.read_options(table, fetch_size, split)
+        split = split or self.splits.get(table)
+        if split is None:
+            raise ValueError(f"{table}: a scan over JDBC needs a split")
+        return self._load(table, self.read_options(table, fetch_size, split))
+
+    def _load(self, table: str, options: dict[str, str]) -> DataFrame:
         try:
             return self.spark.read.format("jdbc").options(**options).load()
         except (AnalysisException, Py4JJavaError) as error:
@@ -203,18 +277,38 @@ class JdbcStore(Store):
                 raise MissingTable(table) from error
             raise
 
-    def query(self, sql: str) -> DataFrame:
+    def query(self, sql: str, split: ReadSplit | None = None) -> DataFrame:
         """The database evaluates the statement; Spark sees its result."""
-        options = self.read_options(f"({sql}) AS src", DEFAULT_FETCH_SIZE, None)
-        return self.spark.read.format("jdbc").options(**options).load()
+        options = self.read_options(f"({sql}) AS src", DEFAULT_FETCH_SIZE, split)
+        return self._load(sql, options)
+
+    def marks(self, table: str, column: str) -> DataFrame | None:
+        try:
+            return self.query(f"SELECT MAX({column}) AS {column} FROM {table}")
+        except MissingTable:
+            return None
+
+    def count(self, table: str) -> int:
+        return self.query(f"SELECT COUNT(*) AS n FROM {table}").first()[0]
 
     def write_options(self, table: str) -> dict[str, str]:
-        return self._login() | {"dbtable": table, "batchsize": str(self.batch_size)}
+        return self._login() | {
+            "dbtable": table,
+            "batchsize": str(self.batch_size),
+            "numPartitions": str(self.write_connections),
+        }
 
     def write(
-        self, df: DataFrame, table: str, mode: str, partition_by: Sequence[str] = ()
+        self,
+        df: DataFrame,
+        table: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        rows: Observation | None = None,
     ) -> None:
-        zoned = zone_timestamps(df)
+        if partition_by:
+            raise ValueError(f"{table}: a database table is not stored by {list(partition_by)}")
+        zoned = _observed(zone_timestamps(df), rows)
         zoned.write.format("jdbc").options(**self.write_options(table)).mode(mode).save()
 
 
