@@ -22,7 +22,7 @@ from tillmart.sources import driver_tables as source
 from tillmart.sources import payloads
 from tillmart.sources.scratch import scratch_dir
 from tillmart.sources.stores import FolderStore
-from tillmart.streaming.intake import SalesIntake
+from tillmart.streaming.intake import SUPERSEDED, SalesIntake
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -84,6 +84,14 @@ def sale_document(spark: SparkSession, folder: str) -> DataFrame:
     return documents.select("transactionId", "part", document_json(documents).alias("document"))
 
 
+def sale_document_parts(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents whose lines are dealt to four parts by content."""
+    documents = sale_documents(
+        source.sales(spark, folder), source.sales_items(spark, folder), parts=4
+    )
+    return documents.select("transactionId", "part", document_json(documents).alias("document"))
+
+
 def sale_document_requested(spark: SparkSession, folder: str) -> DataFrame:
     documents = requested_documents(
         source.sales(spark, folder), source.sales_items(spark, folder), _requests(spark, folder)
@@ -135,6 +143,13 @@ def payload_to_items(spark: SparkSession, folder: str) -> DataFrame:
     return payloads.sale_items(_taken(spark, folder))
 
 
+def payload_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """From the payload to the tables and back to the document."""
+    taken = _taken(spark, folder)
+    documents = sale_documents(payloads.sale_headers(taken), payloads.sale_items(taken))
+    return documents.select("transactionId", document_json(documents).alias("document"))
+
+
 def payload_ack(spark: SparkSession, folder: str) -> DataFrame:
     return payloads.acknowledgments(_taken(spark, folder)).drop("timestamp")
 
@@ -157,16 +172,19 @@ def payload_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_payload_intake(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream all payloads, each sent twice, plus damaged ones; then replay them all."""
+    """Stream all payloads, each sent twice, a differing one of each sale, and damaged ones;
+    then replay them all. `superseded` counts the differing payloads kept as rejects."""
     store = _scratch(spark, "intake")
-    raw = source.raw_payloads(spark, folder)
-    raw.union(raw).union(_damaged(raw)).write.text(f"{store.root}/payloads")
+    sent = source.payload_sales(spark, folder)
+    raw = source.as_payloads(sent)
+    later = source.as_payloads(source.amended(sent))
+    raw.union(raw).union(later).union(_damaged(raw)).write.text(f"{store.root}/payloads")
     intake = SalesIntake(store)
     for attempt in ("first", "replay"):
         intake.start(
             spark, f"{store.root}/payloads", f"{store.root}/checkpoint-{attempt}"
         ).awaitTermination()
-    sales = store.read(intake.sales_table)
+    sales = store.read(intake.sales_table).select(*HEADER_COLUMNS)
     lines = (
         store.read(intake.items_table)
         .groupBy("transaction_id")
@@ -175,7 +193,14 @@ def stream_payload_intake(spark: SparkSession, folder: str) -> DataFrame:
             F.sum(F.col("price") * F.col("quantity")).cast(WIDE_MONEY).alias("item_total"),
         )
     )
-    return sales.join(lines, "transaction_id", "left")
+    rejects = store.read(intake.rejects_table).filter(F.col("reject_reason") == SUPERSEDED)
+    named = F.coalesce(
+        F.get_json_object("raw", "$.transactionId"), F.get_json_object("raw", "$.salesId")
+    )
+    superseded = rejects.groupBy(named.alias("transaction_id")).agg(
+        F.count(F.lit(1)).alias("superseded")
+    )
+    return sales.join(lines, "transaction_id", "left").join(superseded, "transaction_id", "left")
 
 
 # --- ingest ----------------------------------------------------------------------
@@ -199,6 +224,21 @@ def ingest_full(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def ingest_stamp(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit column of a full load: one value for every row of the run."""
+    target = _scratch(spark, "stamp")
+    _ingest(spark, _given(spark, folder), target, "orders", fields="*", load_type="full")
+    return _stamps(target.read("staging.orders"), "staging.orders", "ingest_timestamp")
+
+
+def _stamps(rows: DataFrame, table: str, column: str) -> DataFrame:
+    return rows.agg(
+        F.lit(table).alias("table_name"),
+        F.count(column).alias("stamped_rows"),
+        F.count_distinct(column).alias("stamps"),
+    ).select("table_name", "stamped_rows", "stamps")
+
+
 def ingest_append(spark: SparkSession, folder: str) -> DataFrame:
     return _ingest(
         spark, _given(spark, folder), _scratch(spark, "append"), "orders",
@@ -340,6 +380,96 @@ def _mart(mart: marts.Mart) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
+# The five marts as statements of a JSON configuration.
+SQL_MARTS = [
+    {
+        "target_table": "dm_sales.top_selling_products",
+        "sql": "SELECT product_name, SUM(quantity) AS total_sold, "
+        "CAST(SUM(price * quantity) AS DECIMAL(38, 2)) AS total_revenue "
+        "FROM sales_transactions.sales_items JOIN sales_transactions.sales USING (transaction_id) "
+        "GROUP BY product_name",
+    },
+    {
+        "target_table": "dm_sales.sales_by_source",
+        "sql": "SELECT source, CAST(SUM(total_amount) AS DECIMAL(38, 2)) AS total_sales, "
+        "COUNT(transaction_id) AS transactions FROM sales_transactions.sales GROUP BY source",
+    },
+    {
+        "target_table": "dm_sales.customer_demographics",
+        "sql": "SELECT customer_gender, CAST(customer_age DIV 10 * 10 AS DOUBLE) AS age_group, "
+        "COUNT(*) AS count_customers, CAST(SUM(total_amount) AS DECIMAL(38, 2)) AS total_spent, "
+        "customer_name, delivery_address, customer_contact FROM sales_transactions.sales "
+        "GROUP BY customer_gender, age_group, customer_name, delivery_address, customer_contact",
+        "mask_columns": dict(marts.PERSONAL_FIELDS),
+    },
+    {
+        "target_table": "dm_sales.sales_trend",
+        "sql": "SELECT CAST(DATE_TRUNC('MONTH', transaction_date) AS TIMESTAMP_NTZ) AS month, "
+        "CAST(SUM(total_amount) AS DECIMAL(38, 2)) AS monthly_sales "
+        "FROM sales_transactions.sales GROUP BY month",
+    },
+    {
+        "target_table": "dm_sales.sales_full",
+        "sql": f"SELECT {', '.join(SALES_FULL_COLUMNS)} FROM sales_transactions.sales_items "
+        "JOIN sales_transactions.sales USING (transaction_id)",
+        "mask_columns": dict(marts.PERSONAL_FIELDS),
+    },
+]
+
+
+def _written_sql_marts(spark: SparkSession, folder: str, raw: list[dict]) -> FolderStore:
+    staging, target = _staged(spark, folder), _scratch(spark, "sql-marts")
+    staging.register("sales_transactions.sales", "sales_transactions.sales_items")
+    marts.run_datamarts(spark, staging, target, [marts.Mart.from_dict(entry) for entry in raw])
+    return target
+
+
+def _sql_mart(raw: dict) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        target = _written_sql_marts(spark, folder, [raw])
+        return target.read(raw["target_table"]).drop(marts.STAMP_COLUMN)
+
+    return query
+
+
+def dm_stamps(spark: SparkSession, folder: str) -> DataFrame:
+    """The audit column of the five marts: one value for every row of the run."""
+    target = _written_sql_marts(spark, folder, SQL_MARTS)
+    names = [raw["target_table"] for raw in SQL_MARTS]
+    parts = [_stamps(target.read(name), name, marts.STAMP_COLUMN) for name in names]
+    combined = parts[0]
+    for part in parts[1:]:
+        combined = combined.union(part)
+    return combined
+
+
+def export_csv_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of two exports as other programs see them, each header once.
+
+    The offset of date-times, which is the session's, is taken off.
+    """
+    offset = r"(T\d\d:\d\d:\d\d\.\d\d\d)(Z|[+-]\d\d:\d\d)"
+    rows = export.as_exported(marts.mart_rows(marts.SALES_BY_SOURCE, *_tables(spark, folder)))
+    full = export.as_exported(_sales_full(spark, folder))
+    base = scratch_dir(spark, "export-lines")
+    found = []
+    for name, df in (("sales_by_source", rows), ("sales_full", full)):
+        export.write_csv(df, f"{base}/{name}")
+        lines = spark.read.text(f"{base}/{name}").select(
+            F.lit(name).alias("export"), F.regexp_replace("value", offset, "$1").alias("line")
+        )
+        is_header = F.startswith("line", F.lit(df.columns[0] + ","))
+        found += [lines.filter(~is_header), lines.filter(is_header).distinct()]
+    combined = found[0]
+    for part in found[1:]:
+        combined = combined.union(part)
+    return combined
+
+
+def _tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return source.sales(spark, folder), source.sales_items(spark, folder)
+
+
 def export_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = _sales_full(spark, folder)
     path = f"{scratch_dir(spark, 'export')}/{export.folder_name('dm_sales.sales_full', datetime.now())}"
@@ -404,13 +534,32 @@ def bi_day_filter_stored(spark: SparkSession, folder: str) -> DataFrame:
     return stored.select(*SALES_FULL_COLUMNS)
 
 
+def bi_day_filter_frame(spark: SparkSession, folder: str) -> DataFrame:
+    """The days come as a table; on the stored mart their months prune its partitions."""
+    target = _scratch(spark, "by-month")
+    by_month = replace(marts.SALES_FULL, by_month=True)
+    marts.run_datamarts(spark, _staged(spark, folder), target, [by_month])
+    events = source.table(spark, folder, "events")
+    days = events.filter(F.col("event_type") == "error").select(
+        F.make_date(F.lit(1996), F.month("ts"), F.dayofmonth("ts")).alias("day")
+    )
+    stored = on_days(target.read(by_month.target_table), days)
+    return stored.select(*SALES_FULL_COLUMNS)
+
+
 def bi_captions(spark: SparkSession, folder: str) -> DataFrame:
     return worksheets.captioned(bi_product_performance(spark, folder))
 
 
 def bi_dashboard_filtered(spark: SparkSession, folder: str) -> DataFrame:
-    """All sheets of the dashboard under a selection, as sheet, labels, measure, value."""
-    sheets = worksheets.dashboard(_sales_full(spark, folder), SELECTED_DAYS)
+    """All sheets of the dashboard under a selection, as sheet, labels, measure, value.
+
+    The mart is written once, and all sheets read the stored table.
+    """
+    target = _scratch(spark, "dashboard")
+    by_month = replace(marts.SALES_FULL, by_month=True)
+    marts.run_datamarts(spark, _staged(spark, folder), target, [by_month])
+    sheets = worksheets.dashboard(target.read(by_month.target_table), SELECTED_DAYS)
     labels = {
         "KPIs": [],
         "Product Performance": ["product_name", "source"],
@@ -462,15 +611,18 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sale_header_lookup": sale_header_lookup,
         "sale_items_lookup": sale_items_lookup,
         "sale_document": sale_document,
+        "sale_document_parts": sale_document_parts,
         "sale_document_requested": sale_document_requested,
         "payload_parse": payload_parse,
         "payload_normalize": payload_normalize,
         "payload_to_sales": payload_to_sales,
         "payload_to_items": payload_to_items,
+        "payload_documents": payload_documents,
         "payload_ack": payload_ack,
         "payload_rejects": payload_rejects,
         "stream_payload_intake": stream_payload_intake,
         "ingest_full": ingest_full,
+        "ingest_stamp": ingest_stamp,
         "ingest_append": ingest_append,
         "ingest_projection": ingest_projection,
         "ingest_delta": ingest_delta,
@@ -490,7 +642,12 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dm_customer_demographics": _mart(marts.CUSTOMER_DEMOGRAPHICS),
         "dm_sales_trend": _mart(marts.SALES_TREND),
         "dm_sales_full": _mart(marts.SALES_FULL),
+        **{
+            f"dm_sql_{raw['target_table'].split('.')[1]}": _sql_mart(raw) for raw in SQL_MARTS
+        },
+        "dm_stamps": dm_stamps,
         "export_csv_roundtrip": export_csv_roundtrip,
+        "export_csv_lines": export_csv_lines,
         "bi_kpis": bi_kpis,
         "bi_kpis_long": bi_kpis_long,
         "bi_product_performance": bi_product_performance,
@@ -503,6 +660,7 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_day_filter": bi_day_filter,
         "bi_day_filter_all": bi_day_filter_all,
         "bi_day_filter_stored": bi_day_filter_stored,
+        "bi_day_filter_frame": bi_day_filter_frame,
         "bi_captions": bi_captions,
         "bi_dashboard_filtered": bi_dashboard_filtered,
     }
@@ -538,7 +696,7 @@ sales_full AS (
 )"""
 _REQUESTS = """
 requests AS (SELECT DISTINCT cast(event_id * 2 AS varchar) AS transaction_id FROM events)"""
-_SENT = f"""{_SALES},
+_SENT = f"""{_SALES},{_ITEMS},
 sent AS (
   SELECT *, cast(transaction_id AS bigint) AS k,
          CASE WHEN cast(transaction_id AS bigint) % 2 = 1 THEN 'Orange App' ELSE 'Blue App' END AS channel,
@@ -551,21 +709,19 @@ sent_headers AS (
          known_age AS customer_age, customer_gender, total_amount, payment_type, transaction_date
   FROM sent
 ),
-sent_items AS (
-  SELECT concat(transaction_id, '-', cast(n AS varchar)) AS item_id, transaction_id,
-         concat('Title "', cast((k + n) % 500 AS varchar), '", vol. 1') AS product_name,
-         cast(cast((k + n * 7) % 90000 AS decimal(10,0)) * 0.01 AS decimal(10,2)) AS price,
-         cast((k + n) % 5 + 1 AS int) AS quantity
-  FROM sent JOIN (VALUES (1), (2), (3)) AS places(n) ON n <= k % 4
-)"""
-_ARRAYS = """
-arrays AS (
-  SELECT transaction_id, string_agg(
+sent_items AS (SELECT items.* FROM items JOIN sales USING (transaction_id)),
+sent_counts AS (SELECT transaction_id, count(*) AS lines FROM sent_items GROUP BY transaction_id)"""
+_ITEM_TEXT = """string_agg(
            concat('{"itemId":"', item_id, '","name":"', product_name, '","price":',
                   cast(price AS varchar), ',"quantity":', cast(quantity AS varchar), '}'),
-           ',' ORDER BY item_id, product_name, price, quantity) AS items
-  FROM items GROUP BY transaction_id
-)"""
+           ',' ORDER BY item_id, product_name, price, quantity) AS items"""
+_ARRAYS = f"""
+arrays AS (SELECT transaction_id, {_ITEM_TEXT} FROM items GROUP BY transaction_id)"""
+_PART_ARRAYS = f"""
+dealt AS (
+  SELECT *, ('0x' || substr(sha256(concat(item_id, '|', product_name, '|', cast(price AS varchar),
+                '|', cast(quantity AS varchar))), 1, 8))::BIGINT % 4 AS part FROM items),
+arrays AS (SELECT transaction_id, part, {_ITEM_TEXT} FROM dealt GROUP BY transaction_id, part)"""
 
 
 def _quoted(column: str) -> str:
@@ -602,6 +758,21 @@ _KPIS = """cast(sum(quantity) AS bigint) AS quantity, cast(sum(total_amount) AS
 
 
 def sales_sql() -> dict[str, str]:
+    sql = _sales_sql()
+    names = [raw["target_table"].split(".")[1] for raw in SQL_MARTS]
+    counts = [
+        f"SELECT 'dm_sales.{name}' AS table_name, count(*) AS stamped_rows, "
+        f"cast(1 AS bigint) AS stamps FROM ({sql[f'dm_{name}']})"
+        for name in names
+    ]
+    return (
+        sql
+        | {f"dm_sql_{name}": sql[f"dm_{name}"] for name in names}
+        | {"dm_stamps": " UNION ALL ".join(counts)}
+    )
+
+
+def _sales_sql() -> dict[str, str]:
     return {
         "scan_table": "SELECT * FROM lineitem",
         "scan_query": """
@@ -619,6 +790,11 @@ def sales_sql() -> dict[str, str]:
             WITH {_SALES},{_ITEMS},{_ARRAYS}
             SELECT h.transaction_id AS "transactionId", 0 AS part, {_DOCUMENT} AS document
             FROM sales h LEFT JOIN arrays a ON h.transaction_id = a.transaction_id""",
+        "sale_document_parts": f"""
+            WITH {_SALES},{_ITEMS},{_PART_ARRAYS}
+            SELECT h.transaction_id AS "transactionId", cast(coalesce(part, 0) AS int) AS part,
+                   {_DOCUMENT} AS document
+            FROM sales h LEFT JOIN arrays a ON h.transaction_id = a.transaction_id""",
         "sale_document_requested": f"""
             WITH {_SALES},{_ITEMS},{_ARRAYS},{_REQUESTS}
             SELECT r.transaction_id AS requested_id, 0 AS part, {_DOCUMENT} AS document
@@ -634,14 +810,19 @@ def sales_sql() -> dict[str, str]:
                         ELSE cast(known_age AS varchar) END AS flat_age,
                    CASE WHEN k % 2 = 1 THEN total_amount END AS total,
                    CASE WHEN k % 2 = 0 THEN total_amount END AS amount_due,
-                   cast(CASE WHEN k % 2 = 1 THEN k % 4 ELSE 0 END AS int) AS nested_lines,
-                   cast(CASE WHEN k % 2 = 0 THEN k % 4 ELSE 0 END AS int) AS flat_lines
-            FROM sent""",
+                   cast(CASE WHEN k % 2 = 1 THEN coalesce(lines, 0) ELSE 0 END AS int) AS nested_lines,
+                   cast(CASE WHEN k % 2 = 0 THEN coalesce(lines, 0) ELSE 0 END AS int) AS flat_lines
+            FROM sent LEFT JOIN sent_counts USING (transaction_id)""",
         "payload_normalize": f"""
             WITH {_SENT}
-            SELECT *, cast(cast(transaction_id AS bigint) % 4 AS int) AS item_count FROM sent_headers""",
+            SELECT h.*, cast(coalesce(lines, 0) AS int) AS item_count
+            FROM sent_headers h LEFT JOIN sent_counts c ON h.transaction_id = c.transaction_id""",
         "payload_to_sales": f"WITH {_SENT} SELECT * FROM sent_headers",
         "payload_to_items": f"WITH {_SENT} SELECT * FROM sent_items",
+        "payload_documents": f"""
+            WITH {_SENT},{_ARRAYS}
+            SELECT h.transaction_id AS "transactionId", {_DOCUMENT} AS document
+            FROM sent_headers h LEFT JOIN arrays a ON h.transaction_id = a.transaction_id""",
         "payload_ack": f"""
             WITH {_SENT}
             SELECT 'Success' AS status, 'Record created successfully.' AS message,
@@ -653,11 +834,15 @@ def sales_sql() -> dict[str, str]:
             FROM sent GROUP BY 1""",
         "stream_payload_intake": f"""
             WITH {_SENT}
-            SELECT h.*, l.item_count, l.item_total FROM sent_headers h LEFT JOIN (
+            SELECT h.*, l.item_count, l.item_total, cast(1 AS bigint) AS superseded
+            FROM sent_headers h LEFT JOIN (
               SELECT transaction_id, count(*) AS item_count,
                      cast(sum(price * quantity) AS decimal(38,2)) AS item_total
               FROM sent_items GROUP BY transaction_id) l ON h.transaction_id = l.transaction_id""",
         "ingest_full": "SELECT * FROM orders",
+        "ingest_stamp": """
+            SELECT 'staging.orders' AS table_name, count(*) AS stamped_rows, cast(1 AS bigint) AS stamps
+            FROM orders""",
         "ingest_append": "SELECT * FROM orders UNION ALL SELECT * FROM orders",
         "ingest_projection": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
         "ingest_delta": "SELECT * FROM events",
@@ -738,6 +923,19 @@ def sales_sql() -> dict[str, str]:
             FROM sales GROUP BY 1 ORDER BY 1""",
         "dm_sales_full": f"WITH {_FULL} SELECT * FROM sales_full",
         "export_csv_roundtrip": f"WITH {_FULL} SELECT * FROM sales_full",
+        "export_csv_lines": f"""
+            WITH {_FULL}, by_source AS (
+              SELECT source, cast(sum(total_amount) AS decimal(38,18)) AS total_sales,
+                     count(transaction_id) AS transactions FROM sales GROUP BY source)
+            SELECT 'sales_by_source' AS export, 'source,total_sales,transactions' AS line
+            UNION ALL SELECT 'sales_by_source', concat_ws(',', source, cast(total_sales AS varchar),
+                cast(transactions AS varchar)) FROM by_source
+            UNION ALL SELECT 'sales_full', '{','.join(SALES_FULL_COLUMNS)}'
+            UNION ALL SELECT 'sales_full', concat_ws(',', transaction_id, source, customer_name,
+                delivery_address, customer_contact, cast(customer_age AS varchar),
+                coalesce(customer_gender, ''), cast(total_amount AS varchar), payment_type,
+                strftime(transaction_date, '%Y-%m-%dT%H:%M:%S.%g'), item_id, product_name,
+                cast(price AS varchar), cast(quantity AS varchar)) FROM sales_full""",
         "bi_kpis": f"WITH {_FULL} SELECT {_KPIS} FROM sales_full",
         "bi_kpis_long": f"""
             WITH {_FULL}, wide AS (SELECT {_KPIS} FROM sales_full)
@@ -784,6 +982,10 @@ def sales_sql() -> dict[str, str]:
             SELECT cast(sum(total_amount) AS decimal(38,2)) AS total_sales FROM sales""",
         "bi_day_filter": _CHOSEN,
         "bi_day_filter_stored": _CHOSEN,
+        "bi_day_filter_frame": f"""
+            WITH {_FULL}
+            SELECT * FROM sales_full WHERE cast(transaction_date AS date) IN (
+              SELECT make_date(1996, month(ts), day(ts)) FROM events WHERE event_type = 'error')""",
         "bi_captions": f"""
             WITH {_FULL}, cells AS (
               SELECT product_name, source, {_KPIS} FROM sales_full GROUP BY product_name, source)
