@@ -38,7 +38,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     joined = edges.join(smallest, edges["lo"] == smallest["at"], "left").select(
         "hi", F.coalesce("least", "lo").alias("lo")
     )
-    return joined.distinct()
+    return joined
 
 
 def _small_star(edges: DataFrame) -> DataFrame:

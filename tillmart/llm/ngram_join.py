@@ -212,45 +212,58 @@ def _candidate_task(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator
         yield _edges(left, right)
 
 
-def _verify_task(batches: Iterable[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Edges that connect all linked classes of a tile; classes of one label count as connected.
+def _linked_rows(
+    arrays: list[np.ndarray], labels: list[int], probes: list[bool], percent: int
+) -> Iterator[tuple[int, int]]:
+    """Pairs of rows of a tile that connect all linked rows; rows of one label are connected.
 
-    If a tile has probes, only pairs of a probe and another row are compared.
+    If some rows are probes, only pairs of a probe and another row are compared.
     """
+    order = sorted(range(len(arrays)), key=lambda row: len(arrays[row]))
+    n = np.array([len(arrays[row]) for row in order], np.int64)
+    words = min(1024, 1 << max(3, int(2 * n.max(initial=1) // 64).bit_length()))
+    bitmaps = np.array([_bitmap(arrays[row], words) for row in order])
+    forest = Forest(len(arrays))
+    owner: dict[int, int] = {}
+    for row, label in enumerate(labels):
+        forest.join(owner.setdefault(label, row), row)
+    any_probe = any(probes)
+    for a, b in similar_pairs(np.zeros(len(order), np.int8), n, bitmaps, percent):
+        for x, y in zip(a.tolist(), b.tolist()):
+            x, y = order[x], order[y]
+            if any_probe and probes[x] == probes[y] or forest.root(x) == forest.root(y):
+                continue
+            common = len(np.intersect1d(arrays[x], arrays[y], assume_unique=True))
+            if 100 * common >= percent * (len(arrays[x]) + len(arrays[y]) - common):
+                forest.join(x, y)
+                yield x, y
+
+
+def _verify_task(
+    batches: Iterable[pa.RecordBatch], percent: int, roots: bool
+) -> Iterator[pa.RecordBatch]:
+    """Edges between linked classes of a tile, or, as `roots`, each class and the one that
+    stands for all classes of the tile it is connected with."""
     for table in whole_groups(batches, "tile"):
         tile = numbers(table["tile"])
         data, first = raw_bytes(table["hashes"])
         bounds = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]]))
-        cls, label, probe = (numbers(table[c]) for c in ("cls", "label", "probe"))
+        cls, label, probe = (numbers(table[c]).tolist() for c in ("cls", "label", "probe"))
         left: list[int] = []
         right: list[int] = []
         for low, high in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
-            arrays = [
-                data[first[r] : first[r + 1]].view(np.uint64) for r in range(low, high)
-            ]
-            order = sorted(range(high - low), key=lambda r: len(arrays[r]))
-            arrays = [arrays[r] for r in order]
-            at = [low + r for r in order]
-            n = np.array([len(x) for x in arrays], np.int64)
-            size = 1 << max(3, int(2 * n.max(initial=1) // 64).bit_length())
-            size = min(size, 1024)
-            bitmaps = np.array([_bitmap(x, size) for x in arrays])
-            forest = Forest(len(at))
-            owner: dict[int, int] = {}
-            for row, place in enumerate(at):
-                forest.join(owner.setdefault(int(label[place]), row), row)
-            any_probe = bool(probe[low:high].any())
-            for a, b in similar_pairs(np.zeros(len(at), np.int8), n, bitmaps, percent):
-                for x, y in zip(a.tolist(), b.tolist()):
-                    if any_probe and probe[at[x]] == probe[at[y]]:
-                        continue
-                    if forest.root(x) == forest.root(y):
-                        continue
-                    common = len(np.intersect1d(arrays[x], arrays[y], assume_unique=True))
-                    if 100 * common >= percent * (len(arrays[x]) + len(arrays[y]) - common):
-                        forest.join(x, y)
-                        left.append(cls[at[x]])
-                        right.append(cls[at[y]])
+            arrays = [data[first[r] : first[r + 1]].view(np.uint64) for r in range(low, high)]
+            pairs = _linked_rows(arrays, label[low:high], probe[low:high], percent)
+            if roots:
+                forest = Forest(high - low)
+                for x, y in pairs:
+                    forest.join(x, y)
+                left += cls[low:high]
+                right += [cls[low + forest.root(row)] for row in range(high - low)]
+            else:
+                for x, y in pairs:
+                    left.append(cls[low + x])
+                    right.append(cls[low + y])
         yield _edges(left, right)
 
 
@@ -308,13 +321,13 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _verified(rows: DataFrame, percent: int) -> DataFrame:
-    """Edges among the rows of each tile: tile, cls, label, probe, hashes."""
+def _verified(rows: DataFrame, percent: int, roots: bool) -> DataFrame:
+    """What `_verify_task` finds among the rows of each tile: tile, cls, label, probe, hashes."""
     return (
         rows.select("tile", "cls", "label", "probe", "hashes")
         .repartition("tile")
         .sortWithinPartitions("tile")
-        .mapInArrow(functools.partial(_verify_task, percent=percent), EDGES)
+        .mapInArrow(functools.partial(_verify_task, percent=percent, roots=roots), EDGES)
     )
 
 
@@ -330,61 +343,59 @@ def _links(documents: DataFrame, reps: DataFrame, candidates: DataFrame, width:
     arrays = texts.select("cls", "grp", "text").mapInArrow(
         functools.partial(_arrays_task, width=width), "cls long, grp long, hashes binary"
     )
-    arrays = written(
-        arrays.join(counted.withColumnRenamed("component", "grp"), "grp"), "shingle-sets"
-    )
+    arrays = arrays.join(counted.withColumnRenamed("component", "grp"), "grp")
     blocks = _blocks(F.col("size"), ARRAY_BLOCK)
-    dealt = arrays.withColumn("block", F.pmod(F.xxhash64("cls"), blocks).cast("int"))
+    dealt = arrays.withColumn("blocks", blocks).withColumn(
+        "block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int")
+    )
+    dealt = written(dealt, "shingle-sets")
     alone = dealt.withColumns(
         {"tile": F.xxhash64("grp", "block"), "label": F.col("cls"), "probe": F.lit(False)}
     )
-    edges = written(_verified(alone, percent), "links")
-    return written(edges.unionByName(_across(dealt.filter(blocks > 1), edges, percent)), "links")
-
+    roots = written(_verified(alone, percent, roots=True).distinct(), "roots")
+    large = dealt.filter("blocks > 1")
+    if large.isEmpty():
+        return roots
+    return written(roots.unionByName(_across(large, roots, percent)), "links")
 
-def _labelled(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    known = components(edges).select(F.col("node").alias("cls"), F.col("component").alias("root"))
-    return rows.join(known, "cls", "left").withColumn("label", F.coalesce("root", "cls")).drop("root")
 
+def _across(large: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Edges between blocks of large groups, whose classes are connected with `roots`.
 
-def _across(dealt: DataFrame, edges: DataFrame, percent: int) -> DataFrame:
-    """Edges between blocks of a large group.
-
-    First one row of every component of every block is compared in blocks of their own. Then
-    all rows outside of a group's largest component, as probes, meet all rows of its blocks.
+    First the roots of a group are compared with each other, in tiles of their own. Then all
+    rows outside of the group's largest component so far, as probes, meet all rows of its
+    blocks.
     """
-    if dealt.isEmpty():
-        return edges.limit(0)
-    labelled = written(_labelled(dealt, edges), "labelled")
-    leaders = labelled.groupBy("grp", "block", "label").agg(F.min("cls").alias("cls"))
-    chosen = labelled.join(leaders, ["grp", "block", "label", "cls"])
-    blocks = _blocks(F.col("size"), ARRAY_BLOCK)
-    apart = F.pmod(F.xxhash64(F.lit(7), "cls"), F.ceil(blocks / F.lit(64)).cast("int"))
-    met = chosen.withColumns({"tile": F.xxhash64("grp", apart, F.lit(7)), "probe": F.lit(False)})
-    found = written(edges.unionByName(_verified(met, percent)), "links")
-    labelled = written(_labelled(dealt, found), "labelled")
-    sizes = labelled.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("members"))
+    named = roots.select(F.col("a").alias("cls"), F.col("b").alias("label"))
+    labelled = large.join(named, "cls")
+    leaders = labelled.filter("cls = label").withColumn("probe", F.lit(False))
+    tiles = F.ceil(F.col("blocks") / F.lit(64)).cast("int")
+    apart = F.pmod(F.xxhash64(F.lit(7), "cls"), tiles)
+    met = leaders.withColumn("tile", F.xxhash64("grp", apart, F.lit(7)))
+    among = written(_verified(met, percent, roots=True).distinct(), "roots")
+    raised = among.select(F.col("a").alias("label"), F.col("b").alias("top"))
+    marked = labelled.join(raised, "label").drop("label").withColumnRenamed("top", "label")
+    marked = written(marked, "labelled")
+    sizes = marked.groupBy("grp", "label").agg(F.count(F.lit(1)).alias("members"))
     main = sizes.groupBy("grp").agg(F.max(F.struct("members", "label"))["label"].alias("main"))
-    marked = labelled.join(main, "grp")
-    outside = marked.filter("label <> main")
+    ranked = marked.join(main, "grp")
+    outside = ranked.filter("label <> main")
     chunks = outside.groupBy("grp").agg(_blocks(F.count(F.lit(1)), ARRAY_BLOCK).alias("chunks"))
+    everywhere = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     probes = outside.join(chunks, "grp").withColumns(
         {
             "chunk": F.pmod(F.xxhash64(F.lit(9), "cls"), F.col("chunks")).cast("int"),
-            "block": F.explode(F.sequence(F.lit(0), blocks - 1)),
+            "block": everywhere,
             "probe": F.lit(True),
         }
     )
-    stay = marked.join(chunks, "grp").withColumns(
-        {
-            "chunk": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)),
-            "probe": F.lit(False),
-        }
+    stay = ranked.join(chunks, "grp").withColumns(
+        {"chunk": F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)), "probe": F.lit(False)}
     )
     names = ["grp", "block", "chunk", "cls", "label", "probe", "hashes"]
     rows = probes.select(names).unionByName(stay.select(names))
-    last = _verified(rows.withColumn("tile", F.xxhash64("grp", "block", "chunk")), percent)
-    return found.unionByName(last)
+    tiled = rows.withColumn("tile", F.xxhash64("grp", "block", "chunk"))
+    return among.unionByName(_verified(tiled, percent, roots=False))
 
 
 def similar_documents(
