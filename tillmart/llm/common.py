@@ -2,23 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tillmart.sources.scratch import scratch_dir
 
-def shared_folder(spark: SparkSession, label: str) -> str:
-    """A new folder under the one the cluster shares.
 
-    That is `spark.checkpoint.dir`, else a folder beside the session's warehouse tables.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession, label: str) -> str:
+    """A new folder that all executors reach, gone when the session's driver ends."""
+    return scratch_dir(spark, label) + "/rows"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -54,6 +50,13 @@ def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Tab
         yield pa.Table.from_batches(held)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that few texts are Python strings at once."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
 def numbers(column: pa.ChunkedArray) -> np.ndarray:
     """A column of numbers without nulls."""
     return column.combine_chunks().to_numpy(zero_copy_only=False)
@@ -65,3 +68,20 @@ def raw_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     first = np.zeros(len(values) + 1, np.int64)
     np.cumsum([len(value) for value in values], out=first[1:])
     return np.frombuffer(b"".join(values), np.uint8), first
+
+
+def most_frequent(counts: DataFrame, column: str, limit: int) -> DataFrame:
+    """The rows with the largest counts, at most `limit` of them.
+
+    Counts are binned by their logarithm and whole bins are taken from the top, so nothing is
+    sorted and only the bins, some two thousand at most, come to the driver.
+    """
+    place = F.floor(F.log2(column) * 32).cast("int")
+    bins = counts.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("rows")).collect()
+    lowest, taken = None, 0
+    for row in sorted(bins, key=lambda row: -row["place"]):
+        taken += row["rows"]
+        if taken > limit:
+            break
+        lowest = row["place"]
+    return counts.limit(0) if lowest is None else counts.filter(place >= lowest)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm import words as W
-from tillmart.llm.common import written
+from tillmart.llm.common import most_frequent, written
 
 WINDOW = 2
 HIDDEN = 16
@@ -35,8 +35,8 @@ INPUTS = 4096
 ROUNDS = 2
 # Every STRIDE-th window of every document is a training example; all words are scored.
 STRIDE = 8
-RATE = 0.05
-EXAMPLES = 512
+RATE = 0.1
+EXAMPLES = 256
 SEED = 7
 
 COLUMNS = ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"]
@@ -55,6 +55,7 @@ class Vocabulary:
     classes: np.ndarray
     log_in_class: np.ndarray
     rest_log_in_class: np.ndarray
+    log_classes: np.ndarray
 
     def look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Input row, class and log P(word | class) of each word hash."""
@@ -116,7 +117,8 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     """Counts over all texts. To the driver come MOST_WORDS words and a sum for each class."""
     counted = texts.mapInPandas(_count_task, "word long, n long")
     counts = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(MOST_WORDS).toPandas()
+    top = most_frequent(counts, "n", MOST_WORDS).toPandas()
+    top = top.sort_values(["n", "word"], ascending=[False, True])
     hashes = top["word"].to_numpy(np.int64).view(np.uint64)
     n = top["n"].to_numpy(np.float64)
     classes, inputs = _shared_class(hashes), _shared_input(hashes)
@@ -131,7 +133,7 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     remainder = (hashes % np.uint64(SHARED_CLASSES)).astype(int)
     rest = every - np.bincount(remainder, n, SHARED_CLASSES)
     rest_words = different - np.bincount(remainder, minlength=SHARED_CLASSES)
-    totals = np.bincount(classes, n, CLASSES)
+    totals = np.bincount(classes, n, CLASSES).astype(np.float64)
     totals[OWN_CLASSES:] += rest
     with np.errstate(divide="ignore", invalid="ignore"):
         logs = np.log(n / totals[classes])
@@ -139,7 +141,10 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     rest_all = np.zeros(CLASSES)
     rest_all[OWN_CLASSES:] = np.where(rest > 0, rest_logs, 0)
     order = np.argsort(hashes)
-    return Vocabulary(hashes[order], inputs[order], classes[order], logs[order], rest_all)
+    shares = np.log((totals + 0.5) / (totals + 0.5).sum())
+    return Vocabulary(
+        hashes[order], inputs[order], classes[order], logs[order], rest_all, shares
+    )
 
 
 # --- the network -------------------------------------------------------------------
@@ -160,14 +165,15 @@ class Network:
         return ("rows", "scales", "bias", "out", "out_bias")
 
     @staticmethod
-    def start() -> Network:
+    def start(log_classes: np.ndarray) -> Network:
+        """Small random weights; without context it gives the corpus's shares of classes."""
         draw = np.random.default_rng(SEED)
         return Network(
             (draw.standard_normal((EDGE_INPUT + 1, HIDDEN)) * 0.3).astype(np.float32),
             np.ones((2 * WINDOW, HIDDEN), np.float32),
             np.zeros(HIDDEN, np.float32),
             (draw.standard_normal((HIDDEN, CLASSES)) * 0.1).astype(np.float32),
-            np.zeros(CLASSES, np.float32),
+            log_classes.astype(np.float32),
         )
 
     def flat(self) -> np.ndarray:
@@ -246,15 +252,15 @@ def windows(owners: np.ndarray, inputs: np.ndarray) -> np.ndarray:
 CHUNK = 1024
 
 
-def _train_task(batches: Iterable[pd.DataFrame], shared) -> Iterator[pd.DataFrame]:
+def _train_task(batches: Iterable[pd.DataFrame], shared, stride: int) -> Iterator[pd.DataFrame]:
     words, network = shared.value
     trainer = Trainer(network.with_flat(network.flat()))
     seen = 0
     for batch in batches:
         for owners, found in _word_hashes([None if pd.isna(t) else t for t in batch["text"]]):
             inputs, classes, _ = words.look_up(found)
-            around = windows(owners, inputs)[seen % STRIDE :: STRIDE]
-            classes = classes[seen % STRIDE :: STRIDE]
+            around = windows(owners, inputs)[seen % stride :: stride]
+            classes = classes[seen % stride :: stride]
             for low in range(0, len(classes), EXAMPLES):
                 trainer.step(around[low : low + EXAMPLES], classes[low : low + EXAMPLES])
             seen += len(found)
@@ -278,22 +284,26 @@ def _sum_task(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk, weights, n in zip(batch["chunk"], batch["weights"], batch["seen"]):
             sums[chunk] = sums[chunk] + weights if chunk in sums else np.array(weights)
             seen[chunk] = seen.get(chunk, 0.0) + n
-    yield pd.DataFrame(
-        {"chunk": list(sums), "weights": list(sums.values()), "seen": [seen[c] for c in sums]}
-    )
+    if sums:
+        yield pd.DataFrame(
+            {"chunk": list(sums), "weights": list(sums.values()), "seen": [seen[c] for c in sums]}
+        )
 
 
 WEIGHTS = "chunk int, weights array<double>, seen double"
 
 
-def train(texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS) -> Network:
+def train(
+    texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS, stride: int = STRIDE
+) -> Network:
     """Average the weights that tasks learn, round by round; each round reads its own share of
     the texts, so each text is read once."""
-    network = Network.start()
+    network = Network.start(words.log_classes)
     for turn in range(rounds):
         shared = texts.sparkSession.sparkContext.broadcast((words, network))
         share = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn)
-        learned = share.mapInPandas(functools.partial(_train_task, shared=shared), WEIGHTS)
+        task = functools.partial(_train_task, shared=shared, stride=stride)
+        learned = share.mapInPandas(task, WEIGHTS)
         summed = learned.repartition("chunk").mapInPandas(_sum_task, WEIGHTS)
         parts = sorted(summed.collect(), key=lambda row: row["chunk"])
         if parts:
