@@ -5,7 +5,8 @@ other. Lines are split into one segment more than that, two, so one of them is u
 edited one has two halves, of which one is untouched too. A line is therefore indexed under
 its length and four pieces, each the whole line but a quarter; lines one sign longer are
 probed under the shorter length, with the pieces aligned to the line's start and end. Lines
-that share a piece are verified by edit distance, bit-parallel in a band of diagonals.
+that share a piece lose their common start and end, which changes no distance, and the rest is
+verified by edit distance, bit-parallel in a band of diagonals.
 
 Equal lines are one class from the start. Pieces that only two lines have give their pair
 without a join; pieces of more lines are joined under the further condition that half of the
@@ -14,8 +15,6 @@ quarter left out agrees as well.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,40 +27,92 @@ MAX_EDITS = 1
 MIN_CHARS = 32
 
 
-def _quarters(target: Column) -> Iterator[tuple[Column, Column]]:
-    """Lengths of the start and the end of a line that a piece consists of."""
-    zero = F.lit(0)
+# Texts are cut by sign in this encoding of four bytes each, where a cut needs no scan.
+SIGN_BYTES = 4
+
+
+def _signs(line: Column) -> Column:
+    return F.encode(line, "UTF-32")
+
+
+def _cut(signs: Column, start: Column, count: Column) -> Column:
+    """`count` signs after the first `start` ones."""
+    return F.substring(signs, start * SIGN_BYTES + 1, count * SIGN_BYTES)
+
+
+def _quarters(target: Column) -> list[tuple[Column, Column]]:
+    """Lengths of the start and the end of a line that each piece consists of."""
     half = F.floor(target / 2).cast("int")
     first = F.floor(half / 2).cast("int")
     third = half + F.floor((target - half) / 2).cast("int")
-    yield zero, target - first
-    yield first, target - half
-    yield half, target - third
-    yield third, zero
+    zero = F.lit(0)
+    return [(zero, target - first), (first, target - half), (half, target - third), (third, zero)]
+
 
+PIECES = 4
 
-def _pieces(line: Column, length: Column, own: bool) -> list[Column]:
-    """The four pieces of a line for its own length, or for lines one sign shorter."""
-    target = length if own else length - MAX_EDITS
+
+def _pieces(signs: Column, length: Column, target: Column) -> list[Column]:
+    """Hashes of the four pieces a line shares with lines of `target` signs."""
     found = []
     for number, (start, end) in enumerate(_quarters(target)):
-        head = F.substring(line, F.lit(1), start)
-        tail = F.substring(line, length - end + 1, end)
-        rest = target - start - end
-        half = F.floor(rest / 2).cast("int")
-        left = F.substring(line, start + 1, half)
-        right = F.substring(line, length - end - (rest - half) + 1, rest - half)
-        found.append(
-            F.struct(
-                F.xxhash64(F.lit(number), target, head, tail).alias("piece"),
-                F.lit(int(own)).alias("own"),
-                F.hash(left).alias("left"),
-                F.hash(right).alias("right"),
-            )
-        )
+        head, tail = _cut(signs, F.lit(0), start), _cut(signs, length - end, end)
+        found.append(F.xxhash64(F.lit(number), target, head, tail))
     return found
 
 
+def _left_out(signs: Column, length: Column, number: Column) -> tuple[Column, Column]:
+    """Hashes of the two halves of what a piece leaves out, from the start and from the end."""
+    left = right = F.lit(None).cast("int")
+    for own in (True, False):
+        target = length if own else length - MAX_EDITS
+        for k, (start, end) in enumerate(_quarters(target)):
+            rest = target - start - end
+            half = F.floor(rest / 2).cast("int")
+            is_this = number == k + (0 if own else PIECES)
+            left = F.when(is_this, F.hash(_cut(signs, start, half))).otherwise(left)
+            tail = _cut(signs, length - end - (rest - half), rest - half)
+            right = F.when(is_this, F.hash(tail)).otherwise(right)
+    return left, right
+
+
+def _common(a: Column, b: Column, from_end: bool) -> Column:
+    """How many signs two strings have in common at their start or end, by halving steps."""
+    most = F.least(F.length(a), F.length(b))
+
+    def same(known: Column, step: Column) -> Column:
+        if from_end:
+            cut = [F.substring(x, F.length(x) - known - step + 1, step) for x in (a, b)]
+        else:
+            cut = [F.substring(x, known + 1, step) for x in (a, b)]
+        return (known + step <= most) & (cut[0] == cut[1])
+
+    steps = F.array(*[F.lit(1 << n) for n in range(30, -1, -1)])
+    return F.aggregate(
+        F.filter(steps, lambda step: step <= most),
+        F.lit(0),
+        lambda known, step: F.when(same(known, step), known + step).otherwise(known),
+    )
+
+
+def differing(pairs: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """Takes the common start, then the common end off two columns; the distance stays.
+
+    Each step is written, so that later filters are not pushed into it and its expressions
+    are not repeated in them.
+    """
+    for from_end in (False, True):
+        shared = pairs.withColumn("_shared", _common(F.col(a), F.col(b), from_end))
+        shared = written(shared, "common-signs")
+        cut = {}
+        for name in (a, b):
+            kept = F.length(name) - F.col("_shared")
+            start = F.lit(1) if from_end else F.col("_shared") + 1
+            cut[name] = F.substring(F.col(name), start, kept)
+        pairs = shared.withColumns(cut).drop("_shared")
+    return written(pairs, "differing-lines")
+
+
 def within_edits(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
     """Whether at most `edits` single-sign edits turn a into b.
 
@@ -106,60 +157,65 @@ def within_edits(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
 
 
 def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, number, line and length of all lines long enough."""
+    """doc_id, number and line of all lines long enough."""
     exploded = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("number", "line"))
-    return exploded.withColumn("length", F.length("line")).filter(F.col("length") >= min_chars)
+    return exploded.filter(F.length("line") >= min_chars)
+
+
+def _texts(documents: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame:
+    """cls and line of the classes asked for, each read at its first place."""
+    places = classes.select("cls", "first").join(asked, "cls")
+    at = places.select("cls", F.col("first.doc_id").alias("place"), F.col("first.number").alias("number"))
+    texts = at.join(documents, at["place"].eqNullSafe(documents["doc_id"]))
+    lines = texts.select("cls", F.get(F.split("text", "\n"), F.col("number")).alias("line"))
+    # A repeated id may have several texts at this place; the class tells the right one.
+    return lines.filter(F.xxhash64("line") == F.col("cls")).dropDuplicates(["cls"])
 
 
-def _pairs(classes: DataFrame) -> DataFrame:
-    """lo, hi: classes that share a piece, each pair once."""
-    rows = classes.select("cls", F.inline("pieces"))
+def _links(documents: DataFrame, classes: DataFrame) -> DataFrame:
+    """lo, hi: pairs of classes whose lines are within one edit."""
+    rows = classes.select("cls", F.posexplode("pieces").alias("number", "piece"))
     keyed = (
         rows.groupBy("piece")
         .agg(
             F.count(F.lit(1)).alias("count"),
-            F.sum("own").alias("owners"),
+            F.min("number").alias("least_number"),
             F.min("cls").alias("lo"),
             F.max("cls").alias("hi"),
         )
-        .filter("count > 1 AND owners > 0 AND lo <> hi")
+        .filter(f"count > 1 AND least_number < {PIECES} AND lo <> hi")
     )
     keyed = written(keyed, "pieces")
     alone = keyed.filter("count = 2").select("lo", "hi")
-    common = keyed.filter("count > 2").select("piece")
-    shared = written(rows.join(common, "piece"), "shared-pieces")
-    a, b = shared.filter("own = 1").alias("a"), shared.alias("b")
-    once = "a.cls <> b.cls AND (b.own = 0 OR a.cls < b.cls)"
-    joined = a.join(
-        b,
-        (F.col("a.piece") == F.col("b.piece"))
-        & F.expr(once)
-        & F.expr("(a.left = b.left OR a.right = b.right)"),
-    )
-    met = joined.select(
-        F.least("a.cls", "b.cls").alias("lo"), F.greatest("a.cls", "b.cls").alias("hi")
-    )
-    return alone.unionByName(met).distinct()
-
-
-def _links(documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """lo, hi: pairs of classes whose lines are within one edit."""
-    pairs = written(_pairs(classes), "line-pairs")
-    asked = pairs.select(F.explode(F.array("lo", "hi")).alias("cls")).distinct()
-    places = classes.select("cls", "first").join(asked, "cls")
-    at = places.select("cls", F.col("first.doc_id").alias("place"), F.col("first.number").alias("number"))
-    texts = at.join(documents, at["place"].eqNullSafe(documents["doc_id"]))
-    line = F.get(F.split("text", "\n"), F.col("number"))
-    lines = texts.select("cls", line.alias("line"))
-    # A repeated id may have several texts at this place; the class tells the right one.
-    lines = lines.filter(F.xxhash64("line") == F.col("cls")).dropDuplicates(["cls"])
-    lines = written(lines, "line-texts")
+    shared = written(rows.join(keyed.filter("count > 2").select("piece"), "piece"), "shared-pieces")
+    asked = alone.select(F.explode(F.array("lo", "hi")).alias("cls")).unionByName(shared.select("cls"))
+    lines = written(_texts(documents, classes, asked.distinct()), "line-texts")
+    pairs = alone.unionByName(_shared_pairs(shared, lines)).distinct()
     a = lines.select(F.col("cls").alias("lo"), F.col("line").alias("a"))
     b = lines.select(F.col("cls").alias("hi"), F.col("line").alias("b"))
-    both = pairs.join(a, "lo").join(b, "hi")
+    both = differing(pairs.join(a, "lo").join(b, "hi"))
     return both.filter(within_edits(F.col("a"), F.col("b"))).select("lo", "hi")
 
 
+def _shared_pairs(shared: DataFrame, lines: DataFrame) -> DataFrame:
+    """Pairs of classes with a common piece of which half of the part left out agrees too."""
+    signs, length = F.col("signs"), F.col("length")
+    cut = shared.join(lines, "cls").select(
+        "cls", "piece", "number", _signs(F.col("line")).alias("signs"), F.length("line").alias("length")
+    )
+    left, right = _left_out(signs, length, F.col("number"))
+    rows = written(
+        cut.select("cls", "piece", "number", left.alias("left"), right.alias("right")), "left-out"
+    )
+    a, b = rows.filter(F.col("number") < PIECES).alias("a"), rows.alias("b")
+    once = f"a.cls <> b.cls AND (b.number >= {PIECES} OR a.cls < b.cls)"
+    agrees = "(a.left = b.left OR a.right = b.right)"
+    joined = a.join(b, (F.col("a.piece") == F.col("b.piece")) & F.expr(f"{once} AND {agrees}"))
+    return joined.select(
+        F.least("a.cls", "b.cls").alias("lo"), F.greatest("a.cls", "b.cls").alias("hi")
+    )
+
+
 def repeated_lines(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -176,12 +232,13 @@ def repeated_lines(
     chosen = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     ).filter("text IS NOT NULL")
-    line, length = F.col("line"), F.col("length")
-    own, shorter = _pieces(line, length, True), _pieces(line, length, False)
-    pieces = F.when(length > min_chars, F.array(*own, *shorter)).otherwise(F.array(*own))
-    lines = _lines(chosen, min_chars).select(
-        "doc_id", "number", F.xxhash64("line").alias("cls"), pieces.alias("pieces")
+    cut = _lines(chosen, min_chars).select(
+        "doc_id", "number", F.xxhash64("line").alias("cls"), _signs(F.col("line")).alias("signs")
     )
+    signs = F.col("signs")
+    length = (F.length(signs) / SIGN_BYTES).cast("int")
+    pieces = _pieces(signs, length, length) + _pieces(signs, length, length - MAX_EDITS)
+    lines = cut.select("doc_id", "number", "cls", F.array(*pieces).alias("pieces"))
     lines = written(lines, "lines")
     classes = lines.groupBy("cls").agg(
         F.min(F.struct("doc_id", "number")).alias("first"),
@@ -224,17 +281,63 @@ def dedup_lines(
     joined = given.join(
         repeated, given[id_col].cast("long").eqNullSafe(F.col("_repeated_id")), "left"
     )
-    lines = F.split(F.col(text_col), "\n")
-    everything = F.sequence(F.lit(0), F.size(lines) - 1)
-    stay = F.transform(F.array_except(everything, "_dropped"), lambda n: F.get(lines, n))
-    kept = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(F.array_join(stay, "\n"))
+    joined = joined.withColumn("_lines", F.split(F.col(text_col), "\n"))
+    lines, size = F.col("_lines"), F.size("_lines")
+    gone = F.sort_array(F.filter("_dropped", lambda number: number < size))
+    # The lines between one dropped line and the next.
+    runs = F.zip_with(
+        F.concat(F.array(F.lit(-1)), gone),
+        F.concat(gone, F.array(size)),
+        lambda last, following: F.slice(lines, last + 2, following - last - 1),
+    )
+    kept = F.when(F.col("_dropped").isNull(), F.col(text_col)).otherwise(
+        F.array_join(F.flatten(runs), "\n")
+    )
     counts = {
-        "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long"),
-        "n_dropped": F.coalesce(F.size("_dropped"), F.lit(0)).cast("long"),
+        "n_lines": F.when(F.col(text_col).isNull(), 0).otherwise(size).cast("long"),
+        "n_dropped": F.when(F.col("_dropped").isNull(), 0).otherwise(F.size(gone)).cast("long"),
     }
     with_counts = joined.withColumns(counts).withColumn(text_col, kept)
     return with_counts.select(*given.columns, "n_lines", "n_dropped")
 
 
-# The result of `op3_line_dedup`, with links by edit distance among lines that share a half.
-SQL_TEXT = ""
+# The result of `op3_line_dedup`, with one edit tested place by place.
+SQL_TEXT = """
+    WITH RECURSIVE lines AS (
+      SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+             unnest(range(len(string_split(text, chr(10))))) AS number
+      FROM documents WHERE text IS NOT NULL),
+    classes AS (
+      SELECT line, length(line) AS n, row_number() OVER () AS cls,
+             min({'doc_id': doc_id, 'number': number}) AS place
+      FROM lines WHERE length(line) >= 32 GROUP BY line),
+    pairs AS (
+      SELECT a.cls AS a, b.cls AS b, a.line AS x, b.line AS y, a.n AS n, b.n AS m
+      FROM classes a JOIN classes b ON b.n = a.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
+      UNION SELECT a.cls, b.cls, a.line, b.line, a.n, b.n
+      FROM classes a JOIN classes b ON b.n = a.n + 1 AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
+      UNION SELECT a.cls, b.cls, a.line, b.line, a.n, b.n
+      FROM classes a JOIN classes b
+        ON b.n = a.n AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2)
+      UNION SELECT a.cls, b.cls, a.line, b.line, a.n, b.n
+      FROM classes a JOIN classes b
+        ON b.n = a.n + 1 AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2)),
+    near AS (
+      SELECT a, b FROM pairs WHERE a <> b AND len(list_filter(range(m), lambda k:
+        left(x, k) = left(y, k) AND right(x, m - k - 1) = right(y, m - k - 1))) > 0),
+    links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
+    reach AS (
+      SELECT cls AS a, cls AS b FROM classes
+      UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    kept AS (
+      SELECT reach.a AS cls, min(c.place) AS place
+      FROM reach JOIN classes c ON c.cls = reach.b GROUP BY reach.a),
+    decided AS (
+      SELECT l.doc_id, l.number, l.line,
+             coalesce(k.place <> {'doc_id': l.doc_id, 'number': l.number}, false) AS dropped
+      FROM lines l LEFT JOIN classes c ON c.line = l.line LEFT JOIN kept k ON k.cls = c.cls)
+    SELECT d.doc_id, count(x.doc_id) AS n_lines, count(*) FILTER (x.dropped) AS n_dropped,
+           CASE WHEN d.text IS NOT NULL THEN
+             coalesce(string_agg(x.line, chr(10) ORDER BY x.number) FILTER (NOT x.dropped), '') END AS text
+    FROM documents d LEFT JOIN decided x ON x.doc_id = d.doc_id
+    GROUP BY d.doc_id, d.text"""
