@@ -35,7 +35,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     A document of which no text is left goes; one that lost no line stays whatever it holds.
     """
-    cleaned = line_dedup.dedup_lines(docs)
+    # Written first, so that the lines are not put together again for the filter.
+    cleaned = written(line_dedup.dedup_lines(docs), "cleaned-documents")
     left = cleaned.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
