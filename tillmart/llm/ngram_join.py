@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm import words as W
-from tillmart.llm.common import numbers, raw_bytes, whole_groups, written
+from tillmart.llm.common import numbers, raw_bytes, slices, whole_groups, written
 from tillmart.llm.graph import components
 
 MISS = 1e-9
@@ -94,6 +94,13 @@ def shingle_sets(texts: list[str], width: int) -> list[np.ndarray]:
     return sets
 
 
+def _class_of(values: np.ndarray) -> int:
+    """One 64-bit number for a whole set."""
+    with np.errstate(over="ignore"):
+        total = W.mixed(values + np.uint64(len(values))).sum(dtype=np.uint64)
+        return int(W.mixed(np.atleast_1d(total))[0].view(np.int64))
+
+
 def _bitmap(values: np.ndarray, words: int) -> np.ndarray:
     bits = np.zeros(words * 64, bool)
     bits[(values >> np.uint64(20)) % np.uint64(words * 64)] = True
@@ -104,30 +111,28 @@ def _sketch_task(
     batches: Iterable[pa.RecordBatch], width: int, probes: int
 ) -> Iterator[pa.RecordBatch]:
     factors = W.mixed(np.arange(11, 13, dtype=np.uint64)) | np.uint64(1)
-    for batch in batches:
+    for batch in slices(batches):
         texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-        for low in range(0, len(texts), 500):
-            sets = shingle_sets(texts[low : low + 500], width)
-            classes, pairs, bitmaps = [], [], []
-            with np.errstate(over="ignore"):
-                for values in sets:
-                    total = W.mixed(values + np.uint64(len(values))).sum(dtype=np.uint64)
-                    classes.append(W.mixed(np.atleast_1d(total))[0].view(np.int64))
-                    head = values[:probes]
-                    near = W.mixed(head[:-1] * factors[0] + head[1:] * factors[1])
-                    pairs.append(near.view(np.int64))
-                    bitmaps.append(_bitmap(values, BITMAP_WORDS).tobytes())
-            bounds = np.cumsum([0] + [len(p) for p in pairs]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(low, 500),
-                    pa.array([len(values) for values in sets], pa.int64()),
-                    pa.array(classes, pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(pairs))),
-                    pa.array(bitmaps, pa.binary()),
-                ],
-                ["doc_id", "n_shingles", "cls", "probes", "bitmap"],
-            )
+        sets = shingle_sets(texts, width)
+        classes, pairs, bitmaps = [], [], []
+        with np.errstate(over="ignore"):
+            for values in sets:
+                classes.append(_class_of(values))
+                head = values[:probes]
+                near = W.mixed(head[:-1] * factors[0] + head[1:] * factors[1])
+                pairs.append(near.view(np.int64))
+                bitmaps.append(_bitmap(values, BITMAP_WORDS).tobytes())
+        bounds = np.cumsum([0] + [len(p) for p in pairs]).astype(np.int32)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column(0),
+                pa.array([len(values) for values in sets], pa.int64()),
+                pa.array(classes, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(bounds), pa.array(np.concatenate(pairs))),
+                pa.array(bitmaps, pa.binary()),
+            ],
+            ["doc_id", "n_shingles", "cls", "probes", "bitmap"],
+        )
 
 
 # --- comparisons in a tile ----------------------------------------------------------
@@ -269,23 +274,18 @@ def _verify_task(
 
 def _arrays_task(batches: Iterable[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """The sets of texts whose class is the one asked for."""
-    for batch in batches:
+    for batch in slices(batches):
         texts = ["" if t is None else t for t in batch.column(2).to_pylist()]
         wanted = batch.column(0).to_numpy(zero_copy_only=False)
-        for low in range(0, len(texts), 500):
-            sets = shingle_sets(texts[low : low + 500], width)
-            keep, hashes = [], []
-            with np.errstate(over="ignore"):
-                for k, values in enumerate(sets):
-                    total = W.mixed(values + np.uint64(len(values))).sum(dtype=np.uint64)
-                    if W.mixed(np.atleast_1d(total))[0].view(np.int64) == wanted[low + k]:
-                        keep.append(low + k)
-                        hashes.append(values.tobytes())
-            chosen = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(chosen), batch.column(1).take(chosen), pa.array(hashes, pa.binary())],
-                ["cls", "grp", "hashes"],
-            )
+        keep, hashes = [], []
+        for number, values in enumerate(shingle_sets(texts, width)):
+            if _class_of(values) == wanted[number]:
+                keep.append(number)
+                hashes.append(values.tobytes())
+        chosen = pa.array(keep, pa.int64())
+        columns = [batch.column(0).take(chosen), batch.column(1).take(chosen)]
+        columns.append(pa.array(hashes, pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, ["cls", "grp", "hashes"])
 
 
 # --- the join ------------------------------------------------------------------------
@@ -457,3 +457,32 @@ def similar_documents(
             F.col("doc_id").eqNullSafe(F.col("component_id")).alias("is_kept"),
         )
     )
+
+
+# The result of `op5_ngram_join`, from all pairs with a common n-gram.
+SQL_TEXT = r"""
+    WITH RECURSIVE worded AS (
+      SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+      FROM documents WHERE text IS NOT NULL),
+    grams AS (
+      SELECT DISTINCT doc_id, unnest(
+        CASE WHEN len(w) >= 4 THEN
+               list_transform(range(1, len(w) - 2), lambda k: array_to_string(w[k:k + 3], ' '))
+             WHEN len(w) > 0 THEN [array_to_string(w, ' ')] END) AS gram
+      FROM worded),
+    sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+    common AS (
+      SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared
+      FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id
+      GROUP BY a.doc_id, b.doc_id),
+    links AS (
+      SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+      WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
+    reach AS (
+      SELECT doc_id AS a, doc_id AS b FROM documents
+      UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+    found AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+    SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, component_id = doc_id AS is_kept
+    FROM found LEFT JOIN sizes USING (doc_id)"""

@@ -137,6 +137,8 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op1_embedding_links": embedding_links.SQL_TEXT,
+    "op3_line_dedup": line_dedup.SQL_TEXT,
+    "op5_ngram_join": ngram_join.SQL_TEXT,
     "op6_chat_format": chat.SQL_TEXT,
     "op9_vector_search": vector_search.SQL_TEXT,
 }
