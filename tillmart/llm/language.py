@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.llm import words as W
-from tillmart.llm.common import written
+from tillmart.llm.common import most_frequent, slices, written
 
 UNDETERMINED = "und"
 
 # Bounds of the model: labelled rows it is learned from, words and letter groups it keeps.
 TRAINING_ROWS = 20_000
-MOST_WORDS = 150_000
-MOST_GROUPS = 60_000
+MOST_WORDS = 100_000
+MOST_GROUPS = 40_000
 
 LONGEST = 5
 BACKOFF = 0.4
@@ -50,6 +50,12 @@ class Model:
     unseen: np.ndarray
     memo: W.Memo = field(default=None, repr=False)
 
+    def __getstate__(self) -> dict:
+        """What is sent to tasks: each worker keeps a memory of its own."""
+        return {name: value for name, value in vars(self).items() if name != "all_scores"} | {
+            "memo": None
+        }
+
     def rows_of_word(self, word: str) -> list[int]:
         """The rows of scores that a word adds: its own, or those of its groups."""
         known = self.words.get(word)
@@ -80,8 +86,8 @@ def learn(
 ) -> Model:
     """A model from labelled rows, `rows` telling which may be used.
 
-    About `training_rows` of them are used, those with the smallest hashes of their id, so the
-    sample does not depend on partitions. Words and letter groups are counted by Spark; what
+    About `training_rows` of them are used, those with small hashes of their id, so the sample
+    does not depend on partitions. Words and letter groups are counted by Spark; what
     comes to the driver is bounded by MOST_WORDS and MOST_GROUPS. Rows without a label or text
     teach nothing. Without any, the model has no language.
     """
@@ -91,9 +97,9 @@ def learn(
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     )
-    first = labelled.select("order").orderBy("order").limit(training_rows)
-    last = first.agg(F.max("order")).first()[0]
-    sample = labelled.filter(F.col("order") <= F.lit(last).cast("long"))
+    share = min(1.0, training_rows / max(1, labelled.count()))
+    last = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+    sample = labelled.filter(F.col("order") <= last)
     counts = (
         sample.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
         .filter("word <> ''")
@@ -105,7 +111,7 @@ def learn(
         F.sum("n").alias("total"),
         F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
     )
-    kept = words.orderBy(F.desc("total"), "word").limit(MOST_WORDS)
+    kept = most_frequent(written(words, "language-words"), "total", MOST_WORDS)
     marked = F.concat(F.lit(EDGE), F.col("word"), F.lit(EDGE))
     sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length(marked)))
     groups = F.flatten(
@@ -127,27 +133,29 @@ def learn(
             F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
         )
     )
-    top_groups = by_group.orderBy(F.desc("total"), "word").limit(MOST_GROUPS)
-    return _fitted(kept.select("word", "by").collect(), top_groups.select("word", "by").collect())
+    top_groups = most_frequent(written(by_group, "language-groups"), "total", MOST_GROUPS)
+    return _fitted(kept.select("word", "by").toArrow(), top_groups.select("word", "by").toArrow())
 
 
-def _fitted(words: list, groups: list) -> Model:
-    languages = sorted({lang for row in words for lang in row["by"]})
+def _fitted(words: pa.Table, groups: pa.Table) -> Model:
+    names = {lang for by in words["by"].to_pylist() for lang, _ in by}
+    languages = sorted(names)
     column = {lang: n for n, lang in enumerate(languages)}
 
-    def counted(rows: list) -> tuple[dict[str, int], np.ndarray]:
-        table = np.zeros((len(rows), len(languages)))
-        for number, row in enumerate(rows):
-            for lang, n in row["by"].items():
-                table[number, column[lang]] = n
-        return {row["word"]: number for number, row in enumerate(rows)}, table
+    def counted(rows: pa.Table) -> tuple[dict[str, int], np.ndarray]:
+        table = np.zeros((rows.num_rows, len(languages)))
+        for number, by in enumerate(rows["by"].to_pylist()):
+            for lang, n in by:
+                if lang in column:
+                    table[number, column[lang]] = n
+        return {word: number for number, word in enumerate(rows["word"].to_pylist())}, table
 
     word_rows, word_counts = counted(words)
     group_rows, group_counts = counted(groups)
     totals = word_counts.sum(axis=0)
     seen = np.maximum(totals, 1)
-    word_scores = np.log((word_counts + 0.1) / (seen + 0.1 * max(1, len(words))))
-    sizes = np.array([len(row["word"]) for row in groups], int)
+    word_scores = np.log((word_counts + 0.1) / (seen + 0.1 * max(1, len(word_rows))))
+    sizes = np.array([len(group) for group in group_rows], int)
     group_scores = np.zeros_like(group_counts)
     for size in range(1, LONGEST + 1):
         at = sizes == size
@@ -164,7 +172,7 @@ def _fitted(words: list, groups: list) -> Model:
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and number of words of each whole text."""
     if model.memo is None:
-        model.memo = W.Memo(model.rows_of_word, limit=300_000)
+        model.memo = W.Memo(model.rows_of_word, limit=200_000)
         model.all_scores = model.table()
     count = len(model.languages)
     sums = np.zeros((len(texts), count))
@@ -197,7 +205,7 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
 def _task(batches: Iterable[pa.RecordBatch], shared, text_at: int) -> Iterator[pa.RecordBatch]:
     """The rows as they are, with the prediction for the text at the end."""
     model = shared.value
-    for batch in batches:
+    for batch in slices(batches):
         names, scores, n_words = predict(model, batch.column(text_at).to_pylist())
         added = [pa.array(names, pa.string()), pa.array(scores), pa.array(n_words)]
         columns = [*batch.columns, *added]
