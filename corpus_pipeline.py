@@ -16,18 +16,29 @@ from tillmart.llm.common import written
 LEAST_SCORE = 0.3
 
 
+def _aside(docs: DataFrame, names: list[str]) -> DataFrame:
+    """The documents, with columns of these names called otherwise for a while."""
+    return docs.withColumnsRenamed({name: f"_given_{name}" for name in names})
+
+
+def _back(found: DataFrame, docs: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of the documents under their own names."""
+    renamed = found.drop(*names).withColumnsRenamed({f"_given_{name}": name for name in names})
+    return renamed.select(docs.columns)
+
+
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language of the labelled ones; a missing label is filled in.
 
     Rejected are texts without a letter, null ones included, and those no language claims with
     LEAST_SCORE. Without any labelled document nothing can be identified, and all go.
     """
-    found = language.identify(docs, language.learn(docs))
+    found = language.identify(_aside(docs, language.ADDED), language.learn(docs))
     accepted = found.filter(
         (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
     )
     filled = accepted.withColumn("lang", F.coalesce("lang", "lang_pred"))
-    return filled.select(docs.columns)
+    return _back(filled, docs, language.ADDED)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,9 +47,11 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     A document of which no text is left goes; one that lost no line stays whatever it holds.
     """
     # Written first, so that the lines are not put together again for the filter.
-    cleaned = written(line_dedup.dedup_lines(docs), "cleaned-documents")
+    cleaned = line_dedup.dedup_lines(_aside(docs, line_dedup.ADDED))
+    cleaned = written(cleaned, "cleaned-documents")
     left = cleaned.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
-    return left.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    counted = left.withColumn("n_chars", F.length("text").cast("long"))
+    return _back(counted, docs, line_dedup.ADDED)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -156,10 +156,16 @@ def test_stages_on_odd_documents(spark, tmp_path, rows):
            (4, f"{line}\nthe rest of four", "en", "s", 2), (4, f"{line}\nthe rest of four", "en", "s", 2),
            (5, f"{line}\nthe rest of five", "en", "s", 2), (6, line, None, "s", 3), (None, "no id at all", "en", "s", 1),
            (7, "word " * 100_000, "en", "s", 9)]
-    docs = spark.createDataFrame([(*r, "more") for r in odd if rows == "odd"], SCHEMA + ", score string")
+    more = ", score string, n_lines string, tile string"
+    given = [(*r, f"s{r[0]}", "l", "t") for r in odd if rows == "odd"]
+    docs = spark.createDataFrame(given, SCHEMA + more)
     for number, (_, stage) in enumerate(corpus_pipeline.STAGES):
         if number:
             docs = spark.read.parquet(f"{tmp_path}/{number - 1}")
         stage(spark, docs, DATA).write.parquet(f"{tmp_path}/{number}")
+        if number < 3:
+            kept = spark.read.parquet(f"{tmp_path}/{number}")
+            assert kept.columns == docs.columns
+            assert all(r.score == f"s{r.doc_id}" and r.n_lines == "l" for r in kept.collect())
     found = {r.doc_id for r in spark.read.parquet(f"{tmp_path}/3").collect()}
     assert found == ({4, 5, None, 7} if rows == "odd" else set())

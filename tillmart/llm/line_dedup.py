@@ -263,6 +263,9 @@ def repeated_lines(
     return repeats.groupBy("doc_id").agg(F.collect_set("number").alias("dropped"))
 
 
+ADDED = ["n_lines", "n_dropped"]
+
+
 def dedup_lines(
     documents: DataFrame,
     id_col: str = "doc_id",
@@ -276,7 +279,7 @@ def dedup_lines(
     too short to go. Columns named as the two added are replaced. An empty table gives no rows.
     """
     repeated = repeated_lines(documents, id_col, text_col, min_chars)
-    given = documents.drop("n_lines", "n_dropped")
+    given = documents.drop(*ADDED)
     repeated = repeated.select(F.col("doc_id").alias("_repeated_id"), F.col("dropped").alias("_dropped"))
     joined = given.join(
         repeated, given[id_col].cast("long").eqNullSafe(F.col("_repeated_id")), "left"
@@ -298,7 +301,7 @@ def dedup_lines(
         "n_dropped": F.when(F.col("_dropped").isNull(), 0).otherwise(F.size(gone)).cast("long"),
     }
     with_counts = joined.withColumns(counts).withColumn(text_col, kept)
-    return with_counts.select(*given.columns, "n_lines", "n_dropped")
+    return with_counts.select(*given.columns, *ADDED)
 
 
 # The result of `op3_line_dedup`, with one edit tested place by place.
