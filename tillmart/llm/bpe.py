@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm import words as W
+from tillmart.llm.common import slices
 from tillmart.llm.packing import byte_signs
 
 SCHEMA = "doc_id long, ids array<int>, decoded string"
@@ -140,7 +141,7 @@ def byte_pairs(path: str) -> BytePairs:
 
 def _task(batches: Iterable[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
     pairs = byte_pairs(path)
-    for batch in batches:
+    for batch in slices(batches):
         texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
         for numbers, _ in _runs(texts):
             held = [texts[n] for n in numbers]

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm import words as W
+from tillmart.llm.common import slices
 
 WINDOW = 2048
 END_ID = 1
@@ -254,16 +255,14 @@ def _blocks(
 ) -> Iterator[list[tuple[int | None, np.ndarray]]]:
     block: list[tuple[int | None, np.ndarray]] = []
     size = 0
-    for batch in batches:
-        names = batch.column(0).to_pylist()
+    for batch in slices(batches):
         texts = [text or "" for text in batch.column(1).to_pylist()]
-        for low in range(0, len(texts), 256):
-            for doc, ids in zip(names[low : low + 256], word_ids(path).ids(texts[low : low + 256])):
-                block.append((doc, np.concatenate([ids, [END_ID]]).astype("<u4")))
-                size += len(ids) + 1
-                if len(block) >= BLOCK_DOCUMENTS or size >= BLOCK_IDS:
-                    yield block
-                    block, size = [], 0
+        for doc, ids in zip(batch.column(0).to_pylist(), word_ids(path).ids(texts)):
+            block.append((doc, np.concatenate([ids, [END_ID]]).astype("<u4")))
+            size += len(ids) + 1
+            if len(block) >= BLOCK_DOCUMENTS or size >= BLOCK_IDS:
+                yield block
+                block, size = [], 0
     yield block
 
 

@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillmart.llm.common import slices
 from tillmart.llm.packing import word_ids
 
 KEYS = ["source", "lang", "tokenizer"]
@@ -33,11 +34,9 @@ DELTAS = "source string, lang string, tokenizer string, docs long, tokens long,
 def _count_task(
     batches: Iterable[pa.RecordBatch], path: str, version: str
 ) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [text or "" for text in batch.column(3).to_pylist()]
-        tokens: list[int] = []
-        for low in range(0, len(texts), 256):
-            tokens += [len(ids) for ids in word_ids(path).ids(texts[low : low + 256])]
+        tokens = [len(ids) for ids in word_ids(path).ids(texts)]
         chars = [len(text) for text in texts]
         added = [pa.array([version] * len(texts)), pa.array(tokens), pa.array(chars)]
         names = [*batch.schema.names[:3], "tokenizer", "tokens", "chars"]

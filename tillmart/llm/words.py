@@ -219,7 +219,7 @@ class Memo:
     `work` gives the integers of a word. The memo is emptied when it holds `limit` words.
     """
 
-    def __init__(self, work: Callable[[str], list[int]], limit: int = 500_000):
+    def __init__(self, work: Callable[[str], list[int]], limit: int = 400_000):
         self.work, self.limit = work, limit
         self.clear()
 
