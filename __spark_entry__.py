@@ -154,6 +154,11 @@ def payload_ack(spark: SparkSession, folder: str) -> DataFrame:
     return payloads.acknowledgments(_taken(spark, folder)).drop("timestamp")
 
 
+def payload_ack_stamp(spark: SparkSession, folder: str) -> DataFrame:
+    """The time of the acknowledgments: one value for all of a run."""
+    return _stamps(payloads.acknowledgments(_taken(spark, folder)), "acknowledgments", "timestamp")
+
+
 def _damaged(raw: DataFrame) -> DataFrame:
     """Each payload once more, but cut short, without its id, or without its date."""
     kind = F.split("value", '"')[3].cast("long") % 3
@@ -325,7 +330,14 @@ def run_audit(spark: SparkSession, folder: str) -> DataFrame:
     marts.run_datamarts(spark, _staged(spark, folder), target, audit=audit)
     names = [mart.target_table for mart in marts.MARTS]
     export.run_export(spark, target, names, f"{target.root}/exported", audit=audit)
-    return target.read("audit.runs").select("job", "table_name", "status", "rows_out")
+    name = F.regexp_extract("message", r"([^/]+)_\d{8}_\d{6}$", 1)
+    return target.read("audit.runs").select(
+        "job",
+        "table_name",
+        "status",
+        "rows_out",
+        F.when(F.col("job") == "export", name).alias("folder"),
+    )
 
 
 def log_report_steps(spark: SparkSession, folder: str) -> DataFrame:
@@ -619,6 +631,7 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payload_to_items": payload_to_items,
         "payload_documents": payload_documents,
         "payload_ack": payload_ack,
+        "payload_ack_stamp": payload_ack_stamp,
         "payload_rejects": payload_rejects,
         "stream_payload_intake": stream_payload_intake,
         "ingest_full": ingest_full,
@@ -827,6 +840,9 @@ def _sales_sql() -> dict[str, str]:
             WITH {_SENT}
             SELECT 'Success' AS status, 'Record created successfully.' AS message,
                    transaction_id AS "transactionId" FROM sent""",
+        "payload_ack_stamp": """
+            SELECT 'acknowledgments' AS table_name, count(*) AS stamped_rows,
+                   cast(1 AS bigint) AS stamps FROM orders""",
         "payload_rejects": f"""
             WITH {_SENT}
             SELECT CASE k % 3 WHEN 0 THEN 'malformed document' WHEN 1 THEN 'no sale id'
@@ -857,7 +873,8 @@ def _sales_sql() -> dict[str, str]:
             UNION ALL SELECT 'ingest', 'nowhere', 'SKIPPED', NULL, NULL, 'no configuration'""",
         "run_audit": f"""
             WITH {_FULL}
-            SELECT job, table_name, 'DONE' AS status, rows_out
+            SELECT job, table_name, 'DONE' AS status, rows_out,
+                   CASE WHEN job = 'export' THEN replace(table_name, '.', '_') END AS folder
             FROM (VALUES ('datamart'), ('export')) AS jobs(job), (
               SELECT 'dm_sales.top_selling_products' AS table_name,
                      count(DISTINCT product_name) AS rows_out FROM sales_full
