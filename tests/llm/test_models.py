@@ -258,8 +258,18 @@ def test_rollups_follow_inserts_deletes_and_revisions(spark):
             del held[key]
         held |= fresh | after
         assert totals(rollup) == brute(held)
+        if batch in (2, 4):
+            rollup.merge()
+            assert totals(rollup) == brute(held)
+            assert not rollup.commit(f"b{batch}", changes)
     assert rollup.batches() == [f"b{n}" for n in range(6)]
     everything = frame(sorted(held), held)
+    for merged in ("b0", "b3"):
+        rollup._fs().delete(rollup._path(merged), True)
+    assert totals(rollup) == brute(held) and "b0" in rollup.batches()
+    rollup._fs().delete(rollup._path(token_rollup.SNAPSHOTS, "00000001", "_SUCCESS"), False)
+    assert rollup.batches() == [f"b{n}" for n in (0, 1, 2, 4, 5)]  # an unfinished snapshot
+    rollup._fs().create(rollup._path(token_rollup.SNAPSHOTS, "00000001", "_SUCCESS")).close()
     rollup.commit("end", token_rollup.deleted(everything))
     assert totals(rollup) == {}
 

@@ -7,7 +7,8 @@ costs what it holds and never reads the documents again.
 
 The totals live in a folder of the shared store with one sub-folder per batch. A batch is
 written under its own name and counts from the moment Spark's success marker is there;
-committing it again does nothing, and a batch that broke off is written anew.
+committing it again does nothing, and a batch that broke off is written anew. Batches may be
+merged into a snapshot, which remembers their names.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from tillmart.llm.packing import word_ids
 
 KEYS = ["source", "lang", "tokenizer"]
 COUNTS = "doc_id long, source string, lang string, tokenizer string, tokens long, chars long"
+SNAPSHOTS = "_snapshots"
 DELTAS = "source string, lang string, tokenizer string, docs long, tokens long, chars long"
 
 
@@ -94,13 +96,26 @@ class TokenRollup:
     def _path(self, *parts: str):
         return self.spark._jvm.org.apache.hadoop.fs.Path("/".join([self.folder, *parts]))
 
-    def batches(self) -> list[str]:
-        """Names of the committed batches, in order."""
+    def _written(self, *parts: str) -> list[str]:
+        """Names under a folder whose write has ended, in order."""
         fs = self._fs()
-        if not fs.exists(self._path()):
+        if not fs.exists(self._path(*parts)):
             return []
-        names = [status.getPath().getName() for status in fs.listStatus(self._path())]
-        return sorted(n for n in names if fs.exists(self._path(n, "_SUCCESS")))
+        names = [status.getPath().getName() for status in fs.listStatus(self._path(*parts))]
+        return sorted(n for n in names if fs.exists(self._path(*parts, n, "_SUCCESS")))
+
+    def _merged(self) -> tuple[str | None, list[str]]:
+        """The last snapshot of totals, and the batches it holds."""
+        snapshots = self._written(SNAPSHOTS)
+        if not snapshots:
+            return None, []
+        path = f"{self.folder}/{SNAPSHOTS}/{snapshots[-1]}"
+        names = self.spark.read.text(f"{path}/names").select("value")
+        return f"{path}/totals", sorted(row.value for row in names.collect())
+
+    def batches(self) -> list[str]:
+        """Names of the committed batches, in order."""
+        return sorted({*self._written(), *self._merged()[1]})
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of changes once; false if it was there already."""
@@ -108,18 +123,34 @@ class TokenRollup:
             raise ValueError(f"a batch needs a name of letters, digits and dashes, not {batch!r}")
         if batch in self.batches():
             return False
-        sums = [F.sum(name).alias(name) for name in ("docs", "tokens", "chars")]
-        by_key = changes.groupBy(*KEYS).agg(*sums)
-        moved = by_key.filter("docs <> 0 OR tokens <> 0 OR chars <> 0")
-        moved.write.mode("overwrite").parquet(f"{self.folder}/{batch}")
+        _summed(changes).write.mode("overwrite").parquet(f"{self.folder}/{batch}")
         return True
 
+    def merge(self) -> None:
+        """Sum the batches so far into one snapshot, which totals start from afterwards.
+
+        A snapshot counts once its success marker is there, after both its parts are. The
+        batches' own folders are not read again and may be removed.
+        """
+        names = self.batches()
+        number = f"{len(self._written(SNAPSHOTS)):08d}"
+        path = f"{self.folder}/{SNAPSHOTS}/{number}"
+        self.totals().write.mode("overwrite").parquet(f"{path}/totals")
+        listed = self.spark.createDataFrame([(name,) for name in names], "value string")
+        listed.write.mode("overwrite").text(f"{path}/names")
+        self._fs().create(self._path(SNAPSHOTS, number, "_SUCCESS")).close()
+
     def totals(self) -> DataFrame:
         """Totals of all committed batches; keys whose documents are all gone are left out."""
-        paths = [f"{self.folder}/{name}" for name in self.batches()]
+        snapshot, merged = self._merged()
+        paths = [f"{self.folder}/{name}" for name in self._written() if name not in set(merged)]
+        paths += [snapshot] if snapshot else []
         if not paths:
             return self.spark.createDataFrame([], DELTAS)
-        sums = [F.sum(name).alias(name) for name in ("docs", "tokens", "chars")]
-        stored = self.spark.read.schema(DELTAS).parquet(*paths)
-        totals = stored.groupBy(*KEYS).agg(*sums)
-        return totals.filter("docs <> 0 OR tokens <> 0 OR chars <> 0")
+        return _summed(self.spark.read.schema(DELTAS).parquet(*paths))
+
+
+def _summed(changes: DataFrame) -> DataFrame:
+    sums = [F.sum(name).alias(name) for name in ("docs", "tokens", "chars")]
+    by_key = changes.groupBy(*KEYS).agg(*sums)
+    return by_key.filter("docs <> 0 OR tokens <> 0 OR chars <> 0")
