@@ -47,5 +47,11 @@ def test_written_tables_lie_in_the_shared_folder(spark):
     assert sorted(r.id for r in table.collect()) == list(range(5))
     shared = spark.conf.get("spark.checkpoint.dir")
     assert all(shared in name for name in table.inputFiles())
+    with common.passing_tables(spark):
+        passing = common.written(table, "numbers")
+        kept = common.written(passing.filter("id > 2"), "numbers", keep=True)
+    assert sorted(r.id for r in kept.collect()) == [3, 4] and table.count() == 5
+    with pytest.raises(Exception):
+        passing.count()
     empty = common.written(spark.range(5).filter("id > 9"), "numbers")
     assert empty.count() == 0 and empty.columns == ["id"]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,17 +19,39 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return scratch_dir(spark, label) + "/rows"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+# Folders of the tables that the innermost `passing_tables` will remove.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
+
+
+def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """The rows of `df`, written once to the shared folder and read from there.
 
-    It cuts the lineage at files that outlive any executor.
+    It cuts the lineage at files that outlive any executor. Within `passing_tables` the files
+    go at its end, unless they are to be kept.
     """
     spark = df.sparkSession
     folder = shared_folder(spark, label)
     df.write.parquet(folder)
+    passing = _passing.get()
+    if passing is not None and not keep:
+        passing.append(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove tables written inside at the end, when what was made of them is written too."""
+    folders: list[str] = []
+    outer = _passing.set(folders)
+    try:
+        yield
+    finally:
+        _passing.reset(outer)
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def whole_groups(batches: Iterable[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Tables that hold whole groups of a key by which the rows are sorted."""
     held: list[pa.RecordBatch] = []

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm import words as W
-from tillmart.llm.common import numbers, whole_groups, written
+from tillmart.llm.common import numbers, passing_tables, whole_groups, written
 from tillmart.llm.graph import components
 
 COSINE = 0.9
@@ -166,6 +166,11 @@ def near_vectors(
     chosen = vectors.select(
         F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).alias("vector")
     )
+    with passing_tables(vectors.sparkSession):
+        return written(_linked(chosen, cosine), "near-vectors", keep=True)
+
+
+def _linked(chosen: DataFrame, cosine: float) -> DataFrame:
     good = usable(F.col("vector"))
     rows = chosen.select("vec_id", F.when(good, F.xxhash64("vector")).alias("cls"))
     classes = (

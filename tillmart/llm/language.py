@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.llm import words as W
-from tillmart.llm.common import most_frequent, slices, written
+from tillmart.llm.common import most_frequent, passing_tables, slices, written
 
 UNDETERMINED = "und"
 
@@ -97,6 +97,11 @@ def learn(
         F.col(text_col).cast("string").alias("text"),
         F.col(lang_col).cast("string").alias("lang"),
     )
+    with passing_tables(documents.sparkSession):
+        return _learned(labelled, training_rows)
+
+
+def _learned(labelled: DataFrame, training_rows: int) -> Model:
     share = min(1.0, training_rows / max(1, labelled.count()))
     last = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
     sample = labelled.filter(F.col("order") <= last)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import written
+from tillmart.llm.common import passing_tables, written
 from tillmart.llm.graph import components
 
 MAX_EDITS = 1
@@ -232,6 +232,11 @@ def repeated_lines(
     chosen = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     ).filter("text IS NOT NULL")
+    with passing_tables(documents.sparkSession):
+        return written(_repeated(chosen, min_chars), "repeated-lines", keep=True)
+
+
+def _repeated(chosen: DataFrame, min_chars: int) -> DataFrame:
     cut = _lines(chosen, min_chars).select(
         "doc_id", "number", F.xxhash64("line").alias("cls"), _signs(F.col("line")).alias("signs")
     )
@@ -281,8 +286,9 @@ def dedup_lines(
     repeated = repeated_lines(documents, id_col, text_col, min_chars)
     given = documents.drop(*ADDED)
     repeated = repeated.select(F.col("doc_id").alias("_repeated_id"), F.col("dropped").alias("_dropped"))
+    # The lists of dropped lines grow with the documents, so they are never broadcast.
     joined = given.join(
-        repeated, given[id_col].cast("long").eqNullSafe(F.col("_repeated_id")), "left"
+        repeated.hint("merge"), given[id_col].cast("long").eqNullSafe(F.col("_repeated_id")), "left"
     )
     joined = joined.withColumn("_lines", F.split(F.col(text_col), "\n"))
     lines, size = F.col("_lines"), F.size("_lines")

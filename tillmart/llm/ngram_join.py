@@ -28,7 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm import words as W
-from tillmart.llm.common import numbers, raw_bytes, slices, whole_groups, written
+from tillmart.llm.common import (
+    numbers,
+    passing_tables,
+    raw_bytes,
+    slices,
+    whole_groups,
+    written,
+)
 from tillmart.llm.graph import components
 
 MISS = 1e-9
@@ -420,6 +427,11 @@ def similar_documents(
     chosen = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
+    with passing_tables(documents.sparkSession):
+        return written(_joined(chosen, width, percent), "similar-documents", keep=True)
+
+
+def _joined(chosen: DataFrame, width: int, percent: int) -> DataFrame:
     probes = probes_needed(percent / 100)
     sketch = chosen.mapInArrow(
         functools.partial(_sketch_task, width=width, probes=probes), SKETCH

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.llm import words as W
-from tillmart.llm.common import most_frequent, written
+from tillmart.llm.common import most_frequent, passing_tables, written
 
 WINDOW = 2
 HIDDEN = 16
@@ -115,6 +115,11 @@ def _count_task(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def vocabulary(texts: DataFrame) -> Vocabulary:
     """Counts over all texts. To the driver come MOST_WORDS words and a sum for each class."""
+    with passing_tables(texts.sparkSession):
+        return _vocabulary(texts)
+
+
+def _vocabulary(texts: DataFrame) -> Vocabulary:
     counted = texts.mapInPandas(_count_task, "word long, n long")
     counts = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     top = most_frequent(counts, "n", MOST_WORDS).toPandas()

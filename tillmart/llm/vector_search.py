@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as Over
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import numbers, whole_groups, written
+from tillmart.llm.common import numbers, passing_tables, whole_groups, written
 from tillmart.llm.embedding_links import _lists
 
 CELLS = 256
@@ -145,7 +145,11 @@ def top_k(
         .withColumn("vkey", F.xxhash64("vec_id", "content"))
         .dropDuplicates(["vkey"])
     )
-    rows = written(rows, "integers")
+    with passing_tables(vectors.sparkSession):
+        return written(_best(written(rows, "integers"), k), "top-k", keep=True)
+
+
+def _best(rows: DataFrame, k: int) -> DataFrame:
     counts = rows.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
     n_vectors, n_queries = int(counts[0]), int(counts[1])
     candidates = written(_candidates(rows, n_vectors, n_queries, k), "bounds")
