@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -148,6 +150,27 @@ def test_words_around_help(trained):
     assert pseudo_likelihood.score(words, network, shuffled)[1].sum() < total.sum() - 1000
 
 
+def test_every_word_is_a_training_target(spark, trained, monkeypatch):
+    words, network = trained
+    texts = texts_with_order(random.Random(4), 30) + ["red", "strange sky", ""]
+    targets = []
+    monkeypatch.setattr(pseudo_likelihood.Trainer, "step", lambda self, around, classes, *_: targets.extend(classes))
+    shared = SimpleNamespace(value=(words, network))
+    batches = [pd.DataFrame({"text": texts[:20]}), pd.DataFrame({"text": texts[20:]})]
+    learned = list(pseudo_likelihood._train_task(batches, shared, pseudo_likelihood.STRIDE))
+    wanted = [words.look_up(found)[1] for _, found in pseudo_likelihood._word_hashes(texts)]
+    assert sorted(targets) == sorted(np.concatenate(wanted)) and learned[0]["seen"][0] == len(targets) == 30 * 80 + 3
+
+
+def test_words_around_help_with_the_parameters_of_the_query(spark):
+    texts = texts_with_order(random.Random(1), 500)
+    shuffled = [" ".join(random.Random(n).sample(t.split(), 80)) for n, t in enumerate(texts[:50])]
+    given = spark.createDataFrame(list(enumerate(texts + shuffled)), "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.mean_log_likelihood for r in pseudo_likelihood.score_documents(given).collect()}
+    ordered, mixed = (np.mean([found[n + k] for n in range(50)]) for k in (0, 500))
+    assert ordered > np.log(1 / 10) + 0.7 and mixed < ordered - 0.5
+
+
 def test_chances_of_all_words_sum_to_one(trained):
     words, network = trained
     around = np.full((1, 4), 3)
