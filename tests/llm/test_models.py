@@ -181,6 +181,55 @@ def test_chances_of_all_words_sum_to_one(trained):
     assert np.allclose(in_class[np.unique(words.classes)], 1)
 
 
+def hashes(words):
+    ((_, found),) = pseudo_likelihood._word_hashes([" ".join(words)])
+    return found
+
+
+def test_words_around_tell_words_of_one_class_apart(spark):
+    names = ["".join(random.Random(n).choices("abcdefghij", k=6)) for n in range(400)]
+    common, rarer = names[:60], names[60:]
+    shared = pseudo_likelihood._shared_class(hashes(rarer))
+    x, y = (rarer[n] for n in np.flatnonzero(shared == shared[0])[:2])
+    draw, texts = random.Random(5), []
+    for _ in range(2000):
+        text = draw.choices(common, k=30) + [draw.choice(rarer)]
+        texts.append(" ".join([*text, common[0], x, common[0], *text[::-1], common[1], y, common[1]]))
+    given = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    words = pseudo_likelihood.vocabulary(given)
+    # Were they classes of their own, the classes would tell them apart.
+    words.classes[:] = np.where(np.isin(words.hashes, hashes([x, y])), shared[0], words.classes)
+    leaves = np.zeros(pseudo_likelihood.SHARED_CLASSES << pseudo_likelihood.DEPTH)
+    np.add.at(leaves, (hashes([x, y, *rarer]) % np.uint64(len(leaves))).astype(int), 1.0)
+    words.odds = pseudo_likelihood.fork_odds(leaves)
+    network = pseudo_likelihood.train(given, words)
+    tried = [f"{common[0]} {x} {common[0]}", f"{common[0]} {y} {common[0]}",
+             f"{common[1]} {x} {common[1]}", f"{common[1]} {y} {common[1]}"]
+    _, (ax, ay, bx, by) = pseudo_likelihood.score(words, network, tried)
+    assert (ax - ay) - (bx - by) > 2
+
+
+def test_chances_inside_a_class_sum_to_one_in_any_context(spark):
+    names = ["".join(random.Random(n).choices("abcdefghij", k=6)) for n in range(500)]
+    text = " ".join(" ".join([name] * (1 + n % 7)) for n, name in enumerate(names))
+    words = pseudo_likelihood.vocabulary(spark.createDataFrame([(text,)], "text string"))
+    network = pseudo_likelihood.Network.start(words.log_classes)
+    network.forks[:] = np.random.default_rng(1).standard_normal(network.forks.shape)
+    found = hashes(sorted(set(names)))
+    _, classes, logs = words.look_up(found)
+    around = np.full((len(found), 4), 3)
+    forks = words.forks(found, classes)
+    inside = network.log_chances(around, classes, forks) - network.log_chances(around, classes)
+    assert np.abs(inside).max() > 0.5
+    sums = np.bincount(classes, np.exp(logs + inside), pseudo_likelihood.CLASSES)
+    assert np.allclose(sums[np.unique(classes)], 1, atol=1e-4)
+    total = pseudo_likelihood.score(words, network, [names[300]])[1][0]
+    edge = np.full((1, 4), pseudo_likelihood.EDGE_INPUT)
+    one = found == hashes([names[300]])
+    alone = network.log_chances(edge, classes[one], words.forks(found[one], classes[one])) + logs[one]
+    assert abs(total - alone[0]) < 1e-4
+
+
 def test_score_is_the_sum_over_places(trained):
     words, network = trained
     text = "red apple strange sky"

@@ -1,10 +1,12 @@
 """Masked pseudo-likelihood of documents under a bidirectional window network.
 
 A small network reads the words on both sides of a place, WINDOW on each side, and predicts
-the word at the place: P(word) = P(class | words around) * P(word | class). The most frequent
-words are classes of their own, all others share classes by hash. The network gives the first
-factor, counts of the whole corpus the second. A document's score is the sum of the log
-probabilities of all its words.
+the word at the place: P(word) = P(class | words around) * P(word | class, words around). The
+most frequent words are classes of their own, all others share classes by hash. Inside a class
+the bits of the hash lead down a binary tree, and the network moves the odds at each of DEPTH
+forks, which counts of the whole corpus give, by what it sees around. Words that no fork tells
+apart share their leaf by their counts. A document's score is the sum of the log probabilities
+of all its words.
 
 Counts of words come from all documents. The network is trained in numpy by every task on its
 own documents, from the weights of the round before, and the rounds' weights are averages
@@ -32,6 +34,12 @@ HIDDEN = 16
 OWN_CLASSES = 48
 SHARED_CLASSES = 16
 CLASSES = OWN_CLASSES + SHARED_CLASSES
+# Forks from a shared class to a leaf; those near the root have weights of their own, deeper
+# ones share them by hash.
+DEPTH = 16
+OWN_FORKS = 1024
+SHARED_FORKS = 16_384
+FORK_ROWS = SHARED_CLASSES * OWN_FORKS + SHARED_FORKS
 INPUTS = 4096
 ROUNDS = 2
 # Every STRIDE-th window of every document is a training example; one leaves none out.
@@ -49,7 +57,11 @@ SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_likelihood
 
 @dataclass
 class Vocabulary:
-    """Counts of the corpus: frequent words by hash, the others in sums by class."""
+    """Counts of the corpus: frequent words by hash, the others in sums by class.
+
+    `odds` holds, for each fork of the trees, the log of how much more often words take the
+    branch of the bit 1 than the other, or NaN where no word or all words take the same.
+    """
 
     hashes: np.ndarray
     inputs: np.ndarray
@@ -57,6 +69,7 @@ class Vocabulary:
     log_in_class: np.ndarray
     rest_log_in_class: np.ndarray
     log_classes: np.ndarray
+    odds: np.ndarray
 
     def look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Input row, class and log P(word | class) of each word hash."""
@@ -73,6 +86,53 @@ class Vocabulary:
             logs[known] = self.log_in_class[at[known]]
         return inputs[codes], classes[codes], logs[codes]
 
+    def forks(self, found: np.ndarray, classes: np.ndarray) -> Forks:
+        """The forks that words in shared classes come through."""
+        places = np.flatnonzero(classes >= OWN_CLASSES)
+        path = (found[places] // np.uint64(SHARED_CLASSES) % np.uint64(1 << DEPTH)).astype(np.int32)
+        levels = np.arange(DEPTH, dtype=np.int32)
+        nodes = (path[:, None] & ((1 << levels) - 1)) + (1 << levels)
+        nodes += ((classes[places] - OWN_CLASSES) << DEPTH).astype(np.int32)[:, None]
+        bits = (path[:, None] >> levels & 1).astype(bool)
+        return Forks(places, fork_rows().take(nodes), bits, self.odds.take(nodes))
+
+
+@dataclass
+class Forks:
+    """Numbers of words in order, and by level their rows of weights, the bits and the odds."""
+
+    places: np.ndarray
+    rows: np.ndarray
+    bits: np.ndarray
+    odds: np.ndarray
+
+    def of(self, low: int, high: int) -> Forks:
+        """Those of the words from `low` to before `high`, whose numbers begin at 0."""
+        part = slice(*np.searchsorted(self.places, [low, high]))
+        return Forks(self.places[part] - low, self.rows[part], self.bits[part], self.odds[part])
+
+
+@functools.cache
+def fork_rows() -> np.ndarray:
+    """The row of weights of each fork."""
+    nodes = np.arange(SHARED_CLASSES << DEPTH)
+    tree, place = nodes >> DEPTH, nodes % (1 << DEPTH)
+    shared = SHARED_CLASSES * OWN_FORKS + W.mixed(nodes.astype(np.uint64)) % np.uint64(SHARED_FORKS)
+    return np.where(place < OWN_FORKS, tree * OWN_FORKS + place, shared).astype(np.uint16)
+
+
+def fork_odds(leaves: np.ndarray) -> np.ndarray:
+    """`odds` of a vocabulary from the counts of all leaves, those of words in own classes left out."""
+    below = leaves.reshape(1 << DEPTH, SHARED_CLASSES).T
+    odds = np.full((SHARED_CLASSES, 1 << DEPTH), np.nan, np.float32)
+    for level in reversed(range(DEPTH)):
+        halves = below.reshape(SHARED_CLASSES, 2, 1 << level)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            told = np.log(halves[:, 1] / halves[:, 0])
+        odds[:, 1 << level : 2 << level] = np.where(np.isfinite(told), told, np.nan)
+        below = halves.sum(axis=1)
+    return odds.ravel()
+
 
 # Frequent words whose counts are kept one by one, and input rows that rarer words share.
 MOST_WORDS = 200_000
@@ -115,7 +175,8 @@ def _count_task(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def vocabulary(texts: DataFrame) -> Vocabulary:
-    """Counts over all texts. To the driver come MOST_WORDS words and a sum for each class."""
+    """Counts over all texts. To the driver come MOST_WORDS words and a sum for each class and
+    each leaf."""
     with passing_tables(texts.sparkSession):
         return _vocabulary(texts)
 
@@ -146,11 +207,19 @@ def _vocabulary(texts: DataFrame) -> Vocabulary:
         rest_logs = np.log(rest / np.maximum(rest_words, 1) / totals[OWN_CLASSES:])
     rest_all = np.zeros(CLASSES)
     rest_all[OWN_CLASSES:] = np.where(rest > 0, rest_logs, 0)
+    # Here too, the low bits of a signed and of an unsigned number are the same.
+    leaf = F.col("word").bitwiseAND(F.lit((SHARED_CLASSES << DEPTH) - 1)).cast("int")
+    by_leaf = counts.groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n")).toPandas()
+    leaves = np.zeros(SHARED_CLASSES << DEPTH)
+    leaves[by_leaf["leaf"].to_numpy(np.int64)] = by_leaf["n"]
+    own = (hashes[:OWN_CLASSES] % np.uint64(len(leaves))).astype(np.int64)
+    np.subtract.at(leaves, own, n[:OWN_CLASSES])
     order = np.argsort(hashes)
     shares = np.log((totals + 0.5) / (totals + 0.5).sum())
     return Vocabulary(
-        hashes[order], inputs[order], classes[order], logs[order], rest_all, shares
-    )
+        hashes[order], inputs[order], classes[order], logs[order], rest_all, shares,
+        fork_odds(leaves),
+    )
 
 
 # --- the network -------------------------------------------------------------------
@@ -158,21 +227,23 @@ def _vocabulary(texts: DataFrame) -> Vocabulary:
 
 @dataclass
 class Network:
-    """Rows for the words around, a scale for each position, and weights of the classes."""
+    """Rows for the words around, a scale for each position, weights of the classes and forks."""
 
     rows: np.ndarray
     scales: np.ndarray
     bias: np.ndarray
     out: np.ndarray
     out_bias: np.ndarray
+    forks: np.ndarray
 
     @staticmethod
     def names() -> tuple[str, ...]:
-        return ("rows", "scales", "bias", "out", "out_bias")
+        return ("rows", "scales", "bias", "out", "out_bias", "forks")
 
     @staticmethod
     def start(log_classes: np.ndarray) -> Network:
-        """Small random weights; without context it gives the corpus's shares of classes."""
+        """Small random weights; without context it gives the corpus's shares of classes
+        and of words in them."""
         draw = np.random.default_rng(SEED)
         return Network(
             (draw.standard_normal((EDGE_INPUT + 1, HIDDEN)) * 0.3).astype(np.float32),
@@ -180,6 +251,7 @@ class Network:
             np.zeros(HIDDEN, np.float32),
             (draw.standard_normal((HIDDEN, CLASSES)) * 0.1).astype(np.float32),
             log_classes.astype(np.float32),
+            np.zeros((FORK_ROWS, HIDDEN), np.float32),
         )
 
     def flat(self) -> np.ndarray:
@@ -196,23 +268,38 @@ class Network:
     def hidden(self, around: np.ndarray) -> np.ndarray:
         total = np.tile(self.bias, (len(around), 1))
         for place in range(2 * WINDOW):
-            total += self.rows[around[:, place]] * self.scales[place]
+            total += self.rows.take(around[:, place], axis=0) * self.scales[place]
         return np.tanh(total)
 
-    def log_chances(self, around: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """log P(class | words around) of each example."""
-        scores = self.hidden(around) @ self.out + self.out_bias
+    def log_chances(
+        self, around: np.ndarray, classes: np.ndarray, forks: Forks | None = None
+    ) -> np.ndarray:
+        """log P(class | words around) of each example. With its forks, and by how much they
+        move the log of its chance inside the class from what counts say."""
+        hidden = self.hidden(around)
+        scores = hidden @ self.out + self.out_bias
         scores -= scores.max(axis=1, keepdims=True)
         chosen = scores[np.arange(len(classes)), classes]
-        return chosen - np.log(np.exp(scores).sum(axis=1))
+        chosen = chosen - np.log(np.exp(scores).sum(axis=1))
+        if forks is not None and len(forks.places):
+            moved = forks.odds + self.moves(hidden, forks)[1]
+            sides = np.where(forks.bits, np.float32(-1), np.float32(1))
+            change = np.log((1 + np.exp(sides * forks.odds)) / (1 + np.exp(sides * moved)))
+            chosen[forks.places] += np.where(np.isnan(change), 0, change).sum(axis=1)
+        return chosen
+
+    def moves(self, hidden: np.ndarray, forks: Forks) -> tuple[np.ndarray, np.ndarray]:
+        """The weights of the forks, and what they add to the log odds of each."""
+        weights = self.forks.take(forks.rows, axis=0)
+        return weights, np.matmul(weights, hidden[forks.places][:, :, None])[:, :, 0]
 
 
 def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different row numbers in order, and the sum of the values of each."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # short numbers sort fastest
     held = rows[order]
     first = np.flatnonzero(np.concatenate([[True], held[1:] != held[:-1]]))
-    return held[first], np.add.reduceat(values[order], first)
+    return held[first], np.add.reduceat(values.take(order, axis=0), first)
 
 
 class Trainer:
@@ -222,7 +309,7 @@ class Trainer:
         self.network = network
         self.squares = {n: np.full_like(getattr(network, n), 0.01) for n in network.names()}
 
-    def step(self, around: np.ndarray, classes: np.ndarray) -> None:
+    def step(self, around: np.ndarray, classes: np.ndarray, forks: Forks | None = None) -> None:
         net, count = self.network, len(classes)
         hidden = net.hidden(around)
         scores = hidden @ net.out + net.out_bias
@@ -231,8 +318,17 @@ class Trainer:
         chances /= chances.sum(axis=1, keepdims=True)
         chances[np.arange(count), classes] -= 1
         chances /= count
-        back = (chances @ net.out.T) * (1 - hidden * hidden)
-        by_place = np.einsum("nh,nph->ph", back, net.rows[around])
+        back = chances @ net.out.T
+        if forks is not None and len(forks.places):
+            weights, moves = net.moves(hidden, forks)
+            wrong = (1 / (1 + np.exp(-forks.odds - moves)) - forks.bits) / count
+            wrong[np.isnan(wrong)] = 0
+            back[forks.places] += np.matmul(wrong[:, None], weights)[:, 0]
+            by_level = wrong[:, :, None] * hidden[forks.places][:, None]
+            touched, by_fork = _sums(forks.rows.ravel(), by_level.reshape(-1, HIDDEN))
+            self._move("forks", by_fork, touched)
+        back *= 1 - hidden * hidden
+        by_place = np.einsum("nh,nph->ph", back, net.rows.take(around, axis=0))
         touched, by_row = _sums(around.ravel(), (back[:, None] * net.scales).reshape(-1, HIDDEN))
         self._move("rows", by_row, touched)
         self._move("scales", by_place)
@@ -240,10 +336,15 @@ class Trainer:
         self._move("out", hidden.T @ chances)
         self._move("out_bias", chances.sum(axis=0))
 
-    def _move(self, name: str, gradient: np.ndarray, at=slice(None)) -> None:
+    def _move(self, name: str, gradient: np.ndarray, at: np.ndarray | None = None) -> None:
         squares, weights = self.squares[name], getattr(self.network, name)
-        squares[at] += gradient * gradient * EXAMPLES
-        weights[at] -= RATE * gradient * np.sqrt(EXAMPLES) / np.sqrt(squares[at])
+        if at is None:
+            squares += gradient * gradient * EXAMPLES
+            weights -= gradient / np.sqrt(squares) * (RATE * EXAMPLES**0.5)
+            return
+        seen = squares.take(at, axis=0) + gradient * gradient * EXAMPLES
+        squares[at] = seen
+        weights[at] = weights.take(at, axis=0) - gradient / np.sqrt(seen) * (RATE * EXAMPLES**0.5)
 
 
 def windows(owners: np.ndarray, inputs: np.ndarray) -> np.ndarray:
@@ -260,6 +361,8 @@ def windows(owners: np.ndarray, inputs: np.ndarray) -> np.ndarray:
 
 
 CHUNK = 1024
+# Forks are looked up for so many words at a time.
+FORKED = 8192
 
 
 def _train_task(batches: Iterable[pd.DataFrame], shared, stride: int) -> Iterator[pd.DataFrame]:
@@ -269,10 +372,15 @@ def _train_task(batches: Iterable[pd.DataFrame], shared, stride: int) -> Iterato
     for batch in batches:
         for owners, found in _word_hashes([None if pd.isna(t) else t for t in batch["text"]]):
             inputs, classes, _ = words.look_up(found)
-            around = windows(owners, inputs)[seen % stride :: stride]
-            classes = classes[seen % stride :: stride]
-            for low in range(0, len(classes), EXAMPLES):
-                trainer.step(around[low : low + EXAMPLES], classes[low : low + EXAMPLES])
+            chosen = slice(seen % stride, None, stride)
+            around, classes, targets = windows(owners, inputs)[chosen], classes[chosen], found[chosen]
+            for start in range(0, len(classes), FORKED):
+                part = slice(start, start + FORKED)
+                forks = words.forks(targets[part], classes[part])
+                for low in range(start, min(start + FORKED, len(classes)), EXAMPLES):
+                    step = slice(low, low + EXAMPLES)
+                    through = forks.of(low - start, low - start + EXAMPLES)
+                    trainer.step(around[step], classes[step], through)
             seen += len(found)
     if seen:
         flat = trainer.network.flat().astype(np.float64) * seen
@@ -331,9 +439,10 @@ def score(words: Vocabulary, network: Network, texts: list[str | None]):
     for owners, found in _word_hashes(texts):
         inputs, classes, logs = words.look_up(found)
         around = windows(owners, inputs)
-        for low in range(0, len(found), 8192):
-            part = slice(low, low + 8192)
-            logs[part] += network.log_chances(around[part], classes[part])
+        for low in range(0, len(found), FORKED):
+            part = slice(low, low + FORKED)
+            forks = words.forks(found[part], classes[part])
+            logs[part] += network.log_chances(around[part], classes[part], forks)
         n_words += np.bincount(owners, minlength=len(texts))
         total += np.bincount(owners, logs, len(texts))
     return n_words, total
