@@ -230,6 +230,33 @@ def test_chances_inside_a_class_sum_to_one_in_any_context(spark):
     assert abs(total - alone[0]) < 1e-4
 
 
+def test_counts_of_rare_words_do_not_depend_on_the_size_of_the_vocabulary(spark, monkeypatch):
+    names = ["".join(random.Random(n).choices("abcdefghij", k=6)) for n in range(600)]
+    draw = random.Random(8)
+    rows = [(n % 90, " ".join(draw.choices(names, range(1, 601), k=40))) for n in range(100)]
+    rows += [(None, "only once here"), (3, None), (4, " ")]
+    given = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+
+    def found():
+        got = pseudo_likelihood.score_documents(given).collect()
+        return sorted((str(r.doc_id), r.n_words, r.log_likelihood, r.mean_log_likelihood or 0) for r in got)
+
+    # Without weights from the class on, only counts tell words apart.
+    def untrained(texts, words):
+        network = pseudo_likelihood.Network.start(words.log_classes)
+        network.out[:] = 0
+        return network
+
+    monkeypatch.setattr(pseudo_likelihood, "train", untrained)
+    whole = found()
+    monkeypatch.setattr(pseudo_likelihood, "MOST_WORDS", 300)
+    held = pseudo_likelihood.vocabulary(given.select("text"))
+    assert len(held.hashes) <= 300 and np.isnan(held.rest_log_in_class).any()
+    cut = found()
+    assert len(cut) == len(rows) and [r[:2] for r in cut] == [r[:2] for r in whole]
+    assert np.allclose([r[2:] for r in cut], [r[2:] for r in whole], atol=1e-3)
+
+
 def test_score_is_the_sum_over_places(trained):
     words, network = trained
     text = "red apple strange sky"

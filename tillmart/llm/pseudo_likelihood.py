@@ -49,7 +49,7 @@ EXAMPLES = 256
 SEED = 7
 
 COLUMNS = ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"]
-SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_likelihood double"
+SCORED = "doc_id long, n_words long, log_likelihood double, rest array<long>"
 
 
 # --- the words of the corpus -------------------------------------------------------
@@ -59,6 +59,8 @@ SCHEMA = "doc_id long, n_words long, log_likelihood double, mean_log_likelihood
 class Vocabulary:
     """Counts of the corpus: frequent words by hash, the others in sums by class.
 
+    Where a class has words that are not held here, their log P(word | class) is NaN; the
+    table of all counts tells it by `totals`, the counts of the classes.
     `odds` holds, for each fork of the trees, the log of how much more often words take the
     branch of the bit 1 than the other, or NaN where no word or all words take the same.
     """
@@ -70,6 +72,7 @@ class Vocabulary:
     rest_log_in_class: np.ndarray
     log_classes: np.ndarray
     odds: np.ndarray
+    totals: np.ndarray
 
     def look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Input row, class and log P(word | class) of each word hash."""
@@ -134,7 +137,8 @@ def fork_odds(leaves: np.ndarray) -> np.ndarray:
     return odds.ravel()
 
 
-# Frequent words whose counts are kept one by one, and input rows that rarer words share.
+# Frequent words whose counts every task holds, all others being joined, and input rows that
+# rarer words share.
 MOST_WORDS = 200_000
 SHARED_INPUTS = 64
 EDGE_INPUT = INPUTS + SHARED_INPUTS
@@ -178,10 +182,11 @@ def vocabulary(texts: DataFrame) -> Vocabulary:
     """Counts over all texts. To the driver come MOST_WORDS words and a sum for each class and
     each leaf."""
     with passing_tables(texts.sparkSession):
-        return _vocabulary(texts)
+        return _vocabulary(texts)[0]
 
 
-def _vocabulary(texts: DataFrame) -> Vocabulary:
+def _vocabulary(texts: DataFrame) -> tuple[Vocabulary, DataFrame]:
+    """The vocabulary, and the count of every word in a written table."""
     counted = texts.mapInPandas(_count_task, "word long, n long")
     counts = written(counted.groupBy("word").agg(F.sum("n").alias("n")), "word-counts")
     top = most_frequent(counts, "n", MOST_WORDS).toPandas()
@@ -193,20 +198,18 @@ def _vocabulary(texts: DataFrame) -> Vocabulary:
     inputs[:INPUTS] = np.arange(len(inputs[:INPUTS]))
     # A power of two leaves the same remainder of a signed as of an unsigned number.
     word_class = F.pmod(F.col("word"), F.lit(SHARED_CLASSES)).cast("int")
-    sums = counts.groupBy(word_class.alias("k")).agg(F.sum("n").alias("n"), F.count("n").alias("w"))
-    every, different = np.zeros(SHARED_CLASSES), np.zeros(SHARED_CLASSES)
+    sums = counts.groupBy(word_class.alias("k")).agg(F.sum("n").alias("n"))
+    every = np.zeros(SHARED_CLASSES)
     for row in sums.collect():
-        every[row["k"]], different[row["k"]] = row["n"], row["w"]
+        every[row["k"]] = row["n"]
     remainder = (hashes % np.uint64(SHARED_CLASSES)).astype(int)
     rest = every - np.bincount(remainder, n, SHARED_CLASSES)
-    rest_words = different - np.bincount(remainder, minlength=SHARED_CLASSES)
     totals = np.bincount(classes, n, CLASSES).astype(np.float64)
     totals[OWN_CLASSES:] += rest
     with np.errstate(divide="ignore", invalid="ignore"):
         logs = np.log(n / totals[classes])
-        rest_logs = np.log(rest / np.maximum(rest_words, 1) / totals[OWN_CLASSES:])
     rest_all = np.zeros(CLASSES)
-    rest_all[OWN_CLASSES:] = np.where(rest > 0, rest_logs, 0)
+    rest_all[OWN_CLASSES:] = np.where(rest > 0, np.nan, 0)
     # Here too, the low bits of a signed and of an unsigned number are the same.
     leaf = F.col("word").bitwiseAND(F.lit((SHARED_CLASSES << DEPTH) - 1)).cast("int")
     by_leaf = counts.groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n")).toPandas()
@@ -216,10 +219,11 @@ def _vocabulary(texts: DataFrame) -> Vocabulary:
     np.subtract.at(leaves, own, n[:OWN_CLASSES])
     order = np.argsort(hashes)
     shares = np.log((totals + 0.5) / (totals + 0.5).sum())
-    return Vocabulary(
+    held = Vocabulary(
         hashes[order], inputs[order], classes[order], logs[order], rest_all, shares,
-        fork_odds(leaves),
+        fork_odds(leaves), totals,
     )
+    return held, counts
 
 
 # --- the network -------------------------------------------------------------------
@@ -434,27 +438,58 @@ def train(
 
 
 def score(words: Vocabulary, network: Network, texts: list[str | None]):
-    """Number of words and log pseudo-likelihood of each whole text."""
+    """Number of words and log pseudo-likelihood of each whole text.
+
+    For words that the vocabulary does not hold, log P(word | class) is not in the sum;
+    `_scored` tells them.
+    """
+    return _scored(words, network, texts)[:2]
+
+
+def _scored(words: Vocabulary, network: Network, texts: list[str | None]):
+    """As `score`, and the hashes of words to be joined, by text."""
     n_words, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
+    rest_owners, rest = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for owners, found in _word_hashes(texts):
         inputs, classes, logs = words.look_up(found)
         around = windows(owners, inputs)
+        unheld = np.isnan(logs)
+        rest_owners.append(owners[unheld])
+        rest.append(found[unheld])
+        logs[unheld] = 0
         for low in range(0, len(found), FORKED):
             part = slice(low, low + FORKED)
             forks = words.forks(found[part], classes[part])
             logs[part] += network.log_chances(around[part], classes[part], forks)
         n_words += np.bincount(owners, minlength=len(texts))
         total += np.bincount(owners, logs, len(texts))
-    return n_words, total
+    # Texts come in order, so the hashes do too.
+    ends = np.cumsum(np.bincount(np.concatenate(rest_owners), minlength=len(texts)))
+    flat = np.concatenate(rest).view(np.int64)
+    lists = pa.ListArray.from_arrays(np.concatenate([[0], ends]).astype(np.int32), flat)
+    return n_words, total, lists
 
 
 def _score_task(batches: Iterable[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
     words, network = shared.value
     for batch in batches:
-        n_words, total = score(words, network, batch.column(1).to_pylist())
-        mean = pa.array(total / np.maximum(n_words, 1), mask=n_words == 0)
-        columns = [batch.column(0), pa.array(n_words), pa.array(total), mean]
-        yield pa.RecordBatch.from_arrays(columns, COLUMNS)
+        n_words, total, rest = _scored(words, network, batch.column(1).to_pylist())
+        columns = [batch.column(0), pa.array(n_words), pa.array(total), rest]
+        yield pa.RecordBatch.from_arrays(columns, [*COLUMNS[:3], "rest"])
+
+
+def _with_rest(scored: DataFrame, words: Vocabulary, counts: DataFrame) -> DataFrame:
+    """The rows with log P(word | class) of their `rest` added, from the count of every word."""
+    rows = written(scored.withColumn("row", F.monotonically_increasing_id()), "likelihoods")
+    totals = F.array(*[F.lit(float(n)) for n in words.totals[OWN_CLASSES:]])
+    word_class = F.pmod(F.col("word"), F.lit(SHARED_CLASSES)).cast("int")
+    log = F.log(F.col("n") / F.get(totals, word_class))
+    places = rows.select("row", F.explode("rest").alias("word"))
+    # The table of counts grows with the corpus, so it is never broadcast.
+    added = places.join(counts.hint("merge"), "word").groupBy("row").agg(F.sum(log).alias("added"))
+    joined = rows.join(added.hint("merge"), "row", "left")
+    total = F.col("log_likelihood") + F.coalesce("added", F.lit(0.0))
+    return written(joined.select("doc_id", "n_words", total.alias("log_likelihood")), "scores", keep=True)
 
 
 def score_documents(
@@ -472,7 +507,12 @@ def score_documents(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
     texts = chosen.select("text").filter("text IS NOT NULL")
-    words = vocabulary(texts)
-    network = train(texts, words)
-    shared = documents.sparkSession.sparkContext.broadcast((words, network))
-    return chosen.mapInArrow(functools.partial(_score_task, shared=shared), SCHEMA)
+    with passing_tables(documents.sparkSession):
+        words, counts = _vocabulary(texts)
+        network = train(texts, words)
+        shared = documents.sparkSession.sparkContext.broadcast((words, network))
+        scored = chosen.mapInArrow(functools.partial(_score_task, shared=shared), SCORED)
+        if np.isnan(words.rest_log_in_class).any():
+            scored = _with_rest(scored, words, counts)
+    mean = F.when(F.col("n_words") > 0, F.col("log_likelihood") / F.col("n_words"))
+    return scored.select(*COLUMNS[:3], mean.alias(COLUMNS[3]))
