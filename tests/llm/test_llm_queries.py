@@ -30,7 +30,7 @@ def test_query_equals_sql(spark, connection, name):
 
 def test_all_are_registered():
     names = set(driver.queries())
-    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {n.split("_")[0] for n in queries.QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= names
     assert set(queries.SQL) <= set(driver.oracle_sql())
 

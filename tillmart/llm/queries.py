@@ -15,8 +15,11 @@ from tillmart.llm import (
     ngram_join,
     packing,
     pseudo_likelihood,
+    source_divergence,
     token_rollup,
+    url_rules,
     vector_search,
+    whitening,
 )
 from tillmart.llm.common import shared_folder, written
 
@@ -122,6 +125,21 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op11_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    rules = url_rules.rules_table(spark, url_rules.RULES)
+    judged = url_rules.judge(_table(spark, folder, "pages"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "decided_by")
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return whitening.whitened_rows(vectors, scale=64, offset=1_000_000, most_components=32)
+
+
+def op13_source_divergence(spark: SparkSession, folder: str) -> DataFrame:
+    return source_divergence.divergence(_table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op1_embedding_links": op1_embedding_links,
     "op2_language": op2_language,
@@ -133,6 +151,9 @@ QUERIES = {
     "op8_token_rollup": op8_token_rollup,
     "op9_vector_search": op9_vector_search,
     "op10_packing": op10_packing,
+    "op11_url_rules": op11_url_rules,
+    "op12_whitening": op12_whitening,
+    "op13_source_divergence": op13_source_divergence,
 }
 
 SQL: dict[str, str] = {
@@ -141,4 +162,6 @@ SQL: dict[str, str] = {
     "op5_ngram_join": ngram_join.SQL_TEXT,
     "op6_chat_format": chat.SQL_TEXT,
     "op9_vector_search": vector_search.SQL_TEXT,
+    "op11_url_rules": url_rules.SQL_TEXT,
+    "op13_source_divergence": source_divergence.SQL_TEXT,
 }
