@@ -189,16 +189,16 @@ def stream_payload_intake(spark: SparkSession, folder: str) -> DataFrame:
         intake.start(
             spark, f"{store.root}/payloads", f"{store.root}/checkpoint-{attempt}"
         ).awaitTermination()
-    sales = store.read(intake.sales_table).select(*HEADER_COLUMNS)
+    sales = intake.read(intake.sales_table).select(*HEADER_COLUMNS)
     lines = (
-        store.read(intake.items_table)
+        intake.read(intake.items_table)
         .groupBy("transaction_id")
         .agg(
             F.count(F.lit(1)).alias("item_count"),
             F.sum(F.col("price") * F.col("quantity")).cast(WIDE_MONEY).alias("item_total"),
         )
     )
-    rejects = store.read(intake.rejects_table).filter(F.col("reject_reason") == SUPERSEDED)
+    rejects = intake.read(intake.rejects_table).filter(F.col("reject_reason") == SUPERSEDED)
     named = F.coalesce(
         F.get_json_object("raw", "$.transactionId"), F.get_json_object("raw", "$.salesId")
     )

@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 from samples import FLAT, NESTED, rows
 
+from tillmart.plans.ingest import TableConfig, run_ingest
+from tillmart.sources.stores import CatalogStore, FolderStore, MissingTable
 from tillmart.streaming.intake import SalesIntake
 
 
@@ -19,10 +23,19 @@ def run(intake, spark, tmp_path, checkpoint, **options):
 
 def counts(store, intake):
     tables = (intake.sales_table, intake.items_table, intake.acks_table, intake.rejects_table)
-    found = [store.find(table) for table in tables]
+    found = [intake.find(table) for table in tables]
     return tuple(0 if table is None else table.count() for table in found)
 
 
+def payloads(spark, *texts):
+    return spark.createDataFrame([(text,) for text in texts], "value string")
+
+
+def sent(spark, start, number):
+    """Payloads of so many new sales."""
+    return payloads(spark, *[FLAT.replace("F-1", f"S-{n}") for n in range(start, start + number)])
+
+
 def test_intake_and_replays(spark, store, tmp_path):
     intake = SalesIntake(store)
     put(spark, str(tmp_path / "in"), NESTED, FLAT, NESTED, NESTED[:-1])
@@ -35,36 +48,63 @@ def test_intake_and_replays(spark, store, tmp_path):
     assert counts(store, intake) == (3, 4, 3, 1)
     run(intake, spark, tmp_path, "second", files_per_batch=1)
     assert counts(store, intake) == (3, 4, 3, 1)
-    assert store.read(intake.rejects_table).first().raw == NESTED[:-1]
-
+    assert intake.read(intake.rejects_table).first().raw == NESTED[:-1]
 
-def test_a_batch_that_broke_off_is_completed(spark, store, tmp_path):
-    intake = SalesIntake(store)
-    put(spark, str(tmp_path / "in"), NESTED, FLAT)
 
+def broken_at(store, number):
+    """Makes the store's nth write of a batch fail, and the names of the tables written."""
     real_write, written = store.write, []
 
-    def failing(df, table, mode, partition_by=(), rows=None):
-        if table == intake.sales_table:
-            raise IOError("lost")
+    def write(df, table, mode, partition_by=(), rows=None):
         written.append(table)
-        real_write(df, table, mode, partition_by)
+        if len(written) == number:
+            raise IOError("lost")
+        real_write(df, table, mode, partition_by, rows)
 
-    store.write = failing
-    with pytest.raises(Exception):
-        run(intake, spark, tmp_path, "one")
-    store.write = real_write
-    assert written == [intake.choices_table, intake.items_table]
-    assert store.find(intake.sales_table) is None
+    store.write = write
+    return real_write, written
+
+
+def test_a_batch_that_breaks_off_shows_in_no_table(spark, store, tmp_path):
+    intake = SalesIntake(store)
+    put(spark, str(tmp_path / "in"), NESTED, FLAT, NESTED[:-1])
+    tables = [*intake.row_tables, intake.sketches_table, intake.commits_table]
+    for number in range(1, len(tables) + 1):
+        real_write, written = broken_at(store, number)
+        with pytest.raises(Exception):
+            run(intake, spark, tmp_path, "one")
+        store.write = real_write
+        assert len(written) == number
+        assert counts(store, intake) == (0, 0, 0, 0) and intake.batches() == []
     run(intake, spark, tmp_path, "one")
-    assert counts(store, intake) == (2, 3, 2, 0)
+    assert counts(store, intake) == (2, 3, 2, 1)
+    assert sorted(written) == sorted(tables)
+    assert store.read(intake.sales_table).count() > 2  # parts of broken batches, which no reader sees
+
+
+def test_later_jobs_read_committed_rows(spark, store, tmp_path):
+    intake = SalesIntake(store)
+    with pytest.raises(MissingTable):
+        intake.committed().read(intake.sales_table)
+    real_write, _ = broken_at(store, 4)
+    with pytest.raises(IOError):
+        intake.take(payloads(spark, NESTED))
+    store.write = real_write
+    intake.take(payloads(spark, FLAT))
+    target = FolderStore(spark, str(tmp_path / "staging"))
+    entry = {"source_schema": "sales_transactions", "source_table": "sales", "fields": "*",
+             "target_table": "sales", "load_type": "full"}
+    run_ingest(spark, intake.committed(), target, [TableConfig.from_dict(entry)], ["sales"])
+    assert [r.transaction_id for r in target.read("sales").collect()] == ["F-1"]
+    with pytest.raises(ValueError, match="written by the intake"):
+        intake.committed().write(spark.range(1), "t", "append")
 
 
 BARE = '{"salesId":"F-1","products":[],"amountDue":9.00,"creationDate":"2025-01-01T00:00:00Z"}'
 
 
 def rejects(store, intake):
-    return sorted((r.reject_reason, r.raw) for r in store.read(intake.rejects_table).collect())
+    return sorted((r.reject_reason, r.raw) for r in intake.read(intake.rejects_table).collect())
 
 
 def test_a_later_payload_of_a_known_sale_is_kept_as_superseded(spark, store, tmp_path):
@@ -83,62 +123,102 @@ def test_differing_payloads_of_one_sale_are_not_mixed(spark, store, tmp_path):
     put(spark, str(tmp_path / "in"), FLAT, BARE, FLAT, BARE)
     run(intake, spark, tmp_path, "one")
     assert counts(store, intake) == (1, 0, 1, 1)
-    assert str(store.read(intake.sales_table).first().total_amount) == "9.00"
+    assert str(intake.read(intake.sales_table).first().total_amount) == "9.00"
     assert rejects(store, intake) == [("superseded", FLAT)]
 
 
-def test_header_and_lines_follow_the_recorded_choice(spark, store, tmp_path):
-    """A batch breaks off between lines and header and comes back with one more payload."""
+def test_a_broken_batch_that_comes_back_larger_is_decided_anew(spark, store):
     intake = SalesIntake(store)
-    real_write = store.write
-
-    def failing(df, table, mode, partition_by=(), rows=None):
-        if table == intake.sales_table:
-            raise IOError("lost")
-        real_write(df, table, mode, partition_by, rows)
-
-    store.write = failing
-    with pytest.raises(Exception):
-        intake.take(spark.createDataFrame([(FLAT,)], "value string"))
+    real_write, _ = broken_at(store, 3)
+    with pytest.raises(IOError):
+        intake.take(payloads(spark, FLAT))
     store.write = real_write
-    intake.take(spark.createDataFrame([(FLAT,), (BARE,)], "value string"))
-    assert counts(store, intake) == (1, 1, 1, 1)
-    assert str(store.read(intake.sales_table).first().total_amount) == "4.50"
-    assert store.read(intake.items_table).first().item_id == "F-1-1"
-    assert rejects(store, intake) == [("superseded", BARE)]
+    intake.take(payloads(spark, FLAT, BARE))
+    assert counts(store, intake) == (1, 0, 1, 1)  # the earlier payload, with no line of the other
+    assert rejects(store, intake) == [("superseded", FLAT)]
+    intake.take(payloads(spark, FLAT, BARE))
+    assert counts(store, intake) == (1, 0, 1, 1)
 
 
-def test_a_batch_reads_the_files_of_its_buckets(spark, store):
-    intake = SalesIntake(store)
-    history = [(FLAT.replace("F-1", f"H-{n}"),) for n in range(300)]
-    intake.take(spark.createDataFrame(history, "value string"))
-    one = spark.createDataFrame([("H-7",)], "transaction_id string")
-    bucket = one.select(intake.bucket("transaction_id")).first()[0]
-    held = intake.held(intake.sales_table, one, "transaction_id", [bucket])
-    assert held.count() == 1
-    files = store.read(intake.sales_table).inputFiles()
+def test_a_batch_of_new_sales_reads_no_stored_row(spark, store):
+    intake = SalesIntake(store, merge_at=4)
+    for number in range(6):
+        intake.take(sent(spark, number * 400, 400))
+    live = intake.batches()
+    assert sorted(b.level for b in live) == [0, 0, 1] and sum(b.sale_keys for b in live) == 2400
+    asked = sent(spark, 2400, 400).select(F.get_json_object("value", "$.salesId").alias("k"))
+    asked = asked.withColumnRenamed("k", "transaction_id")
+    assert intake._held(asked, "transaction_id", intake.choices_table, "sale", live) is None
+    one = spark.createDataFrame([("S-2100",)], "transaction_id string")
+    held = intake._held(one, "transaction_id", intake.choices_table, "sale", live)
+    assert held.filter("transaction_id = 'S-2100'").count() == 1
     plan = held._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(intake_bucket" in plan or "(intake_bucket" in plan
-    read = [f for f in files if f"intake_bucket={bucket}/" in f]
-    assert 0 < len(read) < len(files) / 10
+    assert "PartitionFilters: [" in plan and sum(b.batch in plan for b in live) == 1
+
+
+def test_batches_are_rewritten_and_replays_still_known(spark, store, tmp_path):
+    intake = SalesIntake(store, merge_at=2)
+    first = sent(spark, 0, 3)
+    for number in range(9):
+        intake.take(sent(spark, number * 3, 3))
+        if number == 4:
+            intake.take(payloads(spark, NESTED[:-1], BARE.replace("F-1", "S-0")))
+    assert counts(store, intake) == (27, 27, 27, 2)
+    live = intake.batches()
+    assert len(live) <= 4 and len({b.level for b in live}) == len(live)
+    files = glob.glob(f"{tmp_path}/sales_transactions/sales/**/*.parquet", recursive=True)
+    assert len(files) <= 9
+    assert len(glob.glob(f"{tmp_path}/sales_transactions/intake_commits/*")) <= 3
+    intake.take(first)
+    intake.take(payloads(spark, NESTED[:-1], BARE.replace("F-1", "S-0")))
+    assert counts(store, intake) == (27, 27, 27, 2) and intake.batches() == live
+
+
+def test_a_rewriting_that_breaks_off_loses_and_doubles_nothing(spark, store):
+    intake = SalesIntake(store, merge_at=2)
+    intake.take(sent(spark, 0, 2))
+    for number in (8, 5, 6):  # in the rewriting of the rows, of the sketches, of the log
+        real_write, _ = broken_at(store, number)
+        with pytest.raises(IOError):
+            intake.take(sent(spark, 2, 2))
+        store.write = real_write
+        assert counts(store, intake) == (4, 4, 4, 0)
+    intake.take(sent(spark, 0, 4))
+    assert counts(store, intake) == (4, 4, 4, 0) and [b.level for b in intake.batches()] == [1]
+
+
+def test_readers_that_began_before_a_rewriting_can_go_on(spark, store):
+    intake = SalesIntake(store, merge_at=2)
+    intake.take(sent(spark, 0, 2))
+    begun = intake.read(intake.sales_table)
+    intake.take(sent(spark, 2, 2))
+    assert begun.count() == 2 and intake.read(intake.sales_table).count() == 4
+
+
+def test_tables_of_the_catalog(spark, tmp_path):
+    intake = SalesIntake(CatalogStore(spark, root=str(tmp_path)), merge_at=2)
+    names = ("sales_table", "items_table", "acks_table", "rejects_table", "choices_table", "sketches_table", "commits_table")
+    for name in names:
+        setattr(intake, name, f"catalog_intake.{name}")
+    for number in range(4):
+        intake.take(sent(spark, number * 2, 3))
+    assert counts(None, intake) == (9, 9, 9, 0)
+    assert len(intake.batches()) == 1
+    spark.sql("DROP SCHEMA catalog_intake CASCADE")
+
+
+def test_an_empty_batch_leaves_no_trace(spark, store):
+    intake = SalesIntake(store)
+    intake.take(spark.createDataFrame([], "value string"))
+    assert intake.batches() == [] and store.find(intake.commits_table) is None
 
 
 def test_batch_and_stream_agree(spark, store, tmp_path):
-    from tillmart.sources.stores import FolderStore
-
     other = FolderStore(spark, str(tmp_path / "other"))
     put(spark, str(tmp_path / "in"), NESTED, FLAT)
     intake = SalesIntake(store)
     run(intake, spark, tmp_path, "one")
-    SalesIntake(other).take(spark.read.text(str(tmp_path / "in")))
+    again = SalesIntake(other)
+    again.take(spark.read.text(str(tmp_path / "in")))
     for table in (intake.sales_table, intake.items_table):
-        assert rows(store.read(table)) == rows(other.read(table))
-
-
-def test_rows_known_to_a_table_are_not_appended(spark, store):
-    intake = SalesIntake(store, buckets=4)
-    first = spark.range(1000).select(F.col("id").cast("string").alias("k"))
-    later = spark.range(995, 1005).select(F.col("id").cast("string").alias("k"))
-    for rows_in in (first, later, later):
-        intake.append_unseen("t", rows_in, "k", range(4))
-    assert store.read("t").count() == store.read("t").distinct().count() == 1005
+        assert rows(intake.read(table)) == rows(again.read(table))

@@ -86,6 +86,17 @@ class Store:
             return None
 
 
+class PartStore(Store):
+    """A store that can name and remove the parts of a table stored by a column."""
+
+    def parts(self, table: str, column: str) -> list[str]:
+        """Values of the column by which the table is stored; none without the table."""
+        raise NotImplementedError
+
+    def drop_part(self, table: str, column: str, value: str) -> None:
+        raise NotImplementedError
+
+
 def _gathered(df: DataFrame, columns: Sequence[str], number: int | None = None) -> DataFrame:
     """Gather rows by the columns a table is stored by, so that a task writes few files.
 
@@ -104,7 +115,7 @@ def _observed(df: DataFrame, rows: Observation | None) -> DataFrame:
 
 
 @dataclass
-class FolderStore(Store):
+class FolderStore(PartStore):
     """One folder or file per table: `schema.table` is stored as `root/schema/table`,
     followed by `suffix` if the files carry one.
 
@@ -158,6 +169,21 @@ class FolderStore(Store):
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path(table))
 
+    def _files(self, path: str):
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return where, where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def parts(self, table: str, column: str) -> list[str]:
+        path, files = self._files(self.path(table))
+        if not files.exists(path):
+            return []
+        names = [status.getPath().getName() for status in files.listStatus(path)]
+        return sorted(name.split("=", 1)[1] for name in names if name.startswith(f"{column}="))
+
+    def drop_part(self, table: str, column: str, value: str) -> None:
+        path, files = self._files(f"{self.path(table)}/{column}={value}")
+        files.delete(path, True)
+
     def register(self, *tables: str) -> None:
         """Make tables known to SQL text under their own names, with schema if any."""
         for table in tables:
@@ -174,7 +200,7 @@ class FolderStore(Store):
 
 
 @dataclass
-class CatalogStore(Store):
+class CatalogStore(PartStore):
     """Tables of the session catalog.
 
     `buckets` maps a table to (column, number): the table is then written
@@ -221,6 +247,15 @@ class CatalogStore(Store):
             writer = writer.option("path", f"{self.root.rstrip('/')}/{table.replace('.', '/')}")
         writer.saveAsTable(table)
 
+    def parts(self, table: str, column: str) -> list[str]:
+        if not self.spark.catalog.tableExists(table):
+            return []
+        rows = self.spark.sql(f"SHOW PARTITIONS {table}").collect()
+        return sorted(row["partition"].split(f"{column}=", 1)[1] for row in rows)
+
+    def drop_part(self, table: str, column: str, value: str) -> None:
+        self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({column} = '{value}')")
+
 
 @dataclass
 class JdbcStore(Store):

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
+from tillmart.operators.sketches import Sketched, bitmaps_for, key_sketch, parts_that_may_hold
 from tillmart.sources.payloads import (
     acknowledgments,
     chosen_payloads,
@@ -18,96 +20,247 @@ from tillmart.sources.payloads import (
     sale_headers,
     sale_items,
 )
-from tillmart.sources.stores import Store
+from tillmart.sources.stores import DEFAULT_FETCH_SIZE, MissingTable, PartStore, ReadSplit, Store
 
-BUCKET = "intake_bucket"
+BATCH = "intake_batch"
+GENERATION = "generation"
 SUPERSEDED = "superseded"
 
+SALE, REJECT, COPY = "sale", "reject", "copy"
+
+COMMITS = (
+    f"batch string, level int, sale_keys long, reject_keys long, is_live boolean, {GENERATION} int"
+)
+
+
+@dataclass(frozen=True)
+class Batch:
+    """A committed batch, or several that were rewritten as one of a higher level."""
+
+    batch: str
+    level: int
+    sale_keys: int
+    reject_keys: int
+
 
 @dataclass
 class SalesIntake:
     """Where accepted sales, their lines, acknowledgments and rejects go.
 
-    The tables are stored by a hash bucket of their key; a batch is compared with the files
-    of its own buckets only.
+    Every batch writes its rows of all tables under a name of its own, and is committed by one
+    row written last; `read` shows rows of committed batches only, so a batch is seen in all
+    tables or in none. A later batch asks the sketches of the committed ones which of them may
+    hold its keys, and reads only those. `merge_at` batches of one level are rewritten as one
+    of the next, so there are fewer than `merge_at` batches of each level. There must be one
+    intake at a time for a store.
     """
 
-    store: Store
+    store: PartStore
     sales_table: str = "sales_transactions.sales"
     items_table: str = "sales_transactions.sales_items"
     acks_table: str = "sales_transactions.acknowledgments"
     rejects_table: str = "sales_transactions.rejected_payloads"
     choices_table: str = "sales_transactions.chosen_payloads"
-    buckets: int = 64
+    sketches_table: str = "sales_transactions.intake_sketches"
+    commits_table: str = "sales_transactions.intake_commits"
+    merge_at: int = 8
 
-    def bucket(self, key: str) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
+    @property
+    def row_tables(self) -> list[str]:
+        return [
+            self.items_table, self.sales_table, self.acks_table, self.choices_table, self.rejects_table,
+        ]
 
-    def held(self, table: str, rows: DataFrame, key: str, buckets: Sequence[int]) -> DataFrame | None:
-        """The stored rows with a key of `rows`, which lie in the given buckets."""
-        known = self.store.find(table)
-        if known is None:
-            return None
-        near = known.filter(F.col(BUCKET).isin(list(buckets)))
-        return near.join(rows.select(key).distinct(), key, "left_semi")
+    # --- what is committed ---------------------------------------------------------
 
-    def append_unseen(self, table: str, rows: DataFrame, key: str, buckets: Sequence[int]) -> None:
-        """Append the rows whose key the table does not hold yet."""
-        held = self.held(table, rows, key, buckets)
-        if held is not None:
-            rows = rows.join(held.select(key).distinct(), key, "left_anti")
-        self.store.write(rows.withColumn(BUCKET, self.bucket(key)), table, "append", [BUCKET])
+    def _log(self) -> tuple[int, list[Batch]]:
+        """The newest generation of the log, and the batches that are live in it."""
+        log = self.store.find(self.commits_table)
+        if log is None:
+            return 0, []
+        newest = max(map(int, self.store.parts(self.commits_table, GENERATION)), default=0)
+        rows = log.filter((F.col(GENERATION) == newest) & F.col("is_live")).collect()
+        return newest, [Batch(r["batch"], r["level"], r["sale_keys"], r["reject_keys"]) for r in rows]
+
+    def batches(self) -> list[Batch]:
+        """The committed batches, after rewriting."""
+        return self._log()[1]
+
+    def find(self, table: str) -> DataFrame | None:
+        """The rows of committed batches; None before the first of them."""
+        return self._rows_of(table, [b.batch for b in self.batches()])
+
+    def _rows_of(self, table: str, batches: Sequence[str]) -> DataFrame | None:
+        stored = self.store.find(table) if batches else None
+        return None if stored is None else stored.filter(F.col(BATCH).isin(list(batches))).drop(BATCH)
 
-    def _buckets_of(self, rows: DataFrame, key: str) -> list[int]:
-        return [row[0] for row in rows.select(self.bucket(key)).distinct().collect()]
+    def read(self, table: str) -> DataFrame:
+        found = self.find(table)
+        if found is None:
+            raise MissingTable(table)
+        return found
+
+    def committed(self) -> CommittedStore:
+        """The store as later jobs should read it."""
+        return CommittedStore(self.store.spark, self)
+
+    # --- taking in a batch ----------------------------------------------------------
 
     def take(self, raw: DataFrame) -> None:
         """Take in a batch of payload texts.
 
         A payload is identified by its digest: exact copies are replays and add nothing. One
-        payload is chosen for each sale, and the choice is recorded before anything else is
-        written; lines, header and acknowledgment follow the recorded choice whenever the
-        batch is taken again. Payloads that cannot be read, and those not chosen, now or
-        later, go to the rejects with the reason. So every payload is a sale, a copy, or a
-        reject. The batch is parsed once.
+        payload is chosen for each sale, and a sale once committed keeps its choice. Payloads
+        that cannot be read, and those not chosen, now or later, go to the rejects with the
+        reason. So every payload is a sale, a copy, or a reject. A batch that breaks off leaves
+        nothing to be seen, and is taken again from the start. The batch is parsed once.
         """
-        normalized = normalize_payloads(parse_payloads(raw))
-        batch = normalized.withColumn("payload_digest", payload_digest())
-        batch = batch.dropDuplicates(["payload_digest"]).persist()
-        good = batch.filter(F.col("reject_reason").isNull())
-        buckets: list[int] = []
-        columns = ["payload_digest", "reject_reason", "raw"]
-        rejects = batch.filter(F.col("reject_reason").isNotNull()).select(columns)
+        live = self.batches()
+        # Copies go as texts, before anything is parsed or hashed.
+        normalized = normalize_payloads(parse_payloads(raw.select("value").distinct()))
+        batch = normalized.withColumn("payload_digest", payload_digest()).persist()
+        fated = None
         try:
-            buckets = self._buckets_of(good, "transaction_id")
-            if buckets:
-                decided = self._decided(good, buckets).persist()
-                self._store_sales(decided.filter("is_chosen"), buckets)
-                late = decided.filter("NOT is_chosen")
-                late = late.withColumn("reject_reason", F.lit(SUPERSEDED)).select(columns)
-                rejects = rejects.unionByName(late)
-            digests = self._buckets_of(rejects, "payload_digest")
-            if digests:
-                self.append_unseen(self.rejects_table, rejects, "payload_digest", digests)
+            fated = self._fated(batch, live).persist()
+            counts = {row["fate"]: row["rows"] for row in _counted(fated, "fate").collect()}
+            sales, rejects = counts.get(SALE, 0), counts.get(REJECT, 0)
+            if sales or rejects:
+                self._write_batch(fated, sales, rejects)
         finally:
-            if buckets:
-                decided.unpersist()
+            if fated is not None:
+                fated.unpersist()
             batch.unpersist()
+        self._merge_small()
 
-    def _decided(self, good: DataFrame, buckets: Sequence[int]) -> DataFrame:
-        """The payloads, `is_chosen` telling those that the recorded choices name."""
+    def _fated(self, batch: DataFrame, live: Sequence[Batch]) -> DataFrame:
+        """The payloads with their fate, and the reason of rejects."""
         key = "transaction_id"
-        self.append_unseen(self.choices_table, chosen_payloads(good), key, buckets)
-        recorded = self.held(self.choices_table, good, key, buckets)
-        choices = recorded.select(key, F.col("payload_digest").alias("chosen_digest"))
-        is_chosen = F.col("payload_digest") == F.col("chosen_digest")
-        return good.join(choices, key).withColumn("is_chosen", is_chosen)
-
-    def _store_sales(self, sales: DataFrame, buckets: Sequence[int]) -> None:
-        self.append_unseen(self.items_table, sale_items(sales), "transaction_id", buckets)
-        self.append_unseen(self.sales_table, sale_headers(sales), "transaction_id", buckets)
-        acks = acknowledgments(sales)
-        self.append_unseen(self.acks_table, acks, "transactionId", buckets)
+        good = batch.filter(F.col("reject_reason").isNull())
+        held = self._held(good, key, self.choices_table, SALE, live)
+        new, choices = good, None
+        if held is not None:
+            known = held.select(key, F.col("payload_digest").alias("chosen"), F.lit(False).alias("is_new"))
+            choices = known.join(good.select(key).distinct(), key, "left_semi")
+            new = good.join(known.select(key), key, "left_anti")
+        first = chosen_payloads(new).select(
+            key, F.col("payload_digest").alias("chosen"), F.lit(True).alias("is_new")
+        )
+        choices = first if choices is None else choices.unionByName(first)
+        is_chosen = F.col("payload_digest") == F.col("chosen")
+        told = good.join(choices, key).withColumns(
+            {
+                "fate": F.when(~is_chosen, REJECT).when(F.col("is_new"), SALE).otherwise(COPY),
+                "reject_reason": F.when(~is_chosen, F.lit(SUPERSEDED)),
+            }
+        )
+        bad = batch.filter(F.col("reject_reason").isNotNull()).withColumn("fate", F.lit(REJECT))
+        fated = told.drop("chosen", "is_new").unionByName(bad)
+        seen = self._held(
+            fated.filter(F.col("fate") == REJECT), "payload_digest", self.rejects_table, REJECT, live
+        )
+        if seen is None:
+            return fated
+        seen = seen.select("payload_digest", F.lit(True).alias("is_seen"))
+        return (
+            fated.join(seen, "payload_digest", "left")
+            .withColumn("fate", F.when((F.col("fate") == REJECT) & F.col("is_seen"), COPY).otherwise(F.col("fate")))
+            .drop("is_seen")
+        )
+
+    def _held(
+        self, rows: DataFrame, key: str, table: str, kind: str, live: Sequence[Batch]
+    ) -> DataFrame | None:
+        """Rows of a stored table in the batches that may hold a key of `rows`."""
+        sizes = {b.batch: b.sale_keys if kind == SALE else b.reject_keys for b in live}
+        parts = [Sketched(batch, bitmaps_for(keys)) for batch, keys in sizes.items() if keys]
+        stored = self.store.find(self.sketches_table) if parts else None
+        if stored is None:
+            return None
+        sketches = stored.filter(F.col("kind") == kind).withColumnRenamed(BATCH, "part")
+        near = parts_that_may_hold(rows, key, sketches, parts)
+        return self._rows_of(table, near)
+
+    def _write_batch(self, fated: DataFrame, sale_keys: int, reject_keys: int) -> None:
+        name = f"b{uuid.uuid4().hex}"
+        sales = fated.filter(F.col("fate") == SALE)
+        rejects = fated.filter(F.col("fate") == REJECT)
+        if sale_keys:
+            self._write(sale_items(sales), self.items_table, name)
+            self._write(sale_headers(sales), self.sales_table, name)
+            self._write(acknowledgments(sales), self.acks_table, name)
+            self._write(sales.select("transaction_id", "payload_digest"), self.choices_table, name)
+        if reject_keys:
+            self._write(rejects.select("payload_digest", "reject_reason", "raw"), self.rejects_table, name)
+        self._write_sketches(sales, rejects, name, sale_keys, reject_keys)
+        generation, _ = self._log()
+        self._commit([Batch(name, 0, sale_keys, reject_keys)], [], generation)
+
+    def _write(self, rows: DataFrame, table: str, batch: str) -> None:
+        self.store.write(rows.withColumn(BATCH, F.lit(batch)), table, "append", [BATCH])
+
+    def _write_sketches(
+        self, sales: DataFrame, rejects: DataFrame, batch: str, sale_keys: int, reject_keys: int
+    ) -> None:
+        kinds = [(SALE, sales, "transaction_id", sale_keys), (REJECT, rejects, "payload_digest", reject_keys)]
+        sketches = [
+            key_sketch(rows, key, bitmaps_for(keys)).withColumn("kind", F.lit(kind))
+            for kind, rows, key, keys in kinds
+            if keys
+        ]
+        whole = sketches[0] if len(sketches) == 1 else sketches[0].unionByName(sketches[1])
+        self._write(whole, self.sketches_table, batch)
+
+    def _commit(self, live: Sequence[Batch], replaced: Sequence[str], generation: int) -> None:
+        """One file of rows of the log; with it the batches are there, or no longer."""
+        rows = [(b.batch, b.level, b.sale_keys, b.reject_keys, True, generation) for b in live]
+        rows += [(name, 0, 0, 0, False, generation) for name in replaced]
+        log = self.store.spark.createDataFrame(rows, COMMITS).coalesce(1)
+        self.store.write(log, self.commits_table, "append", [GENERATION])
+
+    # --- keeping the tables compact ---------------------------------------------------
+
+    def _merge_small(self) -> None:
+        """Rewrite batches as one wherever a level has `merge_at` of them.
+
+        The new log names what is live and what it replaces. Replaced rows and the log before
+        stay until the next rewriting, for readers that have begun; all older parts, and those
+        of batches that broke off, are removed.
+        """
+        generation, live = self._log()
+        replaced: list[str] = []
+        level = 0
+        while level <= max((b.level for b in live), default=-1):
+            small = [b for b in live if b.level == level]
+            if len(small) >= self.merge_at:
+                live = [b for b in live if b.level != level] + [self._merged(small)]
+                replaced += [b.batch for b in small]
+            level += 1
+        if not replaced:
+            return
+        self._commit(live, replaced, generation + 1)
+        kept = {b.batch for b in live} | set(replaced)
+        for table in [*self.row_tables, self.sketches_table]:
+            for part in self.store.parts(table, BATCH):
+                if part not in kept:
+                    self.store.drop_part(table, BATCH, part)
+        for part in self.store.parts(self.commits_table, GENERATION):
+            if int(part) < generation:
+                self.store.drop_part(self.commits_table, GENERATION, part)
+
+    def _merged(self, small: Sequence[Batch]) -> Batch:
+        old = [b.batch for b in small]
+        name = f"m{uuid.uuid4().hex}"
+        found = {table: self._rows_of(table, old) for table in self.row_tables}
+        for table, rows in found.items():
+            if rows is not None:
+                self._write(rows, table, name)
+        merged = Batch(
+            name, small[0].level + 1, sum(b.sale_keys for b in small), sum(b.reject_keys for b in small)
+        )
+        self._write_sketches(
+            found[self.choices_table], found[self.rejects_table], name, merged.sale_keys, merged.reject_keys
+        )
+        return merged
 
     def start(
         self,
@@ -132,3 +285,30 @@ class SalesIntake:
         if once:
             writer = writer.trigger(availableNow=True)
         return writer.start()
+
+
+def _counted(rows: DataFrame, column: str) -> DataFrame:
+    return rows.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+
+
+@dataclass
+class CommittedStore(Store):
+    """The tables of an intake, with the rows of committed batches only; for reading."""
+
+    spark: SparkSession
+    intake: SalesIntake = field(repr=False)
+
+    def read(
+        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: ReadSplit | None = None
+    ) -> DataFrame:
+        return self.intake.read(table)
+
+    def write(
+        self,
+        df: DataFrame,
+        table: str,
+        mode: str,
+        partition_by: Sequence[str] = (),
+        rows: Observation | None = None,
+    ) -> None:
+        raise ValueError(f"{table}: tables of an intake are written by the intake")
