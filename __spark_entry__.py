@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
@@ -14,13 +15,15 @@ from tillmart.operators.days import on_days
 from tillmart.operators.documents import document_json, requested_documents, sale_documents
 from tillmart.operators.lines import sold_by_product
 from tillmart.operators.lookup import header_lookup, items_lookup
+from tillmart.operators.versions import current_rows
 from tillmart.plans import export, marts, worksheets
-from tillmart.plans.ingest import TableConfig, run_ingest
+from tillmart.plans.ingest import TableConfig, reconcile_rows, run_ingest
 from tillmart.plans.log_report import load_log, log_report
 from tillmart.schemas import HEADER_COLUMNS, SALES_FULL_COLUMNS, WIDE_MONEY
 from tillmart.sources import driver_tables as source
 from tillmart.sources import payloads
 from tillmart.sources.scratch import scratch_dir
+from tillmart.sources.splits import EquiDepth, equi_depth, part_sizes
 from tillmart.sources.stores import FolderStore
 from tillmart.streaming.intake import SUPERSEDED, SalesIntake
 
@@ -71,6 +74,24 @@ def scan_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def scan_split_sizes(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts of equal size over lines of which a third share one key and some have none: rows
+    in no part and in several, and whether no part is half as large again as an even one."""
+    key = F.when(F.col("l_linenumber") != 7, F.col("l_orderkey"))
+    lines = source.table(spark, folder, "lineitem").select(
+        F.when(key % 3 == 0, 1).otherwise(key).alias("key"), "l_extendedprice"
+    )
+    ranges = equi_depth(lines, EquiDepth("key", 8, within="l_extendedprice"))
+    sizes = part_sizes(lines, ranges)
+    placed = F.when(F.col("part") >= 0, F.col("rows"))
+    return sizes.agg(
+        F.sum("rows").alias("line_count"),
+        F.sum(F.when(F.col("part") == -1, F.col("rows")).otherwise(0)).alias("in_no_part"),
+        F.sum(F.when(F.col("part") == -2, F.col("rows")).otherwise(0)).alias("in_two_parts"),
+        (F.max(placed) <= 1.5 * F.sum("rows") / 8).alias("near_equal"),
+    )
+
+
 def sale_header_lookup(spark: SparkSession, folder: str) -> DataFrame:
     return header_lookup(source.sales(spark, folder), _requests(spark, folder))
 
@@ -208,6 +229,21 @@ def stream_payload_intake(spark: SparkSession, folder: str) -> DataFrame:
     return sales.join(lines, "transaction_id", "left").join(superseded, "transaction_id", "left")
 
 
+def stream_intake_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Stream all payloads in four batches that are rewritten in pairs, and then replay them."""
+    store = _scratch(spark, "intake-merged")
+    raw = source.raw_payloads(spark, folder)
+    raw.repartition(4).write.text(f"{store.root}/payloads")
+    intake = SalesIntake(store, merge_at=2)
+    for attempt, files in (("first", 1), ("replay", 4)):
+        intake.start(
+            spark, f"{store.root}/payloads", f"{store.root}/checkpoint-{attempt}", files_per_batch=files
+        ).awaitTermination()
+    held = intake.committed()
+    documents = sale_documents(held.read(intake.sales_table), held.read(intake.items_table))
+    return documents.select("transactionId", document_json(documents).alias("document"))
+
+
 # --- ingest ----------------------------------------------------------------------
 
 
@@ -316,6 +352,48 @@ def ingest_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     return audit.select("job", "table_name", "status", "rows_in", "rows_out", "message")
 
 
+def ingest_delta_current(spark: SparkSession, folder: str) -> DataFrame:
+    """Three delta loads, the later ones with updates of every third and every fourth order;
+    the current row of each order."""
+    given, target = _scratch(spark, "updates-source"), _scratch(spark, "updates-target")
+    orders = source.table(spark, folder, "orders").withColumnRenamed("o_orderdate", "modified")
+    for load in range(3):
+        key = F.col("o_orderkey")
+        last = F.when(F.lit(load >= 2) & (key % 4 == 0), 2).when(F.lit(load >= 1) & (key % 3 == 0), 1)
+        at = F.when(last == 2, _at("2030-01-02")).when(last == 1, _at("2030-01-01"))
+        state = orders.withColumns(
+            {
+                "o_totalprice": F.col("o_totalprice") + F.coalesce(last, F.lit(0)),
+                "modified": F.coalesce(at, F.col("modified")),
+            }
+        )
+        given.write(state, f"orders_{load}", "overwrite")
+        entry = {"source_table": f"orders_{load}", "target_schema": "staging", "target_table": "orders",
+                 "fields": "*", "load_type": "delta", "delta_column": "modified"}
+        run_ingest(spark, given, target, [TableConfig.from_dict(entry)], [f"orders_{load}"])
+    loaded = target.read("staging.orders")
+    return current_rows(loaded, ["o_orderkey"], ["modified", "ingest_timestamp"]).drop("ingest_timestamp")
+
+
+def ingest_reconcile_content(spark: SparkSession, folder: str) -> DataFrame:
+    """A target in which orders were changed, lost, doubled, and made up."""
+    target = _scratch(spark, "content")
+    orders = source.table(spark, folder, "orders")
+    case = F.col("o_orderkey") % 100
+    price = F.when(case == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    wrong = (
+        orders.filter(case != 2)
+        .withColumn("o_totalprice", price)
+        .union(orders.filter(case == 3))
+        .union(orders.filter(case == 4).withColumn("o_orderkey", -F.col("o_orderkey")))
+    )
+    target.write(wrong, "orders", "overwrite")
+    config = {"source_table": "orders", "target_table": "orders", "fields": "*", "load_type": "full"}
+    return reconcile_rows(
+        _given(spark, folder), target, TableConfig.from_dict(config), ["o_orderkey"]
+    )
+
+
 def _staged(spark: SparkSession, folder: str) -> FolderStore:
     staging = _scratch(spark, "staging")
     staging.write(source.sales(spark, folder), "sales_transactions.sales", "overwrite")
@@ -392,7 +470,34 @@ def _mart(mart: marts.Mart) -> Callable[[SparkSession, str], DataFrame]:
     return query
 
 
-# The five marts as statements of a JSON configuration.
+def _mart_positions(mart: marts.Mart) -> Callable[[SparkSession, str], DataFrame]:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        return marts.mart_positions(mart, *_tables(spark, folder))
+
+    return query
+
+
+def dm_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.top_products(*_tables(spark, folder), k=10)
+
+
+def dm_top_products_by_source(spark: SparkSession, folder: str) -> DataFrame:
+    return marts.top_products_by_source(*_tables(spark, folder), k=3)
+
+
+def _shared_mart(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A mart over headers, built with the others of its kind from one scan of them."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        target = _scratch(spark, "shared-marts")
+        over_headers = [mart for mart in marts.MARTS if mart.target_table in marts.HEADER_GROUPS]
+        marts.run_datamarts(spark, _staged(spark, folder), target, over_headers, one_header_scan=True)
+        return target.read(table).drop(marts.STAMP_COLUMN)
+
+    return query
+
+
+# The five marts as statements of a JSON configuration; a run puts in its own staging schema.
 SQL_MARTS = [
     {
         "target_table": "dm_sales.top_selling_products",
@@ -431,8 +536,12 @@ SQL_MARTS = [
 
 def _written_sql_marts(spark: SparkSession, folder: str, raw: list[dict]) -> FolderStore:
     staging, target = _staged(spark, folder), _scratch(spark, "sql-marts")
-    staging.register("sales_transactions.sales", "sales_transactions.sales_items")
-    marts.run_datamarts(spark, staging, target, [marts.Mart.from_dict(entry) for entry in raw])
+    schema = f"staging_{uuid.uuid4().hex}"
+    own = [entry | {"sql": entry["sql"].replace("sales_transactions", schema)} for entry in raw]
+    with staging.registered(
+        "sales_transactions.sales", "sales_transactions.sales_items", schema=schema
+    ):
+        marts.run_datamarts(spark, staging, target, [marts.Mart.from_dict(entry) for entry in own])
     return target
 
 
@@ -482,6 +591,38 @@ def _tables(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     return source.sales(spark, folder), source.sales_items(spark, folder)
 
 
+def export_ordered_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The lines of ordered marts, exported in four files each, in the order of the file names."""
+    base = scratch_dir(spark, "ordered-lines")
+    found = []
+    for mart in (marts.TOP_SELLING_PRODUCTS, marts.SALES_TREND):
+        rows = export.as_exported(mart.build(*_tables(spark, folder)))
+        path = f"{base}/{mart.target_table}"
+        export.write_csv(rows, path, order=mart.order(), files=4)
+        line = F.regexp_replace("line", r"(T\d\d:\d\d:\d\d\.\d\d\d)(Z|[+-]\d\d:\d\d)", "$1")
+        lines = export.ordered_lines(spark, path)
+        found.append(lines.select(F.lit(mart.target_table).alias("export"), "position", line.alias("line")))
+    return found[0].union(found[1])
+
+
+def export_csv_dialect(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines of values with quotes, commas and blanks, of empty text and of null."""
+    part, name = source.table(spark, folder, "part"), F.col("p_name")
+    kind = F.col("p_partkey") % 7
+    note = (
+        F.when(kind == 0, F.concat(F.lit("  "), name, F.lit(" ")))
+        .when(kind == 1, F.concat(F.lit('say "'), name, F.lit('"')))
+        .when(kind == 2, F.concat(name, F.lit(", vol. 2")))
+        .when(kind == 3, F.lit(""))
+        .when(kind == 4, F.lit('"'))
+        .when(kind == 5, name)
+    )
+    path = f"{scratch_dir(spark, 'dialect')}/parts"
+    rows = part.select("p_partkey", note.alias("note"), kind.alias("kind"))
+    export.write_csv(rows, path, order=[F.asc("p_partkey")])
+    return export.ordered_lines(spark, path)
+
+
 def export_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     rows = _sales_full(spark, folder)
     path = f"{scratch_dir(spark, 'export')}/{export.folder_name('dm_sales.sales_full', datetime.now())}"
@@ -504,6 +645,10 @@ def bi_product_performance(spark: SparkSession, folder: str) -> DataFrame:
     return worksheets.product_performance(_sales_full(spark, folder))
 
 
+def bi_product_performance_positions(spark: SparkSession, folder: str) -> DataFrame:
+    return worksheets.product_performance_positions(_sales_full(spark, folder))
+
+
 def bi_quantity_per_product(spark: SparkSession, folder: str) -> DataFrame:
     return worksheets.quantity_per_product(_sales_full(spark, folder))
 
@@ -620,6 +765,7 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "scan_table": scan_table,
         "scan_query": scan_query,
+        "scan_split_sizes": scan_split_sizes,
         "sale_header_lookup": sale_header_lookup,
         "sale_items_lookup": sale_items_lookup,
         "sale_document": sale_document,
@@ -634,6 +780,7 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "payload_ack_stamp": payload_ack_stamp,
         "payload_rejects": payload_rejects,
         "stream_payload_intake": stream_payload_intake,
+        "stream_intake_merged": stream_intake_merged,
         "ingest_full": ingest_full,
         "ingest_stamp": ingest_stamp,
         "ingest_append": ingest_append,
@@ -642,7 +789,9 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ingest_delta_empty_target": ingest_delta_empty_target,
         "ingest_delta_null_key": ingest_delta_null_key,
         "ingest_delta_ties": ingest_delta_ties,
+        "ingest_delta_current": ingest_delta_current,
         "ingest_reconcile": ingest_reconcile,
+        "ingest_reconcile_content": ingest_reconcile_content,
         "run_audit": run_audit,
         "log_report": log_report_steps,
         "mask_hash": mask_hash,
@@ -658,12 +807,22 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         **{
             f"dm_sql_{raw['target_table'].split('.')[1]}": _sql_mart(raw) for raw in SQL_MARTS
         },
+        **{
+            f"dm_shared_{table.split('.')[1]}": _shared_mart(table) for table in marts.HEADER_GROUPS
+        },
+        "dm_top_selling_products_positions": _mart_positions(marts.TOP_SELLING_PRODUCTS),
+        "dm_sales_trend_positions": _mart_positions(marts.SALES_TREND),
+        "dm_top_products": dm_top_products,
+        "dm_top_products_by_source": dm_top_products_by_source,
         "dm_stamps": dm_stamps,
+        "export_ordered_lines": export_ordered_lines,
+        "export_csv_dialect": export_csv_dialect,
         "export_csv_roundtrip": export_csv_roundtrip,
         "export_csv_lines": export_csv_lines,
         "bi_kpis": bi_kpis,
         "bi_kpis_long": bi_kpis_long,
         "bi_product_performance": bi_product_performance,
+        "bi_product_performance_positions": bi_product_performance_positions,
         "bi_quantity_per_product": bi_quantity_per_product,
         "bi_sales_over_time": bi_sales_over_time,
         "bi_sales_by_source": bi_sales_by_source,
@@ -763,6 +922,11 @@ _TOP = f"""
                    cast(sum(price * quantity) AS decimal(38,2)) AS total_revenue
             FROM items JOIN sales USING (transaction_id)
             GROUP BY product_name ORDER BY total_sold DESC NULLS FIRST, product_name"""
+_TREND = f"""
+            WITH {_SALES}
+            SELECT cast(date_trunc('month', transaction_date) AS timestamp) AS month,
+                   cast(sum(total_amount) AS decimal(38,2)) AS monthly_sales
+            FROM sales GROUP BY 1 ORDER BY 1"""
 _CHOSEN = f"""
             WITH {_FULL}
             SELECT * FROM sales_full WHERE cast(transaction_date AS date) IN ({_DAYS})"""
@@ -778,9 +942,12 @@ def sales_sql() -> dict[str, str]:
         f"cast(1 AS bigint) AS stamps FROM ({sql[f'dm_{name}']})"
         for name in names
     ]
+    over_headers = [table.split(".")[1] for table in marts.HEADER_GROUPS]
     return (
         sql
         | {f"dm_sql_{name}": sql[f"dm_{name}"] for name in names}
+        | {f"dm_shared_{name}": sql[f"dm_{name}"] for name in over_headers}
+        | {"stream_intake_merged": sql["payload_documents"]}
         | {"dm_stamps": " UNION ALL ".join(counts)}
     )
 
@@ -933,13 +1100,59 @@ def _sales_sql() -> dict[str, str]:
             FROM sales
             GROUP BY customer_gender, age_group, sales.customer_name, sales.delivery_address,
                      sales.customer_contact""",
-        "dm_sales_trend": f"""
-            WITH {_SALES}
-            SELECT cast(date_trunc('month', transaction_date) AS timestamp) AS month,
-                   cast(sum(total_amount) AS decimal(38,2)) AS monthly_sales
-            FROM sales GROUP BY 1 ORDER BY 1""",
+        "dm_sales_trend": _TREND,
         "dm_sales_full": f"WITH {_FULL} SELECT * FROM sales_full",
         "export_csv_roundtrip": f"WITH {_FULL} SELECT * FROM sales_full",
+        "scan_split_sizes": """
+            SELECT count(*) AS line_count, cast(0 AS bigint) AS in_no_part,
+                   cast(0 AS bigint) AS in_two_parts, true AS near_equal FROM lineitem""",
+        "ingest_delta_current": """
+            SELECT * REPLACE (
+              CASE WHEN o_orderkey % 4 = 0 THEN o_totalprice + 2 WHEN o_orderkey % 3 = 0 THEN o_totalprice + 1
+                   ELSE o_totalprice END AS o_totalprice,
+              CASE WHEN o_orderkey % 4 = 0 THEN TIMESTAMP '2030-01-02'
+                   WHEN o_orderkey % 3 = 0 THEN TIMESTAMP '2030-01-01' ELSE modified END AS modified)
+            FROM (SELECT * RENAME (o_orderdate AS modified) FROM orders)""",
+        "ingest_reconcile_content": """
+            SELECT CASE WHEN o_orderkey % 100 = 4 THEN -o_orderkey ELSE o_orderkey END AS o_orderkey,
+              CASE o_orderkey % 100 WHEN 1 THEN 'changed' WHEN 2 THEN 'lost' WHEN 3 THEN 'repeated'
+                   ELSE 'foreign' END AS difference,
+              CASE WHEN o_orderkey % 100 = 4 THEN 0 ELSE 1 END::BIGINT AS source_rows,
+              CASE o_orderkey % 100 WHEN 2 THEN 0 WHEN 3 THEN 2 ELSE 1 END::BIGINT AS target_rows
+            FROM orders WHERE o_orderkey % 100 BETWEEN 1 AND 4""",
+        "dm_top_selling_products_positions": f"""
+            SELECT *, row_number() OVER (ORDER BY total_sold DESC NULLS FIRST, product_name) AS position
+            FROM ({_TOP})""",
+        "dm_sales_trend_positions": f"""
+            SELECT *, row_number() OVER (ORDER BY month NULLS LAST) AS position FROM ({_TREND})""",
+        "dm_top_products": f"{_TOP} LIMIT 10",
+        "dm_top_products_by_source": f"""
+            WITH {_SALES}, {_ITEMS}, sold AS (
+              SELECT source, product_name, cast(sum(quantity) AS bigint) AS total_sold
+              FROM items JOIN sales USING (transaction_id) GROUP BY source, product_name)
+            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source
+                ORDER BY total_sold DESC NULLS FIRST, product_name)::INT AS rank FROM sold)
+            WHERE rank <= 3""",
+        "export_ordered_lines": f"""
+            SELECT 'dm_sales.top_selling_products' AS export,
+              row_number() OVER (ORDER BY total_sold DESC NULLS FIRST, product_name) AS position,
+              concat_ws(',', product_name, cast(total_sold AS varchar),
+                cast(cast(total_revenue AS decimal(38,18)) AS varchar)) AS line FROM ({_TOP})
+            UNION ALL SELECT 'dm_sales.sales_trend', row_number() OVER (ORDER BY month),
+              concat_ws(',', strftime(month, '%Y-%m-%dT%H:%M:%S.%g'),
+                cast(cast(monthly_sales AS decimal(38,18)) AS varchar)) FROM ({_TREND})""",
+        "export_csv_dialect": r"""
+            SELECT row_number() OVER (ORDER BY p_partkey) AS position,
+              p_partkey || ',' || CASE p_partkey % 7
+                WHEN 1 THEN '"say \"' || p_name || '\""' WHEN 2 THEN '"' || p_name || ', vol. 2"'
+                WHEN 3 THEN '""' WHEN 4 THEN '"\""' WHEN 6 THEN '' ELSE p_name END
+              || ',' || p_partkey % 7 AS line FROM part""",
+        "bi_product_performance_positions": f"""
+            WITH {_FULL}, cells AS (
+              SELECT product_name, source, {_KPIS} FROM sales_full GROUP BY product_name, source),
+            totals AS (SELECT *, sum(total_sales) OVER (PARTITION BY product_name) AS of_product FROM cells)
+            SELECT * EXCLUDE (of_product), row_number() OVER (
+              ORDER BY of_product DESC NULLS LAST, product_name, source) AS position FROM totals""",
         "export_csv_lines": f"""
             WITH {_FULL}, by_source AS (
               SELECT source, cast(sum(total_amount) AS decimal(38,18)) AS total_sales,

@@ -52,6 +52,26 @@ def test_age_is_coerced(spark, age, wanted):
     assert one(spark, text).customer_age == wanted
 
 
+@pytest.mark.parametrize(
+    "text, wanted",
+    [
+        (FLAT.replace('"qty":3', '"qty":3000000000'), "number does not fit"),
+        (NESTED.replace('"quantity":2', '"quantity":-3000000000'), "number does not fit"),
+        (FLAT.replace('"contact"', '"age":4000000000,"contact"'), "number does not fit"),
+        (FLAT.replace('"qty":3', '"qty":2147483647'), None),
+        (NESTED.replace('"quantity":2', '"quantity":null'), None),
+        (NESTED.replace('"line_items":[', '"products":[{"qty":3000000000}],"line_items":['), None),
+    ],
+)
+def test_a_sale_with_a_count_that_does_not_fit_is_rejected(spark, text, wanted):
+    assert one(spark, text).reject_reason == wanted
+
+
+def test_counts_are_rounded_as_the_tables_round_them(spark):
+    assert one(spark, FLAT.replace('"qty":3', '"qty":2.5'))["items"][0].quantity == 3
+    assert one(spark, FLAT.replace('"qty":3', '"qty":2.4'))["items"][0].quantity == 2
+
+
 def test_quantities_may_be_written_as_decimals(spark):
     assert one(spark, FLAT.replace('"qty":3', '"qty":3.0'))["items"][0].quantity == 3
     assert one(spark, NESTED.replace('"quantity":2', '"quantity":2.00'))["items"][0].quantity == 2

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from tillmart.plans.ingest import TableConfig
 from tillmart.plans.marts import Mart
-from tillmart.sources.stores import JdbcStore
+from tillmart.sources.stores import JdbcStore, split_from_dict
 
 
 def table_configs(text: str) -> list[TableConfig]:
@@ -30,8 +30,10 @@ def connections(
 ) -> dict[str, JdbcStore]:
     """Named databases, each with `host`, `user`, `password` and `driver`.
 
-    A value written as `$NAME` is taken from the environment, so that the file
-    needs to hold no secret.
+    `splits` may say for tables how they are scanned: `partition_column` and `num_partitions`,
+    either with `lower_bound` and `upper_bound`, or without them for parts of equal size. A
+    value written as `$NAME` is taken from the environment, so that the file needs to hold no
+    secret.
     """
 
     def value(text: str) -> str:
@@ -44,6 +46,11 @@ def connections(
             user=value(entry["user"]),
             password=value(entry["password"]),
             driver=entry["driver"],
+            splits={
+                table: split
+                for table, raw in entry.get("splits", {}).items()
+                if (split := split_from_dict(raw))
+            },
         )
         for name, entry in json.loads(text).items()
     }

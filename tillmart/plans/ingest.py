@@ -9,8 +9,10 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 
 from tillmart.operators.delta import high_water_mark, newer_than, not_older_than
+from tillmart.operators.reconcile import differences
+from tillmart.operators.versions import current_rows
 from tillmart.plans.audit import DONE, FAILED, SKIPPED, Run, counted_write, now, stamped, summary
-from tillmart.sources.stores import DEFAULT_FETCH_SIZE, ReadSplit, Store
+from tillmart.sources.stores import DEFAULT_FETCH_SIZE, Split, Store, split_from_dict
 
 STAMP_COLUMN = "ingest_timestamp"
 
@@ -24,7 +26,8 @@ class TableConfig:
     delta_column: str | None = None
     tie_key: str | None = None
     batch_size: int = DEFAULT_FETCH_SIZE
-    split: ReadSplit | None = None
+    split: Split | None = None
+    target_split: Split | None = None
 
     @classmethod
     def from_dict(cls, raw: Mapping[str, Any]) -> TableConfig:
@@ -32,14 +35,6 @@ class TableConfig:
         fields = None
         if raw["fields"].strip() != "*":
             fields = tuple(name.strip() for name in raw["fields"].split(","))
-        split = None
-        if raw.get("partition_column"):
-            split = ReadSplit(
-                raw["partition_column"],
-                str(raw["lower_bound"]),
-                str(raw["upper_bound"]),
-                int(raw["num_partitions"]),
-            )
         return cls(
             source=_qualified(raw.get("source_schema"), raw["source_table"]),
             target=_qualified(raw.get("target_schema"), raw["target_table"]),
@@ -48,7 +43,8 @@ class TableConfig:
             delta_column=raw.get("delta_column"),
             tie_key=raw.get("tie_key"),
             batch_size=int(raw.get("batch_size", DEFAULT_FETCH_SIZE)),
-            split=split,
+            split=split_from_dict(raw),
+            target_split=split_from_dict(raw.get("target_split") or {}),
         )
 
     @property
@@ -87,7 +83,7 @@ def rows_to_load(source: Store, target: Store, config: TableConfig) -> DataFrame
             raise ValueError(
                 f"{config.source}: tie key {config.tie_key!r} is not among the loaded fields"
             )
-        loaded = target.read(config.target, config.batch_size)
+        loaded = target.read(config.target, config.batch_size, config.target_split)
         return not_older_than(rows, loaded, config.delta_column, mark, config.tie_key)
     return newer_than(rows, config.delta_column, mark)
 
@@ -117,6 +113,22 @@ def ingest_table(
     run.record(config.target, DONE, started, rows_in, written, message)
 
 
+def reconcile_rows(
+    source: Store, target: Store, config: TableConfig, key: Sequence[str]
+) -> DataFrame:
+    """The keys in which the target is not what the source says, and how they differ.
+
+    A full load's target must hold the source's rows as they are; of an appended target the
+    current row of each key counts, by the delta column, if there is one, and the load's time.
+    """
+    rows = project(source.read(config.source, config.batch_size, config.split), config.fields)
+    loaded = target.read(config.target, config.batch_size, config.target_split)
+    if config.mode == "append":
+        versions = [c for c in (config.delta_column, STAMP_COLUMN) if c in loaded.columns]
+        loaded = current_rows(loaded, key, versions)
+    return differences(rows, loaded.drop(STAMP_COLUMN), key)
+
+
 def pick_configs(
     configs: Iterable[TableConfig], tables: Iterable[str]
 ) -> list[tuple[str, TableConfig | None]]:

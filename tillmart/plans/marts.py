@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillmart.functions.calendar import age_band, month_start
 from tillmart.functions.masking import mask_columns
 from tillmart.operators.days import MONTH_COLUMN, with_month
 from tillmart.operators.lines import sale_lines, sold_by_product
+from tillmart.operators.positions import with_positions
 from tillmart.plans.audit import DONE, FAILED, Run, counted_write, now, stamped, summary
 from tillmart.schemas import WIDE_MONEY
+from tillmart.sources.scratch import scratch_dir
 from tillmart.sources.stores import Store
 
 STAMP_COLUMN = "load_timestamp"
@@ -122,6 +124,116 @@ def read_mart(store: Store, mart: Mart) -> DataFrame:
     return rows.orderBy(*mart.order()) if mart.order else rows
 
 
+def mart_positions(mart: Mart, sales: DataFrame, items: DataFrame) -> DataFrame:
+    """Rows of a built mart with their place in its order, as `position`."""
+    if mart.order is None:
+        raise ValueError(f"{mart.target_table} has no order")
+    return with_positions(mask_columns(mart.build(sales, items), mart.mask_columns), mart.order())
+
+
+def top_products(sales: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """The k products sold most, best first; ties go by name. Each task keeps k rows."""
+    return top_selling_products(sales, items).orderBy(*TOP_SELLING_PRODUCTS.order()).limit(k)
+
+
+def top_products_by_source(sales: DataFrame, items: DataFrame, k: int) -> DataFrame:
+    """source, product_name, total_sold, rank: the k products sold most through each source.
+
+    Tasks drop what is beyond the k best of a source before rows are shuffled by source.
+    """
+    lines = items.select("transaction_id", "product_name", "quantity")
+    sold = (
+        lines.join(sales.select("transaction_id", "source"), "transaction_id")
+        .groupBy("source", "product_name")
+        .agg(F.sum("quantity").alias("total_sold"))
+    )
+    best = Window.partitionBy("source").orderBy(*TOP_SELLING_PRODUCTS.order())
+    return sold.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+
+
+# The marts over headers alone, and what they are grouped by.
+HEADER_GROUPS = {
+    "dm_sales.sales_by_source": ["source"],
+    "dm_sales.customer_demographics": [
+        "customer_gender", "age_group", "customer_name", "delivery_address", "customer_contact",
+    ],
+    "dm_sales.sales_trend": ["month"],
+}
+
+
+def header_groups(sales: DataFrame) -> DataFrame:
+    """The groups of all marts over headers, from one scan; `grouping` tells whose they are."""
+    columns = [c for group in HEADER_GROUPS.values() for c in group]
+    keyed = sales.withColumns(
+        {
+            "age_group": age_band(F.col("customer_age")),
+            "month": month_start(F.col("transaction_date")),
+        }
+    )
+    grouped = keyed.groupingSets(list(HEADER_GROUPS.values()), *columns).agg(
+        F.grouping_id().cast("int").alias("grouping"),
+        F.count(F.lit(1)).alias("headers"),
+        F.count("transaction_id").alias("transactions"),
+        _money("total_amount").alias("total"),
+    )
+    return grouped
+
+
+def _grouping(table: str) -> int:
+    """The number Spark gives a grouping set: one bit for each column that is not in it."""
+    columns = [c for group in HEADER_GROUPS.values() for c in group]
+    bits = ["0" if c in HEADER_GROUPS[table] else "1" for c in columns]
+    return int("".join(bits), 2)
+
+
+def header_marts(groups: DataFrame) -> dict[str, DataFrame]:
+    """The marts over headers, from their stored groups."""
+    count, total = F.col("headers"), F.col("total")
+    who = HEADER_GROUPS["dm_sales.customer_demographics"][2:]
+
+    def of(table: str) -> DataFrame:
+        return groups.filter(F.col("grouping") == _grouping(table))
+
+    return {
+        "dm_sales.sales_by_source": of("dm_sales.sales_by_source").select(
+            "source", total.alias("total_sales"), "transactions"
+        ),
+        "dm_sales.customer_demographics": of("dm_sales.customer_demographics").select(
+            "customer_gender", "age_group", count.alias("count_customers"),
+            total.alias("total_spent"), *who,
+        ),
+        "dm_sales.sales_trend": of("dm_sales.sales_trend").select("month", total.alias("monthly_sales")),
+    }
+
+
+def stored_header_groups(sales: DataFrame) -> DataFrame:
+    """The groups written once to the shared folder, a part for each mart."""
+    folder = f"{scratch_dir(sales.sparkSession, 'header-groups')}/rows"
+    header_groups(sales).write.partitionBy("grouping").parquet(folder)
+    return sales.sparkSession.read.parquet(folder)
+
+
+def with_one_header_scan(marts: Iterable[Mart], staging: Store, sales_table: str) -> list[Mart]:
+    """The marts, those over headers alone built from groups of one scan of the headers.
+
+    They are worth it if there are two of them at least. Marts of SQL text, or with a builder of
+    their own, stay as they are.
+    """
+    listed = list(marts)
+    built_in = {mart.target_table: mart.build for mart in MARTS}
+    shared = [
+        m for m in listed
+        if m.target_table in HEADER_GROUPS and m.sql is None and m.build is built_in[m.target_table]
+    ]
+    if len(shared) < 2:
+        return listed
+    rows = header_marts(stored_header_groups(staging.read(sales_table)))
+    return [
+        replace(m, build=lambda sales, items, table=m.target_table: rows[table]) if m in shared else m
+        for m in listed
+    ]
+
+
 def write_mart(
     staging: Store, target: Store, mart: Mart, run: Run, sales_table: str, items_table: str
 ) -> int:
@@ -147,13 +259,23 @@ def run_datamarts(
     items_table: str = "sales_transactions.sales_items",
     audit: tuple[Store, str] | None = None,
     at_once: int = 8,
+    one_header_scan: bool = False,
 ) -> DataFrame:
     """Write every mart anew, `at_once` of them at a time, and return the audit rows.
 
-    A mart that fails is recorded, and the others go on.
+    A mart that fails is recorded, and the others go on. `one_header_scan` builds all marts
+    over headers alone from a single scan of them.
     """
     run = Run(spark, "datamart")
-    by_table = {mart.target_table: mart for mart in marts}
+    listed = list(marts)
+    by_table = {mart.target_table: mart for mart in listed}
+    if len(by_table) < len(listed):
+        names = [mart.target_table for mart in listed]
+        doubled = sorted({name for name in names if names.count(name) > 1})
+        raise ValueError(f"several marts would write {', '.join(doubled)}")
+    if one_header_scan:
+        shared = with_one_header_scan(listed, staging, sales_table)
+        by_table = {mart.target_table: mart for mart in shared}
 
     def build(table: str) -> None:
         started = now()

@@ -6,7 +6,7 @@ it at that grain, as the dashboard does. `total_sales_header_grain` counts it on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +24,7 @@ from tillmart.functions.measures import (
     default_measure,
 )
 from tillmart.operators.days import Days, on_days
+from tillmart.operators.positions import with_positions
 from tillmart.schemas import WIDE_MONEY
 
 KPI_ORDER: tuple[Measure, ...] = (QUANTITY, TOTAL_SALES, CUSTOMERS, TRANSACTIONS)
@@ -60,15 +61,23 @@ def product_performance(sales_full: DataFrame) -> DataFrame:
     The product's own total, by which rows are ordered, is a window over the cells:
     a window group holds one row per source.
     """
+    cells, order = _performance(sales_full)
+    return cells.orderBy(*order).drop("_of_product")
+
+
+def product_performance_positions(sales_full: DataFrame) -> DataFrame:
+    """The same rows with their place in that order, as `position`."""
+    cells, order = _performance(sales_full)
+    return with_positions(cells, order).drop("_of_product")
+
+
+def _performance(sales_full: DataFrame) -> tuple[DataFrame, list[Column]]:
     cells = sales_full.groupBy("product_name", "source").agg(
         *[measure.build() for measure in PERFORMANCE_ORDER]
     )
     of_product = F.sum(TOTAL_SALES.name).over(W.partitionBy("product_name"))
-    return (
-        cells.withColumn("_of_product", of_product)
-        .orderBy(F.desc_nulls_last("_of_product"), F.asc("product_name"), F.asc("source"))
-        .drop("_of_product")
-    )
+    order = [F.desc_nulls_last("_of_product"), F.asc("product_name"), F.asc("source")]
+    return cells.withColumn("_of_product", of_product), order
 
 
 def quantity_per_product(sales_full: DataFrame, collation: str | None = None) -> DataFrame:

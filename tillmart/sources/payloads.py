@@ -28,16 +28,23 @@ def parse_payloads(raw: DataFrame, text: str = "value") -> DataFrame:
 
 
 def _whole(number: Column) -> Column:
-    """A number as the integer column of the table takes it; null if it does not fit."""
+    """A number as the integer column of the table takes it: rounded, half away from zero; null
+    if it does not fit."""
     return F.round(number).try_cast("int")
 
 
+def _too_large(number: Column) -> Column:
+    return number.isNotNull() & _whole(number).isNull()
+
+
 def normalize_payloads(parsed: DataFrame) -> DataFrame:
     """Header fields, `items` array and `reject_reason` (null when acceptable).
 
     Whether a payload names its sale `transactionId` decides the channel. The
     channel decides where customer and line fields are read; amount, payment type
-    and date each take the first name that is filled, whatever the channel.
+    and date each take the first name that is filled, whatever the channel. Counts are rounded
+    as the tables' integer columns round them; a sale with a count that does not fit is
+    rejected, not stored without it.
     """
     p = F.col("payload")
     nested = p["transactionId"].isNotNull()
@@ -64,12 +71,17 @@ def normalize_payloads(parsed: DataFrame) -> DataFrame:
             _whole(line["qty"]).alias("quantity"),
         ),
     )
+    age = pick("age", "age").try_cast(COUNT)
+    lost = _too_large(age) | F.when(
+        nested, F.exists(p["line_items"], lambda line: _too_large(line["quantity"]))
+    ).otherwise(F.exists(p["products"], lambda line: _too_large(line["qty"])))
     sale_id = F.coalesce(p["transactionId"], p["salesId"])
     sold_at = wall_clock(F.coalesce(p["timestamp"], p["creationDate"]))
     reason = (
         F.when(p.isNull() | p[CORRUPT].isNotNull(), "malformed document")
         .when(sale_id.isNull(), "no sale id")
         .when(sold_at.isNull(), "no valid date")
+        .when(F.coalesce(lost, F.lit(False)), "number does not fit")
     )
     return parsed.select(
         sale_id.alias("transaction_id"),
@@ -77,7 +89,7 @@ def normalize_payloads(parsed: DataFrame) -> DataFrame:
         pick("name", "fullName").alias("customer_name"),
         pick("address", "deliveryLoc").alias("delivery_address"),
         pick("phone", "contact").alias("customer_contact"),
-        _whole(pick("age", "age").try_cast(COUNT)).alias("customer_age"),
+        _whole(age).alias("customer_age"),
         pick("gender", "gender").alias("customer_gender"),
         F.coalesce(p["total"], p["amountDue"]).alias("total_amount"),
         F.coalesce(p["mop"], p["paymentType"]).alias("payment_type"),

@@ -6,8 +6,10 @@ does not exist yet), `query` and `write`.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass, field
+from typing import Any
 
 from py4j.java_gateway import is_instance_of
 from py4j.protocol import Py4JJavaError
@@ -16,7 +18,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillmart.sources.splits import EquiDepth, KeyRange, bounds_sql, ranges_of
+
 DEFAULT_FETCH_SIZE = 10_000
+# A database table of at most so many rows may be read by one connection.
+SINGLE_CONNECTION_ROWS = 1_000_000
 
 # Formats that keep no types, and the options that make them give back what was written.
 TEXT_FORMATS = {
@@ -35,14 +41,13 @@ TEXT_READ = {"csv": {"nullValue": "\u0000", "mode": "FAILFAST"}, "json": {"mode"
 MISSING_CONDITIONS = {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND"}
 MISSING_SQL_STATES = {"42P01", "42S02", "42X05"}
 
-
 class MissingTable(LookupError):
     """The named table does not exist in the store."""
 
 
 @dataclass(frozen=True)
 class ReadSplit:
-    """How to cut a JDBC scan into parallel range scans."""
+    """How to cut a JDBC scan into parallel range scans of equal width."""
 
     column: str
     lower: str
@@ -50,11 +55,27 @@ class ReadSplit:
     partitions: int
 
 
+Split = ReadSplit | EquiDepth
+
+
+def split_from_dict(raw: Mapping[str, Any]) -> Split | None:
+    """`partition_column` and `num_partitions`, with `lower_bound` and `upper_bound` for ranges
+    of equal width, without them for parts of equal size, cut along `within` where needed."""
+    if not raw.get("partition_column"):
+        return None
+    parts = int(raw["num_partitions"])
+    if raw.get("lower_bound") is None and raw.get("upper_bound") is None:
+        return EquiDepth(raw["partition_column"], parts, raw.get("within"))
+    return ReadSplit(
+        raw["partition_column"], str(raw["lower_bound"]), str(raw["upper_bound"]), parts
+    )
+
+
 class Store:
     spark: SparkSession
 
     def read(
-        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: ReadSplit | None = None
+        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: Split | None = None
     ) -> DataFrame:
         raise NotImplementedError
 
@@ -69,7 +90,7 @@ class Store:
         """Write a table; `rows` is told how many rows the writing tasks wrote."""
         raise NotImplementedError
 
-    def query(self, sql: str, split: ReadSplit | None = None) -> DataFrame:
+    def query(self, sql: str, split: Split | None = None) -> DataFrame:
         return self.spark.sql(sql)
 
     def marks(self, table: str, column: str) -> DataFrame | None:
@@ -132,7 +153,7 @@ class FolderStore(PartStore):
         return f"{self.root.rstrip('/')}/{table.replace('.', '/')}{self.suffix}"
 
     def read(
-        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: ReadSplit | None = None
+        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: Split | None = None
     ) -> DataFrame:
         reader = self.spark.read.format(self.format)
         if self.format in TEXT_FORMATS:
@@ -185,18 +206,43 @@ class FolderStore(PartStore):
         files.delete(path, True)
 
     def register(self, *tables: str) -> None:
-        """Make tables known to SQL text under their own names, with schema if any."""
+        """Make tables known to SQL text under their own names, with schema if any.
+
+        A view with a schema stays in the catalog, and later runs replace it; runs that may
+        meet in one catalog use `registered`.
+        """
         for table in tables:
             if "." not in table:
                 self.read(table).createOrReplaceTempView(table)
                 continue
-            if self.format in TEXT_FORMATS:
-                raise ValueError(f"{table}: SQL text would not know its types as {self.format}")
-            schema = table.rsplit(".", 1)[0]
-            self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}")
-            self.spark.sql(
-                f"CREATE OR REPLACE VIEW {table} AS SELECT * FROM {self.format}.`{self.path(table)}`"
-            )
+            self._create_view(table, table, "CREATE OR REPLACE VIEW")
+
+    def _create_view(self, table: str, name: str, create: str) -> None:
+        if self.format in TEXT_FORMATS:
+            raise ValueError(f"{table}: SQL text would not know its types as {self.format}")
+        self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
+        self.spark.sql(f"{create} {name} AS SELECT * FROM {self.format}.`{self.path(table)}`")
+
+    @contextmanager
+    def registered(self, *tables: str, schema: str | None = None) -> Iterator[None]:
+        """Names for SQL text that last as long as the block; with `schema`, under that schema
+        instead of their own. A name that the catalog holds already is an error, so that a run
+        never reads what another one staged."""
+        wanted = {table: f"{schema}.{table.rsplit('.', 1)[-1]}" if schema else table for table in tables}
+        schemas = sorted({name.rsplit(".", 1)[0] for name in wanted.values()})
+        new = [name for name in schemas if not self.spark.catalog.databaseExists(name)]
+        made: list[str] = []
+        try:
+            for table, name in wanted.items():
+                self._create_view(table, name, "CREATE VIEW")
+                made.append(name)
+            yield
+        finally:
+            for name in made:
+                self.spark.sql(f"DROP VIEW IF EXISTS {name}")
+            for name in new:
+                if all(held.isTemporary for held in self.spark.catalog.listTables(name)):
+                    self.spark.sql(f"DROP SCHEMA IF EXISTS {name}")
 
 
 @dataclass
@@ -213,7 +259,7 @@ class CatalogStore(PartStore):
     buckets: dict[str, tuple[str, int]] = field(default_factory=dict)
 
     def read(
-        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: ReadSplit | None = None
+        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: Split | None = None
     ) -> DataFrame:
         try:
             return self.spark.table(table)
@@ -262,8 +308,9 @@ class JdbcStore(Store):
     """Tables of a relational database. Credentials come from the caller and are
     kept out of `repr`, so that they do not end up in logs.
 
-    A table is scanned by several connections: reading it needs a split, given with the call
-    or in `splits`. A query without one is a single connection, for small results.
+    A table is scanned by several connections as its split says, which is given with the call
+    or in `splits`. Without one it is read by a single connection, and refused if it holds more
+    than SINGLE_CONNECTION_ROWS rows. A query without a split is a single connection as well.
     """
 
     spark: SparkSession
@@ -272,7 +319,7 @@ class JdbcStore(Store):
     password: str = field(repr=False)
     driver: str
     batch_size: int = DEFAULT_FETCH_SIZE
-    splits: Mapping[str, ReadSplit] = field(default_factory=dict)
+    splits: Mapping[str, Split] = field(default_factory=dict)
     write_connections: int = 16
 
     def _login(self) -> dict[str, str]:
@@ -297,13 +344,49 @@ class JdbcStore(Store):
         return options
 
     def read(
-        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: ReadSplit | None = None
+        self, table: str, fetch_size: int = DEFAULT_FETCH_SIZE, split: Split | None = None
     ) -> DataFrame:
         split = split or self.splits.get(table)
-        if split is None:
-            raise ValueError(f"{table}: a scan over JDBC needs a split")
+        if isinstance(split, EquiDepth):
+            return self._load_parts(table, fetch_size, self.key_ranges(table, split))
+        if split is None and self.count(table) > SINGLE_CONNECTION_ROWS:
+            raise ValueError(f"{table}: a scan of so many rows over JDBC needs a split")
         return self._load(table, self.read_options(table, fetch_size, split))
 
+    def key_ranges(self, table: str, wanted: EquiDepth) -> list[KeyRange]:
+        """Ranges of equal size, found by the database; one value that is too large for a range
+        is cut along `within`."""
+        ranges = ranges_of(wanted.column, self._bounds(table, wanted.column, wanted.parts))
+        if wanted.within is None:
+            return ranges
+        even = -(-self.count(table) // wanted.parts)
+        cut: list[KeyRange] = []
+        for held in ranges:
+            rows = f"(SELECT * FROM {table} WHERE {held.sql()}) AS held"
+            parts = -(-self.count(rows) // max(1, even))
+            bounds = self._bounds(rows, wanted.within, parts) if parts > 1 else []
+            cut += [
+                KeyRange(held.column, held.lower, held.upper, held.nulls, inside)
+                for inside in ranges_of(wanted.within, bounds)
+            ] if parts > 1 else [held]
+        return cut
+
+    def _bounds(self, relation: str, column: str, parts: int) -> list[Any]:
+        return [row[0] for row in self.query(bounds_sql(relation, column, parts)).collect()]
+
+    def _load_parts(self, table: str, fetch_size: int, ranges: Sequence[KeyRange]) -> DataFrame:
+        login = self._login()
+        url = login.pop("url")
+        properties = login | {"fetchsize": str(fetch_size)}
+        try:
+            return self.spark.read.jdbc(
+                url, table, predicates=[held.sql() for held in ranges], properties=properties
+            )
+        except (AnalysisException, Py4JJavaError) as error:
+            if _sql_state(self.spark, error) in MISSING_SQL_STATES:
+                raise MissingTable(table) from error
+            raise
+
     def _load(self, table: str, options: dict[str, str]) -> DataFrame:
         try:
             return self.spark.read.format("jdbc").options(**options).load()
@@ -312,10 +395,12 @@ class JdbcStore(Store):
                 raise MissingTable(table) from error
             raise
 
-    def query(self, sql: str, split: ReadSplit | None = None) -> DataFrame:
+    def query(self, sql: str, split: Split | None = None) -> DataFrame:
         """The database evaluates the statement; Spark sees its result."""
-        options = self.read_options(f"({sql}) AS src", DEFAULT_FETCH_SIZE, split)
-        return self._load(sql, options)
+        relation = f"({sql}) AS src"
+        if isinstance(split, EquiDepth):
+            return self._load_parts(relation, DEFAULT_FETCH_SIZE, self.key_ranges(relation, split))
+        return self._load(sql, self.read_options(relation, DEFAULT_FETCH_SIZE, split))
 
     def marks(self, table: str, column: str) -> DataFrame | None:
         try:

@@ -227,16 +227,15 @@ class SalesIntake:
         of batches that broke off, are removed.
         """
         generation, live = self._log()
-        replaced: list[str] = []
+        small: list[Batch] = []
         level = 0
-        while level <= max((b.level for b in live), default=-1):
-            small = [b for b in live if b.level == level]
-            if len(small) >= self.merge_at:
-                live = [b for b in live if b.level != level] + [self._merged(small)]
-                replaced += [b.batch for b in small]
+        while len(near := [b for b in live if b.level == level]) + bool(small) >= self.merge_at:
+            small += near
             level += 1
-        if not replaced:
+        if not small:
             return
+        live = [b for b in live if b not in small] + [self._merged(small, level)]
+        replaced = [b.batch for b in small]
         self._commit(live, replaced, generation + 1)
         kept = {b.batch for b in live} | set(replaced)
         for table in [*self.row_tables, self.sketches_table]:
@@ -247,7 +246,7 @@ class SalesIntake:
             if int(part) < generation:
                 self.store.drop_part(self.commits_table, GENERATION, part)
 
-    def _merged(self, small: Sequence[Batch]) -> Batch:
+    def _merged(self, small: Sequence[Batch], level: int) -> Batch:
         old = [b.batch for b in small]
         name = f"m{uuid.uuid4().hex}"
         found = {table: self._rows_of(table, old) for table in self.row_tables}
@@ -255,7 +254,7 @@ class SalesIntake:
             if rows is not None:
                 self._write(rows, table, name)
         merged = Batch(
-            name, small[0].level + 1, sum(b.sale_keys for b in small), sum(b.reject_keys for b in small)
+            name, level, sum(b.sale_keys for b in small), sum(b.reject_keys for b in small)
         )
         self._write_sketches(
             found[self.choices_table], found[self.rejects_table], name, merged.sale_keys, merged.reject_keys
