@@ -5,18 +5,19 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillmart.functions.masking import mask_columns
-from tillmart.operators.days import on_days
+from tillmart.operators.days import MONTH_COLUMN, Days, on_days, with_month
 from tillmart.operators.documents import document_json, requested_documents, sale_documents
 from tillmart.operators.lines import sold_by_product
 from tillmart.operators.lookup import header_lookup, items_lookup
 from tillmart.operators.versions import current_rows
 from tillmart.plans import export, marts, worksheets
+from tillmart.plans.cube import Cube, write_cube
 from tillmart.plans.ingest import TableConfig, reconcile_rows, run_ingest
 from tillmart.plans.log_report import load_log, log_report
 from tillmart.schemas import HEADER_COLUMNS, SALES_FULL_COLUMNS, WIDE_MONEY
@@ -708,15 +709,50 @@ def bi_captions(spark: SparkSession, folder: str) -> DataFrame:
     return worksheets.captioned(bi_product_performance(spark, folder))
 
 
+def _cube(spark: SparkSession, folder: str) -> Cube:
+    target = _scratch(spark, "cube")
+    write_cube(_sales_full(spark, folder), target)
+    return Cube.read(target)
+
+
+# Selections of a viewer: the chosen days, the first half of a year, and none.
+SELECTIONS = {
+    "days": SELECTED_DAYS,
+    "half year": [date(1997, 1, 1) + timedelta(days=n) for n in range(181)],
+    "all": None,
+}
+
+
+def _selected(sheet: Callable[[Days], DataFrame]) -> DataFrame:
+    parts = [sheet(days).withColumn("selection", F.lit(name)) for name, days in SELECTIONS.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def bi_cube_kpis(spark: SparkSession, folder: str) -> DataFrame:
+    """KPIs of three selections from the cube, distinct counts included."""
+    return _selected(_cube(spark, folder).kpis)
+
+
+def bi_cube_performance(spark: SparkSession, folder: str) -> DataFrame:
+    return _selected(_cube(spark, folder).product_performance)
+
+
+def bi_dashboard_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """All sheets of the dashboard under a selection, from the cube."""
+    return _dashboard_rows(_cube(spark, folder).dashboard(SELECTED_DAYS))
+
+
 def bi_dashboard_filtered(spark: SparkSession, folder: str) -> DataFrame:
     """All sheets of the dashboard under a selection, as sheet, labels, measure, value.
 
     The mart is written once, and all sheets read the stored table.
     """
-    target = _scratch(spark, "dashboard")
-    by_month = replace(marts.SALES_FULL, by_month=True)
-    marts.run_datamarts(spark, _staged(spark, folder), target, [by_month])
-    sheets = worksheets.dashboard(target.read(by_month.target_table), SELECTED_DAYS)
+    target, table = _scratch(spark, "dashboard"), marts.SALES_FULL.target_table
+    target.write(with_month(_sales_full(spark, folder)), table, "overwrite", [MONTH_COLUMN])
+    return _dashboard_rows(worksheets.dashboard(target.read(table), SELECTED_DAYS))
+
+
+def _dashboard_rows(sheets: dict[str, DataFrame]) -> DataFrame:
     labels = {
         "KPIs": [],
         "Product Performance": ["product_name", "source"],
@@ -835,6 +871,9 @@ def sales_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bi_day_filter_frame": bi_day_filter_frame,
         "bi_captions": bi_captions,
         "bi_dashboard_filtered": bi_dashboard_filtered,
+        "bi_dashboard_cube": bi_dashboard_cube,
+        "bi_cube_kpis": bi_cube_kpis,
+        "bi_cube_performance": bi_cube_performance,
     }
 
 
@@ -927,6 +966,12 @@ _TREND = f"""
             SELECT cast(date_trunc('month', transaction_date) AS timestamp) AS month,
                    cast(sum(total_amount) AS decimal(38,2)) AS monthly_sales
             FROM sales GROUP BY 1 ORDER BY 1"""
+_SELECTED = f"""
+selected AS (
+  SELECT 'all' AS selection, * FROM sales_full
+  UNION ALL SELECT 'days', * FROM sales_full WHERE cast(transaction_date AS date) IN ({_DAYS})
+  UNION ALL SELECT 'half year', * FROM sales_full
+  WHERE cast(transaction_date AS date) BETWEEN DATE '1997-01-01' AND DATE '1997-06-30')"""
 _CHOSEN = f"""
             WITH {_FULL}
             SELECT * FROM sales_full WHERE cast(transaction_date AS date) IN ({_DAYS})"""
@@ -948,6 +993,7 @@ def sales_sql() -> dict[str, str]:
         | {f"dm_sql_{name}": sql[f"dm_{name}"] for name in names}
         | {f"dm_shared_{name}": sql[f"dm_{name}"] for name in over_headers}
         | {"stream_intake_merged": sql["payload_documents"]}
+        | {"bi_dashboard_cube": sql["bi_dashboard_filtered"]}
         | {"dm_stamps": " UNION ALL ".join(counts)}
     )
 
@@ -1147,6 +1193,12 @@ def _sales_sql() -> dict[str, str]:
                 WHEN 1 THEN '"say \"' || p_name || '\""' WHEN 2 THEN '"' || p_name || ', vol. 2"'
                 WHEN 3 THEN '""' WHEN 4 THEN '"\""' WHEN 6 THEN '' ELSE p_name END
               || ',' || p_partkey % 7 AS line FROM part""",
+        "bi_cube_kpis": f"""
+            WITH {_FULL}, {_SELECTED}
+            SELECT selection, {_KPIS} FROM selected GROUP BY selection""",
+        "bi_cube_performance": f"""
+            WITH {_FULL}, {_SELECTED}
+            SELECT selection, product_name, source, {_KPIS} FROM selected GROUP BY ALL""",
         "bi_product_performance_positions": f"""
             WITH {_FULL}, cells AS (
               SELECT product_name, source, {_KPIS} FROM sales_full GROUP BY product_name, source),
