@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+from fractions import Fraction
 from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tillmart.llm import embedding_links, graph, line_dedup, ngram_join, vector_search
 
@@ -309,21 +311,26 @@ def searched(spark, rows, k=10):
     schema = "vec_id long, embedding array<double>, vector int, query string"
     given = spark.createDataFrame([(*r, 1, "x") for r in rows], schema)
     found = vector_search.top_k(given, given["vec_id"] % 7 == 0, k)
-    return sorted((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect())
+    return sorted(((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()), key=str)
 
 
 def brute_search(rows, k=10):
-    whole = {n: [int(np.floor(1024 * x)) for x in v] for n, v in rows}
+    """Every row is a query and a candidate of its own; rows without an id or of bad values are none."""
+    whole = []
+    for key, vector in rows:
+        if key is not None and vector and all(x is not None and np.isfinite(x) for x in vector):
+            whole.append((key, [int(np.floor(Fraction(x) * 1024)) for x in vector]))
     wanted = []
-    for query, q in whole.items():
+    for at, (query, q) in enumerate(whole):
         if query % 7 == 0:
             scores = sorted(
                 (-sum(x * y for x, y in zip(q, v)), n)
-                for n, v in whole.items()
-                if n != query and len(v) == len(q)
+                for other, (n, v) in enumerate(whole)
+                if other != at and len(v) == len(q)
             )
-            wanted += [(query, r, n, -s) for r, (s, n) in enumerate(scores[:k], 1)]
-    return sorted(wanted)
+            fits = [(n, -s if -(1 << 63) <= -s < 1 << 63 else None) for s, n in scores[:k]]
+            wanted += [(query, r, n, s) for r, (n, s) in enumerate(fits, 1)]
+    return sorted(wanted, key=str)
 
 
 @pytest.mark.parametrize("blocks", [(512, 8192), (4, 16)])
@@ -338,12 +345,49 @@ def test_top_k(spark, monkeypatch, blocks):
 def test_few_candidates_and_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, -2.5]), (1, [0.3, 0.1]), (7, [1.0, 2.0, 3.0]), (14, [0.0, 0.0])]
-    odd = [(2, None), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (6, []), (None, [1.0, 1.0]),
-           (8, [1e300, 1.0])]
-    assert searched(spark, rows + odd + rows) == brute_search(rows)
+    odd = [(2, None), (3, [nan, 1.0]), (4, [inf, 1.0]), (5, [None, 1.0]), (6, []), (None, [1.0, 1.0])]
+    assert searched(spark, rows + odd) == brute_search(rows)
     assert searched(spark, []) == []
 
 
+def test_repeated_rows_are_rows(spark):
+    rows = [(0, [1.0, -2.5]), (1, [0.3, 0.1]), (1, [0.3, 0.1]), (0, [1.0, -2.5]), (2, [2.0, 2.0]), (7, [1.0, 1.0])]
+    found = searched(spark, rows)
+    assert found == brute_search(rows)
+    assert sum(r[0] == 7 and r[2] == 1 for r in found) == 2  # both rows of the vector
+    assert sum(r[0] == r[2] == 0 for r in found) == 2  # each query row has the other as candidate
+    many = rows + [(n + 10, [1.0, 1.0]) for n in range(40)] + [(5, [1.0, 1.0])] * 40
+    assert searched(spark, many) == brute_search(many)
+
+
+@pytest.mark.parametrize("size", [4e6, 1e13, 1e20, 3e38, 1e200, 1.7e308])
+def test_large_finite_components_take_part(spark, size):
+    draw = np.random.default_rng(int(np.log10(size)))
+    rows = [(n, (draw.standard_normal(5) * 3).tolist()) for n in range(40)]
+    rows += [(n + 100, [size, -size / 3, 1.0, 0.0, float(n)]) for n in range(15)]
+    rows += [(n + 200, [-size / 2, 0.5, size / 7, 0.0, float(n)]) for n in range(15)]
+    assert searched(spark, rows) == brute_search(rows)
+
+
+def test_sort_texts_sort_as_integers():
+    given = [0, -1, 1, 9, 10, -9, -10, 99, -99, 1 << 63, -(1 << 63), 10**300, -(10**300), 10**300 + 1]
+    assert sorted(given) == sorted(given, key=vector_search.sort_text)
+
+
+def test_more_blocks_leave_no_more_candidates(spark, monkeypatch):
+    draw = np.random.default_rng(4)
+    rows = [(n, draw.standard_normal(16).tolist(), n % 100 == 0) for n in range(3000)]
+    given = spark.createDataFrame(rows, "vec_id long, vector array<double>, is_query boolean")
+    given = given.withColumns({"content": F.xxhash64("vector"), "vkey": F.col("vec_id")})
+    counts = {}
+    for size in (3000, 150):
+        monkeypatch.setattr(vector_search, "VECTOR_BLOCK", size)
+        bounds = vector_search._candidates(given, 3000, 30, 10).cache()
+        counts[size] = (bounds.count(), vector_search.possible(bounds, 10).count())
+    assert counts[150][0] > 3 * counts[3000][0]
+    assert counts[150][1] <= 1.05 * counts[3000][1]
+
+
 def test_bounds_hold():
     draw = np.random.default_rng(1)
     values = draw.integers(-2000, 2000, (50, 16)).astype(float)

@@ -2,14 +2,16 @@
 
 Every vector is also kept as an approximation: one byte per component that names the cell of
 a grid the component lies in. A scan of the approximations, in tiles of query blocks and
-vector blocks, gives bounds of each score; the k-th best lower bound of a tile rules out all
-vectors whose upper bound is below it. Exact vectors are then read in the order of their
-upper bounds: first the k best, then all others that could still reach the k-th exact score.
+vector blocks, gives bounds of each score; the k-th best lower bound of a tile, and then that of
+all tiles, rules out all vectors whose upper bound is below it. Exact vectors are then read in
+the order of their upper bounds: first the k best, then all others that could still reach the
+k-th exact score.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,39 +23,53 @@ from pyspark.sql import functions as F
 
 from tillmart.llm.common import numbers, passing_tables, whole_groups, written
 from tillmart.llm.embedding_links import _lists
+from tillmart.llm.whitening import usable
 
 CELLS = 256
 SCALE = 1024
 QUERY_BLOCK = 512
 VECTOR_BLOCK = 8192
 
-# Integers beyond this could not be told apart as doubles.
-LARGEST = float(1 << 53)
+# Sums below this are exact in doubles.
+EXACT = float(1 << 53)
+LONG = 1 << 63
 
 BOUNDS = "qkey long, vkey long, vec_id long, most double, least double"
+SCORES = "qkey long, query_id long, vkey long, vec_id long, score long, sorted string, near double"
 
 
-def integers(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of each component, x as double; null for a vector to be left out."""
-    scaled = F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
-    bad = F.exists(
-        vector,
-        lambda x: x.isNull()
-        | F.isnan(x)
-        | (F.abs(x.cast("double") * F.lit(float(scale))) >= F.lit(LARGEST)),
-    )
-    return F.when(F.coalesce(~bad & (F.size(vector) > 0), F.lit(False)), scaled)
+def scaled(values: np.ndarray) -> np.ndarray:
+    """floor(1024 x) of doubles, which doubles hold exactly; infinite beyond their range."""
+    with np.errstate(over="ignore"):
+        return np.floor(values.astype(np.float64) * SCALE)
+
+
+def exact_integer(x: float) -> int:
+    """floor(1024 x) of any finite x."""
+    return math.floor(x * SCALE) if abs(x) < EXACT else int(x) * SCALE
+
+
+def sort_text(score: int) -> str:
+    """A text that sorts as the integer does, of whatever size."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):05d}{digits}"
+    turned = digits.translate(str.maketrans("0123456789", "9876543210"))
+    return f"0{99_999 - len(digits):05d}{turned}"
 
 
 def _quantise_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Adds to each vector its cells, and the grid they belong to."""
     for batch in batches:
-        values, lengths = _lists(batch.column(batch.schema.get_field_index("vector")))
+        given, lengths = _lists(batch.column(batch.schema.get_field_index("vector")))
         first = np.concatenate([[0], np.cumsum(lengths)])
-        largest = np.maximum.reduceat(np.abs(values.astype(np.float64)), first[:-1])
-        step = (2 * largest + 1) / CELLS
-        cells = np.floor((values + np.repeat(largest, lengths)) / np.repeat(step, lengths))
-        cells = np.clip(cells, 0, CELLS - 1).astype(np.uint8)
+        values = scaled(given)
+        largest = np.maximum.reduceat(np.abs(values), first[:-1])
+        with np.errstate(over="ignore", invalid="ignore"):
+            step = (2 * largest + 1) / CELLS
+            cells = np.floor((values + np.repeat(largest, lengths)) / np.repeat(step, lengths))
+        # Beyond the range of doubles the cells say nothing, and neither do the bounds.
+        cells = np.clip(np.nan_to_num(cells), 0, CELLS - 1).astype(np.uint8)
         data = [cells[a:b].tobytes() for a, b in zip(first[:-1], first[1:])]
         yield pa.RecordBatch.from_arrays(
             [
@@ -82,9 +98,9 @@ def _bounds_task(batches: Iterable[pa.RecordBatch], k: int) -> Iterator[pa.Recor
 
 
 def _distinct_best(stored: pa.Table, k: int) -> pa.Table:
-    """Of equal vectors only the k + 1 smallest ids: no other can be in a result."""
+    """Of equal vectors only the rows of the k + 1 smallest ids: no other can be in a result."""
     ids, content = numbers(stored["vec_id"]), numbers(stored["content"])
-    order = np.lexsort((ids, content))
+    order = np.lexsort((numbers(stored["vkey"]), ids, content))
     new = np.concatenate([[True], content[order][1:] != content[order][:-1]])
     start = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
     return stored.take(pa.array(order[np.arange(len(order)) - start <= k]))
@@ -92,17 +108,19 @@ def _distinct_best(stored: pa.Table, k: int) -> pa.Table:
 
 def _tile_bounds(asked: pa.Table, stored: pa.Table, k: int) -> pa.RecordBatch:
     values, lengths = _lists(asked["query"])
-    queries = values.reshape(len(lengths), -1).astype(np.float64)
+    queries = scaled(values).reshape(len(lengths), -1)
     data = b"".join(stored["cells"].to_pylist())
     cells = np.frombuffer(data, np.uint8).reshape(stored.num_rows, -1).astype(np.float64)
     step, largest = numbers(stored["step"]), numbers(stored["largest"])
-    size = np.abs(queries).sum(axis=1)[:, None]
-    middle = (queries @ cells.T) * step + queries.sum(axis=1)[:, None] * (step / 2 - largest)
-    # Half a cell in each component, and what rounding of doubles may add.
-    slack = size * (step / 2 + 1e-12 * queries.shape[1] * (largest + step))
-    own = numbers(asked["vec_id"])[:, None] == numbers(stored["vec_id"])[None, :]
-    least = np.where(own, -np.inf, middle - slack)
-    most = np.where(own, -np.inf, middle + slack)
+    with np.errstate(over="ignore", invalid="ignore"):
+        size = np.abs(queries).sum(axis=1)[:, None]
+        middle = (queries @ cells.T) * step + queries.sum(axis=1)[:, None] * (step / 2 - largest)
+        # Half a cell in each component, and what rounding of doubles may add.
+        slack = size * (step / 2 + 1e-12 * queries.shape[1] * (largest + step))
+        known = np.isfinite(middle) & np.isfinite(slack)
+        own = numbers(asked["vkey"])[:, None] == numbers(stored["vkey"])[None, :]
+        least = np.where(own | ~known, -np.inf, middle - slack)
+        most = np.where(own, -np.inf, np.where(known, middle + slack, np.inf))
     if stored.num_rows > k:
         kth = -np.partition(-least, k - 1, axis=1)[:, k - 1 : k]
     else:
@@ -117,6 +135,38 @@ def _tile_bounds(asked: pa.Table, stored: pa.Table, k: int) -> pa.RecordBatch:
     )
 
 
+def _scores_task(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Exact scores of pairs: in doubles where these hold every sum, else in Python's integers."""
+    for batch in batches:
+        queries, lengths = _lists(batch.column(4))
+        vectors, _ = _lists(batch.column(5))
+        first = np.concatenate([[0], np.cumsum(lengths)])
+        a, b = scaled(queries), scaled(vectors)
+        with np.errstate(over="ignore", invalid="ignore"):
+            sums = np.add.reduceat(np.abs(a) * np.abs(b), first[:-1])
+            plain = np.add.reduceat(a * b, first[:-1])
+        scores = [
+            int(total)
+            if bound < EXACT
+            else sum(
+                exact_integer(x) * exact_integer(y)
+                for x, y in zip(queries[low:high].tolist(), vectors[low:high].tolist())
+            )
+            for total, bound, low, high in zip(plain, sums, first[:-1], first[1:])
+        ]
+        # Beyond the range of doubles a lower bound.
+        near = [float(s) if abs(s) < 1 << 1000 else 1e300 if s > 0 else -math.inf for s in scores]
+        yield pa.RecordBatch.from_arrays(
+            [
+                *batch.columns[:4],
+                pa.array([s if -LONG <= s < LONG else None for s in scores], pa.int64()),
+                pa.array([sort_text(s) for s in scores]),
+                pa.array(near),
+            ],
+            ["qkey", "query_id", "vkey", "vec_id", "score", "sorted", "near"],
+        )
+
+
 def top_k(
     vectors: DataFrame,
     queries: Column,
@@ -127,49 +177,50 @@ def top_k(
     """query_id, rank, vec_id, score: the k best of all vectors for each row `queries` picks.
 
     The score is the inner product of the vectors' integers, floor(1024 x); ties go to the
-    smaller vec_id. Rows with the query's own id are no candidates; with fewer than k
-    candidates all are returned. Rows with a null id, and vectors that are null, empty or have
-    a component that is null, not finite or beyond 2**43, take no part. Vectors of another
-    length than the query are no candidates. A row repeated with the same id and vector counts
-    once; an id with two vectors is two candidates, and two queries. Other columns are not
-    read; an empty table gives no rows.
+    smaller vec_id. All rows but the query's own are candidates, with fewer than k all are
+    returned. Every row counts, a repeated one as well: an id in two rows is two candidates, and
+    two queries. Rows with a null id, and vectors that are null, empty or have a component that
+    is null or not finite, take no part. Vectors of another length than the query are no
+    candidates. Ranks are exact whatever the size of the components; a score that does not fit
+    a long is null. Other columns are not read; an empty table gives no rows.
     """
     rows = (
         vectors.select(
             F.col(id_col).cast("long").alias("vec_id"),
-            integers(F.col(vector_col)).alias("vector"),
+            F.col(vector_col).cast("array<double>").alias("vector"),
             F.coalesce(queries, F.lit(False)).alias("is_query"),
         )
-        .filter("vec_id IS NOT NULL AND vector IS NOT NULL")
+        .filter(F.col("vec_id").isNotNull() & usable(F.col("vector")))
         .withColumn("content", F.xxhash64("vector"))
-        .withColumn("vkey", F.xxhash64("vec_id", "content"))
-        .dropDuplicates(["vkey"])
+        .withColumn("vkey", F.monotonically_increasing_id())
     )
     with passing_tables(vectors.sparkSession):
-        return written(_best(written(rows, "integers"), k), "top-k", keep=True)
+        # Written, so that a row keeps its number.
+        return written(_best(written(rows, "vectors"), k), "top-k", keep=True)
 
 
 def _best(rows: DataFrame, k: int) -> DataFrame:
     counts = rows.agg(F.count(F.lit(1)), F.count_if("is_query")).first()
     n_vectors, n_queries = int(counts[0]), int(counts[1])
-    candidates = written(_candidates(rows, n_vectors, n_queries, k), "bounds")
+    bounds = written(_candidates(rows, n_vectors, n_queries, k), "bounds")
+    candidates = possible(bounds, k)
     exact = rows.select("vkey", F.col("vector"))
     asked = rows.filter("is_query").select(
         F.col("vkey").alias("qkey"), F.col("vec_id").alias("query_id"), F.col("vector").alias("query")
     )
 
     def scored(chosen: DataFrame) -> DataFrame:
-        products = F.zip_with("query", "vector", lambda x, y: x * y)
-        score = F.aggregate(products, F.lit(0).cast("long"), lambda total, x: total + x)
         read = chosen.join(exact, "vkey").join(asked, "qkey")
-        return read.select("qkey", "query_id", "vec_id", score.alias("score"))
+        pairs = read.select("qkey", "query_id", "vkey", "vec_id", "query", "vector")
+        return pairs.mapInArrow(_scores_task, SCORES)
 
     by_bound = Over.partitionBy("qkey").orderBy(F.desc("most"), "vec_id", "vkey")
     ordered = written(candidates.withColumn("place", F.row_number().over(by_bound)), "order")
     first = written(scored(ordered.filter(F.col("place") <= k)), "first-read")
-    certain = first.groupBy("qkey").agg(F.min("score").alias("kth"))
+    # What rounding may have added to the least of the first scores is taken off.
+    certain = first.groupBy("qkey").agg(F.min(F.col("near") - F.abs("near") * 1e-14).alias("kth"))
     rest = ordered.filter(F.col("place") > k).join(certain, "qkey").filter("most >= kth")
-    best = Over.partitionBy("qkey").orderBy(F.desc("score"), "vec_id")
+    best = Over.partitionBy("qkey").orderBy(F.desc("sorted"), "vec_id", "vkey")
     return (
         first.unionByName(scored(rest.drop("kth")))
         .withColumn("rank", F.row_number().over(best))
@@ -178,6 +229,21 @@ def _best(rows: DataFrame, k: int) -> DataFrame:
     )
 
 
+def possible(bounds: DataFrame, k: int) -> DataFrame:
+    """The candidates of which the upper bound reaches the k-th best lower bound of all tiles.
+
+    Tasks keep the k best lower bounds of a query before they are shuffled.
+    """
+    best = Over.partitionBy("qkey").orderBy(F.desc("least"))
+    top = bounds.select("qkey", "least").withColumn("place", F.row_number().over(best))
+    kth = top.filter(F.col("place") <= k).groupBy("qkey").agg(
+        F.count(F.lit(1)).alias("held"), F.min("least").alias("kth")
+    )
+    kth = kth.filter(F.col("held") == k).select("qkey", "kth")
+    met = bounds.join(kth, "qkey", "left")
+    return met.filter("kth IS NULL OR most >= kth").drop("kth")
+
+
 def _upto(count: int) -> Column:
     return F.sequence(F.lit(0).cast("long"), F.lit(count - 1).cast("long"))
 
@@ -196,7 +262,7 @@ def _candidates(rows: DataFrame, n_vectors: int, n_queries: int, k: int) -> Data
     vector_block = F.pmod(F.xxhash64("vkey"), F.lit(vector_blocks))
     stored = approximations.select(
         F.lit(False).alias("is_query"), "vec_id", "vkey", "content", "cells", "largest", "step",
-        F.lit(None).cast("array<long>").alias("query"), "dimension", vector_block.alias("vblock"),
+        F.lit(None).cast("array<double>").alias("query"), "dimension", vector_block.alias("vblock"),
         F.explode(_upto(query_blocks)).alias("qblock"),
     )
     asked = rows.filter("is_query").select(
@@ -221,15 +287,17 @@ def _candidates(rows: DataFrame, n_vectors: int, n_queries: int, k: int) -> Data
 # The result of `op9_vector_search`, from all pairs.
 SQL_TEXT = """
     WITH usable AS (
-      SELECT vec_id, list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)) AS v
+      SELECT vec_id, row_number() OVER () AS place,
+        list_transform(embedding::DOUBLE[], lambda x: floor(1024 * x)) AS v
       FROM embeddings
       WHERE vec_id IS NOT NULL AND len(embedding) > 0
         AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
     scores AS (
-      SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
-      FROM usable q JOIN usable c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+      SELECT q.vec_id AS query_id, q.place AS asked, c.vec_id, c.place AS given,
+        list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM usable q JOIN usable c ON q.place <> c.place AND len(q.v) = len(c.v)
       WHERE q.vec_id % 100 = 0),
     ranked AS (
-      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+      SELECT *, row_number() OVER (PARTITION BY asked ORDER BY score DESC, vec_id, given) AS rank_no
       FROM scores)
-    SELECT query_id, place::INT AS rank, vec_id, score FROM ranked WHERE place <= 10"""
+    SELECT query_id, rank_no::INT AS rank, vec_id, score FROM ranked WHERE rank_no <= 10"""
