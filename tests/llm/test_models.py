@@ -193,15 +193,11 @@ def test_words_around_tell_words_of_one_class_apart(spark):
     x, y = (rarer[n] for n in np.flatnonzero(shared == shared[0])[:2])
     draw, texts = random.Random(5), []
     for _ in range(2000):
-        text = draw.choices(common, k=30) + [draw.choice(rarer)]
+        text = draw.choices(common, k=60) + [draw.choice(rarer)]
         texts.append(" ".join([*text, common[0], x, common[0], *text[::-1], common[1], y, common[1]]))
     given = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
     words = pseudo_likelihood.vocabulary(given)
-    # Were they classes of their own, the classes would tell them apart.
-    words.classes[:] = np.where(np.isin(words.hashes, hashes([x, y])), shared[0], words.classes)
-    leaves = np.zeros(pseudo_likelihood.SHARED_CLASSES << pseudo_likelihood.DEPTH)
-    np.add.at(leaves, (hashes([x, y, *rarer]) % np.uint64(len(leaves))).astype(int), 1.0)
-    words.odds = pseudo_likelihood.fork_odds(leaves)
+    assert set(words.look_up(hashes([x, y]))[1]) == {shared[0]}
     network = pseudo_likelihood.train(given, words)
     tried = [f"{common[0]} {x} {common[0]}", f"{common[0]} {y} {common[0]}",
              f"{common[1]} {x} {common[1]}", f"{common[1]} {y} {common[1]}"]
@@ -209,6 +205,50 @@ def test_words_around_tell_words_of_one_class_apart(spark):
     assert (ax - ay) - (bx - by) > 2
 
 
+def test_huffman_paths():
+    draw = np.random.default_rng(3)
+    counts = draw.integers(1, 1000, 500).astype(float) ** 2
+    classes = pseudo_likelihood.OWN_CLASSES + draw.integers(0, 2, 500)
+    classes[:5] = np.arange(5)
+    rest = np.zeros(pseudo_likelihood.SHARED_CLASSES)
+    rest[:2] = 12_345.0, 0.0
+    paths = pseudo_likelihood.fork_paths(classes, counts, rest)
+    forks = paths.forks(np.arange(500 + 2))
+    sides = np.where(forks.bits, 1, -1) * forks.odds
+    found = dict(zip(forks.places, np.add.reduceat(-np.log1p(np.exp(-sides)), forks.first[:-1])))
+    assert not set(found) & set(range(5))
+    for number in (0, 1):
+        members = np.flatnonzero(classes == pseudo_likelihood.OWN_CLASSES + number)
+        weights = dict(zip(members, counts[members])) | ({500: rest[0]} if number == 0 else {})
+        total = sum(weights.values())
+        for leaf, weight in weights.items():
+            assert abs(found[leaf] - np.log(weight / total)) < 1e-4
+        lengths = dict(zip(forks.places, np.diff(forks.first)))
+        mean = sum(lengths[k] * w for k, w in weights.items()) / total
+        entropy = -sum(w / total * np.log2(w / total) for w in weights.values())
+        assert entropy <= mean < entropy + 1
+
+
+def test_forks_below_the_heaviest_are_left_to_the_counts(monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "FORK_ROWS", 10)
+    counts = np.arange(1.0, 201)
+    classes = np.full(200, pseudo_likelihood.OWN_CLASSES)
+    paths = pseudo_likelihood.fork_paths(classes, counts, np.zeros(pseudo_likelihood.SHARED_CLASSES))
+    assert len(paths.odds) == 10 and paths.rows.max() == 9
+    assert np.diff(paths.first).max() < 10 and np.isfinite(paths.odds).all()
+
+
+def test_scores_do_not_depend_on_how_rows_are_stored(spark, monkeypatch):
+    monkeypatch.setattr(pseudo_likelihood, "SHARD_WORDS", 4000)
+    texts = texts_with_order(random.Random(4), 200)
+    given = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = []
+    for rows in (given.coalesce(1), given.repartition(16), given.orderBy("text").coalesce(2)):
+        scored = pseudo_likelihood.score_documents(rows).collect()
+        found.append([r.log_likelihood for r in sorted(scored, key=lambda r: r.doc_id)])
+    assert np.allclose(found[0], found[1], rtol=1e-5) and np.allclose(found[0], found[2], rtol=1e-5)
+
+
 def test_chances_inside_a_class_sum_to_one_in_any_context(spark):
     names = ["".join(random.Random(n).choices("abcdefghij", k=6)) for n in range(500)]
     text = " ".join(" ".join([name] * (1 + n % 7)) for n, name in enumerate(names))
@@ -216,9 +256,9 @@ def test_chances_inside_a_class_sum_to_one_in_any_context(spark):
     network = pseudo_likelihood.Network.start(words.log_classes)
     network.forks[:] = np.random.default_rng(1).standard_normal(network.forks.shape)
     found = hashes(sorted(set(names)))
-    _, classes, logs = words.look_up(found)
+    _, classes, logs, leaves = words.known(found)
     around = np.full((len(found), 4), 3)
-    forks = words.forks(found, classes)
+    forks = words.paths.forks(leaves)
     inside = network.log_chances(around, classes, forks) - network.log_chances(around, classes)
     assert np.abs(inside).max() > 0.5
     sums = np.bincount(classes, np.exp(logs + inside), pseudo_likelihood.CLASSES)
@@ -226,7 +266,7 @@ def test_chances_inside_a_class_sum_to_one_in_any_context(spark):
     total = pseudo_likelihood.score(words, network, [names[300]])[1][0]
     edge = np.full((1, 4), pseudo_likelihood.EDGE_INPUT)
     one = found == hashes([names[300]])
-    alone = network.log_chances(edge, classes[one], words.forks(found[one], classes[one])) + logs[one]
+    alone = network.log_chances(edge, classes[one], words.paths.forks(leaves[one])) + logs[one]
     assert abs(total - alone[0]) < 1e-4
 
 

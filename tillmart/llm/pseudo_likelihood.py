@@ -3,20 +3,22 @@
 A small network reads the words on both sides of a place, WINDOW on each side, and predicts
 the word at the place: P(word) = P(class | words around) * P(word | class, words around). The
 most frequent words are classes of their own, all others share classes by hash. Inside a class
-the bits of the hash lead down a binary tree, and the network moves the odds at each of DEPTH
-forks, which counts of the whole corpus give, by what it sees around. Words that no fork tells
-apart share their leaf by their counts. A document's score is the sum of the log probabilities
-of all its words.
-
-Counts of words come from all documents. The network is trained in numpy by every task on its
-own documents, from the weights of the round before, and the rounds' weights are averages
-over the tasks, weighted by the words they saw: what is gathered grows with the input. Every
-word of every document is predicted once in training.
+a Huffman tree over the counts leads to the word, so frequent words come through few forks; the
+network moves the odds at the FORK_ROWS heaviest forks, which counts of the whole corpus give, by
+what it sees around. Below them, and for words that no task holds, the counts alone tell words
+apart. A document's score is the sum of the log probabilities of all its words.
+
+Counts of words come from all documents. The network is trained in numpy on shards of the
+documents, to which these are dealt by hash, however they were stored; each shard starts from
+the weights of the round before, and a round's weights are averages over the shards, weighted by
+the words they saw: what is gathered grows with the input. Every word of every document is
+predicted once in training.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
@@ -34,18 +36,16 @@ HIDDEN = 16
 OWN_CLASSES = 48
 SHARED_CLASSES = 16
 CLASSES = OWN_CLASSES + SHARED_CLASSES
-# Forks from a shared class to a leaf; those near the root have weights of their own, deeper
-# ones share them by hash.
-DEPTH = 16
-OWN_FORKS = 1024
-SHARED_FORKS = 16_384
-FORK_ROWS = SHARED_CLASSES * OWN_FORKS + SHARED_FORKS
+# Forks with weights, the heaviest of all trees.
+FORK_ROWS = 32_768
 INPUTS = 4096
 ROUNDS = 2
+# Words that a shard has, about, in each round; the number of shards grows with the corpus.
+SHARD_WORDS = 2_500_000
 # Every STRIDE-th window of every document is a training example; one leaves none out.
 STRIDE = 1
-RATE = 0.1
-EXAMPLES = 256
+RATE = 0.2
+EXAMPLES = 2048
 SEED = 7
 
 COLUMNS = ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"]
@@ -61,8 +61,6 @@ class Vocabulary:
 
     Where a class has words that are not held here, their log P(word | class) is NaN; the
     table of all counts tells it by `totals`, the counts of the classes.
-    `odds` holds, for each fork of the trees, the log of how much more often words take the
-    branch of the bit 1 than the other, or NaN where no word or all words take the same.
     """
 
     hashes: np.ndarray
@@ -71,70 +69,141 @@ class Vocabulary:
     log_in_class: np.ndarray
     rest_log_in_class: np.ndarray
     log_classes: np.ndarray
-    odds: np.ndarray
+    paths: Paths
     totals: np.ndarray
 
     def look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Input row, class and log P(word | class) of each word hash."""
+        return self.known(found)[:3]
+
+    def known(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """As `look_up`, and the leaf of each word. Words that are not held lie in one leaf of
+        their class."""
         codes, keys = pd.factorize(found)
         at = np.searchsorted(self.hashes, keys)
         at = np.minimum(at, max(0, len(self.hashes) - 1))
         known = self.hashes[at] == keys if len(self.hashes) else np.zeros(len(keys), bool)
         classes = _shared_class(keys)
+        leaves = np.where(known, at, len(self.hashes) + classes - OWN_CLASSES)
         inputs = _shared_input(keys)
         logs = self.rest_log_in_class[classes]
         if known.any():
             classes[known] = self.classes[at[known]]
             inputs[known] = self.inputs[at[known]]
             logs[known] = self.log_in_class[at[known]]
-        return inputs[codes], classes[codes], logs[codes]
+        return inputs[codes], classes[codes], logs[codes], leaves[codes]
+
+
+@dataclass
+class Paths:
+    """The weighted forks from the root to each leaf, and the odds of each fork.
+
+    Leaves are the held words in order of their hashes, then the other words of each shared
+    class. `odds` is the log of how much more often words take the branch of the bit 1 than the
+    other.
+    """
+
+    first: np.ndarray
+    rows: np.ndarray
+    bits: np.ndarray
+    odds: np.ndarray
 
-    def forks(self, found: np.ndarray, classes: np.ndarray) -> Forks:
-        """The forks that words in shared classes come through."""
-        places = np.flatnonzero(classes >= OWN_CLASSES)
-        path = (found[places] // np.uint64(SHARED_CLASSES) % np.uint64(1 << DEPTH)).astype(np.int32)
-        levels = np.arange(DEPTH, dtype=np.int32)
-        nodes = (path[:, None] & ((1 << levels) - 1)) + (1 << levels)
-        nodes += ((classes[places] - OWN_CLASSES) << DEPTH).astype(np.int32)[:, None]
-        bits = (path[:, None] >> levels & 1).astype(bool)
-        return Forks(places, fork_rows().take(nodes), bits, self.odds.take(nodes))
+    def forks(self, leaves: np.ndarray) -> Forks:
+        start, count = self.first[leaves], self.first[leaves + 1] - self.first[leaves]
+        places = np.flatnonzero(count)
+        start, count = start[places], count[places]
+        first = np.concatenate([[0], np.cumsum(count)])
+        at = np.repeat(start - first[:-1], count) + np.arange(first[-1])
+        rows = self.rows.take(at)
+        return Forks(places, first, rows, self.bits.take(at), self.odds.take(rows))
 
 
 @dataclass
 class Forks:
-    """Numbers of words in order, and by level their rows of weights, the bits and the odds."""
+    """Numbers of words in order, where the forks of each begin, with the end, and by fork its
+    row of weights, the bit taken and the odds."""
 
     places: np.ndarray
+    first: np.ndarray
     rows: np.ndarray
     bits: np.ndarray
     odds: np.ndarray
 
     def of(self, low: int, high: int) -> Forks:
         """Those of the words from `low` to before `high`, whose numbers begin at 0."""
-        part = slice(*np.searchsorted(self.places, [low, high]))
-        return Forks(self.places[part] - low, self.rows[part], self.bits[part], self.odds[part])
+        a, b = np.searchsorted(self.places, [low, high])
+        part = slice(self.first[a], self.first[b])
+        first = self.first[a : b + 1] - self.first[a]
+        return Forks(self.places[a:b] - low, first, self.rows[part], self.bits[part], self.odds[part])
 
+    def owners(self) -> np.ndarray:
+        return np.repeat(self.places, np.diff(self.first))
 
-@functools.cache
-def fork_rows() -> np.ndarray:
-    """The row of weights of each fork."""
-    nodes = np.arange(SHARED_CLASSES << DEPTH)
-    tree, place = nodes >> DEPTH, nodes % (1 << DEPTH)
-    shared = SHARED_CLASSES * OWN_FORKS + W.mixed(nodes.astype(np.uint64)) % np.uint64(SHARED_FORKS)
-    return np.where(place < OWN_FORKS, tree * OWN_FORKS + place, shared).astype(np.uint16)
 
+def huffman(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each node of a Huffman tree its parent, whether it is the parent's second branch, and
+    its weight. Leaves come first, as given, then inner nodes; the last one is the root.
 
-def fork_odds(leaves: np.ndarray) -> np.ndarray:
-    """`odds` of a vocabulary from the counts of all leaves, those of words in own classes left out."""
-    below = leaves.reshape(1 << DEPTH, SHARED_CLASSES).T
-    odds = np.full((SHARED_CLASSES, 1 << DEPTH), np.nan, np.float32)
-    for level in reversed(range(DEPTH)):
-        halves = below.reshape(SHARED_CLASSES, 2, 1 << level)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            told = np.log(halves[:, 1] / halves[:, 0])
-        odds[:, 1 << level : 2 << level] = np.where(np.isfinite(told), told, np.nan)
-        below = halves.sum(axis=1)
-    return odds.ravel()
+    Leaves sorted by weight and inner nodes, which arise by weight, are two queues.
+    """
+    count = len(weights)
+    order = np.argsort(weights, kind="stable").tolist()
+    weight = weights.tolist() + [0.0] * (count - 1)
+    parent, second = [-1] * len(weight), [False] * len(weight)
+    leaf, inner = 0, count
+    for node in range(count, len(weight)):
+        for branch in (False, True):
+            if leaf < count and (inner >= node or weight[order[leaf]] <= weight[inner]):
+                taken, leaf = order[leaf], leaf + 1
+            else:
+                taken, inner = inner, inner + 1
+            parent[taken], second[taken] = node, branch
+            weight[node] += weight[taken]
+    return np.array(parent), np.array(second), np.array(weight)
+
+
+def fork_paths(classes: np.ndarray, counts: np.ndarray, rest: np.ndarray) -> Paths:
+    """The paths to all leaves, from classes and counts of held words, and the counts of the
+    other words of each shared class."""
+    leaves = len(classes) + SHARED_CLASSES
+    of_class = np.concatenate([classes, OWN_CLASSES + np.arange(SHARED_CLASSES)])
+    weights = np.concatenate([counts, rest])
+    # All trees in one numbering: leaves, then the inner nodes of one class after another.
+    parent, second, weight = np.full(leaves, -1), np.zeros(leaves, bool), weights
+    for number in range(OWN_CLASSES, CLASSES):
+        members = np.flatnonzero((of_class == number) & (weights > 0))
+        if len(members) < 2:
+            continue
+        up, branch, sums = huffman(weights[members])
+        ids = np.concatenate([members, len(parent) + np.arange(len(members) - 1)])
+        parent = np.concatenate([parent, np.full(len(members) - 1, -1)])
+        second = np.concatenate([second, np.zeros(len(members) - 1, bool)])
+        weight = np.concatenate([weight, sums[len(members) :]])
+        parent[ids] = np.where(up < 0, -1, ids[up])
+        second[ids] = branch
+    inner = np.arange(leaves, len(parent))
+    heaviest = inner[np.argsort(-weight[inner], kind="stable")[:FORK_ROWS]]
+    row = np.full(len(parent), -1)
+    row[heaviest] = np.arange(len(heaviest))
+    odds = np.zeros(max(1, len(heaviest)), np.float32)
+    for branch, sign in ((True, 1), (False, -1)):
+        children = np.flatnonzero((parent >= 0) & (second == branch))
+        told = children[row[parent[children]] >= 0]
+        odds[row[parent[told]]] += sign * np.log(weight[told])
+    found = []
+    at = np.arange(leaves)
+    leaf = at
+    while len(at):
+        up = parent[at]
+        inside = up >= 0
+        at, leaf, up = at[inside], leaf[inside], up[inside]
+        weighted = row[up] >= 0
+        found.append((leaf[weighted], row[up[weighted]], second[at[weighted]]))
+        at = up
+    owner, rows, bits = (np.concatenate(column) for column in zip(*found))
+    order = np.argsort(owner, kind="stable")
+    first = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=leaves))])
+    return Paths(first, rows[order].astype(np.uint16), bits[order], odds)
 
 
 # Frequent words whose counts every task holds, all others being joined, and input rows that
@@ -179,8 +248,7 @@ def _count_task(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def vocabulary(texts: DataFrame) -> Vocabulary:
-    """Counts over all texts. To the driver come MOST_WORDS words and a sum for each class and
-    each leaf."""
+    """Counts over all texts. To the driver come MOST_WORDS words and a sum for each class."""
     with passing_tables(texts.sparkSession):
         return _vocabulary(texts)[0]
 
@@ -210,18 +278,11 @@ def _vocabulary(texts: DataFrame) -> tuple[Vocabulary, DataFrame]:
         logs = np.log(n / totals[classes])
     rest_all = np.zeros(CLASSES)
     rest_all[OWN_CLASSES:] = np.where(rest > 0, np.nan, 0)
-    # Here too, the low bits of a signed and of an unsigned number are the same.
-    leaf = F.col("word").bitwiseAND(F.lit((SHARED_CLASSES << DEPTH) - 1)).cast("int")
-    by_leaf = counts.groupBy(leaf.alias("leaf")).agg(F.sum("n").alias("n")).toPandas()
-    leaves = np.zeros(SHARED_CLASSES << DEPTH)
-    leaves[by_leaf["leaf"].to_numpy(np.int64)] = by_leaf["n"]
-    own = (hashes[:OWN_CLASSES] % np.uint64(len(leaves))).astype(np.int64)
-    np.subtract.at(leaves, own, n[:OWN_CLASSES])
     order = np.argsort(hashes)
     shares = np.log((totals + 0.5) / (totals + 0.5).sum())
     held = Vocabulary(
         hashes[order], inputs[order], classes[order], logs[order], rest_all, shares,
-        fork_odds(leaves), totals,
+        fork_paths(classes[order], n[order], rest), totals,
     )
     return held, counts
 
@@ -270,10 +331,11 @@ class Network:
         return Network(*parts)
 
     def hidden(self, around: np.ndarray) -> np.ndarray:
-        total = np.tile(self.bias, (len(around), 1))
-        for place in range(2 * WINDOW):
-            total += self.rows.take(around[:, place], axis=0) * self.scales[place]
-        return np.tanh(total)
+        return self.hidden_from(self.rows.take(around, axis=0))
+
+    def hidden_from(self, read: np.ndarray) -> np.ndarray:
+        """The hidden units from the rows read at the places around."""
+        return np.tanh(np.einsum("nph,ph->nh", read, self.scales) + self.bias)
 
     def log_chances(
         self, around: np.ndarray, classes: np.ndarray, forks: Forks | None = None
@@ -284,19 +346,16 @@ class Network:
         scores = hidden @ self.out + self.out_bias
         scores -= scores.max(axis=1, keepdims=True)
         chosen = scores[np.arange(len(classes)), classes]
-        chosen = chosen - np.log(np.exp(scores).sum(axis=1))
+        chosen = chosen - np.log(np.exp(scores) @ np.ones(CLASSES, np.float32))
         if forks is not None and len(forks.places):
-            moved = forks.odds + self.moves(hidden, forks)[1]
+            moved = np.einsum("nh,nh->n", self.forks.take(forks.rows, axis=0), hidden.take(forks.owners(), axis=0))
+            moved += forks.odds
             sides = np.where(forks.bits, np.float32(-1), np.float32(1))
-            change = np.log((1 + np.exp(sides * forks.odds)) / (1 + np.exp(sides * moved)))
-            chosen[forks.places] += np.where(np.isnan(change), 0, change).sum(axis=1)
+            moved = np.clip(moved * sides, -60, 60)
+            change = np.log((1 + np.exp(sides * forks.odds)) / (1 + np.exp(moved)))
+            chosen[forks.places] += np.add.reduceat(change, forks.first[:-1])
         return chosen
 
-    def moves(self, hidden: np.ndarray, forks: Forks) -> tuple[np.ndarray, np.ndarray]:
-        """The weights of the forks, and what they add to the log odds of each."""
-        weights = self.forks.take(forks.rows, axis=0)
-        return weights, np.matmul(weights, hidden[forks.places][:, :, None])[:, :, 0]
-
 
 def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different row numbers in order, and the sum of the values of each."""
@@ -315,7 +374,8 @@ class Trainer:
 
     def step(self, around: np.ndarray, classes: np.ndarray, forks: Forks | None = None) -> None:
         net, count = self.network, len(classes)
-        hidden = net.hidden(around)
+        read = net.rows.take(around, axis=0)
+        hidden = net.hidden_from(read)
         scores = hidden @ net.out + net.out_bias
         scores -= scores.max(axis=1, keepdims=True)
         chances = np.exp(scores)
@@ -324,15 +384,15 @@ class Trainer:
         chances /= count
         back = chances @ net.out.T
         if forks is not None and len(forks.places):
-            weights, moves = net.moves(hidden, forks)
-            wrong = (1 / (1 + np.exp(-forks.odds - moves)) - forks.bits) / count
-            wrong[np.isnan(wrong)] = 0
-            back[forks.places] += np.matmul(wrong[:, None], weights)[:, 0]
-            by_level = wrong[:, :, None] * hidden[forks.places][:, None]
-            touched, by_fork = _sums(forks.rows.ravel(), by_level.reshape(-1, HIDDEN))
+            weights = net.forks.take(forks.rows, axis=0)
+            seen = hidden.take(forks.owners(), axis=0)
+            moves = np.einsum("nh,nh->n", weights, seen)
+            wrong = ((1 / (1 + np.exp(-forks.odds - moves)) - forks.bits) / count)[:, None]
+            back[forks.places] += np.add.reduceat(wrong * weights, forks.first[:-1])
+            touched, by_fork = _sums(forks.rows, wrong * seen)
             self._move("forks", by_fork, touched)
         back *= 1 - hidden * hidden
-        by_place = np.einsum("nh,nph->ph", back, net.rows.take(around, axis=0))
+        by_place = np.einsum("nh,nph->ph", back, read)
         touched, by_row = _sums(around.ravel(), (back[:, None] * net.scales).reshape(-1, HIDDEN))
         self._move("rows", by_row, touched)
         self._move("scales", by_place)
@@ -375,12 +435,11 @@ def _train_task(batches: Iterable[pd.DataFrame], shared, stride: int) -> Iterato
     seen = 0
     for batch in batches:
         for owners, found in _word_hashes([None if pd.isna(t) else t for t in batch["text"]]):
-            inputs, classes, _ = words.look_up(found)
+            inputs, classes, _, leaves = words.known(found)
             chosen = slice(seen % stride, None, stride)
-            around, classes, targets = windows(owners, inputs)[chosen], classes[chosen], found[chosen]
+            around, classes, leaves = windows(owners, inputs)[chosen], classes[chosen], leaves[chosen]
             for start in range(0, len(classes), FORKED):
-                part = slice(start, start + FORKED)
-                forks = words.forks(targets[part], classes[part])
+                forks = words.paths.forks(leaves[start : start + FORKED])
                 for low in range(start, min(start + FORKED, len(classes)), EXAMPLES):
                     step = slice(low, low + EXAMPLES)
                     through = forks.of(low - start, low - start + EXAMPLES)
@@ -418,14 +477,23 @@ WEIGHTS = "chunk int, weights array<double>, seen double"
 def train(
     texts: DataFrame, words: Vocabulary, rounds: int = ROUNDS, stride: int = STRIDE
 ) -> Network:
-    """Average the weights that tasks learn, round by round; each round reads its own share of
-    the texts, so each text is read once."""
+    """Average the weights that shards of the documents teach, round by round; each round reads
+    its own share of them, so each text is read once.
+
+    Rows go to rounds and shards by a hash of all columns of `texts`, and by it they are in order
+    in a shard: the weights do not depend on how the rows are stored. A column of ids beside the
+    text deals copies of a text to several shards.
+    """
     network = Network.start(words.log_classes)
+    shards = max(1, math.ceil(words.totals.sum() / rounds / SHARD_WORDS))
+    dealt = texts.withColumn("_dealt", F.xxhash64(*texts.columns))
     for turn in range(rounds):
         shared = texts.sparkSession.sparkContext.broadcast((words, network))
-        share = texts.filter(F.pmod(F.xxhash64("text"), F.lit(rounds)) == turn)
+        share = dealt.filter(F.pmod("_dealt", F.lit(rounds)) == turn)
+        shard = F.pmod(F.xxhash64("_dealt"), F.lit(shards)).cast("int")
+        ordered = share.repartitionById(shards, shard).sortWithinPartitions("_dealt")
         task = functools.partial(_train_task, shared=shared, stride=stride)
-        learned = share.mapInPandas(task, WEIGHTS)
+        learned = ordered.select("text").mapInPandas(task, WEIGHTS)
         summed = learned.repartition("chunk").mapInPandas(_sum_task, WEIGHTS)
         parts = sorted(summed.collect(), key=lambda row: row["chunk"])
         if parts:
@@ -451,7 +519,7 @@ def _scored(words: Vocabulary, network: Network, texts: list[str | None]):
     n_words, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
     rest_owners, rest = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for owners, found in _word_hashes(texts):
-        inputs, classes, logs = words.look_up(found)
+        inputs, classes, logs, leaves = words.known(found)
         around = windows(owners, inputs)
         unheld = np.isnan(logs)
         rest_owners.append(owners[unheld])
@@ -459,7 +527,7 @@ def _scored(words: Vocabulary, network: Network, texts: list[str | None]):
         logs[unheld] = 0
         for low in range(0, len(found), FORKED):
             part = slice(low, low + FORKED)
-            forks = words.forks(found[part], classes[part])
+            forks = words.paths.forks(leaves[part])
             logs[part] += network.log_chances(around[part], classes[part], forks)
         n_words += np.bincount(owners, minlength=len(texts))
         total += np.bincount(owners, logs, len(texts))
@@ -506,9 +574,9 @@ def score_documents(
     chosen = documents.select(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     )
-    texts = chosen.select("text").filter("text IS NOT NULL")
+    texts = chosen.filter("text IS NOT NULL")
     with passing_tables(documents.sparkSession):
-        words, counts = _vocabulary(texts)
+        words, counts = _vocabulary(texts.select("text"))
         network = train(texts, words)
         shared = documents.sparkSession.sparkContext.broadcast((words, network))
         scored = chosen.mapInArrow(functools.partial(_score_task, shared=shared), SCORED)
