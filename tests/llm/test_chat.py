@@ -76,13 +76,21 @@ def test_any_text_comes_back(spark):
 
 
 def test_null_keys_ties_and_repeated_rows(spark):
-    rows = [(None, None, "user", "b"), (None, None, "user", "a"), (None, 1, None, None)]
+    rows = [(6, None, "user", "b"), (6, None, "user", "a"), (6, 1, None, None)]
     rows += [(7, 0, "user", "same")] * 2
     found = back(spark, rows)
-    assert [tuple(t) for t in found[None].turns] == [("user", "a"), ("user", "b"), ("", "")]
+    assert [tuple(t) for t in found[6].turns] == [("user", "a"), ("user", "b"), ("", "")]
     assert [tuple(t) for t in found[7].turns] == [("user", "same")] * 2
 
 
+def test_rows_without_a_conversation_are_not_gathered(spark):
+    rows = [(None, n, "user", f"t{n % 3}") for n in range(50)] + [(1, 0, "user", "x")]
+    read = chat.read_back(chat.format_conversations(table(spark, rows).repartition(4))).collect()
+    alone = [row for row in read if row.conv_id is None]
+    assert sorted(t.text for row in alone for t in row.turns) == sorted(f"t{n % 3}" for n in range(50))
+    assert {len(row.turns) for row in alone} == {1} and len(read) == 51
+
+
 def test_long_text_and_empty_table(spark):
     long = "[INST] x\\ " * 60_000
     assert back(spark, [(1, 0, "user", long)])[1].turns[0].text == long

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 from types import SimpleNamespace
 
 import numpy as np
@@ -120,6 +121,55 @@ def test_sample_is_bounded_and_its_labels_alone_count(spark):
     assert 0 < len(few.words) < len(taught.words)
 
 
+def test_a_rare_language_keeps_its_words_and_groups(spark, monkeypatch):
+    monkeypatch.setattr(language, "MOST_WORDS", 120)
+    monkeypatch.setattr(language, "MOST_GROUPS", 300)
+    draw = random.Random(6)
+    rows = [(n, sentence(draw, "aa", 40), "aa", "s", 0) for n in range(300)]
+    rows += [(1000 + n, sentence(draw, "cc", 6), "cc", "s", 0) for n in range(6)]
+    rows += [(2000, "!!", "bb", "s", 0)]  # a language without a word is one as well
+    taught = language.learn(spark.createDataFrame(rows, SCHEMA))
+    assert taught.languages == ["aa", "bb", "cc"]
+    assert len(taught.words) <= 120 and len(taught.groups) <= 300
+    own = {w for _, text, lang, _, _ in rows if lang == "cc" for w in text.rstrip(".").split()}
+    assert len(own & set(taught.words)) >= 10
+    names, _, _ = language.predict(taught, [sentence(draw, "cc", 8), sentence(draw, "aa", 8)])
+    assert names == ["cc", "aa"]
+
+
+def test_learned_counts_against_plain_python(spark):
+    from collections import Counter
+
+    rows = labelled(random.Random(9), 60)
+    taught = language.learn(spark.createDataFrame(rows, SCHEMA))
+    langs = sorted({r[2] for r in rows})
+    words = {lang: Counter() for lang in langs}
+    for _, text, lang, _, _ in rows:
+        words[lang].update(w for w in re.split(r"[\W\d_]+", text.lower()) if w)
+    groups = {lang: Counter() for lang in langs}
+    for lang, told in words.items():
+        for word, n in told.items():
+            marked = f"{language.EDGE}{word}{language.EDGE}"
+            for size in range(1, language.LONGEST + 1):
+                for at in range(len(marked) - size + 1):
+                    groups[lang][marked[at : at + size]] += n
+    assert taught.languages == langs
+    assert set(taught.words) == set().union(*words.values())
+    assert set(taught.groups) == set().union(*groups.values())
+    totals = [sum(words[lang].values()) for lang in langs]
+    for word, row in taught.words.items():
+        wanted = [np.log((words[g][word] + 0.1) / (t + 0.1 * len(taught.words))) for g, t in zip(langs, totals)]
+        assert np.allclose(taught.word_scores[row], wanted)
+    for group, row in taught.groups.items():
+        size, same = len(group), [g for g in taught.groups if len(g) == len(group)]
+        level = (language.LONGEST - size + 1) * np.log(language.BACKOFF)
+        wanted = [
+            np.log((groups[g][group] + 0.1) / (sum(groups[g][x] for x in same) + 0.1 * len(same))) + level
+            for g in langs
+        ]
+        assert np.allclose(taught.group_scores[row], wanted)
+
+
 # --- pseudo-likelihood ------------------------------------------------------------------
 
 

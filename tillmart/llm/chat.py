@@ -87,8 +87,10 @@ def _turns(conversations: DataFrame) -> DataFrame:
         F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
-    grouped = conversations.groupBy(F.col("conv_id").cast("long").alias("conv_id"))
-    return grouped.agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    given = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), turn.alias("turn"))
+    alone = F.when(F.col("conv_id").isNull(), F.monotonically_increasing_id())
+    grouped = given.withColumn("_alone", alone).groupBy("conv_id", "_alone")
+    return grouped.agg(F.sort_array(F.collect_list("turn")).alias("turns")).drop("_alone")
 
 
 def _segments(turn: Column, template: Template) -> Column:
@@ -130,7 +132,8 @@ def format_conversations(conversations: DataFrame, template: Template = INSTRUCT
 
     Turns come by number, then role and text, so the order is fixed where numbers repeat; a
     repeated row is a turn of its own. Null numbers come first; a null role or text is empty.
-    Rows of a null conv_id make one conversation. `valid` says whether the machine accepts the
+    A row without a conv_id is a conversation of its own, so such rows, however many, are never
+    gathered. `valid` says whether the machine accepts the
     order of roles; conversations it does not accept are formatted all the same. Other columns
     are not read; an empty table gives no rows. A conversation is one row here as it is in a
     training file, so the longest must fit into a task's memory.

@@ -109,3 +109,30 @@ def most_frequent(counts: DataFrame, column: str, limit: int) -> DataFrame:
             break
         lowest = row["place"]
     return counts.limit(0) if lowest is None else counts.filter(place >= lowest)
+
+
+def most_frequent_by(counts: DataFrame, key: str, column: str, limit: int) -> DataFrame:
+    """The rows with the largest counts of each key, at most `limit` of them in all.
+
+    Each key has the same share of the limit, so a rare key keeps its own. As in
+    `most_frequent`, whole bins are taken from the top, and only bins come to the driver.
+    """
+    place = F.floor(F.log2(column) * 32).cast("int")
+    bins = counts.groupBy(F.col(key).alias("key"), place.alias("place"))
+    held: dict[str, dict[int, int]] = {}
+    for row in bins.agg(F.count(F.lit(1)).alias("rows")).collect():
+        held.setdefault(row["key"], {})[row["place"]] = row["rows"]
+    lowest: list[tuple[str, int]] = []
+    for name, rows in held.items():
+        taken, least = 0, None
+        for at in sorted(rows, reverse=True):
+            taken += rows[at]
+            if taken > limit // len(held):
+                break
+            least = at
+        if least is not None:
+            lowest.append((name, least))
+    spark = counts.sparkSession
+    bounds = spark.createDataFrame(lowest, "_key string, _lowest int")
+    met = counts.join(bounds, F.col(key) == F.col("_key"))
+    return met.filter(place >= F.col("_lowest")).drop("_key", "_lowest")

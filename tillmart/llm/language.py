@@ -14,19 +14,21 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillmart.llm import words as W
-from tillmart.llm.common import most_frequent, passing_tables, slices, written
+from tillmart.llm.common import most_frequent_by, passing_tables, slices, written
 
 UNDETERMINED = "und"
 
-# Bounds of the model: labelled rows it is learned from, words and letter groups it keeps.
+# Bounds of the model: labelled rows it is learned from, words and letter groups it keeps, of
+# which each language has an equal share.
 TRAINING_ROWS = 20_000
-MOST_WORDS = 100_000
-MOST_GROUPS = 40_000
+MOST_WORDS = 150_000
+MOST_GROUPS = 60_000
 
 LONGEST = 5
 BACKOFF = 0.4
@@ -88,8 +90,9 @@ def learn(
 
     About `training_rows` of them are used, those with small hashes of their id, so the sample
     does not depend on partitions. Words and letter groups are counted by Spark; what
-    comes to the driver is bounded by MOST_WORDS and MOST_GROUPS. Rows without a label or text
-    teach nothing. Without any, the model has no language.
+    comes to the driver is bounded by MOST_WORDS and MOST_GROUPS, of which every language of the
+    sample has an equal share, so that a rare one keeps its words beside a frequent one. Rows
+    without a label or text teach nothing. Without any, the model has no language.
     """
     chosen = documents if rows is None else documents.filter(rows)
     labelled = chosen.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
@@ -112,11 +115,7 @@ def _learned(labelled: DataFrame, training_rows: int) -> Model:
         .agg(F.count(F.lit(1)).alias("n"))
     )
     counts = written(counts, "language-words")
-    words = counts.groupBy("word").agg(
-        F.sum("n").alias("total"),
-        F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
-    )
-    kept = most_frequent(written(words, "language-words"), "total", MOST_WORDS)
+    words = _kept(counts, MOST_WORDS)
     marked = F.concat(F.lit(EDGE), F.col("word"), F.lit(EDGE))
     sizes = F.sequence(F.lit(1), F.least(F.lit(LONGEST), F.length(marked)))
     groups = F.flatten(
@@ -132,28 +131,27 @@ def _learned(labelled: DataFrame, training_rows: int) -> Model:
         counts.select("lang", "n", F.explode(groups).alias("word"))
         .groupBy("lang", "word")
         .agg(F.sum("n").alias("n"))
-        .groupBy("word")
-        .agg(
-            F.sum("n").alias("total"),
-            F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
-        )
     )
-    top_groups = most_frequent(written(by_group, "language-groups"), "total", MOST_GROUPS)
-    return _fitted(kept.select("word", "by").toArrow(), top_groups.select("word", "by").toArrow())
+    top_groups = _kept(written(by_group, "language-groups"), MOST_GROUPS)
+    languages = sorted(row["lang"] for row in sample.select("lang").distinct().collect())
+    return _fitted(languages, words.toArrow(), top_groups.toArrow())
+
 
+def _kept(counts: DataFrame, limit: int) -> DataFrame:
+    """lang, word and n of all words that are among the most frequent of a language."""
+    chosen = most_frequent_by(counts, "lang", "n", limit).select("word").distinct()
+    return counts.join(chosen, "word", "left_semi").select("lang", "word", "n").orderBy("word", "lang")
 
-def _fitted(words: pa.Table, groups: pa.Table) -> Model:
-    names = {lang for by in words["by"].to_pylist() for lang, _ in by}
-    languages = sorted(names)
-    column = {lang: n for n, lang in enumerate(languages)}
 
+def _fitted(languages: list[str], words: pa.Table, groups: pa.Table) -> Model:
     def counted(rows: pa.Table) -> tuple[dict[str, int], np.ndarray]:
-        table = np.zeros((rows.num_rows, len(languages)))
-        for number, by in enumerate(rows["by"].to_pylist()):
-            for lang, n in by:
-                if lang in column:
-                    table[number, column[lang]] = n
-        return {word: number for number, word in enumerate(rows["word"].to_pylist())}, table
+        """The number of each word, and its counts by language."""
+        coded = rows["word"].combine_chunks().dictionary_encode()
+        langs = pc.index_in(rows["lang"].combine_chunks(), pa.array(languages, pa.string()))
+        table = np.zeros((len(coded.dictionary), len(languages)))
+        place = coded.indices.to_numpy(zero_copy_only=False)
+        table[place, langs.to_numpy(zero_copy_only=False)] = rows["n"].to_numpy()
+        return {word: number for number, word in enumerate(coded.dictionary.to_pylist())}, table
 
     word_rows, word_counts = counted(words)
     group_rows, group_counts = counted(groups)

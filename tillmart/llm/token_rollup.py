@@ -66,7 +66,8 @@ def token_counts(
 
 
 def inserted(counts: DataFrame) -> DataFrame:
-    """Changes that add documents."""
+    """Changes that add documents, as `token_counts` counts them: null keys are keys, and null
+    numbers add nothing."""
     return counts.select(*KEYS, F.lit(1).cast("long").alias("docs"), "tokens", "chars")
 
 
@@ -104,24 +105,42 @@ class TokenRollup:
         names = [status.getPath().getName() for status in fs.listStatus(self._path(*parts))]
         return sorted(n for n in names if fs.exists(self._path(*parts, n, "_SUCCESS")))
 
-    def _merged(self) -> tuple[str | None, list[str]]:
-        """The last snapshot of totals, and the batches it holds."""
+    def _snapshot(self) -> str | None:
+        """The folder of the last snapshot."""
         snapshots = self._written(SNAPSHOTS)
-        if not snapshots:
-            return None, []
-        path = f"{self.folder}/{SNAPSHOTS}/{snapshots[-1]}"
-        names = self.spark.read.text(f"{path}/names").select("value")
-        return f"{path}/totals", sorted(row.value for row in names.collect())
+        return f"{self.folder}/{SNAPSHOTS}/{snapshots[-1]}" if snapshots else None
+
+    def _merged(self, snapshot: str | None) -> DataFrame:
+        """Names of the batches that a snapshot holds."""
+        if snapshot is None:
+            return self.spark.createDataFrame([], "value string")
+        return self.spark.read.text(f"{snapshot}/names").select("value")
+
+    def _unmerged(self, snapshot: str | None) -> list[str]:
+        """Batches beside the snapshot; of merged names only those whose folders are still there
+        are asked for."""
+        written = self._written()
+        if snapshot is None or not written:
+            return written
+        held = self._merged(snapshot).filter(F.col("value").isin(written)).collect()
+        return sorted(set(written) - {row.value for row in held})
+
+    def _holds(self, batch: str) -> bool:
+        """Whether a batch was committed, told by its own name alone."""
+        if self._fs().exists(self._path(batch, "_SUCCESS")):
+            return True
+        return not self._merged(self._snapshot()).filter(F.col("value") == batch).isEmpty()
 
     def batches(self) -> list[str]:
-        """Names of the committed batches, in order."""
-        return sorted({*self._written(), *self._merged()[1]})
+        """Names of all batches ever committed, in order; for looking at, not for commits."""
+        merged = self._merged(self._snapshot()).collect()
+        return sorted({*self._written(), *(row.value for row in merged)})
 
     def commit(self, batch: str, changes: DataFrame) -> bool:
         """Add a batch of changes once; false if it was there already."""
         if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9-]*", batch):
             raise ValueError(f"a batch needs a name of letters, digits and dashes, not {batch!r}")
-        if batch in self.batches():
+        if self._holds(batch):
             return False
         _summed(changes).write.mode("overwrite").parquet(f"{self.folder}/{batch}")
         return True
@@ -129,22 +148,27 @@ class TokenRollup:
     def merge(self) -> None:
         """Sum the batches so far into one snapshot, which totals start from afterwards.
 
-        A snapshot counts once its success marker is there, after both its parts are. The
-        batches' own folders are not read again and may be removed.
+        A snapshot counts once its success marker is there, after both its parts are. Folders of
+        batches that the snapshot before held already are removed, so that readers which have
+        begun can end and few folders stay.
         """
-        names = self.batches()
+        snapshot = self._snapshot()
+        fresh = self._unmerged(snapshot)
+        gone = sorted(set(self._written()) - set(fresh))
         number = f"{len(self._written(SNAPSHOTS)):08d}"
         path = f"{self.folder}/{SNAPSHOTS}/{number}"
         self.totals().write.mode("overwrite").parquet(f"{path}/totals")
-        listed = self.spark.createDataFrame([(name,) for name in names], "value string")
-        listed.write.mode("overwrite").text(f"{path}/names")
+        listed = self.spark.createDataFrame([(name,) for name in fresh], "value string")
+        listed.unionByName(self._merged(snapshot)).write.mode("overwrite").text(f"{path}/names")
         self._fs().create(self._path(SNAPSHOTS, number, "_SUCCESS")).close()
+        for name in gone:
+            self._fs().delete(self._path(name), True)
 
     def totals(self) -> DataFrame:
         """Totals of all committed batches; keys whose documents are all gone are left out."""
-        snapshot, merged = self._merged()
-        paths = [f"{self.folder}/{name}" for name in self._written() if name not in set(merged)]
-        paths += [snapshot] if snapshot else []
+        snapshot = self._snapshot()
+        paths = [f"{self.folder}/{name}" for name in self._unmerged(snapshot)]
+        paths += [f"{snapshot}/totals"] if snapshot else []
         if not paths:
             return self.spark.createDataFrame([], DELTAS)
         return _summed(self.spark.read.schema(DELTAS).parquet(*paths))
