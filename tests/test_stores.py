@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tillmart.operators.lines import sale_lines, sold_by_product
 from tillmart.plans import config as job_config
 from tillmart.plans.export import folder_name, read_csv, write_csv
-from tillmart.sources.scratch import scratch_dir
+from tillmart.sources.scratch import require_shared, scratch_dir
 from tillmart.sources.stores import (
     CatalogStore,
     FolderStore,
@@ -199,6 +199,13 @@ def test_scratch_without_a_shared_folder_lies_beside_the_warehouse(spark, monkey
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch/x-")
 
 
+def test_a_cluster_gets_no_scratch_on_the_drivers_disk():
+    require_shared("local[4]", "file")
+    require_shared("spark://host:7077", "hdfs")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        require_shared("yarn", "file")
+
+
 def test_scratch_lies_where_the_caller_says(spark, tmp_path):
     assert scratch_dir(spark, "x", str(tmp_path)).startswith(f"{tmp_path}/x-")
 

@@ -13,14 +13,28 @@ def scratch_dir(spark: SparkSession, label: str, base: str | None = None) -> str
     """A new folder name under `base`, which goes when the session's driver ends.
 
     Without `base` it is the shared folder the session names, else a folder beside the
-    tables of its warehouse.
+    tables of its warehouse, unless that is on a disk of the driver alone.
     """
-    base = base or spark.conf.get(SHARED_DIR_SETTING, None)
-    if not base:
-        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    base = base or spark.conf.get(SHARED_DIR_SETTING, None) or _beside_tables(spark)
     folder = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = path.getFileSystem(spark._jsc.hadoopConfiguration())
     files.mkdirs(path)
     files.deleteOnExit(path)
     return folder
+
+
+def _beside_tables(spark: SparkSession) -> str:
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    path = spark._jvm.org.apache.hadoop.fs.Path(warehouse)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getUri().getScheme()
+    require_shared(spark.sparkContext.master, scheme)
+    return f"{warehouse}/_scratch"
+
+
+def require_shared(master: str, scheme: str) -> None:
+    """A cluster's executors do not see the driver's own disk."""
+    if scheme == "file" and not master.startswith("local"):
+        raise ValueError(
+            f"{SHARED_DIR_SETTING} names no shared folder, and the warehouse is on the driver's disk"
+        )
