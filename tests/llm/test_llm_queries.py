@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import __spark_entry__ as driver
 import corpus_pipeline
+import duckdb
 import numpy as np
 import oracle
 import public_tokenizers
@@ -13,7 +15,8 @@ import pytest
 from conftest import DATA
 from tokenizers import Tokenizer
 
-from tillmart.llm import language, line_dedup, ngram_join, queries
+from llm.test_links import brute
+from tillmart.llm import language, line_dedup, queries
 
 
 @pytest.fixture(scope="module")
@@ -53,8 +56,6 @@ def test_bpe_contract(spark, texts):
 
 
 def test_packing_contract(spark, texts):
-    import zlib
-
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     rows = queries.op10_packing(spark, DATA).collect()
     lengths = {}
@@ -124,22 +125,48 @@ def test_language_stage_takes_out_only_what_it_cannot_tell(staged):
     assert all(n == "und" or s < corpus_pipeline.LEAST_SCORE for n, s in zip(names, scores))
 
 
-def test_line_stage_matches_the_operator(staged):
-    cleaned = {r.doc_id: r for r in line_dedup.dedup_lines(staged[1]).collect()}
+def test_line_stage_against_sql(staged):
+    """All lines of the stage's own input, compared by the statement of the query."""
+    held = duckdb.connect()
+    held.register("documents", staged[1].toPandas())
+    wanted = held.execute(f"SELECT doc_id, n_dropped, text FROM ({line_dedup.SQL_TEXT})").fetchall()
+    left = {key: text for key, dropped, text in wanted if not dropped or (text and text.strip(" "))}
     found = {r.doc_id: r for r in staged[2].collect()}
-    for key, row in cleaned.items():
-        assert (key in found) == (row.n_dropped == 0 or row.text.strip(" ") != "")
-    assert all(r.text == cleaned[k].text and r.n_chars == len(r.text) for k, r in found.items())
+    assert {key: r.text for key, r in found.items()} == left
+    assert any(dropped for _, dropped, _ in wanted)
+    assert all(r.n_chars == len(r.text) for r in found.values())
 
 
-def test_one_of_each_group_stays(staged):
-    joined = ngram_join.similar_documents(staged[2], width=5, percent=80).collect()
-    wanted = {r.component_id for r in joined}
+def test_similar_stage_against_brute_force(staged):
+    texts = {r.doc_id: r.text for r in staged[2].collect()}
+    wanted = {component for _, component in brute(texts, 5, 80).values()}
     assert sorted(r.doc_id for r in staged[3].collect()) == sorted(wanted)
+    assert len(wanted) < len(texts)
 
 
-def test_every_kept_document_is_packed(staged):
-    assert {r.doc_id for r in staged[4].collect()} == {r.doc_id for r in staged[3].collect()}
+def test_packing_stage_against_the_library(staged):
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = {r.doc_id: r.text for r in staged[3].collect()}
+    found, windows = {}, {}
+    for row in staged[4].collect():
+        found.setdefault(row.doc_id, {})[row.start] = row
+        windows.setdefault(row.sequence_id, []).append((row.offset, row.length))
+    assert set(found) == set(texts)
+    for key, pieces in found.items():
+        ids = np.array(library.encode(texts[key], add_special_tokens=False).ids + [1], "<u4")
+        at = 0
+        for start in sorted(pieces):
+            row = pieces[start]
+            assert start == at and row.doc_tokens == len(ids)
+            assert row.ids_crc32 == zlib.crc32(ids[start : start + row.length].tobytes())
+            at += row.length
+        assert at == len(ids)
+    for pieces in windows.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert at <= 2048
 
 
 def test_run_gives_the_last_stage(spark, staged):

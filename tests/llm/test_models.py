@@ -63,6 +63,18 @@ def test_a_word_is_looked_up_before_its_groups(model):
     assert all(row >= len(model.words) for row in rows) and len(rows) > 1
 
 
+def test_tasks_are_sent_the_same_model(model):
+    import pickle
+
+    sent = pickle.loads(pickle.dumps(model))
+    again = pickle.loads(pickle.dumps(sent))
+    words = [*list(model.words)[:50], "kalmorq", "zzz", "élaé"]
+    for other in (sent, again):
+        assert [other.rows_of_word(w) for w in words] == [model.rows_of_word(w) for w in words]
+        found, wanted = (language.predict(m, [" ".join(words), "kal"]) for m in (other, model))
+        assert found[0] == wanted[0] and np.allclose(found[1], wanted[1])
+
+
 def test_longest_known_groups_are_taken_from_left_to_right():
     groups = {"ab": 0, "a": 1, "c": 2, language.EDGE: 3, "abc": 4}
     scores = np.zeros((5, 1))

@@ -15,6 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,11 +35,37 @@ LONGEST = 5
 BACKOFF = 0.4
 EDGE = "\x02"
 
+# What a worker holds at once: different words it has looked up, and characters it works on.
+MEMO_WORDS = 100_000
+PIECE_CHARS = 250_000
+
 # The evidence of a text counts as that of so many words at most, so that scores of long
 # texts don't all become one.
 EVIDENCE_WORDS = 40
 
 
+@dataclass
+class HashedWords:
+    """Numbers of words by their 64-bit hashes, a tenth of the size of a dictionary."""
+
+    hashes: np.ndarray
+    numbers: np.ndarray
+
+    @classmethod
+    def of(cls, words: dict[str, int]) -> HashedWords:
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        order = np.argsort(hashes)
+        return cls(hashes[order], np.fromiter(words.values(), np.int32, len(words))[order])
+
+    def __len__(self) -> int:
+        return len(self.hashes)
+
+    def get(self, word: str) -> int | None:
+        wanted = np.uint64(xxhash.xxh3_64_intdigest(word))
+        at = int(np.searchsorted(self.hashes, wanted))
+        return int(self.numbers[at]) if at < len(self.hashes) and self.hashes[at] == wanted else None
+
+
 @dataclass
 class Model:
     """Log frequencies of words and groups, one column per language."""
@@ -51,12 +78,15 @@ class Model:
     group_scores: np.ndarray
     unseen: np.ndarray
     memo: W.Memo = field(default=None, repr=False)
+    all_scores: np.ndarray = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        """What is sent to tasks: each worker keeps a memory of its own."""
-        return {name: value for name, value in vars(self).items() if name != "all_scores"} | {
-            "memo": None
-        }
+        """What is sent to tasks: words by their hashes, all scores once, and no memory, which
+        each worker has of its own."""
+        return vars(self) | {
+            "memo": None, "all_scores": self.table(), "word_scores": None, "group_scores": None,
+            "words": HashedWords.of(self.words) if isinstance(self.words, dict) else self.words,
+        }
 
     def rows_of_word(self, word: str) -> list[int]:
         """The rows of scores that a word adds: its own, or those of its groups."""
@@ -75,6 +105,8 @@ class Model:
         return rows
 
     def table(self) -> np.ndarray:
+        if self.word_scores is None:
+            return self.all_scores
         return np.vstack([self.word_scores, self.group_scores, self.unseen[None, :]])
 
 
@@ -175,13 +207,13 @@ def _fitted(languages: list[str], words: pa.Table, groups: pa.Table) -> Model:
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and number of words of each whole text."""
     if model.memo is None:
-        model.memo = W.Memo(model.rows_of_word, limit=200_000)
+        model.memo = W.Memo(model.rows_of_word, limit=MEMO_WORDS)
         model.all_scores = model.table()
     count = len(model.languages)
     sums = np.zeros((len(texts), count))
     n_words = np.zeros(len(texts), np.int64)
     has_letter = np.zeros(len(texts), bool)
-    for numbers, held in W.pieces([(text or "").lower() for text in texts]):
+    for numbers, held in W.pieces([(text or "").lower() for text in texts], PIECE_CHARS):
         joined = W.Texts(held)
         starts, ends = W.letter_words(joined)
         owners = np.array(numbers)[joined.text_of(starts)]
