@@ -36,7 +36,7 @@ BACKOFF = 0.4
 EDGE = "\x02"
 
 # What a worker holds at once: different words it has looked up, and characters it works on.
-MEMO_WORDS = 100_000
+MEMO_WORDS = 200_000
 PIECE_CHARS = 250_000
 
 # The evidence of a text counts as that of so many words at most, so that scores of long
