@@ -175,7 +175,7 @@ def test_edit_distance(spark, edits):
         assert row.near == (distance(row.a, row.b) <= edits), (row.a, row.b)
 
 
-def brute_lines(rows, min_chars):
+def brute_lines(rows, min_chars, edits=2, long_chars=64):
     first = {}
     for doc, text in rows:
         for n, line in enumerate((text or "").split("\n")):
@@ -185,7 +185,7 @@ def brute_lines(rows, min_chars):
     pairs = [
         (a, b)
         for a, b in combinations(range(len(lines)), 2)
-        if abs(len(lines[a]) - len(lines[b])) < 2 and distance(lines[a], lines[b]) < 2
+        if distance(lines[a], lines[b]) <= (edits if min(len(lines[a]), len(lines[b])) >= long_chars else 1)
     ]
     root = reach(range(len(lines)), pairs)
     kept = {}
@@ -200,30 +200,33 @@ def brute_lines(rows, min_chars):
     return wanted
 
 
-def cleaned(spark, rows, min_chars):
+def cleaned(spark, rows, min_chars, **options):
     schema = "doc_id long, text string, number int, dropped string, n_lines int"
     given = spark.createDataFrame([(*r, 1, "x", 9) for r in rows], schema)
-    found = line_dedup.dedup_lines(given, min_chars=min_chars)
+    found = line_dedup.dedup_lines(given, min_chars=min_chars, **options)
     assert found.columns == ["doc_id", "text", "number", "dropped", "n_lines", "n_dropped"]
     return found.collect()
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_repeated_lines(spark, seed):
-    draw = random.Random(seed)
+@pytest.mark.parametrize("edits, few", [(1, 8), (2, 8), (2, 1), (3, 1)])
+def test_repeated_lines(spark, monkeypatch, edits, few):
+    """With `few` at 1 all shared keys are split as long as anything is left to split."""
+    monkeypatch.setattr(line_dedup, "FEW", few)
+    draw = random.Random(edits + few)
     bases = ["".join(draw.choice("abcdé 🙂") for _ in range(draw.randint(6, 30))) for _ in range(12)]
     rows = []
     for doc in range(40):
         lines = []
         for _ in range(draw.randint(0, 6)):
             line = draw.choice(bases)
-            for _ in range(draw.choice([0, 0, 1, 1, 2])):
+            for _ in range(draw.choice([0, 0, 1, 1, 2, 3])):
                 at = draw.randint(0, len(line))
                 line = line[:at] + draw.choice(["", "a", "x", "é"]) + line[at + draw.randint(0, 1) :]
             lines.append(line)
         rows.append((doc, "\n".join(lines)))
-    wanted = brute_lines(rows, 8)
-    found = cleaned(spark, rows, 8)
+    wanted = brute_lines(rows, 8, edits, 16)
+    assert edits == 1 or wanted != brute_lines(rows, 8, 1, 16)
+    found = cleaned(spark, rows, 8, edits=edits, long_chars=16)
     assert {r.doc_id: r.text for r in found} == wanted
     for row in found:
         text = dict(rows)[row.doc_id]
@@ -231,6 +234,23 @@ def test_repeated_lines(spark, seed):
         assert row.n_lines - row.n_dropped == (row.text.count("\n") + 1 if row.text or row.n_lines > row.n_dropped else 0)
 
 
+def test_many_numbered_lines_are_told_apart(spark):
+    """Lines that share most of their signs meet only where few signs are left open."""
+    template = "this notice about item {:09d} is the same in all documents but for the number of the item"
+    lines = [template.format(n * 7_654_321 % 999_999_937) for n in range(600)]
+    rows = [(n, line) for n, line in enumerate(lines)] + [(600, lines[5].replace("notice", "no tices"))]
+    wanted = brute_lines(rows, 32)
+    assert {r.doc_id: r.text for r in cleaned(spark, rows, 32)} == wanted
+    assert wanted[600] == "" and sum(not text for text in wanted.values()) < 60
+
+
+def test_years_in_long_lines(spark):
+    line = "Copyright {} by the authors of this text, all rights are reserved by them"
+    rows = [(1, line.format(2019)), (2, line.format(2024)), (3, line.format(2035) + "\nthe rest")]
+    found = {r.doc_id: r.text for r in cleaned(spark, rows, 32)}
+    assert found == {1: rows[0][1], 2: "", 3: "the rest"}
+
+
 def test_lines_with_nulls_and_repeats(spark):
     line, long = "a line of some length", "yes " * 200_000
     rows = [(2, line), (1, f"top\n{line}\n\n{line}"), (3, None), (4, ""), (5, f"{line}!\nend"), (6, long),

@@ -1,16 +1,18 @@
 """Near-duplicate lines over all documents, with DataFrame functions only.
 
-Two lines are linked if one edit (a sign put in, taken out or replaced) turns one into the
-other. Lines are split into one segment more than that, two, so one of them is untouched; the
-edited one has two halves, of which one is untouched too. A line is therefore indexed under
-its length and four pieces, each the whole line but a quarter; lines one sign longer are
-probed under the shorter length, with the pieces aligned to the line's start and end. Lines
-that share a piece lose their common start and end, which changes no distance, and the rest is
-verified by edit distance, bit-parallel in a band of diagonals.
-
-Equal lines are one class from the start. Pieces that only two lines have give their pair
-without a join; pieces of more lines are joined under the further condition that half of the
-quarter left out agrees as well.
+Two lines are linked if a few edits (signs put in, taken out or replaced) turn one into the
+other: one edit, or `edits` if the shorter line has at least `long_chars` signs. A line that e
+edits may change is split into e + 1 segments of equal length, so one of them is untouched: the
+first one before which there are as many edits as segments. So segment j stands in the other
+line moved by s signs, with at most j edits before it and e - j after it. Every line is indexed
+under its length and its segments; it is probed, for its own length and lengths up to e less,
+under all its substrings that may be such a segment.
+
+Keys that few lines share give pairs of lines. The lines of a key with more are told apart
+further: what lies before and after the shared segment may differ by fewer edits, and is split
+and probed by the same rule, until few lines share a key or nothing is left to split. Pairs lose
+their common start and end, which changes no distance, and are verified by edit distance,
+bit-parallel in a band of diagonals. Equal lines are one class from the start.
 """
 
 from __future__ import annotations
@@ -21,15 +23,23 @@ from pyspark.sql import functions as F
 from tillmart.llm.common import passing_tables, written
 from tillmart.llm.graph import components
 
-MAX_EDITS = 1
+# Edits between two lines of which the shorter one has LONG_CHARS signs; others may differ by one.
+MAX_EDITS = 2
+LONG_CHARS = 64
 
 # Shorter lines recur by chance; they are left alone.
 MIN_CHARS = 32
 
+# Lines of one key that are compared in pairs; with more of them, a key is split first.
+FEW = 8
 
 # Texts are cut by sign in this encoding of four bytes each, where a cut needs no scan.
 SIGN_BYTES = 4
 
+# Parts of a line that may still differ: where they start in the line, their length there and in
+# the indexed line, and by how many edits.
+PARTS = "array<struct<at: int, own: int, target: int, edits: int>>"
+
 
 def _signs(line: Column) -> Column:
     return F.encode(line, "UTF-32")
@@ -40,40 +50,95 @@ def _cut(signs: Column, start: Column, count: Column) -> Column:
     return F.substring(signs, start * SIGN_BYTES + 1, count * SIGN_BYTES)
 
 
-def _quarters(target: Column) -> list[tuple[Column, Column]]:
-    """Lengths of the start and the end of a line that each piece consists of."""
-    half = F.floor(target / 2).cast("int")
-    first = F.floor(half / 2).cast("int")
-    third = half + F.floor((target - half) / 2).cast("int")
-    zero = F.lit(0)
-    return [(zero, target - first), (first, target - half), (half, target - third), (third, zero)]
+def _moves(edits: int) -> list[tuple[int, int]]:
+    """Segments and by how many signs they may be moved."""
+    return [(j, s) for j in range(edits + 1) for s in range(-j, j + 1)]
+
 
+def _bounds(target: Column, edits: int, j: int) -> tuple[Column, Column]:
+    """Where segment j starts and ends."""
+    at = [F.floor(target * k / (edits + 1)).cast("int") for k in (j, j + 1)]
+    return at[0], at[1]
 
-PIECES = 4
 
+def _rest(at: Column, own: Column, target: Column, edits: int, j: int, s: int) -> Column:
+    """What lies before and after a segment, if it is long enough to be split."""
+    start, end = _bounds(target, edits, j)
+    before = F.struct(
+        at.alias("at"), (start + s).alias("own"), start.alias("target"), F.lit(j).alias("edits")
+    )
+    after = F.struct(
+        (at + end + s).alias("at"),
+        (own - end - s).alias("own"),
+        (target - end).alias("target"),
+        F.lit(edits - j).alias("edits"),
+    )
+    both = F.array(before, after).cast(PARTS)
+    return F.filter(both, lambda part: (part["edits"] > 0) & (part["target"] > part["edits"]))
 
-def _pieces(signs: Column, length: Column, target: Column) -> list[Column]:
-    """Hashes of the four pieces a line shares with lines of `target` signs."""
+
+def _first_moves(edits: int) -> list[tuple[int, int, int, int]]:
+    """Edits, signs more than the indexed line, segment and move of each key of a line."""
     found = []
-    for number, (start, end) in enumerate(_quarters(target)):
-        head, tail = _cut(signs, F.lit(0), start), _cut(signs, length - end, end)
-        found.append(F.xxhash64(F.lit(number), target, head, tail))
+    for most in sorted({1, edits}):
+        for more in range(most + 1):
+            for j, s in _moves(most):
+                if abs(more - s) <= most - j:
+                    found.append((most, more, j, s))
     return found
 
 
-def _left_out(signs: Column, length: Column, number: Column) -> tuple[Column, Column]:
-    """Hashes of the two halves of what a piece leaves out, from the start and from the end."""
-    left = right = F.lit(None).cast("int")
-    for own in (True, False):
-        target = length if own else length - MAX_EDITS
-        for k, (start, end) in enumerate(_quarters(target)):
-            rest = target - start - end
-            half = F.floor(rest / 2).cast("int")
-            is_this = number == k + (0 if own else PIECES)
-            left = F.when(is_this, F.hash(_cut(signs, start, half))).otherwise(left)
-            tail = _cut(signs, length - end - (rest - half), rest - half)
-            right = F.when(is_this, F.hash(tail)).otherwise(right)
-    return left, right
+def _allowed(length: Column, edits: int, long_chars: int) -> Column:
+    return F.when(length >= long_chars, edits).otherwise(1)
+
+
+def _first_keys(
+    signs: Column, length: Column, edits: int, min_chars: int, long_chars: int
+) -> Column:
+    """An array of the line's keys, by their places in `_first_moves`; null where there is none."""
+    keys = []
+    for most, more, j, s in _first_moves(edits):
+        target = length - more
+        start, end = _bounds(target, most, j)
+        key = F.xxhash64(F.lit(j), target, _cut(signs, start + s, end - start))
+        fits = (target >= min_chars) & (_allowed(target, edits, long_chars) == most)
+        keys.append(F.when(fits, key))
+    return F.array(*keys)
+
+
+def _first_parts(number: Column, length: Column, edits: int) -> Column:
+    """The parts that the key of this place in `_first_moves` leaves open."""
+    parts = F.array().cast(PARTS)
+    for place, (most, more, j, s) in enumerate(_first_moves(edits)):
+        rest = _rest(F.lit(0), length, length - more, most, j, s)
+        parts = F.when(number == place, rest).otherwise(parts)
+    return parts
+
+
+def _split(rows: DataFrame, edits: int) -> DataFrame:
+    """cls, key, indexed and parts, with the first open part of each row split.
+
+    `rows` has the line's signs beside them. A row becomes one for each segment of the part and
+    each place where it may stand.
+    """
+    part = F.get("parts", F.lit(0))
+    more = part["own"] - part["target"]
+    others = F.slice("parts", 2, F.greatest(F.size("parts") - 1, F.lit(0)))
+    moved = []
+    for most in range(1, edits + 1):
+        for j, s in _moves(most):
+            start, end = _bounds(part["target"], most, j)
+            fits = (part["edits"] == most) & (F.abs(more - s) <= most - j)
+            fits &= (start + s >= 0) & (end + s <= part["own"])
+            segment = _cut(F.col("signs"), part["at"] + start + s, end - start)
+            found = F.struct(
+                F.xxhash64("key", F.lit(j), segment).alias("key"),
+                (F.col("indexed") & F.lit(s == 0)).alias("indexed"),
+                F.concat(others, _rest(part["at"], part["own"], part["target"], most, j, s)).alias("parts"),
+            )
+            moved.append(F.when(fits, found))
+    taken = rows.select("cls", F.explode(F.array(*moved)).alias("to")).filter("to IS NOT NULL")
+    return taken.select("cls", "to.key", "to.indexed", "to.parts")
 
 
 def _common(a: Column, b: Column, from_end: bool) -> Column:
@@ -147,7 +212,8 @@ def within_edits(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
                 reached = reached.bitwiseOR(F.shiftleft(moved[-1], 1))
             moved.append(reached.bitwiseAND(mask))
         fields = [x.alias(n) for x, n in zip(moved, names)]
-        return F.struct((state["at"] + 1).alias("at"), state["a"].alias("a"), *fields)
+        following = F.struct((state["at"] + 1).alias("at"), state["a"].alias("a"), *fields)
+        return F.when(state[names[-1]] == 0, state).otherwise(following)
 
     difference = F.length(a) - F.length(b)
     end = F.lit(0)
@@ -157,63 +223,76 @@ def within_edits(a: Column, b: Column, edits: int = MAX_EDITS) -> Column:
 
 
 def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, number and line of all lines long enough."""
+    """doc_id, number, line and its class, for all lines long enough."""
     exploded = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("number", "line"))
-    return exploded.filter(F.length("line") >= min_chars)
-
-
-def _texts(documents: DataFrame, classes: DataFrame, asked: DataFrame) -> DataFrame:
-    """cls and line of the classes asked for, each read at its first place."""
-    places = classes.select("cls", "first").join(asked, "cls")
-    at = places.select("cls", F.col("first.doc_id").alias("place"), F.col("first.number").alias("number"))
-    texts = at.join(documents, at["place"].eqNullSafe(documents["doc_id"]))
-    lines = texts.select("cls", F.get(F.split("text", "\n"), F.col("number")).alias("line"))
-    # A repeated id may have several texts at this place; the class tells the right one.
-    return lines.filter(F.xxhash64("line") == F.col("cls")).dropDuplicates(["cls"])
-
-
-def _links(documents: DataFrame, classes: DataFrame) -> DataFrame:
-    """lo, hi: pairs of classes whose lines are within one edit."""
-    rows = classes.select("cls", F.posexplode("pieces").alias("number", "piece"))
-    keyed = (
-        rows.groupBy("piece")
-        .agg(
-            F.count(F.lit(1)).alias("count"),
-            F.min("number").alias("least_number"),
-            F.min("cls").alias("lo"),
-            F.max("cls").alias("hi"),
-        )
-        .filter(f"count > 1 AND least_number < {PIECES} AND lo <> hi")
-    )
-    keyed = written(keyed, "pieces")
-    alone = keyed.filter("count = 2").select("lo", "hi")
-    shared = written(rows.join(keyed.filter("count > 2").select("piece"), "piece"), "shared-pieces")
+    return exploded.filter(F.length("line") >= min_chars).withColumn("cls", F.xxhash64("line"))
+
+
+def _links(classes: DataFrame, edits: int, min_chars: int, long_chars: int) -> DataFrame:
+    """lo, hi: pairs of classes whose lines are within the edits allowed."""
+    cut = classes.select("cls", _signs(F.col("line")).alias("signs"), F.length("line").alias("length"))
+    keys = _first_keys(F.col("signs"), F.col("length"), edits, min_chars, long_chars)
+    own = [n for n, (_, more, _, s) in enumerate(_first_moves(edits)) if not more and not s]
+    rows = cut.select("cls", F.posexplode(keys).alias("number", "key")).filter("key IS NOT NULL")
+    rows = rows.withColumn("indexed", F.col("number").isin(own))
+    met = written(_met(rows), "line-keys")
+    alone = met.filter("count = 2").select("lo", "hi")
+    shared = written(rows.join(met.filter("count > 2").select("key", "count"), "key"), "shared-keys")
     asked = alone.select(F.explode(F.array("lo", "hi")).alias("cls")).unionByName(shared.select("cls"))
-    lines = written(_texts(documents, classes, asked.distinct()), "line-texts")
-    pairs = alone.unionByName(_shared_pairs(shared, lines)).distinct()
+    lines = written(classes.select("cls", "line").join(asked.distinct(), "cls"), "line-texts")
+    length = lines.select("cls", F.length("line").alias("length"))
+    opened = shared.join(length, "cls").withColumn(
+        "parts", _first_parts(F.col("number"), F.col("length"), edits)
+    )
+    found = [alone, *_told_apart(opened.select("cls", "key", "indexed", "parts", "count"), lines, edits)]
+    pairs = found[0]
+    for more in found[1:]:
+        pairs = pairs.unionByName(more)
     a = lines.select(F.col("cls").alias("lo"), F.col("line").alias("a"))
     b = lines.select(F.col("cls").alias("hi"), F.col("line").alias("b"))
-    both = differing(pairs.join(a, "lo").join(b, "hi"))
-    return both.filter(within_edits(F.col("a"), F.col("b"))).select("lo", "hi")
+    both = pairs.distinct().join(a, "lo").join(b, "hi")
+    most = _allowed(F.least(F.length("a"), F.length("b")), edits, long_chars)
+    both = differing(both.withColumn("most", most))
+    near = within_edits(F.col("a"), F.col("b"), 1)
+    if edits > 1:
+        near = F.when(F.col("most") == 1, near).otherwise(within_edits(F.col("a"), F.col("b"), edits))
+    return both.filter(near).select("lo", "hi")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """key, count, lo and hi of all keys by which an indexed line meets another one."""
+    met = rows.groupBy("key").agg(
+        F.count(F.lit(1)).alias("count"),
+        F.max("indexed").alias("indexed"),
+        F.min("cls").alias("lo"),
+        F.max("cls").alias("hi"),
+    )
+    return met.filter("count > 1 AND indexed AND lo <> hi").select("key", "count", "lo", "hi")
 
 
-def _shared_pairs(shared: DataFrame, lines: DataFrame) -> DataFrame:
-    """Pairs of classes with a common piece of which half of the part left out agrees too."""
-    signs, length = F.col("signs"), F.col("length")
-    cut = shared.join(lines, "cls").select(
-        "cls", "piece", "number", _signs(F.col("line")).alias("signs"), F.length("line").alias("length")
-    )
-    left, right = _left_out(signs, length, F.col("number"))
-    rows = written(
-        cut.select("cls", "piece", "number", left.alias("left"), right.alias("right")), "left-out"
-    )
-    a, b = rows.filter(F.col("number") < PIECES).alias("a"), rows.alias("b")
-    once = f"a.cls <> b.cls AND (b.number >= {PIECES} OR a.cls < b.cls)"
-    agrees = "(a.left = b.left OR a.right = b.right)"
-    joined = a.join(b, (F.col("a.piece") == F.col("b.piece")) & F.expr(f"{once} AND {agrees}"))
-    return joined.select(
-        F.least("a.cls", "b.cls").alias("lo"), F.greatest("a.cls", "b.cls").alias("hi")
-    )
+def _told_apart(rows: DataFrame, lines: DataFrame, edits: int) -> list[DataFrame]:
+    """Pairs (lo, hi) of classes that still share a key when keys of many are split.
+
+    Each round splits an open part of every row whose key has more than FEW rows. Open parts get
+    shorter with every round, so there are as many rounds as the logarithm of the longest line.
+    """
+    found = []
+    while True:
+        rows = written(rows, "line-rows")
+        many = (F.col("count") > FEW) & (F.size("parts") > 0)
+        few = rows.filter(~many)
+        a = few.filter("indexed").select("key", F.col("cls").alias("x"))
+        b = few.select("key", F.col("cls").alias("y"))
+        pairs = a.join(b, "key").filter("x <> y")
+        found.append(
+            pairs.select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct()
+        )
+        rest = rows.filter(many)
+        if rest.isEmpty():
+            return found
+        signs = lines.select("cls", _signs(F.col("line")).alias("signs"))
+        split = written(_split(rest.join(signs, "cls"), edits).distinct(), "split-rows")
+        rows = split.join(_met(split).select("key", "count"), "key")
 
 
 def repeated_lines(
@@ -221,10 +300,13 @@ def repeated_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_chars: int = MIN_CHARS,
+    edits: int = MAX_EDITS,
+    long_chars: int = LONG_CHARS,
 ) -> DataFrame:
     """doc_id and dropped, the numbers (from 0) of its lines that repeat an earlier one.
 
-    Lines of at least `min_chars` signs form components by links; of each component the line
+    Lines of at least `min_chars` signs form components by links, of one edit, or of `edits` if
+    the shorter line has at least `long_chars` signs; of each component the line
     with the smallest id, then number, stays, and all others are dropped. Only ids with dropped
     lines are returned. A null id counts as the smallest. Rows with the same id drop the same
     numbers.
@@ -233,25 +315,20 @@ def repeated_lines(
         F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
     ).filter("text IS NOT NULL")
     with passing_tables(documents.sparkSession):
-        return written(_repeated(chosen, min_chars), "repeated-lines", keep=True)
+        repeated = _repeated(chosen, min_chars, edits, long_chars)
+        return written(repeated, "repeated-lines", keep=True)
 
 
-def _repeated(chosen: DataFrame, min_chars: int) -> DataFrame:
-    cut = _lines(chosen, min_chars).select(
-        "doc_id", "number", F.xxhash64("line").alias("cls"), _signs(F.col("line")).alias("signs")
-    )
-    signs = F.col("signs")
-    length = (F.length(signs) / SIGN_BYTES).cast("int")
-    pieces = _pieces(signs, length, length) + _pieces(signs, length, length - MAX_EDITS)
-    lines = cut.select("doc_id", "number", "cls", F.array(*pieces).alias("pieces"))
-    lines = written(lines, "lines")
+def _repeated(chosen: DataFrame, min_chars: int, edits: int, long_chars: int) -> DataFrame:
+    lines = _lines(chosen, min_chars)
     classes = lines.groupBy("cls").agg(
         F.min(F.struct("doc_id", "number")).alias("first"),
         F.count(F.lit(1)).alias("copies"),
-        F.first("pieces").alias("pieces"),
+        F.first("line").alias("line"),
     )
     classes = written(classes, "line-classes")
-    links = _links(chosen, classes).select(F.col("lo").alias("a"), F.col("hi").alias("b"))
+    links = _links(classes, edits, min_chars, long_chars)
+    links = links.select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     groups = components(links).withColumnRenamed("node", "cls")
     told = classes.select("cls", "first", "copies")
     grouped = groups.join(told.select("cls", "first"), "cls")
@@ -276,6 +353,8 @@ def dedup_lines(
     id_col: str = "doc_id",
     text_col: str = "text",
     min_chars: int = MIN_CHARS,
+    edits: int = MAX_EDITS,
+    long_chars: int = LONG_CHARS,
 ) -> DataFrame:
     """The documents without their repeated lines, and n_lines and n_dropped for each.
 
@@ -283,7 +362,7 @@ def dedup_lines(
     end at a line feed. A null text stays null and has no lines; an empty text has one, which is
     too short to go. Columns named as the two added are replaced. An empty table gives no rows.
     """
-    repeated = repeated_lines(documents, id_col, text_col, min_chars)
+    repeated = repeated_lines(documents, id_col, text_col, min_chars, edits, long_chars)
     given = documents.drop(*ADDED)
     repeated = repeated.select(F.col("doc_id").alias("_repeated_id"), F.col("dropped").alias("_dropped"))
     # The lists of dropped lines grow with the documents, so they are never broadcast.
@@ -310,29 +389,45 @@ def dedup_lines(
     return with_counts.select(*given.columns, *ADDED)
 
 
-# The result of `op3_line_dedup`, with one edit tested place by place.
+# The result of `op3_line_dedup`: lines with a third (or half) in common, up to two signs apart,
+# are compared place by place; two edits are one at the first sign that differs and another one.
 SQL_TEXT = """
     WITH RECURSIVE lines AS (
       SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
              unnest(range(len(string_split(text, chr(10))))) AS number
       FROM documents WHERE text IS NOT NULL),
     classes AS (
-      SELECT line, length(line) AS n, row_number() OVER () AS cls,
-             min({'doc_id': doc_id, 'number': number}) AS place
+      SELECT line, length(line) AS n, CASE WHEN length(line) >= 64 THEN 2 ELSE 1 END AS e,
+             row_number() OVER () AS cls, min({'doc_id': doc_id, 'number': number}) AS place
       FROM lines WHERE length(line) >= 32 GROUP BY line),
+    segments AS (
+      SELECT cls, n, e, j, j * n // (e + 1) AS p, (j + 1) * n // (e + 1) - j * n // (e + 1) AS size, line
+      FROM classes, (SELECT unnest(range(3)) AS j) WHERE j <= e),
+    places AS (SELECT DISTINCT n, e, j, p, size FROM segments),
+    probes AS (
+      SELECT c.cls, s.n, s.j, substr(c.line, p + 1 + move, size) AS part
+      FROM classes c, (SELECT unnest(range(-2, 3)) AS move), places s
+      WHERE c.n >= s.n AND c.n <= s.n + s.e AND abs(move) <= s.e AND p + move >= 0),
     pairs AS (
-      SELECT a.cls AS a, b.cls AS b, a.line AS x, b.line AS y, a.n AS n, b.n AS m
-      FROM classes a JOIN classes b ON b.n = a.n AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
-      UNION SELECT a.cls, b.cls, a.line, b.line, a.n, b.n
-      FROM classes a JOIN classes b ON b.n = a.n + 1 AND left(a.line, a.n // 2) = left(b.line, a.n // 2)
-      UNION SELECT a.cls, b.cls, a.line, b.line, a.n, b.n
-      FROM classes a JOIN classes b
-        ON b.n = a.n AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2)
-      UNION SELECT a.cls, b.cls, a.line, b.line, a.n, b.n
-      FROM classes a JOIN classes b
-        ON b.n = a.n + 1 AND right(a.line, a.n - a.n // 2) = right(b.line, a.n - a.n // 2)),
+      SELECT DISTINCT s.cls AS a, q.cls AS b FROM segments s
+      JOIN probes q ON q.n = s.n AND q.j = s.j AND q.part = substr(s.line, s.p + 1, s.size)
+      WHERE s.cls <> q.cls),
+    told AS (
+      SELECT a, b, x.line AS x, y.line AS y, x.e AS e,
+             list_min(list_filter(range(y.n), lambda k: left(x.line, k + 1) <> left(y.line, k + 1))) AS p
+      FROM pairs JOIN classes x ON x.cls = a JOIN classes y ON y.cls = b
+      WHERE x.n <= y.n AND levenshtein(x.line, y.line) <= 8),
+    one_left AS (
+      SELECT a, b, x AS u, y AS v FROM told
+      UNION ALL SELECT a, b, substr(x, p + 2), substr(y, p + 2) FROM told WHERE e = 2
+      UNION ALL SELECT a, b, substr(x, p + 1), substr(y, p + 2) FROM told WHERE e = 2
+      UNION ALL SELECT a, b, substr(x, p + 2), substr(y, p + 1) FROM told WHERE e = 2),
+    ordered AS (
+      SELECT a, b, CASE WHEN length(u) <= length(v) THEN u ELSE v END AS x,
+             CASE WHEN length(u) <= length(v) THEN v ELSE u END AS y, greatest(length(u), length(v)) AS m
+      FROM one_left WHERE abs(length(u) - length(v)) <= 1),
     near AS (
-      SELECT a, b FROM pairs WHERE a <> b AND len(list_filter(range(m), lambda k:
+      SELECT DISTINCT a, b FROM ordered WHERE x = y OR len(list_filter(range(m), lambda k:
         left(x, k) = left(y, k) AND right(x, m - k - 1) = right(y, m - k - 1))) > 0),
     links AS (SELECT a, b FROM near UNION SELECT b, a FROM near),
     reach AS (
