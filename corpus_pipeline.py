@@ -15,6 +15,13 @@ from tillmart.llm.common import written
 # A text whose language gets less than this of the evidence is rejected.
 LEAST_SCORE = 0.3
 
+# So is a text that has so few known words as happens to one in exp(MOST_DOUBT), a million and
+# more, of which half as many words are known as of texts in its language.
+MOST_DOUBT = 14.0
+
+# A document goes if so many in a hundred of its signs are in earlier documents, as near copies do.
+MOST_REPEATED = 80
+
 
 def _aside(docs: DataFrame, names: list[str]) -> DataFrame:
     """The documents, with columns of these names called otherwise for a while."""
@@ -31,11 +38,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents in a language of the labelled ones; a missing label is filled in.
 
     Rejected are texts without a letter, null ones included, and those no language claims with
-    LEAST_SCORE. Without any labelled document nothing can be identified, and all go.
+    LEAST_SCORE, or of which hardly a word is known, beyond MOST_DOUBT; a short text in a language
+    without labels stays, as it tells too little. Without any labelled document nothing can be identified, and all go.
     """
     found = language.identify(_aside(docs, language.ADDED), language.learn(docs))
     accepted = found.filter(
-        (F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)
+        (F.col("lang_pred") != language.UNDETERMINED)
+        & (F.col("score") >= LEAST_SCORE)
+        & (F.col("doubt") <= MOST_DOUBT)
     )
     filled = accepted.withColumn("lang", F.coalesce("lang", "lang_pred"))
     return _back(filled, docs, language.ADDED)
@@ -44,14 +54,19 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that an earlier document or line has; n_chars follows.
 
-    A document of which no text is left goes; one that lost no line stays whatever it holds.
+    A document goes if no text is left of it, or if it lost MOST_REPEATED in a hundred of its signs,
+    lines that it repeats itself counted once: the rest of a near copy is no document. One that lost
+    no line stays whatever it holds.
     """
+    names = [*line_dedup.ADDED, "n_own"]
+    own = F.length(F.array_join(F.array_distinct(F.split("text", "\n")), "\n"))
     # Written first, so that the lines are not put together again for the filter.
-    cleaned = line_dedup.dedup_lines(_aside(docs, line_dedup.ADDED))
+    cleaned = line_dedup.dedup_lines(_aside(docs, names).withColumn("n_own", own))
     cleaned = written(cleaned, "cleaned-documents")
-    left = cleaned.filter((F.col("n_dropped") == 0) | (F.trim("text") != ""))
+    lost = (F.col("n_own") - F.length("text")) * 100 >= F.col("n_own") * MOST_REPEATED
+    left = cleaned.filter((F.col("n_dropped") == 0) | ((F.trim("text") != "") & ~lost))
     counted = left.withColumn("n_chars", F.length("text").cast("long"))
-    return _back(counted, docs, line_dedup.ADDED)
+    return _back(counted, docs, names)
 
 
 def keep_one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
