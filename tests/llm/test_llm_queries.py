@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import __spark_entry__ as driver
@@ -121,8 +122,25 @@ def test_language_stage_takes_out_only_what_it_cannot_tell(staged):
     left = {r.doc_id for r in staged[1].collect()}
     gone = [r for r in staged[0].collect() if r.doc_id not in left]
     model = language.learn(staged[0])
-    names, scores, _ = language.predict(model, [r.text for r in gone])
-    assert all(n == "und" or s < corpus_pipeline.LEAST_SCORE for n, s in zip(names, scores))
+    names, scores, _, doubts = language.judged(model, [r.text for r in gone])
+    least, most = corpus_pipeline.LEAST_SCORE, corpus_pipeline.MOST_DOUBT
+    assert all(n == "und" or s < least or d > most for n, s, d in zip(names, scores, doubts))
+    # Every document here is in a labelled language; only texts without letters go.
+    assert all(not any(sign.isalpha() for sign in r.text or "") for r in gone)
+
+
+def test_language_stage_rejects_unlabelled_languages(spark, staged):
+    """Texts in other languages, another script and of letters at random, beside all documents."""
+    draw = random.Random(5)
+    polish = "każdy człowiek powinien wiedzieć dokąd prowadzi droga którą wybrał wczoraj wieczorem "
+    russian = "каждый вечер мы читали старые письма возле окна и пили горячий чай с вареньем "
+    junk = " ".join("".join(draw.choice("bcdfgjkqvwxz") for _ in range(draw.randint(4, 9))) for _ in range(60))
+    odd = {9_000_001: polish * 8, 9_000_002: russian * 8, 9_000_003: junk, 9_000_004: "Kraków"}
+    more = spark.createDataFrame([(k, v, None, "odd", len(v)) for k, v in odd.items()], SCHEMA)
+    docs = staged[0].unionByName(more)
+    left = {r.doc_id for r in corpus_pipeline.identify_language(spark, docs, DATA).collect()}
+    assert left & set(odd) == {9_000_004}
+    assert left - set(odd) == {r.doc_id for r in staged[1].collect()}
 
 
 def test_line_stage_against_sql(staged):
@@ -130,13 +148,27 @@ def test_line_stage_against_sql(staged):
     held = duckdb.connect()
     held.register("documents", staged[1].toPandas())
     wanted = held.execute(f"SELECT doc_id, n_dropped, text FROM ({line_dedup.SQL_TEXT})").fetchall()
-    left = {key: text for key, dropped, text in wanted if not dropped or (text and text.strip(" "))}
+    given = {r.doc_id: r.text or "" for r in staged[1].collect()}
+    own = {key: len("\n".join(dict.fromkeys(text.split("\n")))) for key, text in given.items()}
+    left = {key: text for key, dropped, text in wanted
+            if not dropped or (text and text.strip(" ") and 100 * (own[key] - len(text)) < 80 * own[key])}
     found = {r.doc_id: r for r in staged[2].collect()}
     assert {key: r.text for key, r in found.items()} == left
     assert any(dropped for _, dropped, _ in wanted)
     assert all(r.n_chars == len(r.text) for r in found.values())
 
 
+def test_line_stage_drops_what_is_left_of_near_copies(spark):
+    draw = random.Random(2)
+    lines = [" ".join(str(draw.randint(10_000, 99_999)) for _ in range(14)) for _ in range(60)]
+    texts = {1: lines[:20], 2: [*lines[:19], lines[40]], 3: [*lines[:10], *lines[41:46]],
+             4: [lines[50], *[lines[51]] * 30], 5: [lines[52]]}
+    rows = [(k, "\n".join(held), "en", "s", 0) for k, held in texts.items()]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    found = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_lines(spark, docs, DATA).collect()}
+    assert found == {1: rows[0][1], 3: "\n".join(lines[41:46]), 4: f"{lines[50]}\n{lines[51]}", 5: lines[52]}
+
+
 def test_similar_stage_against_brute_force(staged):
     texts = {r.doc_id: r.text for r in staged[2].collect()}
     wanted = {component for _, component in brute(texts, 5, 80).values()}

@@ -49,7 +49,7 @@ def test_unseen_texts_get_their_language(spark, model):
     rows = labelled(random.Random(2), 200)
     hidden = [(n, text, None, None, k) for n, text, _, _, k in rows]
     found = language.identify(spark.createDataFrame(hidden, SCHEMA), model)
-    assert found.columns == ["doc_id", "text", "lang", "source", "lang_pred", "score", "n_words"]
+    assert found.columns == ["doc_id", "text", "lang", "source", "lang_pred", "score", "n_words", "doubt"]
     by_id = {r.doc_id: r for r in found.collect()}
     right = sum(by_id[n].lang_pred == lang for n, _, lang, _, _ in rows)
     assert right >= 198

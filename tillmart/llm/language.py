@@ -77,6 +77,8 @@ class Model:
     word_scores: np.ndarray
     group_scores: np.ndarray
     unseen: np.ndarray
+    # For each language, how much of new text its words are expected to cover.
+    shares: np.ndarray | None = None
     memo: W.Memo = field(default=None, repr=False)
     all_scores: np.ndarray = field(default=None, repr=False)
 
@@ -166,7 +168,8 @@ def _learned(labelled: DataFrame, training_rows: int) -> Model:
     )
     top_groups = _kept(written(by_group, "language-groups"), MOST_GROUPS)
     languages = sorted(row["lang"] for row in sample.select("lang").distinct().collect())
-    return _fitted(languages, words.toArrow(), top_groups.toArrow())
+    totals = {row["lang"]: row["n"] for row in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    return _fitted(languages, words.toArrow(), top_groups.toArrow(), totals)
 
 
 def _kept(counts: DataFrame, limit: int) -> DataFrame:
@@ -175,7 +178,9 @@ def _kept(counts: DataFrame, limit: int) -> DataFrame:
     return counts.join(chosen, "word", "left_semi").select("lang", "word", "n").orderBy("word", "lang")
 
 
-def _fitted(languages: list[str], words: pa.Table, groups: pa.Table) -> Model:
+def _fitted(
+    languages: list[str], words: pa.Table, groups: pa.Table, n_by_lang: dict[str, int]
+) -> Model:
     def counted(rows: pa.Table) -> tuple[dict[str, int], np.ndarray]:
         """The number of each word, and its counts by language."""
         coded = rows["word"].combine_chunks().dictionary_encode()
@@ -201,17 +206,33 @@ def _fitted(languages: list[str], words: pa.Table, groups: pa.Table) -> Model:
     unseen = np.full(len(languages), (LONGEST + 1) * np.log(BACKOFF) - 12.0)
     share = totals / max(1.0, totals.sum())
     prior = np.log(np.maximum(share, 1e-12)) * 1e-3
-    return Model(languages, prior, word_rows, group_rows, word_scores, group_scores, unseen)
+    # As many words of new text are unknown as were seen once only, or are not kept.
+    often = np.where(word_counts >= 2, word_counts, 0).sum(axis=0)
+    shares = often / np.array([max(1, n_by_lang.get(name, 0)) for name in languages], float)
+    return Model(languages, prior, word_rows, group_rows, word_scores, group_scores, unseen, shares)
 
 
 def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Language, score and number of words of each whole text."""
+    return judged(model, texts)[:3]
+
+
+def judged(
+    model: Model, texts: list[str | None]
+) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    """Language, score, number of words and doubt of each whole text.
+
+    The doubt is how surely the text is in none of the languages: minus the log of a bound
+    (Chernoff's) for the chance that so few of its words were known if each were known with half
+    the share expected of the predicted language. It is 0 if at least that many are known.
+    """
     if model.memo is None:
         model.memo = W.Memo(model.rows_of_word, limit=MEMO_WORDS)
         model.all_scores = model.table()
     count = len(model.languages)
     sums = np.zeros((len(texts), count))
     n_words = np.zeros(len(texts), np.int64)
+    n_known = np.zeros(len(texts), np.int64)
     has_letter = np.zeros(len(texts), bool)
     for numbers, held in W.pieces([(text or "").lower() for text in texts], PIECE_CHARS):
         joined = W.Texts(held)
@@ -224,39 +245,52 @@ def predict(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarra
         rows = model.memo.rows_of(joined, starts, ends)
         scored, counts = model.memo.values(rows), model.memo.counts(rows)
         owners = np.repeat(owners, counts)
+        n_known += np.bincount(owners[scored < len(model.words)], minlength=len(texts))
         for lang in range(count):
             sums[:, lang] += np.bincount(owners, model.all_scores[scored, lang], len(texts))
     if not count:
-        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), n_words
+        return [UNDETERMINED] * len(texts), np.zeros(len(texts)), n_words, np.zeros(len(texts))
     scaled = sums * np.minimum(1.0, EVIDENCE_WORDS / np.maximum(n_words, 1))[:, None] + model.prior
     scaled -= scaled.max(axis=1, keepdims=True)
     chances = np.exp(scaled)
     chances /= chances.sum(axis=1, keepdims=True)
     best = chances.argmax(axis=1)
     names = [model.languages[b] if h else UNDETERMINED for b, h in zip(best, has_letter)]
-    return names, np.where(has_letter, chances.max(axis=1), 0.0), n_words
+    shares = np.zeros(count) if model.shares is None else model.shares
+    doubt = _doubt(n_words, n_known, shares[best] / 2)
+    return names, np.where(has_letter, chances.max(axis=1), 0.0), n_words, doubt
+
+
+def _doubt(n_words: np.ndarray, n_known: np.ndarray, expected: np.ndarray) -> np.ndarray:
+    known = n_known / np.maximum(n_words, 1)
+    fewer = np.where(known > 0, known * np.log(np.maximum(known, 1e-300) / np.maximum(expected, 1e-300)), 0.0)
+    others = np.where(known < 1, (1 - known) * np.log((1 - known) / (1 - expected)), 0.0)
+    return np.where(known < expected, n_words * (fewer + others), 0.0)
 
 
 def _task(batches: Iterable[pa.RecordBatch], shared, text_at: int) -> Iterator[pa.RecordBatch]:
     """The rows as they are, with the prediction for the text at the end."""
     model = shared.value
     for batch in slices(batches):
-        names, scores, n_words = predict(model, batch.column(text_at).to_pylist())
-        added = [pa.array(names, pa.string()), pa.array(scores), pa.array(n_words)]
+        names, scores, n_words, doubt = judged(model, batch.column(text_at).to_pylist())
+        added = [pa.array(names, pa.string()), pa.array(scores), pa.array(n_words), pa.array(doubt)]
         columns = [*batch.columns, *added]
         yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, *ADDED])
 
 
-ADDED = ["lang_pred", "score", "n_words"]
+ADDED = ["lang_pred", "score", "n_words", "doubt"]
 
 
 def identify(documents: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All rows and columns, with lang_pred, score (0 to 1) and n_words of the whole text.
+    """All rows and columns, with lang_pred, score (0 to 1), n_words and doubt of the whole text.
+
+    The doubt, 0 or more, says how surely the text is in none of the languages (see `judged`); the
+    prediction does not depend on it.
 
     Rows are scored one by one: repeated rows, null ids and ties come out as they came in, a
     tie going to the language more frequent in the training rows, then to the first by name. A
     text that is null or has no letter is `und` with score 0; so is every text if the model has
-    no language. Columns with the names of the three added are replaced; an empty table gives
+    no language. Columns with the names of the four added are replaced; an empty table gives
     no rows. Texts must be strings.
     """
     shared = documents.sparkSession.sparkContext.broadcast(model)
@@ -267,6 +301,7 @@ def identify(documents: DataFrame, model: Model, text_col: str = "text") -> Data
             T.StructField("lang_pred", T.StringType()),
             T.StructField("score", T.DoubleType()),
             T.StructField("n_words", T.LongType()),
+            T.StructField("doubt", T.DoubleType()),
         ]
     )
     task = functools.partial(_task, shared=shared, text_at=given.columns.index(text_col))

@@ -403,18 +403,21 @@ SQL_TEXT = """
     segments AS (
       SELECT cls, n, e, j, j * n // (e + 1) AS p, (j + 1) * n // (e + 1) - j * n // (e + 1) AS size, line
       FROM classes, (SELECT unnest(range(3)) AS j) WHERE j <= e),
-    places AS (SELECT DISTINCT n, e, j, p, size FROM segments),
+    targets AS (
+      SELECT cls, n, n - more AS t, CASE WHEN n - more >= 64 THEN 2 ELSE 1 END AS e, line
+      FROM classes, (SELECT unnest(range(3)) AS more)),
     probes AS (
-      SELECT c.cls, s.n, s.j, substr(c.line, p + 1 + move, size) AS part
-      FROM classes c, (SELECT unnest(range(-2, 3)) AS move), places s
-      WHERE c.n >= s.n AND c.n <= s.n + s.e AND abs(move) <= s.e AND p + move >= 0),
+      SELECT cls, t AS n, j,
+             substr(line, j * t // (e + 1) + 1 + move, (j + 1) * t // (e + 1) - j * t // (e + 1)) AS part
+      FROM targets, (SELECT unnest(range(3)) AS j), (SELECT unnest(range(-2, 3)) AS move)
+      WHERE t >= 32 AND n - t <= e AND j <= e AND abs(move) <= e AND j * t // (e + 1) + move >= 0),
     pairs AS (
       SELECT DISTINCT s.cls AS a, q.cls AS b FROM segments s
       JOIN probes q ON q.n = s.n AND q.j = s.j AND q.part = substr(s.line, s.p + 1, s.size)
       WHERE s.cls <> q.cls),
     told AS (
       SELECT a, b, x.line AS x, y.line AS y, x.e AS e,
-             list_min(list_filter(range(y.n), lambda k: left(x.line, k + 1) <> left(y.line, k + 1))) AS p
+             list_min(list_filter(range(y.n), lambda k: substr(x.line, k + 1, 1) <> substr(y.line, k + 1, 1))) AS p
       FROM pairs JOIN classes x ON x.cls = a JOIN classes y ON y.cls = b
       WHERE x.n <= y.n AND levenshtein(x.line, y.line) <= 8),
     one_left AS (
