@@ -228,12 +228,10 @@ def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
     return exploded.filter(F.length("line") >= min_chars).withColumn("cls", F.xxhash64("line"))
 
 
-def _links(classes: DataFrame, edits: int, min_chars: int, long_chars: int) -> DataFrame:
+def _links(classes: DataFrame, edits: int, long_chars: int) -> DataFrame:
     """lo, hi: pairs of classes whose lines are within the edits allowed."""
-    cut = classes.select("cls", _signs(F.col("line")).alias("signs"), F.length("line").alias("length"))
-    keys = _first_keys(F.col("signs"), F.col("length"), edits, min_chars, long_chars)
     own = [n for n, (_, more, _, s) in enumerate(_first_moves(edits)) if not more and not s]
-    rows = cut.select("cls", F.posexplode(keys).alias("number", "key")).filter("key IS NOT NULL")
+    rows = classes.select("cls", F.posexplode("keys").alias("number", "key")).filter("key IS NOT NULL")
     rows = rows.withColumn("indexed", F.col("number").isin(own))
     met = written(_met(rows), "line-keys")
     alone = met.filter("count = 2").select("lo", "hi")
@@ -326,8 +324,11 @@ def _repeated(chosen: DataFrame, min_chars: int, edits: int, long_chars: int) ->
         F.count(F.lit(1)).alias("copies"),
         F.first("line").alias("line"),
     )
-    classes = written(classes, "line-classes")
-    links = _links(classes, edits, min_chars, long_chars)
+    # Keys are read twice; working them out takes longer than reading them.
+    signs = classes.withColumn("signs", _signs(F.col("line"))).withColumn("length", F.length("line"))
+    keys = _first_keys(F.col("signs"), F.col("length"), edits, min_chars, long_chars)
+    classes = written(signs.withColumn("keys", keys).drop("signs", "length"), "line-classes")
+    links = _links(classes, edits, long_chars)
     links = links.select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     groups = components(links).withColumnRenamed("node", "cls")
     told = classes.select("cls", "first", "copies")
