@@ -263,8 +263,10 @@ def judged(
 
 def _doubt(n_words: np.ndarray, n_known: np.ndarray, expected: np.ndarray) -> np.ndarray:
     known = n_known / np.maximum(n_words, 1)
-    fewer = np.where(known > 0, known * np.log(np.maximum(known, 1e-300) / np.maximum(expected, 1e-300)), 0.0)
-    others = np.where(known < 1, (1 - known) * np.log((1 - known) / (1 - expected)), 0.0)
+    # Below any share, however small, no logarithm is of zero.
+    share, rest = np.maximum(known, 1e-300), np.maximum(1 - known, 1e-300)
+    fewer = known * np.log(share / np.maximum(expected, 1e-300))
+    others = (1 - known) * np.log(rest / (1 - expected))
     return np.where(known < expected, n_words * (fewer + others), 0.0)
 
 
