@@ -181,19 +181,19 @@ def payload_ack_stamp(spark: SparkSession, folder: str) -> DataFrame:
     return _stamps(payloads.acknowledgments(_taken(spark, folder)), "acknowledgments", "timestamp")
 
 
-def _damaged(raw: DataFrame) -> DataFrame:
-    """Each payload once more, but cut short, without its id, or without its date."""
+def _damaged() -> Column:
+    """A payload's text, but cut short, without its id, or without its date."""
     kind = F.split("value", '"')[3].cast("long") % 3
     cut = F.expr("left(value, length(value) - 1)")
     nameless = F.regexp_replace("value", '"(transactionId|salesId)":', '"other":')
     undated = F.regexp_replace("value", '"(timestamp|creationDate)":"', '"$1":"on ')
-    damaged = F.when(kind == 0, cut).when(kind == 1, nameless).otherwise(undated)
-    return raw.select(damaged.alias("value"))
+    return F.when(kind == 0, cut).when(kind == 1, nameless).otherwise(undated)
 
 
 def payload_rejects(spark: SparkSession, folder: str) -> DataFrame:
     raw = source.raw_payloads(spark, folder)
-    normalized = payloads.normalize_payloads(payloads.parse_payloads(raw.union(_damaged(raw))))
+    sent = raw.select(F.explode(F.array("value", _damaged())).alias("value"))
+    normalized = payloads.normalize_payloads(payloads.parse_payloads(sent))
     rejects = payloads.rejected(normalized)
     return rejects.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("payloads"))
 
@@ -202,10 +202,11 @@ def stream_payload_intake(spark: SparkSession, folder: str) -> DataFrame:
     """Stream all payloads, each sent twice, a differing one of each sale, and damaged ones;
     then replay them all. `superseded` counts the differing payloads kept as rejects."""
     store = _scratch(spark, "intake")
-    sent = source.payload_sales(spark, folder)
-    raw = source.as_payloads(sent)
-    later = source.as_payloads(source.amended(sent))
-    raw.union(raw).union(later).union(_damaged(raw)).write.text(f"{store.root}/payloads")
+    sent = source.with_amended(source.payload_sales(spark, folder))
+    raw = source.as_payloads(sent, "is_amended")
+    copies = F.array("value", "value", _damaged())
+    texts = F.when(F.col("is_amended"), F.array("value")).otherwise(copies)
+    raw.select(F.explode(texts).alias("value")).write.text(f"{store.root}/payloads", compression="gzip")
     intake = SalesIntake(store)
     for attempt in ("first", "replay"):
         intake.start(
@@ -234,9 +235,12 @@ def stream_intake_merged(spark: SparkSession, folder: str) -> DataFrame:
     """Stream all payloads in four batches that are rewritten in pairs, and then replay them."""
     store = _scratch(spark, "intake-merged")
     raw = source.raw_payloads(spark, folder)
-    raw.repartition(4).write.text(f"{store.root}/payloads")
+    # Each task writes a file for each batch; rows are dealt by their places, without a shuffle.
+    dealt = raw.withColumn("part", F.monotonically_increasing_id() % 4)
+    dealt.write.partitionBy("part").text(f"{store.root}/payloads", compression="gzip")
+    sent = len(spark.read.text(f"{store.root}/payloads").inputFiles())
     intake = SalesIntake(store, merge_at=2)
-    for attempt, files in (("first", 1), ("replay", 4)):
+    for attempt, files in (("first", -(-sent // 4)), ("replay", sent)):
         intake.start(
             spark, f"{store.root}/payloads", f"{store.root}/checkpoint-{attempt}", files_per_batch=files
         ).awaitTermination()

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from samples import FLAT, NESTED, rows
 
 from tillmart.plans.ingest import TableConfig, run_ingest
-from tillmart.sources.stores import CatalogStore, FolderStore, MissingTable
-from tillmart.streaming.intake import SalesIntake
+from tillmart.sources.stores import CatalogStore, FolderStore, MissingTable, _gathered
+from tillmart.streaming.intake import SalesIntake, _fated
 
 
 def put(spark, path, *texts):
@@ -222,3 +222,32 @@ def test_batch_and_stream_agree(spark, store, tmp_path):
     again.take(spark.read.text(str(tmp_path / "in")))
     for table in (intake.sales_table, intake.items_table):
         assert rows(intake.read(table)) == rows(again.read(table))
+
+
+def test_a_batch_of_new_sales_shuffles_no_text(spark, store):
+    assert "Exchange" not in plan_of(_fated(sent(spark, 0, 3), None))
+    real_write, plans = store.write, {}
+
+    def write(df, table, mode, partition_by=(), rows=None):
+        gathered = _gathered(df, partition_by)
+        plans[table] = gathered._jdf.queryExecution().analyzed().toString()
+        real_write(df, table, mode, partition_by, rows)
+
+    store.write = write
+    intake = SalesIntake(store)
+    intake.take(sent(spark, 0, 3))
+    assert len(plans) == 6 and all("RebalancePartitions" not in plan for plan in plans.values())
+
+
+def test_copies_among_new_sales(spark, store):
+    intake = SalesIntake(store)
+    batch = sent(spark, 0, 50)
+    intake.take(batch.union(batch.limit(7)).union(payloads(spark, BARE.replace("F-1", "S-3"), NESTED[:-1])))
+    assert counts(store, intake) == (50, 49, 50, 2)
+    intake.take(sent(spark, 40, 20).union(payloads(spark, NESTED[:-1], NESTED[:-1], NESTED[:-2])))
+    assert counts(store, intake) == (60, 59, 60, 3)
+    assert intake.read(intake.rejects_table).filter("raw IS NULL").count() == 0
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()

@@ -43,11 +43,21 @@ def _headers(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
 
 def sales_items(spark: SparkSession, folder: str) -> DataFrame:
     """Sale lines: one per line item."""
+    return _lines(spark, folder).select(
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"),
+        F.col("l_orderkey").cast("string").alias("transaction_id"),
+        "product_name",
+        "price",
+        "quantity",
+    )
+
+
+def _lines(spark: SparkSession, folder: str) -> DataFrame:
     lineitem = table(spark, folder, "lineitem")
     part = table(spark, folder, "part")
     return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("item_id"),
-        F.col("l_orderkey").cast("string").alias("transaction_id"),
+        "l_orderkey",
+        "l_linenumber",
         F.col("p_name").alias("product_name"),
         F.col("p_retailprice").cast(MONEY).alias("price"),
         F.col("l_quantity").cast("int").alias("quantity"),
@@ -56,23 +66,33 @@ def sales_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def payload_sales(spark: SparkSession, folder: str) -> DataFrame:
     """Sales as they are sent in, each with all its lines in an array."""
-    line = F.struct("item_id", "product_name", "price", "quantity")
+    # Ids of lines are made after the lines are gathered by their sale.
+    short = F.struct("l_linenumber", "product_name", "price", "quantity")
+
+    def line(of: Column) -> Column:
+        item_id = F.concat_ws("-", F.col("transaction_id"), of["l_linenumber"]).alias("item_id")
+        return F.struct(item_id, of["product_name"], of["price"], of["quantity"])
+
     arrays = (
-        sales_items(spark, folder)
-        .groupBy("transaction_id")
-        .agg(F.sort_array(F.collect_list(line)).alias("items"))
+        _lines(spark, folder)
+        .groupBy(F.col("l_orderkey").cast("string").alias("transaction_id"))
+        .agg(F.collect_list(short).alias("lines"))
+        .select("transaction_id", F.sort_array(F.transform("lines", line)).alias("items"))
     )
     joined = sales(spark, folder).join(arrays, "transaction_id", "left")
     none = F.array().cast(arrays.schema["items"].dataType)
     return joined.withColumn("items", F.coalesce("items", none))
 
 
-def amended(sent: DataFrame) -> DataFrame:
-    """The same sales, sent once more a day later with another amount."""
-    return sent.withColumns(
+def with_amended(sent: DataFrame) -> DataFrame:
+    """The sales, and the same sent once more a day later with another amount (`is_amended`)."""
+    later = F.col("transaction_date") + F.expr("INTERVAL 1 DAY")
+    more = (F.col("total_amount") + 1).cast(MONEY)
+    is_amended = F.col("is_amended")
+    return sent.withColumn("is_amended", F.explode(F.array(F.lit(False), F.lit(True)))).withColumns(
         {
-            "transaction_date": F.col("transaction_date") + F.expr("INTERVAL 1 DAY"),
-            "total_amount": (F.col("total_amount") + 1).cast(MONEY),
+            "transaction_date": F.when(is_amended, later).otherwise(F.col("transaction_date")),
+            "total_amount": F.when(is_amended, more).otherwise(F.col("total_amount")),
         }
     )
 
@@ -81,8 +101,9 @@ def raw_payloads(spark: SparkSession, folder: str) -> DataFrame:
     return as_payloads(payload_sales(spark, folder))
 
 
-def as_payloads(sent: DataFrame) -> DataFrame:
-    """One JSON document per sale: odd sale numbers come nested, even ones flat."""
+def as_payloads(sent: DataFrame, *kept: str) -> DataFrame:
+    """One JSON document per sale, beside `kept` columns: odd sale numbers come nested, even ones
+    flat."""
     odd = F.col("transaction_id").cast("long") % 2 == 1
     local_time = iso_text(F.col("transaction_date"))
     nested = F.struct(
@@ -131,7 +152,7 @@ def as_payloads(sent: DataFrame) -> DataFrame:
         F.concat(local_time, F.lit("Z")).alias("creationDate"),
     )
     text = F.when(odd, F.to_json(nested)).otherwise(F.to_json(flat))
-    return sent.select(text.alias("value"))
+    return sent.select(text.alias("value"), *kept)
 
 
 def event_log(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ ACK_STATUS = "Success"
 ACK_MESSAGE = "Record created successfully."
 
 
-def parse_payloads(raw: DataFrame, text: str = "value") -> DataFrame:
-    """One JSON document per row, as text, to the struct column `payload`.
+def parse_payloads(raw: DataFrame, text: str = "value", kept: Sequence[str] = ()) -> DataFrame:
+    """One JSON document per row, as text, to the struct column `payload`, beside `kept` columns.
 
     The struct comes out of a one-element explode: later filters on its fields then
     stay above it, and are not replaced by one more parse per field they mention.
@@ -24,7 +26,7 @@ def parse_payloads(raw: DataFrame, text: str = "value") -> DataFrame:
     parsed = F.from_json(
         F.col(text), PAYLOAD, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    return raw.select(F.col(text).alias("raw"), F.explode(F.array(parsed)).alias("payload"))
+    return raw.select(F.col(text).alias("raw"), F.explode(F.array(parsed)).alias("payload"), *kept)
 
 
 def _whole(number: Column) -> Column:
@@ -37,8 +39,8 @@ def _too_large(number: Column) -> Column:
     return number.isNotNull() & _whole(number).isNull()
 
 
-def normalize_payloads(parsed: DataFrame) -> DataFrame:
-    """Header fields, `items` array and `reject_reason` (null when acceptable).
+def normalize_payloads(parsed: DataFrame, kept: Sequence[str] = ()) -> DataFrame:
+    """Header fields, `items` array and `reject_reason` (null when acceptable), then `kept` columns.
 
     Whether a payload names its sale `transactionId` decides the channel. The
     channel decides where customer and line fields are read; amount, payment type
@@ -97,6 +99,7 @@ def normalize_payloads(parsed: DataFrame) -> DataFrame:
         F.when(nested, nested_items).otherwise(flat_items).alias("items"),
         reason.alias("reject_reason"),
         F.col("raw"),
+        *kept,
     )
 
 
@@ -122,10 +125,17 @@ def chosen_payloads(payloads: DataFrame) -> DataFrame:
     The earliest date wins, then the smallest digest, so a recomputed task picks the same
     one. `min` is combined before the shuffle: a sale sent very often costs one row per task.
     """
+    return sent_sales(payloads).drop("payloads")
+
+
+def sent_sales(payloads: DataFrame) -> DataFrame:
+    """The chosen payloads, and how many `payloads` of the sale there are, copies included."""
     kept = payloads.groupBy("transaction_id").agg(
-        F.min(F.struct("transaction_date", "payload_digest")).alias("first")
+        F.min(F.struct("transaction_date", "payload_digest")).alias("first"),
+        F.count(F.lit(1)).alias("payloads"),
     )
-    return kept.select("transaction_id", F.col("first.payload_digest").alias("payload_digest"))
+    chosen = F.col("first.payload_digest").alias("payload_digest")
+    return kept.select("transaction_id", chosen, "payloads")
 
 
 def sale_headers(sales: DataFrame) -> DataFrame:

@@ -118,12 +118,18 @@ class PartStore(Store):
         raise NotImplementedError
 
 
+class OneValue(str):
+    """A column a table is stored by of which the rows to be written have one value: they are
+    written as they lie, since gathering them by it would shuffle them for nothing."""
+
+
 def _gathered(df: DataFrame, columns: Sequence[str], number: int | None = None) -> DataFrame:
     """Gather rows by the columns a table is stored by, so that a task writes few files.
 
     The rebalance hint lets adaptive execution cut a value that holds much of the
     data into several tasks, and merge small ones.
     """
+    columns = [name for name in columns if not isinstance(name, OneValue)]
     if not columns:
         return df
     return df.hint("rebalance", *([number] if number else []), *columns)

@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from tillmart.operators.sketches import Sketched, bitmaps_for, key_sketch, parts_that_may_hold
 from tillmart.sources.payloads import (
     acknowledgments,
-    chosen_payloads,
     normalize_payloads,
     parse_payloads,
     payload_digest,
     sale_headers,
     sale_items,
+    sent_sales,
+)
+from tillmart.sources.stores import (
+    DEFAULT_FETCH_SIZE,
+    MissingTable,
+    OneValue,
+    PartStore,
+    ReadSplit,
+    Store,
 )
-from tillmart.sources.stores import DEFAULT_FETCH_SIZE, MissingTable, PartStore, ReadSplit, Store
 
 BATCH = "intake_batch"
 GENERATION = "generation"
@@ -28,6 +35,8 @@ SUPERSEDED = "superseded"
 
 SALE, REJECT, COPY = "sale", "reject", "copy"
 
+PAYLOADS_PER_FILE = 200_000
+
 COMMITS = (
     f"batch string, level int, sale_keys long, reject_keys long, is_live boolean, {GENERATION} int"
 )
@@ -113,59 +122,84 @@ class SalesIntake:
         payload is chosen for each sale, and a sale once committed keeps its choice. Payloads
         that cannot be read, and those not chosen, now or later, go to the rejects with the
         reason. So every payload is a sale, a copy, or a reject. A batch that breaks off leaves
-        nothing to be seen, and is taken again from the start. The batch is parsed once.
+        nothing to be seen, and is taken again from the start.
+
+        The batch is read twice, and must give the same texts again. Everything is decided on
+        keys, a few bytes a payload; the second reading parses what is to be written, and texts
+        are shuffled only if some are copies, rejects, or of known sales.
         """
         live = self.batches()
-        # Copies go as texts, before anything is parsed or hashed.
-        normalized = normalize_payloads(parse_payloads(raw.select("value").distinct()))
-        batch = normalized.withColumn("payload_digest", payload_digest()).persist()
-        fated = None
+        held: list[DataFrame] = []
+
+        def keep(df: DataFrame) -> DataFrame:
+            held.append(df.persist())
+            return held[-1]
+
         try:
-            fated = self._fated(batch, live).persist()
-            counts = {row["fate"]: row["rows"] for row in _counted(fated, "fate").collect()}
-            sales, rejects = counts.get(SALE, 0), counts.get(REJECT, 0)
+            told, alone = self._told(raw.select("value"), live, keep)
+            counts = {row["fate"]: row["rows"] for row in _counted(told, "fate").collect()}
+            sales, rejects = counts.get(SALE, 0) + alone, counts.get(REJECT, 0)
             if sales or rejects:
-                self._write_batch(fated, sales, rejects)
+                rows = keep(_fated(raw.select("value"), told if counts else None))
+                self._write_batch(rows, sales, rejects)
         finally:
-            if fated is not None:
-                fated.unpersist()
-            batch.unpersist()
+            for df in reversed(held):
+                df.unpersist()
         self._merge_small()
 
-    def _fated(self, batch: DataFrame, live: Sequence[Batch]) -> DataFrame:
-        """The payloads with their fate, and the reason of rejects."""
+    def _told(
+        self, raw: DataFrame, live: Sequence[Batch], keep: Callable[[DataFrame], DataFrame]
+    ) -> tuple[DataFrame, int]:
+        """`payload_digest, fate, reject_reason` of the payloads that are not the only one of a
+        new sale, and how many are."""
         key = "transaction_id"
-        good = batch.filter(F.col("reject_reason").isNull())
-        held = self._held(good, key, self.choices_table, SALE, live)
-        new, choices = good, None
-        if held is not None:
-            known = held.select(key, F.col("payload_digest").alias("chosen"), F.lit(False).alias("is_new"))
-            choices = known.join(good.select(key).distinct(), key, "left_semi")
-            new = good.join(known.select(key), key, "left_anti")
-        first = chosen_payloads(new).select(
-            key, F.col("payload_digest").alias("chosen"), F.lit(True).alias("is_new")
-        )
-        choices = first if choices is None else choices.unionByName(first)
+        parsed = normalize_payloads(parse_payloads(raw))
+        keys = keep(parsed.select(key, "transaction_date", "reject_reason", _digest()))
+        good = keys.filter(F.col("reject_reason").isNull())
+        sent = keep(sent_sales(good).withColumnRenamed("payload_digest", "chosen"))
+        committed = self._held(sent, key, self.choices_table, SALE, live)
+        choices = sent.withColumn("is_new", F.lit(True))
+        if committed is not None:
+            known = committed.select(key, F.unhex("payload_digest").alias("known"))
+            choices = keep(
+                sent.join(known, key, "left").select(
+                    key,
+                    F.coalesce("known", "chosen").alias("chosen"),
+                    "payloads",
+                    F.col("known").isNull().alias("is_new"),
+                )
+            )
+        is_alone = F.col("is_new") & (F.col("payloads") == 1)
+        found = choices.agg(F.count(F.lit(1)).alias("sales"), F.count_if(is_alone).alias("alone")).first()
+        alone = found["alone"]
         is_chosen = F.col("payload_digest") == F.col("chosen")
-        told = good.join(choices, key).withColumns(
-            {
-                "fate": F.when(~is_chosen, REJECT).when(F.col("is_new"), SALE).otherwise(COPY),
-                "reject_reason": F.when(~is_chosen, F.lit(SUPERSEDED)),
-            }
+        shared = (
+            good.select(key, "payload_digest")
+            .join(choices.filter(~is_alone).select(key, "chosen", "is_new"), key)
+            .select(
+                key,
+                "payload_digest",
+                F.when(~is_chosen, REJECT).when(F.col("is_new"), SALE).otherwise(COPY).alias("fate"),
+                F.when(~is_chosen, F.lit(SUPERSEDED)).alias("reject_reason"),
+            )
+            .distinct()
+            .drop(key)
         )
-        bad = batch.filter(F.col("reject_reason").isNotNull()).withColumn("fate", F.lit(REJECT))
-        fated = told.drop("chosen", "is_new").unionByName(bad)
-        seen = self._held(
-            fated.filter(F.col("fate") == REJECT), "payload_digest", self.rejects_table, REJECT, live
+        bad = keys.filter(F.col("reject_reason").isNotNull()).select(
+            "payload_digest", F.lit(REJECT).alias("fate"), "reject_reason"
         )
+        bad = bad.distinct()
+        # Without shared sales their join would shuffle all keys to find none.
+        told = keep(shared.unionByName(bad) if alone < found["sales"] else bad)
+        rejects = told.filter(F.col("fate") == REJECT).select(_hex("payload_digest"))
+        seen = self._held(rejects, "payload_digest", self.rejects_table, REJECT, live)
         if seen is None:
-            return fated
-        seen = seen.select("payload_digest", F.lit(True).alias("is_seen"))
-        return (
-            fated.join(seen, "payload_digest", "left")
-            .withColumn("fate", F.when((F.col("fate") == REJECT) & F.col("is_seen"), COPY).otherwise(F.col("fate")))
-            .drop("is_seen")
-        )
+            return told, alone
+        seen = seen.select(F.unhex("payload_digest").alias("payload_digest"), F.lit(True).alias("is_seen"))
+        is_copy = (F.col("fate") == REJECT) & F.col("is_seen")
+        fate = F.when(is_copy, COPY).otherwise(F.col("fate")).alias("fate")
+        told = told.join(seen, "payload_digest", "left")
+        return keep(told.select("payload_digest", fate, "reject_reason")), alone
 
     def _held(
         self, rows: DataFrame, key: str, table: str, kind: str, live: Sequence[Batch]
@@ -182,8 +216,8 @@ class SalesIntake:
 
     def _write_batch(self, fated: DataFrame, sale_keys: int, reject_keys: int) -> None:
         name = f"b{uuid.uuid4().hex}"
-        sales = fated.filter(F.col("fate") == SALE)
-        rejects = fated.filter(F.col("fate") == REJECT)
+        sales = fated.filter(F.col("fate") == SALE).coalesce(_files(sale_keys))
+        rejects = fated.filter(F.col("fate") == REJECT).coalesce(_files(reject_keys))
         if sale_keys:
             self._write(sale_items(sales), self.items_table, name)
             self._write(sale_headers(sales), self.sales_table, name)
@@ -196,7 +230,7 @@ class SalesIntake:
         self._commit([Batch(name, 0, sale_keys, reject_keys)], [], generation)
 
     def _write(self, rows: DataFrame, table: str, batch: str) -> None:
-        self.store.write(rows.withColumn(BATCH, F.lit(batch)), table, "append", [BATCH])
+        self.store.write(rows.withColumn(BATCH, F.lit(batch)), table, "append", [OneValue(BATCH)])
 
     def _write_sketches(
         self, sales: DataFrame, rejects: DataFrame, batch: str, sale_keys: int, reject_keys: int
@@ -208,14 +242,14 @@ class SalesIntake:
             if keys
         ]
         whole = sketches[0] if len(sketches) == 1 else sketches[0].unionByName(sketches[1])
-        self._write(whole, self.sketches_table, batch)
+        self._write(whole.coalesce(_files(sale_keys + reject_keys)), self.sketches_table, batch)
 
     def _commit(self, live: Sequence[Batch], replaced: Sequence[str], generation: int) -> None:
         """One file of rows of the log; with it the batches are there, or no longer."""
         rows = [(b.batch, b.level, b.sale_keys, b.reject_keys, True, generation) for b in live]
         rows += [(name, 0, 0, 0, False, generation) for name in replaced]
         log = self.store.spark.createDataFrame(rows, COMMITS).coalesce(1)
-        self.store.write(log, self.commits_table, "append", [GENERATION])
+        self.store.write(log, self.commits_table, "append", [OneValue(GENERATION)])
 
     # --- keeping the tables compact ---------------------------------------------------
 
@@ -250,12 +284,13 @@ class SalesIntake:
         old = [b.batch for b in small]
         name = f"m{uuid.uuid4().hex}"
         found = {table: self._rows_of(table, old) for table in self.row_tables}
-        for table, rows in found.items():
-            if rows is not None:
-                self._write(rows, table, name)
         merged = Batch(
             name, level, sum(b.sale_keys for b in small), sum(b.reject_keys for b in small)
         )
+        for table, rows in found.items():
+            if rows is not None:
+                keys = merged.reject_keys if table == self.rejects_table else merged.sale_keys
+                self._write(rows.coalesce(_files(keys)), table, name)
         self._write_sketches(
             found[self.choices_table], found[self.rejects_table], name, merged.sale_keys, merged.reject_keys
         )
@@ -286,6 +321,55 @@ class SalesIntake:
         return writer.start()
 
 
+def _files(keys: int) -> int:
+    """Files for the rows of so many payloads. Rows of a batch lie in its tasks already, so they
+    are joined to larger tasks without a shuffle."""
+    return max(1, -(-keys // PAYLOADS_PER_FILE))
+
+
+def _digest() -> Column:
+    """The digest in half the bytes of its text, for shuffles."""
+    return F.unhex(payload_digest()).alias("payload_digest")
+
+
+def _hex(digest: str) -> Column:
+    return F.lower(F.hex(digest)).alias(digest)
+
+
+def _fated(raw: DataFrame, told: DataFrame | None) -> DataFrame:
+    """The payloads to be written, parsed, with their fate and the reason of rejects.
+
+    Without `told` all are sales. Otherwise copies are taken out as texts: equal ones of a task
+    go to the shuffle once.
+    """
+    nothing = F.lit(None).cast("string")
+    if told is None:
+        texts = raw.select("value", nothing.alias("fate"), nothing.alias("told_reason"))
+    else:
+        digest = F.unhex(F.sha2("value", 256)).alias("payload_digest")
+        texts = (
+            raw.groupBy(digest)
+            .agg(F.first("value").alias("value"))
+            .join(told.withColumnRenamed("reject_reason", "told_reason"), "payload_digest", "left")
+            .filter(F.coalesce("fate", F.lit(SALE)) != COPY)
+        )
+    names = ["fate", "told_reason"]
+    rows = normalize_payloads(parse_payloads(texts, kept=names), kept=names)
+    own = F.when(F.col("reject_reason").isNull(), SALE).otherwise(REJECT)
+    rows = rows.withColumns(
+        {
+            "fate": F.coalesce("fate", own),
+            "reject_reason": F.coalesce("told_reason", "reject_reason"),
+            "payload_digest": payload_digest(),
+        }
+    )
+    # What is not written is not kept either: the text of a sale, the lines of a reject.
+    is_sale = F.col("fate") == SALE
+    return rows.drop("told_reason").withColumns(
+        {"raw": F.when(~is_sale, F.col("raw")), "items": F.when(is_sale, F.col("items"))}
+    )
+
+
 def _counted(rows: DataFrame, column: str) -> DataFrame:
     return rows.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
