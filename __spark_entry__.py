@@ -167,7 +167,10 @@ def payload_to_items(spark: SparkSession, folder: str) -> DataFrame:
 
 def payload_documents(spark: SparkSession, folder: str) -> DataFrame:
     """From the payload to the tables and back to the document."""
-    taken = _taken(spark, folder)
+    stored = f"{scratch_dir(spark, 'taken')}/rows"
+    # Payloads are made and parsed once for both tables.
+    _taken(spark, folder).write.parquet(stored, compression="zstd")
+    taken = spark.read.parquet(stored)
     documents = sale_documents(payloads.sale_headers(taken), payloads.sale_items(taken))
     return documents.select("transactionId", document_json(documents).alias("document"))
 

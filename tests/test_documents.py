@@ -97,3 +97,9 @@ def test_lookup_by_id_reaches_the_scan(store, both):
     assert "EqualTo(transaction_id,2)" in plan
     plan = header_lookup(store.read("s"), ["2", "3"])._jdf.queryExecution().toString()
     assert "In(transaction_id, [2,3])" in plan
+
+
+def test_lines_of_documents_are_shuffled_once(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    documents = sale_documents(*tables(spark, [sale("1")], [line("i", "1")]))
+    assert documents._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2

@@ -51,11 +51,12 @@ def item_arrays(items: DataFrame, parts: int = 1) -> DataFrame:
     out, and so are parts without lines.
     """
     named = items.filter(F.col("transaction_id").isNotNull())
-    return (
-        named.withColumn("part", line_part(parts))
-        .groupBy("transaction_id", "part")
-        .agg(F.sort_array(F.collect_list(_item())).alias("items"))
-    )
+    arrays = F.sort_array(F.collect_list(_item())).alias("items")
+    if parts == 1:
+        # Grouped by the sale alone, the arrays lie as a join with headers needs them.
+        whole = named.groupBy("transaction_id").agg(arrays)
+        return whole.select("transaction_id", F.lit(0).alias("part"), "items")
+    return named.withColumn("part", line_part(parts)).groupBy("transaction_id", "part").agg(arrays)
 
 
 def _first_header(sales: DataFrame) -> DataFrame:
