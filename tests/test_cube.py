@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from samples import line, rows, sale, tables
 
-from tillmart.plans import marts, worksheets
+from tillmart.plans import cube, marts, worksheets
 from tillmart.plans.cube import Cube, cube_rows, write_cube
 
 DAYS = [[date(2025, 9, 1)], [date(2025, 9, 1), date(2025, 10, 2)], [date(1999, 1, 1)], [], None]
@@ -54,3 +54,10 @@ def test_no_lines(lines):
     cube = Cube(*cube_rows(lines.limit(0)))
     assert tuple(cube.kpis().first()) == (None, None, 0, 0)
     assert cube.product_performance().collect() == []
+
+
+def test_lines_are_worked_out_once(store, lines, monkeypatch):
+    read = []
+    monkeypatch.setattr(cube, "cube_rows", lambda rows: read.append(rows) or cube_rows(rows))
+    write_cube(lines, store)
+    assert read[0].inputFiles() and all("/cube-lines-" in name for name in read[0].inputFiles())

@@ -20,11 +20,13 @@ from tillmart.functions.measures import CUSTOMERS, QUANTITY, TOTAL_SALES, TRANSA
 from tillmart.operators.days import MONTH_COLUMN, Days, on_days, with_month
 from tillmart.operators.positions import with_positions
 from tillmart.schemas import WIDE_MONEY
+from tillmart.sources.scratch import scratch_dir
 from tillmart.sources.stores import Store
 
 CELLS_TABLE = "dm_sales.sales_cube"
 MEMBERS_TABLE = "dm_sales.sales_cube_members"
 DIMENSIONS = ["transaction_date", "product_name", "source"]
+LINE_VALUES = ["customer_name", "transaction_id", "quantity", "total_amount", "price"]
 WORD_BITS = 64
 
 
@@ -65,8 +67,17 @@ def cube_rows(sales_full: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def write_cube(sales_full: DataFrame, store: Store) -> None:
-    """Write the cube anew, both tables by month, so that a selection reads its months only."""
-    for table, rows in zip((CELLS_TABLE, MEMBERS_TABLE), cube_rows(sales_full)):
+    """Write the cube anew, both tables by month, so that a selection reads its months only.
+
+    The lines are read four times: they are written to the shared folder first, so that what
+    they are made of is worked out once.
+    """
+    spark = sales_full.sparkSession
+    folder = f"{scratch_dir(spark, 'cube-lines')}/rows"
+    lines = sales_full.select(*DIMENSIONS, *LINE_VALUES)
+    lines.write.parquet(folder, compression="zstd")
+    stored = spark.read.schema(lines.schema).parquet(folder)
+    for table, rows in zip((CELLS_TABLE, MEMBERS_TABLE), cube_rows(stored)):
         store.write(with_month(rows), table, "overwrite", [MONTH_COLUMN])
 
 
