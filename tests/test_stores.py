@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from tillmart.operators.days import on_days
 from tillmart.operators.lines import sale_lines, sold_by_product
 from tillmart.plans import config as job_config
 from tillmart.plans.export import folder_name, read_csv, write_csv
@@ -229,3 +230,14 @@ def test_csv_with_line_breaks(spark, tmp_path):
     df = spark.createDataFrame([(1, "two\nlines"), (2, 'q"\n,')], "n int, a string")
     write_csv(df, str(tmp_path / "exact"), lossless=True)
     assert rows(read_csv(spark, str(tmp_path / "exact"), df.schema, line_breaks=True)) == rows(df)
+
+
+def test_few_days_of_a_large_table_are_joined_without_a_shuffle(spark):
+    many = spark.range(3_000_000).select(F.make_date(F.lit(2025), F.lit(9), F.col("id") % 28 + 1).alias("day"))
+    rows = spark.range(3_000_000).select(
+        (F.lit(datetime(2025, 9, 20)).cast("timestamp_ntz") + F.make_dt_interval(F.col("id") % 20)).alias("transaction_date")
+    )
+    chosen = on_days(rows, many)
+    plan = chosen._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert chosen.count() == 3_000_000 * 9 // 20

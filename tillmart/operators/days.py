@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillmart.functions.calendar import day_start, month_start
+from tillmart.sources.scratch import scratch_dir
 
 MONTH_COLUMN = "sale_month"
 
@@ -28,8 +29,8 @@ def on_days(df: DataFrame, days: Days, column: str = "transaction_date") -> Data
 
     A list becomes the span of its days on the raw column, which reaches the scan, and the
     list of days itself; on a table stored by month, a list of months prunes its partitions.
-    A DataFrame of days (first column) becomes a semi-join, on such a table also on the
-    month, so that partitions are pruned when it runs.
+    A DataFrame of days (first column) is reduced to its days at once and becomes a semi-join,
+    on such a table also on the month, so that partitions are pruned when it runs.
     """
     if days is None:
         return df
@@ -44,7 +45,12 @@ def on_days(df: DataFrame, days: Days, column: str = "transaction_date") -> Data
         if by_month:
             chosen = with_month(chosen, "_day")
             keys.append(MONTH_COLUMN)
-        return keyed.join(chosen.distinct(), keys, "left_semi").select(df.columns)
+        # Stored, the days have a known size, and few are joined without a shuffle of the rows.
+        folder = f"{scratch_dir(df.sparkSession, 'days')}/rows"
+        chosen.distinct().write.parquet(folder)
+        stored = df.sparkSession.read.schema(chosen.schema).parquet(folder)
+        stored = stored.filter(F.col("_day").between(first, last))
+        return keyed.join(stored, keys, "left_semi").select(df.columns)
     chosen = sorted({_as_date(day) for day in days})
     if not chosen:
         return df.filter(F.lit(False))
