@@ -232,6 +232,11 @@ def test_csv_with_line_breaks(spark, tmp_path):
     assert rows(read_csv(spark, str(tmp_path / "exact"), df.schema, line_breaks=True)) == rows(df)
 
 
+def test_stored_tables_are_compressed_well(spark, store, tmp_path):
+    store.write(spark.range(1), "t", "overwrite")
+    assert glob.glob(f"{tmp_path}/t/*.zstd.parquet")
+
+
 def test_few_days_of_a_large_table_are_joined_without_a_shuffle(spark):
     many = spark.range(3_000_000).select(F.make_date(F.lit(2025), F.lit(9), F.col("id") % 28 + 1).alias("day"))
     rows = spark.range(3_000_000).select(

@@ -192,6 +192,8 @@ class FolderStore(PartStore):
             if [(f.name, f.dataType) for f in df.schema] != wanted:
                 raise ValueError(f"{table}: the rows do not have the schema of the table")
             writer = writer.options(**TEXT_FORMATS[self.format])
+        elif self.format in ("parquet", "orc"):
+            writer = writer.option("compression", "zstd")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.save(self.path(table))
