@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tillmart.llm import embedding_links, graph, line_dedup, ngram_join, vector_search
+from tillmart.llm import common, embedding_links, graph, line_dedup, ngram_join, vector_search
 
 
 def reach(nodes, pairs):
@@ -244,6 +244,55 @@ def test_many_numbered_lines_are_told_apart(spark):
     assert wanted[120] == "" and sum(not text for text in wanted.values()) < 20
 
 
+def test_near_lines_of_a_key_meet_one_of_them(spark):
+    """Lines that differ in two signs all share keys; pairs grow with the lines, not their square."""
+    line = "all rights to this text and to what is made of it are reserved by its author, number {:02d}"
+    rows = [(n, line.format(n)) for n in range(80)] + [(80, line.format(5) + "1")]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    sides = "array(struct(0 AS at, 2 AS own, 2 AS target, 2 AS edits))"
+    keyed = ["xxhash64(text) AS cls", "1L AS key", "doc_id < 80 AS indexed", f"{sides} AS sides"]
+    told = given.selectExpr(*keyed).select("cls", "key", "indexed", *line_dedup._left(F.col("sides")))
+    lines = given.selectExpr("xxhash64(text) AS cls", "text AS line")
+    pairs = line_dedup._told_apart(told, lines, 2)
+    assert sum(found.count() for found in pairs) <= len(rows)
+    assert {r.doc_id: r.text for r in cleaned(spark, rows, 32)} == brute_lines(rows, 32)
+
+
+def test_lines_and_keys_are_shuffled_once(spark, monkeypatch):
+    """No intermediate table has a row for each key or the text of each line."""
+    sizes = {}
+
+    def counted(df, label, keep=False):
+        table = written(df, label, keep)
+        sizes[label] = max(sizes.get(label, 0), table.count() * ("line" in table.columns or "key" in table.columns))
+        return table
+
+    written = line_dedup.written
+    monkeypatch.setattr(line_dedup, "written", counted)
+    draw = random.Random(3)
+    rows = [(n, "".join(draw.choice("abcdefgh") for _ in range(90))) for n in range(300)]
+    rows.append((300, rows[7][1] + "x"))
+    found = {r.doc_id: r.text for r in cleaned(spark, rows, 32)}
+    assert found == dict(rows) | {300: ""}
+    assert max(sizes.values()) < 30
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    setting = common.SHUFFLE_CLEANUP
+    before = spark.conf.get(setting, "false")
+    with common.passing_tables(spark):
+        assert spark.conf.get(setting) == "true"
+    assert spark.conf.get(setting) == before
+
+
+@pytest.mark.parametrize("extra", [0, 1, 2])
+def test_lines_around_the_longest_plain_ones(spark, extra):
+    draw = random.Random(extra)
+    line = "".join(draw.choice("abcd é🙂") for _ in range(line_dedup.PLAIN_CHARS - 1 + extra))
+    rows = [(1, line), (2, line[:40] + line[41:]), (3, "xé" + line), (4, "xyz" + line[1:]), (5, line[::-1])]
+    assert {r.doc_id: r.text for r in cleaned(spark, rows, 32)} == brute_lines(rows, 32)
+
+
 def test_years_in_long_lines(spark):
     line = "Copyright {} by the authors of this text, all rights are reserved by them"
     rows = [(1, line.format(2019)), (2, line.format(2024)), (3, line.format(2035) + "\nthe rest")]

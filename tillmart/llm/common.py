@@ -38,14 +38,24 @@ def written(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
+# Spark's setting to remove the shuffle files of a query when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 @contextmanager
 def passing_tables(spark: SparkSession) -> Iterator[None]:
-    """Remove tables written inside at the end, when what was made of them is written too."""
+    """Remove tables written inside at the end, when what was made of them is written too.
+
+    Inside, shuffle files go as soon as the table or count that they were made for is there.
+    """
     folders: list[str] = []
     outer = _passing.set(folders)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
         yield
     finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
         _passing.reset(outer)
         for folder in folders:
             path = spark._jvm.org.apache.hadoop.fs.Path(folder)

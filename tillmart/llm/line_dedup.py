@@ -10,9 +10,14 @@ under all its substrings that may be such a segment.
 
 Keys that few lines share give pairs of lines. The lines of a key with more are told apart
 further: what lies before and after the shared segment may differ by fewer edits, and is split
-and probed by the same rule, until few lines share a key or nothing is left to split. Pairs lose
-their common start and end, which changes no distance, and are verified by edit distance,
-bit-parallel in a band of diagonals. Equal lines are one class from the start.
+and probed by the same rule, until few lines share a key or nothing is left to split. Then one line
+stands for all that can be made equal by the edits left, whatever their last signs are, and is paired
+with each of them. Pairs are verified by edit distance: Spark's own for short lines; long ones lose
+their common start and end, which changes no distance, and are compared bit-parallel in a band of
+diagonals. Equal lines are one class from the start.
+
+Texts of lines are shuffled once, to fetch those of classes that share a key; the final join shuffles
+the documents. No join that grows with the lines is broadcast.
 """
 
 from __future__ import annotations
@@ -20,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillmart.llm.common import passing_tables, written
+from tillmart.llm.common import most_frequent, passing_tables, written
 from tillmart.llm.graph import components
 
 # Edits between two lines of which the shorter one has LONG_CHARS signs; others may differ by one.
@@ -33,6 +38,13 @@ MIN_CHARS = 32
 # Lines of one key that are compared in pairs; with more of them, a key is split first.
 FEW = 8
 
+# Classes with the most copies, of which keys are worked out for one line only.
+MOST_COPIED = 50_000
+
+# Longer lines are compared in a band of diagonals; Spark's own distance reads them whole for each sign.
+PLAIN_CHARS = 1000
+END_CHARS = 64
+
 # Texts are cut by sign in this encoding of four bytes each, where a cut needs no scan.
 SIGN_BYTES = 4
 
@@ -61,8 +73,8 @@ def _bounds(target: Column, edits: int, j: int) -> tuple[Column, Column]:
     return at[0], at[1]
 
 
-def _rest(at: Column, own: Column, target: Column, edits: int, j: int, s: int) -> Column:
-    """What lies before and after a segment, if it is long enough to be split."""
+def _sides(at: Column, own: Column, target: Column, edits: int, j: int, s: int) -> Column:
+    """What lies before and after a segment."""
     start, end = _bounds(target, edits, j)
     before = F.struct(
         at.alias("at"), (start + s).alias("own"), start.alias("target"), F.lit(j).alias("edits")
@@ -73,8 +85,24 @@ def _rest(at: Column, own: Column, target: Column, edits: int, j: int, s: int) -
         (target - end).alias("target"),
         F.lit(edits - j).alias("edits"),
     )
-    both = F.array(before, after).cast(PARTS)
-    return F.filter(both, lambda part: (part["edits"] > 0) & (part["target"] > part["edits"]))
+    return F.array(before, after).cast(PARTS)
+
+
+def _open(sides: Column) -> Column:
+    """Those that are long enough to be split."""
+    return F.filter(sides, lambda part: (part["edits"] > 0) & (part["target"] > part["edits"]))
+
+
+def _sure(sides: Column) -> Column:
+    """Whether those that are not open can be made equal by their edits, whatever they hold."""
+    return F.forall(
+        sides, lambda part: (part["target"] > part["edits"]) | (part["own"] <= part["edits"])
+    )
+
+
+def _left(sides: Column) -> list[Column]:
+    """parts, those that are open, and sure."""
+    return [_open(sides).alias("parts"), _sure(sides).alias("sure")]
 
 
 def _first_moves(edits: int) -> list[tuple[int, int, int, int]]:
@@ -92,31 +120,41 @@ def _allowed(length: Column, edits: int, long_chars: int) -> Column:
     return F.when(length >= long_chars, edits).otherwise(1)
 
 
-def _first_keys(
-    signs: Column, length: Column, edits: int, min_chars: int, long_chars: int
-) -> Column:
-    """An array of the line's keys, by their places in `_first_moves`; null where there is none."""
+def _first_rows(lines: DataFrame, edits: int, min_chars: int, long_chars: int) -> DataFrame:
+    """cls, number and key: every line's keys by their places in `_first_moves`."""
+    length, signs = F.col("length"), F.col("signs")
+    moves = _first_moves(edits)
+    # Columns, so that each is worked out once and the code for the keys stays small.
+    cuts = {
+        f"cut_{most}_{more}_{k}": F.floor((length - more) * k / (most + 1)).cast("int")
+        for most, more, _, _ in moves
+        for k in range(1, most + 1)
+    }
+    given = lines.withColumn("signs", _signs(F.col("line"))).withColumn("length", F.length("line"))
+    given = given.withColumns(cuts)
     keys = []
-    for most, more, j, s in _first_moves(edits):
+    for most, more, j, s in moves:
         target = length - more
-        start, end = _bounds(target, most, j)
-        key = F.xxhash64(F.lit(j), target, _cut(signs, start + s, end - start))
+        ends = [F.lit(0), *[F.col(f"cut_{most}_{more}_{k}") for k in range(1, most + 1)], target]
+        key = F.xxhash64(F.lit(j), target, _cut(signs, ends[j] + s, ends[j + 1] - ends[j]))
         fits = (target >= min_chars) & (_allowed(target, edits, long_chars) == most)
         keys.append(F.when(fits, key))
-    return F.array(*keys)
+    rows = given.select("cls", F.array(*keys).alias("keys"))
+    # For an inner explode Spark would filter by the array, and so work it out twice.
+    return rows.select("cls", F.posexplode_outer("keys").alias("number", "key")).filter("key IS NOT NULL")
 
 
-def _first_parts(number: Column, length: Column, edits: int) -> Column:
-    """The parts that the key of this place in `_first_moves` leaves open."""
-    parts = F.array().cast(PARTS)
+def _first_parts(number: Column, length: Column, edits: int) -> list[Column]:
+    """parts, which the key of this place in `_first_moves` leaves open, and sure."""
+    sides = F.array().cast(PARTS)
     for place, (most, more, j, s) in enumerate(_first_moves(edits)):
-        rest = _rest(F.lit(0), length, length - more, most, j, s)
-        parts = F.when(number == place, rest).otherwise(parts)
-    return parts
+        found = _sides(F.lit(0), length, length - more, most, j, s)
+        sides = F.when(number == place, found).otherwise(sides)
+    return _left(sides)
 
 
 def _split(rows: DataFrame, edits: int) -> DataFrame:
-    """cls, key, indexed and parts, with the first open part of each row split.
+    """cls, key, indexed, parts and sure, with the first open part of each row split.
 
     `rows` has the line's signs beside them. A row becomes one for each segment of the part and
     each place where it may stand.
@@ -131,14 +169,17 @@ def _split(rows: DataFrame, edits: int) -> DataFrame:
             fits = (part["edits"] == most) & (F.abs(more - s) <= most - j)
             fits &= (start + s >= 0) & (end + s <= part["own"])
             segment = _cut(F.col("signs"), part["at"] + start + s, end - start)
+            sides = _sides(part["at"], part["own"], part["target"], most, j, s)
             found = F.struct(
                 F.xxhash64("key", F.lit(j), segment).alias("key"),
                 (F.col("indexed") & F.lit(s == 0)).alias("indexed"),
-                F.concat(others, _rest(part["at"], part["own"], part["target"], most, j, s)).alias("parts"),
+                F.concat(others, _open(sides)).alias("parts"),
+                (F.col("sure") & _sure(sides)).alias("sure"),
             )
             moved.append(F.when(fits, found))
-    taken = rows.select("cls", F.explode(F.array(*moved)).alias("to")).filter("to IS NOT NULL")
-    return taken.select("cls", "to.key", "to.indexed", "to.parts")
+    fitting = F.filter(F.array(*moved), lambda to: to.isNotNull())
+    taken = rows.select("cls", F.explode_outer(fitting).alias("to")).filter("to IS NOT NULL")
+    return taken.select("cls", "to.key", "to.indexed", "to.parts", "to.sure")
 
 
 def _common(a: Column, b: Column, from_end: bool) -> Column:
@@ -228,44 +269,83 @@ def _lines(documents: DataFrame, min_chars: int) -> DataFrame:
     return exploded.filter(F.length("line") >= min_chars).withColumn("cls", F.xxhash64("line"))
 
 
-def _links(classes: DataFrame, edits: int, long_chars: int) -> DataFrame:
-    """lo, hi: pairs of classes whose lines are within the edits allowed."""
+def _without_copies(lines: DataFrame, classes: DataFrame) -> DataFrame:
+    """The lines, of the MOST_COPIED most copied classes only the first one.
+
+    Other classes keep their copies: to know them all, every line would be shuffled.
+    """
+    copied = most_frequent(classes.filter("copies > 1"), "copies", MOST_COPIED)
+    first = F.broadcast(copied.select(F.col("cls").alias("_copied"), "first"))
+    place = F.struct("doc_id", "number")
+    marked = lines.join(first, F.col("cls") == F.col("_copied"), "left")
+    stays = F.col("_copied").isNull() | place.eqNullSafe(F.col("first"))
+    return marked.filter(stays).select("cls", "line")
+
+
+def _links(lines: DataFrame, edits: int, min_chars: int, long_chars: int) -> DataFrame:
+    """lo, hi: pairs of classes whose lines, cls and line, are within the edits allowed.
+
+    Of classes that are linked by pairs, some pairs may be left out.
+    """
     own = [n for n, (_, more, _, s) in enumerate(_first_moves(edits)) if not more and not s]
-    rows = classes.select("cls", F.posexplode("keys").alias("number", "key")).filter("key IS NOT NULL")
-    rows = rows.withColumn("indexed", F.col("number").isin(own))
-    met = written(_met(rows), "line-keys")
-    alone = met.filter("count = 2").select("lo", "hi")
-    shared = written(rows.join(met.filter("count > 2").select("key", "count"), "key"), "shared-keys")
-    asked = alone.select(F.explode(F.array("lo", "hi")).alias("cls")).unionByName(shared.select("cls"))
-    lines = written(classes.select("cls", "line").join(asked.distinct(), "cls"), "line-texts")
+    # Keys are shuffled once, both to be counted and to be joined with the counts.
+    rows = _first_rows(lines, edits, min_chars, long_chars).repartition("key")
+    indexed = F.col("number").isin(own).alias("indexed")
+    met = _met(rows.select("cls", "key", indexed)).select("key")
+    rows = written(rows.join(met.hint("shuffle_hash"), "key").distinct(), "shared-keys")
+    asked = rows.select("cls").distinct()
+    lines = written(lines.join(asked.hint("merge"), "cls").dropDuplicates(["cls"]), "line-texts")
     length = lines.select("cls", F.length("line").alias("length"))
-    opened = shared.join(length, "cls").withColumn(
-        "parts", _first_parts(F.col("number"), F.col("length"), edits)
+    opened = rows.join(length.hint("merge"), "cls").select(
+        "cls", "key", indexed, *_first_parts(F.col("number"), F.col("length"), edits)
     )
-    found = [alone, *_told_apart(opened.select("cls", "key", "indexed", "parts", "count"), lines, edits)]
+    found = _told_apart(opened, lines, edits)
     pairs = found[0]
     for more in found[1:]:
         pairs = pairs.unionByName(more)
     a = lines.select(F.col("cls").alias("lo"), F.col("line").alias("a"))
     b = lines.select(F.col("cls").alias("hi"), F.col("line").alias("b"))
-    both = pairs.distinct().join(a, "lo").join(b, "hi")
+    both = pairs.distinct().join(a.hint("merge"), "lo").join(b.hint("merge"), "hi")
     most = _allowed(F.least(F.length("a"), F.length("b")), edits, long_chars)
-    both = differing(both.withColumn("most", most))
-    near = within_edits(F.col("a"), F.col("b"), 1)
-    if edits > 1:
-        near = F.when(F.col("most") == 1, near).otherwise(within_edits(F.col("a"), F.col("b"), edits))
-    return both.filter(near).select("lo", "hi")
+    both = written(both.withColumn("most", most), "line-pairs")
+    return _verified(both, edits).select("lo", "hi")
+
+
+def _spark_near(edits: int) -> Column:
+    """Whether columns a and b, short lines, are at most so many edits apart, by Spark's distance.
+
+    Their first signs, as many of each, and their last ones are at most twice as far apart.
+    """
+    ends = [F.left, F.right]
+    cheap = [F.levenshtein(*[end(F.col(x), F.lit(END_CHARS)) for x in "ab"], 2 * edits) >= 0 for end in ends]
+    return cheap[0] & cheap[1] & (F.levenshtein("a", "b", edits) >= 0)
+
+
+def _verified(pairs: DataFrame, edits: int) -> DataFrame:
+    """The pairs whose columns a and b are at most `most` edits apart, 1 or `edits`."""
+
+    def near(within) -> Column:
+        one = within(1)
+        return F.when(F.col("most") == 1, one).otherwise(within(edits)) if edits > 1 else one
+
+    longest = F.greatest(F.length("a"), F.length("b"))
+    found = pairs.filter(longest <= PLAIN_CHARS).filter(near(_spark_near))
+    long = pairs.filter(longest > PLAIN_CHARS)
+    if long.isEmpty():
+        return found
+    banded = near(lambda most: within_edits(F.col("a"), F.col("b"), most))
+    return found.unionByName(differing(long).filter(banded))
 
 
 def _met(rows: DataFrame) -> DataFrame:
-    """key, count, lo and hi of all keys by which an indexed line meets another one."""
+    """key and count of all keys by which an indexed line meets another one."""
     met = rows.groupBy("key").agg(
         F.count(F.lit(1)).alias("count"),
         F.max("indexed").alias("indexed"),
         F.min("cls").alias("lo"),
         F.max("cls").alias("hi"),
     )
-    return met.filter("count > 1 AND indexed AND lo <> hi").select("key", "count", "lo", "hi")
+    return met.filter("count > 1 AND indexed AND lo <> hi").select("key", "count")
 
 
 def _told_apart(rows: DataFrame, lines: DataFrame, edits: int) -> list[DataFrame]:
@@ -275,22 +355,45 @@ def _told_apart(rows: DataFrame, lines: DataFrame, edits: int) -> list[DataFrame
     shorter with every round, so there are as many rounds as the logarithm of the longest line.
     """
     found = []
+    rows = written(rows, "line-rows")
     while True:
-        rows = written(rows, "line-rows")
-        many = (F.col("count") > FEW) & (F.size("parts") > 0)
-        few = rows.filter(~many)
-        a = few.filter("indexed").select("key", F.col("cls").alias("x"))
-        b = few.select("key", F.col("cls").alias("y"))
-        pairs = a.join(b, "key").filter("x <> y")
-        found.append(
-            pairs.select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct()
-        )
-        rest = rows.filter(many)
+        rows = written(rows.join(_met(rows).hint("merge"), "key"), "line-rows")
+        open_ = F.size("parts") > 0
+        found.append(_pairs(rows.filter(F.col("count") <= FEW)))
+        found.append(_stars(rows.filter((F.col("count") > FEW) & ~open_)))
+        rest = rows.filter((F.col("count") > FEW) & open_)
         if rest.isEmpty():
             return found
         signs = lines.select("cls", _signs(F.col("line")).alias("signs"))
-        split = written(_split(rest.join(signs, "cls"), edits).distinct(), "split-rows")
-        rows = split.join(_met(split).select("key", "count"), "key")
+        rows = written(_split(rest.join(signs.hint("merge"), "cls"), edits).distinct(), "split-rows")
+
+
+def _ordered(pairs: DataFrame) -> DataFrame:
+    """lo and hi of the pairs of different classes x and y."""
+    return pairs.filter("x <> y").select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi"))
+
+
+def _pairs(rows: DataFrame) -> DataFrame:
+    """Every indexed line of a key with every other line of it."""
+    a = rows.filter("indexed").select("key", F.col("cls").alias("x"))
+    b = rows.select("key", F.col("cls").alias("y"))
+    return _ordered(a.hint("merge").join(b, "key"))
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """Pairs that connect the lines of keys of which no part is open.
+
+    A sure line is linked with every indexed one, and indexed ones are sure: one of them stands for
+    all. Other lines meet every indexed one, of which there are as many as ways to write the few
+    signs that are left.
+    """
+    indexed = rows.filter("indexed")
+    center = indexed.groupBy("key").agg(F.min("cls").alias("x"))
+    sure = rows.filter("sure").select("key", F.col("cls").alias("y"))
+    stars = sure.join(center.hint("merge"), "key")
+    a = indexed.select("key", F.col("cls").alias("x")).distinct()
+    b = rows.filter("NOT sure").select("key", F.col("cls").alias("y"))
+    return _ordered(stars).unionByName(_ordered(a.hint("merge").join(b, "key")))
 
 
 def repeated_lines(
@@ -320,28 +423,22 @@ def repeated_lines(
 def _repeated(chosen: DataFrame, min_chars: int, edits: int, long_chars: int) -> DataFrame:
     lines = _lines(chosen, min_chars)
     classes = lines.groupBy("cls").agg(
-        F.min(F.struct("doc_id", "number")).alias("first"),
-        F.count(F.lit(1)).alias("copies"),
-        F.first("line").alias("line"),
+        F.min(F.struct("doc_id", "number")).alias("first"), F.count(F.lit(1)).alias("copies")
     )
-    # Keys are read twice; working them out takes longer than reading them.
-    signs = classes.withColumn("signs", _signs(F.col("line"))).withColumn("length", F.length("line"))
-    keys = _first_keys(F.col("signs"), F.col("length"), edits, min_chars, long_chars)
-    classes = written(signs.withColumn("keys", keys).drop("signs", "length"), "line-classes")
-    links = _links(classes, edits, long_chars)
+    classes = written(classes, "line-classes")
+    links = _links(_without_copies(lines, classes), edits, min_chars, long_chars)
     links = links.select(F.col("lo").alias("a"), F.col("hi").alias("b"))
     groups = components(links).withColumnRenamed("node", "cls")
-    told = classes.select("cls", "first", "copies")
-    grouped = groups.join(told.select("cls", "first"), "cls")
+    grouped = groups.join(classes.select("cls", "first").hint("merge"), "cls")
     earliest = grouped.groupBy("component").agg(F.min("first").alias("kept"))
-    in_group = groups.join(earliest, "component").select("cls", "kept")
+    in_group = groups.join(earliest.hint("merge"), "component").select("cls", "kept")
     decided = (
-        told.join(in_group, "cls", "left")
+        classes.join(in_group.hint("merge"), "cls", "left")
         .filter("copies > 1 OR kept IS NOT NULL")
         .select("cls", F.coalesce("kept", "first").alias("kept"))
     )
     place = F.struct("doc_id", "number")
-    repeats = lines.select("doc_id", "number", "cls").join(decided, "cls")
+    repeats = lines.select("doc_id", "number", "cls").join(decided.hint("merge"), "cls")
     repeats = repeats.filter(~place.eqNullSafe(F.col("kept")))
     return repeats.groupBy("doc_id").agg(F.collect_set("number").alias("dropped"))
 
