@@ -17,7 +17,7 @@ their common start and end, which changes no distance, and are compared bit-para
 diagonals. Equal lines are one class from the start.
 
 Texts of lines are shuffled once, to fetch those of classes that share a key; the final join shuffles
-the documents. No join that grows with the lines is broadcast.
+the documents. No join of as many rows as there are lines is broadcast.
 """
 
 from __future__ import annotations
@@ -296,7 +296,7 @@ def _links(lines: DataFrame, edits: int, min_chars: int, long_chars: int) -> Dat
     asked = rows.select("cls").distinct()
     lines = written(lines.join(asked.hint("merge"), "cls").dropDuplicates(["cls"]), "line-texts")
     length = lines.select("cls", F.length("line").alias("length"))
-    opened = rows.join(length.hint("merge"), "cls").select(
+    opened = rows.join(length, "cls").select(
         "cls", "key", indexed, *_first_parts(F.col("number"), F.col("length"), edits)
     )
     found = _told_apart(opened, lines, edits)
@@ -305,22 +305,12 @@ def _links(lines: DataFrame, edits: int, min_chars: int, long_chars: int) -> Dat
         pairs = pairs.unionByName(more)
     a = lines.select(F.col("cls").alias("lo"), F.col("line").alias("a"))
     b = lines.select(F.col("cls").alias("hi"), F.col("line").alias("b"))
-    both = pairs.distinct().join(a.hint("merge"), "lo").join(b.hint("merge"), "hi")
+    both = pairs.distinct().join(a, "lo").join(b, "hi")
     most = _allowed(F.least(F.length("a"), F.length("b")), edits, long_chars)
     both = written(both.withColumn("most", most), "line-pairs")
     return _verified(both, edits).select("lo", "hi")
 
 
-def _spark_near(edits: int) -> Column:
-    """Whether columns a and b, short lines, are at most so many edits apart, by Spark's distance.
-
-    Their first signs, as many of each, and their last ones are at most twice as far apart.
-    """
-    ends = [F.left, F.right]
-    cheap = [F.levenshtein(*[end(F.col(x), F.lit(END_CHARS)) for x in "ab"], 2 * edits) >= 0 for end in ends]
-    return cheap[0] & cheap[1] & (F.levenshtein("a", "b", edits) >= 0)
-
-
 def _verified(pairs: DataFrame, edits: int) -> DataFrame:
     """The pairs whose columns a and b are at most `most` edits apart, 1 or `edits`."""
 
@@ -328,8 +318,15 @@ def _verified(pairs: DataFrame, edits: int) -> DataFrame:
         one = within(1)
         return F.when(F.col("most") == 1, one).otherwise(within(edits)) if edits > 1 else one
 
+    def near_ends(most: int) -> Column:
+        # As many first signs of each line, or last ones, are at most twice as far apart.
+        first, last = ([end(F.col(x), F.lit(END_CHARS)) for x in "ab"] for end in (F.left, F.right))
+        return (F.levenshtein(*first, 2 * most) >= 0) & (F.levenshtein(*last, 2 * most) >= 0)
+
+    pairs = pairs.filter(near(near_ends))
     longest = F.greatest(F.length("a"), F.length("b"))
-    found = pairs.filter(longest <= PLAIN_CHARS).filter(near(_spark_near))
+    short = pairs.filter(longest <= PLAIN_CHARS)
+    found = short.filter(near(lambda most: F.levenshtein("a", "b", most) >= 0))
     long = pairs.filter(longest > PLAIN_CHARS)
     if long.isEmpty():
         return found
@@ -357,7 +354,7 @@ def _told_apart(rows: DataFrame, lines: DataFrame, edits: int) -> list[DataFrame
     found = []
     rows = written(rows, "line-rows")
     while True:
-        rows = written(rows.join(_met(rows).hint("merge"), "key"), "line-rows")
+        rows = written(rows.join(_met(rows), "key"), "line-rows")
         open_ = F.size("parts") > 0
         found.append(_pairs(rows.filter(F.col("count") <= FEW)))
         found.append(_stars(rows.filter((F.col("count") > FEW) & ~open_)))
@@ -365,7 +362,7 @@ def _told_apart(rows: DataFrame, lines: DataFrame, edits: int) -> list[DataFrame
         if rest.isEmpty():
             return found
         signs = lines.select("cls", _signs(F.col("line")).alias("signs"))
-        rows = written(_split(rest.join(signs.hint("merge"), "cls"), edits).distinct(), "split-rows")
+        rows = written(_split(rest.join(signs, "cls"), edits).distinct(), "split-rows")
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -377,7 +374,7 @@ def _pairs(rows: DataFrame) -> DataFrame:
     """Every indexed line of a key with every other line of it."""
     a = rows.filter("indexed").select("key", F.col("cls").alias("x"))
     b = rows.select("key", F.col("cls").alias("y"))
-    return _ordered(a.hint("merge").join(b, "key"))
+    return _ordered(a.join(b, "key"))
 
 
 def _stars(rows: DataFrame) -> DataFrame:
@@ -390,10 +387,10 @@ def _stars(rows: DataFrame) -> DataFrame:
     indexed = rows.filter("indexed")
     center = indexed.groupBy("key").agg(F.min("cls").alias("x"))
     sure = rows.filter("sure").select("key", F.col("cls").alias("y"))
-    stars = sure.join(center.hint("merge"), "key")
+    stars = sure.join(center, "key")
     a = indexed.select("key", F.col("cls").alias("x")).distinct()
     b = rows.filter("NOT sure").select("key", F.col("cls").alias("y"))
-    return _ordered(stars).unionByName(_ordered(a.hint("merge").join(b, "key")))
+    return _ordered(stars).unionByName(_ordered(a.join(b, "key")))
 
 
 def repeated_lines(
