@@ -489,3 +489,15 @@ def test_a_batch_that_broke_off_counts_only_when_written_anew(spark):
     assert totals(rollup) == {("s", "en", "v1"): (1, 2, 3)}
     with pytest.raises(ValueError):
         rollup.commit("../other", changes)
+
+
+def test_products_start_no_threads():
+    """Blocks are below the size from which OpenBLAS deals a product to threads, which wait busily."""
+    p = pseudo_likelihood
+    assert p.BLAS_ROWS * p.HIDDEN * p.CLASSES <= 4 * 65536
+    draw = np.random.default_rng(4)
+    for count in (0, 1, p.BLAS_ROWS, 2 * p.BLAS_ROWS + 3):
+        a, b = draw.standard_normal((count, p.HIDDEN)), draw.standard_normal((count, p.CLASSES))
+        out = draw.standard_normal((p.HIDDEN, p.CLASSES))
+        assert p._in_blocks(a).shape[1] == p.BLAS_ROWS
+        assert np.allclose(p._times(a, out), a @ out) and np.allclose(p._across(a, b), a.T @ b)

@@ -47,6 +47,9 @@ STRIDE = 1
 RATE = 0.2
 EXAMPLES = 2048
 SEED = 7
+# Products of so many rows with HIDDEN x CLASSES weights are too small for BLAS to start threads for
+# them, which would wait busily beside the other tasks of the executor.
+BLAS_ROWS = 128
 
 COLUMNS = ["doc_id", "n_words", "log_likelihood", "mean_log_likelihood"]
 SCORED = "doc_id long, n_words long, log_likelihood double, rest array<long>"
@@ -343,10 +346,10 @@ class Network:
         """log P(class | words around) of each example. With its forks, and by how much they
         move the log of its chance inside the class from what counts say."""
         hidden = self.hidden(around)
-        scores = hidden @ self.out + self.out_bias
+        scores = _times(hidden, self.out) + self.out_bias
         scores -= scores.max(axis=1, keepdims=True)
         chosen = scores[np.arange(len(classes)), classes]
-        chosen = chosen - np.log(np.exp(scores) @ np.ones(CLASSES, np.float32))
+        chosen = chosen - np.log(_times(np.exp(scores), np.ones((CLASSES, 1), np.float32))[:, 0])
         if forks is not None and len(forks.places):
             moved = np.einsum("nh,nh->n", self.forks.take(forks.rows, axis=0), hidden.take(forks.owners(), axis=0))
             moved += forks.odds
@@ -357,6 +360,25 @@ class Network:
         return chosen
 
 
+def _in_blocks(rows: np.ndarray) -> np.ndarray:
+    """Rows in blocks of BLAS_ROWS, the last one filled up with zeros."""
+    missing = -len(rows) % BLAS_ROWS
+    if missing:
+        rows = np.concatenate([rows, np.zeros((missing, rows.shape[1]), rows.dtype)])
+    return rows.reshape(-1, BLAS_ROWS, rows.shape[1])
+
+
+def _times(rows: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """rows @ matrix, block by block."""
+    product = _in_blocks(rows) @ matrix
+    return product.reshape(-1, matrix.shape[1])[: len(rows)]
+
+
+def _across(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a.T @ b, block by block."""
+    return (_in_blocks(a).transpose(0, 2, 1) @ _in_blocks(b)).sum(axis=0)
+
+
 def _sums(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The different row numbers in order, and the sum of the values of each."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")  # short numbers sort fastest
@@ -376,13 +398,13 @@ class Trainer:
         net, count = self.network, len(classes)
         read = net.rows.take(around, axis=0)
         hidden = net.hidden_from(read)
-        scores = hidden @ net.out + net.out_bias
+        scores = _times(hidden, net.out) + net.out_bias
         scores -= scores.max(axis=1, keepdims=True)
         chances = np.exp(scores)
         chances /= chances.sum(axis=1, keepdims=True)
         chances[np.arange(count), classes] -= 1
         chances /= count
-        back = chances @ net.out.T
+        back = _times(chances, net.out.T)
         if forks is not None and len(forks.places):
             weights = net.forks.take(forks.rows, axis=0)
             seen = hidden.take(forks.owners(), axis=0)
@@ -397,7 +419,7 @@ class Trainer:
         self._move("rows", by_row, touched)
         self._move("scales", by_place)
         self._move("bias", back.sum(axis=0))
-        self._move("out", hidden.T @ chances)
+        self._move("out", _across(hidden, chances))
         self._move("out_bias", chances.sum(axis=0))
 
     def _move(self, name: str, gradient: np.ndarray, at: np.ndarray | None = None) -> None:
