@@ -5,11 +5,12 @@ from decimal import Decimal
 from hashlib import sha256
 
 import pytest
+from conftest import DATA
 from pyspark.sql import functions as F
 from samples import FLAT, NESTED, rows
 
 from tillmart.operators.documents import document_json, sale_documents
-from tillmart.sources import payloads
+from tillmart.sources import driver_tables, payloads
 
 
 def normalize(spark, *texts):
@@ -166,3 +167,8 @@ def test_document_is_parsed_once(spark):
     sales = payloads.accepted(payloads.normalize_payloads(payloads.parse_payloads(raw)))
     plan = sales._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_no_table_that_grows_is_broadcast_to_make_payloads(spark):
+    plan = driver_tables.payload_sales(spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [l_partkey" in plan and "SortMergeJoin [o_custkey" in plan

@@ -13,13 +13,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
-def sales(spark: SparkSession, folder: str) -> DataFrame:
+def sales(spark: SparkSession, folder: str, by_shuffle: bool = False) -> DataFrame:
     """Sale headers: one per order."""
-    return _headers(spark, folder, table(spark, folder, "orders"))
+    return _headers(spark, folder, table(spark, folder, "orders"), by_shuffle)
 
 
-def _headers(spark: SparkSession, folder: str, orders: DataFrame) -> DataFrame:
-    customer = table(spark, folder, "customer")
+def _side(rows: DataFrame, by_shuffle: bool) -> DataFrame:
+    """A side of a join; `by_shuffle` keeps it from being broadcast. Spark goes by the size of the
+    files, of which well compressed ones are many times as large in the driver's memory."""
+    return rows.hint("merge") if by_shuffle else rows
+
+
+def _headers(
+    spark: SparkSession, folder: str, orders: DataFrame, by_shuffle: bool = False
+) -> DataFrame:
+    customer = _side(table(spark, folder, "customer"), by_shuffle)
     nation = table(spark, folder, "nation")
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
@@ -52,9 +60,9 @@ def sales_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
+def _lines(spark: SparkSession, folder: str, by_shuffle: bool = False) -> DataFrame:
     lineitem = table(spark, folder, "lineitem")
-    part = table(spark, folder, "part")
+    part = _side(table(spark, folder, "part"), by_shuffle)
     return lineitem.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
         "l_orderkey",
         "l_linenumber",
@@ -65,7 +73,8 @@ def _lines(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def payload_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Sales as they are sent in, each with all its lines in an array."""
+    """Sales as they are sent in, each with all its lines in an array. No table that grows is
+    broadcast."""
     # Ids of lines are made after the lines are gathered by their sale.
     short = F.struct("l_linenumber", "product_name", "price", "quantity")
 
@@ -74,12 +83,12 @@ def payload_sales(spark: SparkSession, folder: str) -> DataFrame:
         return F.struct(item_id, of["product_name"], of["price"], of["quantity"])
 
     arrays = (
-        _lines(spark, folder)
+        _lines(spark, folder, by_shuffle=True)
         .groupBy(F.col("l_orderkey").cast("string").alias("transaction_id"))
         .agg(F.collect_list(short).alias("lines"))
         .select("transaction_id", F.sort_array(F.transform("lines", line)).alias("items"))
     )
-    joined = sales(spark, folder).join(arrays, "transaction_id", "left")
+    joined = sales(spark, folder, by_shuffle=True).join(arrays, "transaction_id", "left")
     none = F.array().cast(arrays.schema["items"].dataType)
     return joined.withColumn("items", F.coalesce("items", none))
 
