@@ -46,3 +46,9 @@ def test_size_of_sketches(spark, sketches):
     assert bitmaps_for(0) == bitmaps_for(500) == 1 and bitmaps_for(501) == 2
     assert {len(r.bits) for r in sketches.collect()} == {4096}
     assert sketches.count() == 6
+
+
+def test_keys_are_shuffled_and_no_bits(spark):
+    plan = key_sketch(keys(spark, 0, 9), "key", 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    assert "bitmap_construct_agg" not in plan.split("Exchange", 1)[1]

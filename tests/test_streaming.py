@@ -249,5 +249,20 @@ def test_copies_among_new_sales(spark, store):
     assert intake.read(intake.rejects_table).filter("raw IS NULL").count() == 0
 
 
+def test_executors_hold_nothing_and_passing_files_go(spark, store):
+    held = spark.sparkContext._jsc.getPersistentRDDs
+    real_write, seen, before = store.write, [], held().size()
+
+    def write(df, table, mode, partition_by=(), rows=None):
+        real_write(df, table, mode, partition_by, rows)
+        seen.append(held().size() - before)
+
+    store.write = write
+    batch = sent(spark, 0, 5)
+    SalesIntake(store).take(batch.union(batch).union(payloads(spark, BARE.replace("F-1", "S-3"), NESTED[:-1])))
+    assert len(seen) == 7 and set(seen) == {0}
+    assert glob.glob(f"{spark.conf.get('spark.checkpoint.dir')}/intake-batch-*") == []
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()

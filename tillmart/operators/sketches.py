@@ -46,13 +46,16 @@ def _bitmap(key: Column, bitmaps: Column) -> Column:
 def key_sketch(keys: DataFrame, key: str, bitmaps: int) -> DataFrame:
     """bitmap, bits: the bitmaps of a column of keys, dealt to so many; nulls are left out.
 
-    Bits are set before the shuffle: of one bitmap each task hands over 4 KB, however many
-    keys it has.
+    Keys are shuffled to the task that makes their bitmap, so that the shuffle grows as the keys
+    do: were bits set before, tasks would hand over nearly a bitmap of 4 KB for every key. A key
+    should be there once, or a few times.
     """
-    given = keys.filter(F.col(key).isNotNull()).select(
-        _bitmap(F.col(key), F.lit(bitmaps).cast("long")).alias("bitmap"),
-        F.explode(_places(F.col(key))).alias("place"),
+    dealt = (
+        keys.filter(F.col(key).isNotNull())
+        .select(_bitmap(F.col(key), F.lit(bitmaps).cast("long")).alias("bitmap"), F.col(key).alias("key"))
+        .repartition("bitmap")
     )
+    given = dealt.select("bitmap", F.explode(_places(F.col("key"))).alias("place"))
     return given.groupBy("bitmap").agg(F.bitmap_construct_agg("place").alias("bits"))
 
 

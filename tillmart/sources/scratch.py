@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -24,6 +26,32 @@ def scratch_dir(spark: SparkSession, label: str, base: str | None = None) -> str
     return folder
 
 
+@contextmanager
+def passing_dir(spark: SparkSession, label: str) -> Iterator[str]:
+    """A folder as `scratch_dir` gives, which goes at the end of the block."""
+    folder = scratch_dir(spark, label)
+    try:
+        yield folder
+    finally:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+# Spark's setting to remove the shuffle files of a query when it has ended.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def passing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files go as soon as the table or count that they were made for is there."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def _beside_tables(spark: SparkSession) -> str:
     warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     path = spark._jvm.org.apache.hadoop.fs.Path(warehouse)

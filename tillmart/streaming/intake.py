@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
@@ -20,6 +21,7 @@ from tillmart.sources.payloads import (
     sale_items,
     sent_sales,
 )
+from tillmart.sources.scratch import passing_dir, passing_shuffles
 from tillmart.sources.stores import (
     DEFAULT_FETCH_SIZE,
     MissingTable,
@@ -126,26 +128,32 @@ class SalesIntake:
 
         The batch is read twice, and must give the same texts again. Everything is decided on
         keys, a few bytes a payload; the second reading parses what is to be written, and texts
-        are shuffled only if some are copies, rejects, or of known sales.
+        are shuffled only if some are copies, rejects, or of known sales. What is used more than
+        once lies in files of a passing folder: executors hold nothing between their tasks.
         """
         live = self.batches()
-        held: list[DataFrame] = []
+        spark = self.store.spark
+        # A stream has a session of its own.
+        with (
+            passing_dir(spark, "intake-batch") as folder,
+            passing_shuffles(spark),
+            passing_shuffles(raw.sparkSession),
+        ):
+            kept = itertools.count()
+
+            def keep(df: DataFrame) -> DataFrame:
+                at = f"{folder}/{next(kept)}"
+                df.write.option("compression", "zstd").parquet(at)
+                return spark.read.schema(df.schema).parquet(at)
 
-        def keep(df: DataFrame) -> DataFrame:
-            held.append(df.persist())
-            return held[-1]
-
-        try:
             told, alone = self._told(raw.select("value"), live, keep)
             counts = {row["fate"]: row["rows"] for row in _counted(told, "fate").collect()}
             sales, rejects = counts.get(SALE, 0) + alone, counts.get(REJECT, 0)
             if sales or rejects:
                 rows = keep(_fated(raw.select("value"), told if counts else None))
                 self._write_batch(rows, sales, rejects)
-        finally:
-            for df in reversed(held):
-                df.unpersist()
-        self._merge_small()
+        with passing_shuffles(spark):
+            self._merge_small()
 
     def _told(
         self, raw: DataFrame, live: Sequence[Batch], keep: Callable[[DataFrame], DataFrame]
