@@ -23,7 +23,7 @@ from tillmart.plans.log_report import load_log, log_report
 from tillmart.schemas import HEADER_COLUMNS, SALES_FULL_COLUMNS, WIDE_MONEY
 from tillmart.sources import driver_tables as source
 from tillmart.sources import payloads
-from tillmart.sources.scratch import scratch_dir
+from tillmart.sources.scratch import passing_shuffles, scratch_dir
 from tillmart.sources.splits import EquiDepth, equi_depth, part_sizes
 from tillmart.sources.stores import FolderStore
 from tillmart.streaming.intake import SUPERSEDED, SalesIntake
@@ -404,8 +404,9 @@ def ingest_reconcile_content(spark: SparkSession, folder: str) -> DataFrame:
 
 def _staged(spark: SparkSession, folder: str) -> FolderStore:
     staging = _scratch(spark, "staging")
-    staging.write(source.sales(spark, folder), "sales_transactions.sales", "overwrite")
-    staging.write(source.sales_items(spark, folder), "sales_transactions.sales_items", "overwrite")
+    with passing_shuffles(spark):
+        staging.write(source.sales(spark, folder), "sales_transactions.sales", "overwrite")
+        staging.write(source.sales_items(spark, folder), "sales_transactions.sales_items", "overwrite")
     return staging
 
 

@@ -13,6 +13,7 @@ from tillmart.functions.calendar import age_band, day_start, month_start
 from tillmart.operators.lines import sold_by_product
 from tillmart.plans import marts
 from tillmart.plans.export import run_export
+from tillmart.sources.scratch import SHUFFLE_CLEANUP
 from tillmart.streaming.intake import SalesIntake
 
 
@@ -70,6 +71,30 @@ def test_repeated_headers_multiply_lines(spark):
     assert rows(sold_by_product(sales, items)) == rows(joined) == [("Map", 19, Decimal("28.00"))]
 
 
+def test_lines_are_shuffled_once_for_the_products_sold(spark, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    sales, items = tables(spark, [sale("1")], [line("a", "1", "Map", "1.50", 3)])
+    plan = sold_by_product(sales, items)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(transaction_id") == 2
+    assert plan.count("Exchange") == 3
+
+
+def test_shuffle_files_go_when_a_mart_is_written(spark, store):
+    sales, items = tables(spark, [sale("1")], [line("a", "1", "Map", "1.50", 3)])
+    store.write(sales, "sales_transactions.sales", "overwrite")
+    store.write(items, "sales_transactions.sales_items", "overwrite")
+    real_write, seen = store.write, []
+
+    def write(*given):
+        seen.append(spark.conf.get(SHUFFLE_CLEANUP))
+        real_write(*given)
+
+    before, store.write = spark.conf.get(SHUFFLE_CLEANUP), write
+    marts.run_datamarts(spark, store, store)
+    assert seen == ["true"] * len(marts.MARTS)
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
+
+
 def test_sales_by_source_counts_ids(spark):
     sales, items = tables(
         spark, [sale("1", "A"), sale(None, "A", total=None), sale("2", None, total=None)], []

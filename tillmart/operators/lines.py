@@ -25,32 +25,29 @@ def sold_by_product(
 ) -> DataFrame:
     """Units and revenue per product over the lines whose sale exists.
 
-    A sale whose header occurs n times counts its lines n times. Both sides are
-    therefore reduced per sale before they meet: headers to their number of copies,
-    lines to one row per product. No pair of copies is ever formed, and neither a
-    sale with very many lines nor one with very many headers is a large group.
+    A sale whose header occurs n times counts its lines n times. Headers are therefore
+    reduced to their number of copies before they meet the lines, which are shuffled once:
+    no pair of copies is ever formed, and adaptive execution splits a sale that holds much
+    of the lines.
 
     `unique_headers` declares that a header occurs once; the join is then an
-    existence check and the lines are shuffled once only.
+    existence check.
     """
-    units = F.sum("quantity")
-    revenue = F.sum(F.col("price") * F.col("quantity"))
+    revenue = F.col("price") * F.col("quantity")
     if unique_headers:
         sold = items.join(sales.select("transaction_id"), "transaction_id", "left_semi")
         totals = sold.groupBy("product_name").agg(
-            units.alias("total_sold"), revenue.alias("total_revenue")
+            F.sum("quantity").alias("total_sold"), F.sum(revenue).alias("total_revenue")
         )
     else:
         copies = sales.groupBy("transaction_id").agg(F.count(F.lit(1)).alias("copies"))
-        per_sale = items.groupBy("transaction_id", "product_name").agg(
-            units.alias("units"), revenue.alias("revenue")
-        )
+        lines = items.select("transaction_id", "product_name", "price", "quantity")
         totals = (
-            per_sale.join(copies, "transaction_id")
+            lines.join(copies, "transaction_id")
             .groupBy("product_name")
             .agg(
-                F.sum(F.col("units") * F.col("copies")).alias("total_sold"),
-                F.sum(F.col("revenue") * F.col("copies")).alias("total_revenue"),
+                F.sum(F.col("quantity") * F.col("copies")).alias("total_sold"),
+                F.sum(revenue * F.col("copies")).alias("total_revenue"),
             )
         )
     return totals.select(

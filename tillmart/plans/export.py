@@ -13,6 +13,7 @@ from tillmart.operators.positions import with_positions
 from tillmart.plans.audit import DONE, FAILED, Run, counted_write, now, summary
 from tillmart.plans.marts import MARTS
 from tillmart.schemas import WIDE_MONEY
+from tillmart.sources.scratch import passing_shuffles
 from tillmart.sources.stores import Store, zone_timestamps
 
 SUM_MONEY = T.DecimalType(38, 18)
@@ -138,7 +139,8 @@ def run_export(
         except Exception as error:
             run.record(table, FAILED, started, message=summary(error))
 
-    run.each(export, list(dict.fromkeys(tables)), at_once)
+    with passing_shuffles(spark):
+        run.each(export, list(dict.fromkeys(tables)), at_once)
     if audit and run.rows:
         run.save(*audit)
     return run.frame()

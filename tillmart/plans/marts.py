@@ -16,7 +16,7 @@ from tillmart.operators.lines import sale_lines, sold_by_product
 from tillmart.operators.positions import with_positions
 from tillmart.plans.audit import DONE, FAILED, Run, counted_write, now, stamped, summary
 from tillmart.schemas import WIDE_MONEY
-from tillmart.sources.scratch import scratch_dir
+from tillmart.sources.scratch import passing_shuffles, scratch_dir
 from tillmart.sources.stores import Store
 
 STAMP_COLUMN = "load_timestamp"
@@ -264,7 +264,7 @@ def run_datamarts(
     """Write every mart anew, `at_once` of them at a time, and return the audit rows.
 
     A mart that fails is recorded, and the others go on. `one_header_scan` builds all marts
-    over headers alone from a single scan of them.
+    over headers alone from a single scan of them. Shuffle files of a mart go when it is written.
     """
     run = Run(spark, "datamart")
     listed = list(marts)
@@ -285,7 +285,8 @@ def run_datamarts(
         except Exception as error:
             run.record(table, FAILED, started, message=summary(error))
 
-    run.each(build, list(by_table), at_once)
+    with passing_shuffles(spark):
+        run.each(build, list(by_table), at_once)
     if audit and run.rows:
         run.save(*audit)
     return run.frame()
