@@ -209,7 +209,10 @@ def stream_payload_intake(spark: SparkSession, folder: str) -> DataFrame:
     raw = source.as_payloads(sent, "is_amended")
     copies = F.array("value", "value", _damaged())
     texts = F.when(F.col("is_amended"), F.array("value")).otherwise(copies)
-    raw.select(F.explode(texts).alias("value")).write.text(f"{store.root}/payloads", compression="gzip")
+    with passing_shuffles(spark):
+        raw.select(F.explode(texts).alias("value")).write.text(
+            f"{store.root}/payloads", compression="gzip"
+        )
     intake = SalesIntake(store)
     for attempt in ("first", "replay"):
         intake.start(
@@ -240,7 +243,8 @@ def stream_intake_merged(spark: SparkSession, folder: str) -> DataFrame:
     raw = source.raw_payloads(spark, folder)
     # Each task writes a file for each batch; rows are dealt by their places, without a shuffle.
     dealt = raw.withColumn("part", F.monotonically_increasing_id() % 4)
-    dealt.write.partitionBy("part").text(f"{store.root}/payloads", compression="gzip")
+    with passing_shuffles(spark):
+        dealt.write.partitionBy("part").text(f"{store.root}/payloads", compression="gzip")
     sent = len(spark.read.text(f"{store.root}/payloads").inputFiles())
     intake = SalesIntake(store, merge_at=2)
     for attempt, files in (("first", -(-sent // 4)), ("replay", sent)):
